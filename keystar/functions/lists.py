@@ -30,9 +30,13 @@ def distinct_texts(values: Column) -> Column:
     return F.array_distinct(F.filter(or_empty(values), has_text))
 
 
+# White space at either end of a text, beyond ASCII too.
+_EDGES = r"^[\s\x0B\x1C-\x1F\x85\p{Z}]+|[\s\x0B\x1C-\x1F\x85\p{Z}]+$"
+
+
 def split_labels(value: Column, sep: str = ",") -> Column:
-    """Comma-separated labels as a trimmed list without blanks; missing text -> empty."""
-    parts = F.transform(F.split(value, sep), F.trim)
+    """Comma-separated labels as a list without outer white space or blanks; no text -> empty."""
+    parts = F.transform(F.split(value, sep), lambda part: F.regexp_replace(part, _EDGES, ""))
     return F.filter(or_empty(parts), lambda token: token != "")
 
 

@@ -205,9 +205,15 @@ def _pairs(
 
 def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
     """Best k of each row of one block within the other, both ways, as (id, neighbor, similarity)."""
-    packed = blocks.select(F.struct("cell", "sub").alias("key"), "ids", "floors", "matrix")
-    left = pairs.join(packed, F.col("a") == F.col("key")).drop("key")
-    right = pairs.join(packed, F.col("b") == F.col("key")).drop("key")
+
+    def side(end: str) -> DataFrame:
+        """Each pair with the packed block at one of its ends, under names of its own."""
+        packed = blocks.select(F.struct("cell", "sub").alias("key"), "ids", "floors", "matrix")
+        joined = pairs.join(packed, F.col(end) == F.col("key"))
+        return joined.select(
+            F.col("a").alias(f"a_{end}"), F.col("b").alias(f"b_{end}"), "ids", "floors", "matrix"
+        )
+
     schema = T.StructType(
         [
             T.StructField("id", id_type),
@@ -224,7 +230,7 @@ def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -
         left_m = np.frombuffer(a["matrix"], dtype=np.float64).reshape(len(ids_a), -1)
         right_m = np.frombuffer(b["matrix"], dtype=np.float64).reshape(len(ids_b), -1)
         scores = _scores(left_m, right_m)
-        if a["a"] == a["b"]:
+        if a["a_a"] == a["b_a"]:
             np.fill_diagonal(scores, -4 * SCALE)
             return _best(scores, ids_a, ids_b, np.asarray(a["floors"]), k)
         return pd.concat(
@@ -234,7 +240,8 @@ def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -
             ]
         )
 
-    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(compare, schema)
+    left, right = side("a").groupBy("a_a", "b_a"), side("b").groupBy("a_b", "b_b")
+    return left.cogroup(right).applyInPandas(compare, schema)
 
 
 def _best(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,12 +17,11 @@ def versioned_path(root: str, group: str, version: str, relation: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished Parquet relation is there (one footer is read, no data)."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a finished relation is there; a write that was cut short does not count."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    system = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(marker)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

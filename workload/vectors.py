@@ -1 +1,179 @@
-"""."""
+"""Neighbours, embeddings and their projection."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keystar.functions.vectors import norm
+from keystar.operators.embedding import embed, masked_mean, project_2d
+from keystar.operators.neighbors import cosine_topk
+from keystar.operators.patch import member_check
+from keystar.operators.quality import coverage
+from keystar.plans.lookup import neighbors_of
+from keystar.plans.vectors import assemble_embedding, fact_protein_neighbor
+from keystar.session import stash
+from workload.bronze import fact_embedding
+from workload.registry import query, table, with_ctes
+from workload.star import STAR_SQL, star
+
+_TOPK = """
+    SELECT vec_id, neighbor, similarity,
+           row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbor)::INTEGER AS rank
+    FROM (SELECT a.vec_id, b.vec_id AS neighbor,
+                 round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
+          FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+    QUALIFY rank <= 20"""
+
+
+@query("Q15 J13 X14 O5 W1 W4", _TOPK)
+def cosine_neighbors(spark: SparkSession, sf: str) -> DataFrame:
+    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+@query("Q15 J13", _TOPK)
+def cosine_neighbors_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from many small blocks around many pivots."""
+    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", block_rows=64)
+
+
+@query(
+    "X14",
+    """SELECT vec_id, round(sqrt(list_sum([x::DOUBLE * x::DOUBLE FOR x IN embedding])), 6) AS length
+       FROM embeddings""",
+)
+def vector_norms(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select(
+        "vec_id", F.round(norm(F.col("embedding")), 6).alias("length")
+    )
+
+
+@query(
+    "Q13 J14 O3",
+    with_ctes(
+        {**STAR_SQL, "topk": _TOPK},
+        """SELECT 'P' || t.vec_id AS uniprot_accession, t.rank, p.acc AS accession, p.gene_symbol,
+                  p.protein_name, round_even(CAST(t.similarity::FLOAT AS DOUBLE), 3) AS similarity
+           FROM topk t JOIN protein p ON p.acc = 'P' || t.neighbor WHERE t.rank <= 10""",
+    ),
+)
+def neighbor_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Vector ids sort as numbers here and as texts below, so ties are kept apart by rank."""
+    pairs = cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    neighbors = pairs.select(
+        F.concat(F.lit("P"), F.col("vec_id").cast("string")).alias("uniprot_accession"),
+        F.concat(F.lit("P"), F.col("neighbor").cast("string")).alias("neighbor_accession"),
+        F.col("similarity").cast("float").alias("similarity"),
+        "rank",
+    )
+    return neighbors_of(neighbors, star(spark, sf)["dim_protein"])
+
+
+@query(
+    "Q15 S11",
+    f"""SELECT 'P' || vec_id AS uniprot_accession, 'P' || neighbor AS neighbor_accession,
+               similarity::FLOAT AS similarity, rank
+        FROM ({_TOPK.replace('similarity DESC, neighbor)', "similarity DESC, 'P' || neighbor)")})""",
+)
+def fact_neighbors(spark: SparkSession, sf: str) -> DataFrame:
+    return fact_protein_neighbor(fact_embedding(spark, sf))
+
+
+@query(
+    "U3",
+    f"""SELECT vec_id, vec_id IN (SELECT neighbor FROM ({_TOPK})) AS found FROM embeddings""",
+)
+def neighbor_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Which vectors are somebody's neighbour."""
+    vectors = table(spark, sf, "embeddings")
+    pairs = cosine_topk(vectors, "vec_id", "embedding").select(F.col("neighbor").alias("vec_id"))
+    return member_check(pairs, vectors, "vec_id")
+
+
+# The stand-in model: a token is its code point, one value per dimension and token.
+DIM = 8
+START, END = 1, 2
+
+
+def stand_in_model() -> Callable[[np.ndarray], np.ndarray]:
+    steps = np.arange(1, DIM + 1)
+
+    def predict(texts: np.ndarray) -> np.ndarray:
+        tokens = [[START, *map(ord, text), END] for text in texts]
+        width = max(map(len, tokens))
+        padded = np.zeros((len(tokens), width), dtype=np.int64)
+        mask = np.zeros((len(tokens), width), dtype=bool)
+        for i, row in enumerate(tokens):
+            padded[i, : len(row)] = row
+            mask[i, : len(row)] = True
+        hidden = (padded[:, :, None] * steps) % 97
+        return masked_mean(hidden, mask)
+
+    return predict
+
+
+_EMBED = f"""
+    SELECT doc_id, d AS dim, length(text) > 1022 AS was_truncated,
+           (list_sum([(unicode(c) * d) % 97 FOR c IN string_split(substring(text, 1, 1022), '')])
+            + (1 * d) % 97 + (2 * d) % 97)::FLOAT / (least(length(text), 1022) + 2)::FLOAT AS value
+    FROM documents, (SELECT unnest(range(1, {DIM + 1})) AS d)"""
+
+
+@query(
+    "Q16 F1 X7 Q18",
+    f"SELECT doc_id, dim::INTEGER AS dim, was_truncated, value FROM ({_EMBED})",
+)
+def embed_batch(spark: SparkSession, sf: str) -> DataFrame:
+    embedded = embed(table(spark, sf, "documents").select("doc_id", "text"), "text", stand_in_model)
+    values = embedded.select("doc_id", "was_truncated", F.posexplode("embedding").alias("pos", "v"))
+    return values.select(
+        "doc_id",
+        (F.col("pos") + 1).alias("dim"),
+        "was_truncated",
+        F.col("v").alias("value"),
+    )
+
+
+@query(
+    "A18 A17",
+    """SELECT (SELECT count(*) FROM documents) AS left_rows, (SELECT count(*) FROM documents) AS right_rows,
+              (SELECT count(*) FROM documents WHERE length(text) > 1022) AS truncated,
+              0::BIGINT AS null_coordinates""",
+)
+def embedding_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("uniprot_accession"), F.col("text").alias("sequence")
+    )
+    embedded = stash(embed(documents, "sequence", stand_in_model), "embedded")
+    fact = assemble_embedding(embedded, "stand-in")
+    return coverage(
+        documents,
+        fact,
+        {
+            "truncated": F.col("was_truncated"),
+            "null_coordinates": F.col("umap_x").isNull() | F.col("umap_y").isNull(),
+        },
+    )
+
+
+@query("Q17")
+def pca_projection(spark: SparkSession, sf: str) -> DataFrame:
+    projected = project_2d(table(spark, sf, "embeddings"), "embedding")
+    return projected.select("vec_id", "umap_x", "umap_y")
+
+
+@query(
+    "Q17",
+    "SELECT count(*) AS points, true AS uncorrelated, true AS ordered FROM embeddings",
+)
+def pca_properties(spark: SparkSession, sf: str) -> DataFrame:
+    """What principal axes must satisfy: uncorrelated coordinates, larger variance first."""
+    points = pca_projection(spark, sf)
+    return points.agg(
+        F.count(F.lit(1)).alias("points"),
+        (F.abs(F.corr("umap_x", "umap_y")) < 1e-3).alias("uncorrelated"),
+        (F.var_pop("umap_x") >= F.var_pop("umap_y")).alias("ordered"),
+    )
