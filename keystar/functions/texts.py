@@ -29,8 +29,11 @@ def truncated(value: Column, limit: int = K.MAX_SEQUENCE) -> tuple[Column, Colum
     return F.substring(value, 1, limit), F.length(value) > limit
 
 
-def letter_count(value: Column, letter: Column) -> Column:
-    return F.length(value) - F.length(F.replace(value, letter, F.lit("")))
+def letter_count(value: Column, letter: str) -> Column:
+    """Occurrences of one letter, from the bytes its removal saves (no character counting)."""
+    saved = F.octet_length(value) - F.octet_length(F.replace(value, F.lit(letter), F.lit("")))
+    width = len(letter.encode())
+    return saved if width == 1 else (saved / width).cast("int")
 
 
 def standard_length(value: Column, letters: str = K.RESIDUES) -> Column:

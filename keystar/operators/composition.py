@@ -26,7 +26,7 @@ def letter_composition(
     """
     counts = F.array(
         *(
-            F.struct(F.lit(x).alias("code"), letter_count(F.col(text), F.lit(x)).alias("n"))
+            F.struct(F.lit(x).alias("code"), letter_count(F.col(text), x).alias("n"))
             for x in letters
         )
     )

@@ -66,11 +66,14 @@ def _collapse(edges: DataFrame, a: str, b: str, score: str) -> DataFrame:
 
 
 def symmetric(edges: DataFrame, a: str, b: str, key: str, other: str) -> DataFrame:
-    """Each undirected edge seen from both ends, so an ego lookup is an equi-join."""
+    """Each undirected edge seen from both ends, so an ego lookup is an equi-join.
+
+    Both views come out of one pass over the edges.
+    """
     rest = [c for c in edges.columns if c not in (a, b)]
-    there = edges.select(F.col(a).alias(key), F.col(b).alias(other), *rest)
-    back = edges.select(F.col(b).alias(key), F.col(a).alias(other), *rest)
-    return there.unionByName(back)
+    there = F.struct(F.col(a).alias(key), F.col(b).alias(other))
+    back = F.struct(F.col(b).alias(key), F.col(a).alias(other))
+    return edges.select(*rest, F.inline(F.array(there, back))).select(key, other, *rest)
 
 
 def max_evidence(

@@ -25,6 +25,16 @@ def file_order() -> Column:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan with fewer splits than cores, ahead of heavy per-row work.
+
+    Unsplittable or single-block files feed few tasks. A scan with enough splits, as any
+    large one has, is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_entries(spark: SparkSession, path: str, paged: bool = False) -> DataFrame:
     """Nested JSON entries flattened to the 11 bronze columns.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keystar import constants as K
 from keystar.plans.tables import Tables
+from keystar.sources.readers import spread
 from workload.registry import table
 
 
@@ -20,7 +21,7 @@ def _id(prefix: str, column: str) -> Column:
 
 
 def uniprot(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"))
     none = F.array().cast("array<string>")
     return (
         table(spark, sf, "part")
@@ -101,7 +102,10 @@ def ot_diseases(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_discount", "l_returnflag"
+    )
+    return spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def ot_associations(spark: SparkSession, sf: str) -> DataFrame:

@@ -21,6 +21,7 @@ from keystar.operators.ranking import flatten_list, nest, top_n
 from keystar.operators.resolve import match_symbols, resolve_edges, resolve_ids, unmapped, with_ends
 from keystar.plans.lookup import search
 from keystar.plans.marts import best_group
+from keystar.sources.readers import spread
 from workload.registry import query, table
 
 
@@ -275,7 +276,8 @@ def symbol_unmatched(spark: SparkSession, sf: str) -> DataFrame:
              WHERE length(text) > 0)""",
 )
 def letter_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return letter_composition(table(spark, sf, "documents"), "doc_id", "text", "n_chars")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"))
+    return letter_composition(documents, "doc_id", "text", "n_chars")
 
 
 @query(

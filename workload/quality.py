@@ -11,7 +11,7 @@ from keystar.operators.composition import letter_composition
 from keystar.functions.texts import standard_length
 from keystar.plans import checks as C
 from workload.registry import query, table, with_ctes
-from workload.star import STAR_SQL, star
+from workload.star import STAR_SQL, served
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 _PRIORITY_LIST = ", ".join(f"'{p}'" for p in PRIORITIES)
@@ -276,7 +276,7 @@ def _suite_sql() -> str:
 
 @query("D1 D2 D3 D4 D5 D6 D7 D8 D9 D10 D11 D12 D13 D14", _suite_sql())
 def quality_suite(spark: SparkSession, sf: str) -> DataFrame:
-    return Q.summarize(C.star_checks(), star(spark, sf))
+    return Q.summarize(C.star_checks(), served(spark, sf))
 
 
 @query(
@@ -292,4 +292,4 @@ def quality_untagged(spark: SparkSession, sf: str) -> DataFrame:
     """Two of the checks that also make sense without real data."""
     wanted = {"sequence_length_consistent", "interaction_no_self_pairs", "protein_volume"}
     chosen = [c for c in C.star_checks() if c.name in wanted]
-    return Q.summarize(Q.select_checks(chosen, exclude=[Q.REAL_DATA]), star(spark, sf))
+    return Q.summarize(Q.select_checks(chosen, exclude=[Q.REAL_DATA]), served(spark, sf))

@@ -16,9 +16,10 @@ from keystar.operators.quality import coverage
 from keystar.plans.lookup import neighbors_of
 from keystar.plans.vectors import assemble_embedding, fact_protein_neighbor
 from keystar.session import stash
+from keystar.sources.readers import spread
 from workload.bronze import fact_embedding
 from workload.registry import query, table, with_ctes
-from workload.star import STAR_SQL, star
+from workload.star import STAR_SQL, served
 
 _TOPK = """
     SELECT vec_id, neighbor, similarity,
@@ -69,7 +70,7 @@ def neighbor_lookup(spark: SparkSession, sf: str) -> DataFrame:
         F.col("similarity").cast("float").alias("similarity"),
         "rank",
     )
-    return neighbors_of(neighbors, star(spark, sf)["dim_protein"])
+    return neighbors_of(neighbors, served(spark, sf)["dim_protein"])
 
 
 @query(
@@ -99,18 +100,18 @@ START, END = 1, 2
 
 
 def stand_in_model() -> Callable[[np.ndarray], np.ndarray]:
-    steps = np.arange(1, DIM + 1)
+    steps = np.arange(1, DIM + 1, dtype=np.uint32)
 
     def predict(texts: np.ndarray) -> np.ndarray:
-        tokens = [[START, *map(ord, text), END] for text in texts]
-        width = max(map(len, tokens))
-        padded = np.zeros((len(tokens), width), dtype=np.int64)
-        mask = np.zeros((len(tokens), width), dtype=bool)
-        for i, row in enumerate(tokens):
-            padded[i, : len(row)] = row
-            mask[i, : len(row)] = True
-        hidden = (padded[:, :, None] * steps) % 97
-        return masked_mean(hidden, mask)
+        points = [np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in texts]
+        width = max(map(len, points)) + 2
+        tokens = np.zeros((len(points), width), dtype=np.uint32)
+        mask = np.zeros((len(points), width), dtype=bool)
+        for i, row in enumerate(points):
+            tokens[i, 0], tokens[i, len(row) + 1] = START, END
+            tokens[i, 1 : len(row) + 1] = row
+            mask[i, : len(row) + 2] = True
+        return masked_mean((tokens[:, :, None] * steps) % 97, mask)
 
     return predict
 
@@ -127,7 +128,8 @@ _EMBED = f"""
     f"SELECT doc_id, dim::INTEGER AS dim, was_truncated, value FROM ({_EMBED})",
 )
 def embed_batch(spark: SparkSession, sf: str) -> DataFrame:
-    embedded = embed(table(spark, sf, "documents").select("doc_id", "text"), "text", stand_in_model)
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    embedded = embed(documents, "text", stand_in_model)
     values = embedded.select("doc_id", "was_truncated", F.posexplode("embedding").alias("pos", "v"))
     return values.select(
         "doc_id",
