@@ -43,8 +43,8 @@ def load_bronze(
 
 
 def write_marts(star: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
-    """Save dimensions, then facts, as tables; returns the table names."""
-    names = sorted(n for n in star if n.startswith(("dim_", "fact_")))
+    """Save seeds, dimensions and facts as tables (staging stays views); returns their names."""
+    names = sorted(n for n in star if not n.startswith("stg_"))
     tables = [f"{database}.{n}" if database else n for n in names]
     for name, table in zip(names, tables, strict=True):
         replace_table(star[name], table)

@@ -53,10 +53,12 @@ def canonical(rows: list[tuple]) -> list[tuple]:
     return sorted((tuple(plain(v) for v in row) for row in rows), key=repr)
 
 
-def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str, float]:
+def compare(spark, con, name: str, sf_dir: str, inspect=None) -> tuple[bool, str, float]:
     q = QUERIES[name]
     start = time.time()
     df = q.run(spark, sf_dir)
+    if inspect is not None:
+        inspect(df)
     names = sorted(df.columns)
     mine = [tuple(r) for r in df.select(*names).collect()]
     took = time.time() - start
