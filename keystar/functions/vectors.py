@@ -21,7 +21,15 @@ def cosine(left: Column, right: Column) -> Column:
 
 
 def unit(vector: Column) -> Column:
-    """The vector scaled to length 1, in double; NULL for a zero vector."""
-    length = norm(vector)
-    scaled = F.transform(vector, lambda x: x.cast("double") / length)
-    return F.when(length > 0, scaled)
+    """The vector scaled to length 1, in double; NULL for a zero vector.
+
+    The length is repeated beside the vector: inside the lambda it would be computed again
+    for every element.
+    """
+    lengths = F.array_repeat(norm(vector), F.size(vector))
+    scaled = F.zip_with(vector, lengths, lambda x, length: x.cast("double") / length)
+    return F.when(has_direction(vector), scaled)
+
+
+def has_direction(vector: Column) -> Column:
+    return F.exists(vector, lambda x: x != 0)

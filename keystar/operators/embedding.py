@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from keystar import constants as K
 from keystar.functions.texts import truncated
-from keystar.functions.vectors import unit
+from keystar.functions.vectors import has_direction
 
 # A factory runs once per Python worker and returns the batch function:
 # texts -> float32 matrix with one row per text.
@@ -54,8 +54,10 @@ def project_2d(df: DataFrame, vector: str, x: str = "umap_x", y: str = "umap_y")
     Each axis points to where its largest weight is positive. Rows without a direction are
     left out.
     """
-    ready = df.withColumn("_unit", unit(F.col(vector))).where("_unit is not null")
-    ready = ready.withColumn("_unit", array_to_vector("_unit"))
+    ready = df.where(has_direction(F.col(vector))).withColumn(
+        "_vector", array_to_vector(F.col(vector).cast("array<double>"))
+    )
+    ready = Normalizer(inputCol="_vector", outputCol="_unit", p=2.0).transform(ready)
     model = PCA(k=2, inputCol="_unit", outputCol="_axes").fit(ready)
     weights = model.pc.toArray()
     flips = [1.0 if w[np.abs(w).argmax()] >= 0 else -1.0 for w in weights.T]

@@ -1,6 +1,6 @@
 """Exact k nearest neighbours by cosine similarity.
 
-Rows are grouped around a bounded set of pivots and packed into blocks of bounded size.
+Copies of one vector are compared once, whatever their number. Distinct vectors are grouped around a bounded set of pivots and packed into blocks of bounded size.
 Blocks, not rows, are paired, and a pair of blocks is compared only where the triangle
 inequality on angles cannot rule it out, so clustered data is far from all-pairs while the
 result stays exact on any data. Spark never sees a row pair: each comparison is one matrix
@@ -9,17 +9,18 @@ product inside a task, which returns the best k per row.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystar import constants as K
-from keystar.operators.ranking import top_n
+from keystar.operators.ranking import nest, top_n
 from keystar.session import stash
 
 # Pivots, and with them everything gathered on the driver, stay below this bound.
@@ -44,27 +45,80 @@ def cosine_topk(
     A row is not its own neighbour; rows without a direction (NULL or zero vectors) neither
     have nor are neighbours. Similarity is rounded to 6 decimals.
     """
-    spark = df.sparkSession
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
-    id_type = rows.schema["id"].dataType
-    n = rows.count()
+    # The k + 1 lowest ids of each group of copies: all that can ever be listed as neighbours.
+    firsts = top_n(_units(rows, with_unit=True), "copy", k + 1, F.asc("id"), rank="place")
+    firsts = stash(
+        firsts.withColumn("rep", F.min("id").over(Window.partitionBy("copy"))), "vector-copies"
+    )
+    distinct = firsts.where("place = 1").select("id", "unit")
+    near = _distinct_topk(distinct, k, block_rows, max_cells)
+    # Per distinct vector: its own copies and those of its neighbours, best k + 1 of them.
+    own = distinct.select("id", F.col("id").alias("neighbor"), F.lit(1.0).alias("similarity"))
+    members = firsts.select(F.col("rep").alias("neighbor"), F.col("id").alias("member"))
+    found = near.unionByName(own).join(members, "neighbor")
+    best = top_n(found, "id", k + 1, F.desc("similarity"), F.asc("member"))
+    lists = nest(best, "id", ["member", "similarity"], "items")
+    heads = firsts.where("place = 1").select("copy", F.col("rep").alias("_rep"))
+    lists = lists.join(heads, F.col("id") == F.col("_rep")).select("copy", "items")
+    # Every copy takes its group's list, less itself.
+    others = F.slice(F.filter("items", lambda x: x["member"] != F.col("id")), 1, k)
+    return (
+        _units(rows, with_unit=False)
+        .join(lists, "copy")
+        .select("id", others.alias("others"))
+        .select("id", F.posexplode("others").alias("pos", "item"))
+        .select(
+            F.col("id").alias(id),
+            F.col("item.member").alias("neighbor"),
+            F.col("item.similarity").alias("similarity"),
+            (F.col("pos") + 1).alias("rank"),
+        )
+    )
+
+
+def _distinct_topk(vectors: DataFrame, k: int, block_rows: int, max_cells: int) -> DataFrame:
+    """(id, neighbor, similarity): best k for each row of (id, unit)."""
+    spark = vectors.sparkSession
+    id_type = vectors.schema["id"].dataType
+    n = vectors.count()
     cells = max(1, min(max_cells, math.ceil(n / block_rows)))
-    pivots = _pivots(rows, cells)
-    assigned = _assign(rows, pivots, id_type)
     if cells == 1:
+        pivots = np.zeros((0, 0))
         sizes = pd.DataFrame({"cell": [0], "rows": [n], "radius": [math.pi]})
+        assigned = _assign(vectors, pivots, id_type)
     else:
+        pivots = _pivots(vectors, cells)
+        assigned = _assign(vectors, pivots, id_type)
         # At most MAX_CELLS rows.
         sizes = assigned.groupBy("cell").agg(
             F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")
         ).toPandas()
     subs = {int(c): max(1, math.ceil(r / block_rows)) for c, r in zip(sizes.cell, sizes.rows)}
     blocks = stash(_pack(assigned, subs, k, id_type), "vector-blocks")
-    pairs = _pairs(spark, blocks, pivots, sizes, subs)
-    best = _compare(blocks, pairs, k, id_type)
-    return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor")).select(
-        F.col("id").alias(id), "neighbor", "similarity", "rank"
-    )
+    best = _compare(blocks, _pairs(spark, blocks, pivots, sizes, subs), k, id_type)
+    return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor")).drop("rank")
+
+
+def _units(rows: DataFrame, with_unit: bool) -> DataFrame:
+    """(id, copy, unit): rows with a direction, a digest of their vector, and it scaled to 1."""
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("copy", T.BinaryType())])
+    if with_unit:
+        schema.add("unit", T.BinaryType())
+
+    def scale(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            unit, usable = _unit_rows(batch["vector"])
+            packed = [row.tobytes() for row in unit]
+            out = pd.DataFrame(
+                {
+                    "id": batch["id"][usable].to_numpy(),
+                    "copy": [hashlib.sha256(data).digest() for data in packed],
+                }
+            )
+            yield out.assign(unit=packed) if with_unit else out
+
+    return rows.mapInPandas(scale, schema)
 
 
 def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -75,46 +129,39 @@ def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return matrix[usable] / norms[usable, None], usable
 
 
-def _pivots(rows: DataFrame, cells: int) -> np.ndarray:
+def _matrix(units: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(units), dtype=np.float64).reshape(len(units), -1)
+
+
+def _pivots(vectors: DataFrame, cells: int) -> np.ndarray:
     """``cells`` unit vectors, chosen by a hash of the id so that any run picks the same."""
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(cells).select("vector").toPandas()
-    if picked.empty:
-        return np.zeros((0, 0))
-    return _unit_rows(picked["vector"])[0]
+    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).select("unit").toPandas()
+    return _matrix(picked["unit"])
 
 
-def _assign(rows: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
-    """Each row with its nearest pivot, the angle to it and its unit vector."""
+def _assign(vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
+    """Each row with its nearest pivot and the angle to it; one cell when there are no pivots."""
+    if not len(pivots):
+        return vectors.withColumn("cell", F.lit(0)).withColumn("angle", F.lit(math.pi))
     schema = T.StructType(
         [
             T.StructField("id", id_type),
+            T.StructField("unit", T.BinaryType()),
             T.StructField("cell", T.IntegerType()),
             T.StructField("angle", T.DoubleType()),
-            T.StructField("unit", T.BinaryType()),
         ]
     )
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            unit, usable = _unit_rows(batch["vector"])
-            if not len(unit):
-                continue
-            if len(pivots):
-                nearness = unit @ pivots.T
-                cell = nearness.argmax(axis=1)
-                angle = np.arccos(np.clip(nearness.max(axis=1), -1.0, 1.0))
-            else:
-                cell, angle = np.zeros(len(unit), int), np.full(len(unit), math.pi)
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"][usable].to_numpy(),
-                    "cell": cell.astype(np.int32),
-                    "angle": angle,
-                    "unit": [row.tobytes() for row in unit],
-                }
-            )
+            if len(batch):
+                nearness = _matrix(batch["unit"]) @ pivots.T
+                yield batch[["id", "unit"]].assign(
+                    cell=nearness.argmax(axis=1).astype(np.int32),
+                    angle=np.arccos(np.clip(nearness.max(axis=1), -1.0, 1.0)),
+                )
 
-    return rows.mapInPandas(assign, schema)
+    return vectors.mapInPandas(assign, schema)
 
 
 def _pack(assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType) -> DataFrame:
@@ -141,7 +188,7 @@ def _pack(assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
-        matrix = np.frombuffer(b"".join(group["unit"]), dtype=np.float64).reshape(len(group), -1)
+        matrix = _matrix(group["unit"])
         floors = _own_floors(matrix, k)
         # The lowest true similarity that could still round up to the k-th best.
         lowest = (floors.min() - 1) / SCALE

@@ -194,10 +194,9 @@ def summarize(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataF
 
 def coverage(left: DataFrame, right: DataFrame, nulls: dict[str, Column]) -> DataFrame:
     """Row counts of two relations and, for the right one, how often each condition holds."""
-    total = left.agg(F.count(F.lit(1)).alias("left_rows"))
     counts = right.agg(
         F.count(F.lit(1)).alias("right_rows"),
         *(F.count_if(condition).alias(name) for name, condition in nulls.items()),
     )
-    # Two one-row aggregates, lined up on a constant key.
-    return total.withColumn("_one", F.lit(1)).join(counts.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    total = left.agg(F.count(F.lit(1)).alias("left_rows"))
+    return counts.withColumn("left_rows", total.scalar()).select("left_rows", *counts.columns)

@@ -58,7 +58,8 @@ def vector_norms(spark: SparkSession, sf: str) -> DataFrame:
         {**STAR_SQL, "topk": _TOPK},
         """SELECT 'P' || t.vec_id AS uniprot_accession, t.rank, p.acc AS accession, p.gene_symbol,
                   p.protein_name, round_even(CAST(t.similarity::FLOAT AS DOUBLE), 3) AS similarity
-           FROM topk t JOIN protein p ON p.acc = 'P' || t.neighbor WHERE t.rank <= 10""",
+           FROM topk t JOIN protein p ON p.acc = 'P' || t.neighbor
+           QUALIFY row_number() OVER (PARTITION BY t.vec_id ORDER BY t.rank) <= 10""",
     ),
 )
 def neighbor_lookup(spark: SparkSession, sf: str) -> DataFrame:
