@@ -46,17 +46,25 @@ def cosine_topk(
     have nor are neighbours. Similarity is rounded to 6 decimals.
     """
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
+    seen = _units(rows, with_unit=False).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("copy").alias("vectors")
+    ).first()
+    if seen["vectors"] == seen["rows"]:
+        # No vector occurs twice: the rows are the distinct vectors.
+        units = _units(rows, with_unit=True).select("id", "unit")
+        near = _distinct_topk(units, seen["rows"], k, block_rows, max_cells)
+        return near.withColumnRenamed("id", id)
     # The k + 1 lowest ids of each group of copies: all that can ever be listed as neighbours.
     firsts = top_n(_units(rows, with_unit=True), "copy", k + 1, F.asc("id"), rank="place")
     firsts = stash(
         firsts.withColumn("rep", F.min("id").over(Window.partitionBy("copy"))), "vector-copies"
     )
     distinct = firsts.where("place = 1").select("id", "unit")
-    near = _distinct_topk(distinct, k, block_rows, max_cells)
+    near = _distinct_topk(distinct, seen["vectors"], k, block_rows, max_cells)
     # Per distinct vector: its own copies and those of its neighbours, best k + 1 of them.
     own = distinct.select("id", F.col("id").alias("neighbor"), F.lit(1.0).alias("similarity"))
     members = firsts.select(F.col("rep").alias("neighbor"), F.col("id").alias("member"))
-    found = near.unionByName(own).join(members, "neighbor")
+    found = near.drop("rank").unionByName(own).join(members, "neighbor")
     best = top_n(found, "id", k + 1, F.desc("similarity"), F.asc("member"))
     lists = nest(best, "id", ["member", "similarity"], "items")
     heads = firsts.where("place = 1").select("copy", F.col("rep").alias("_rep"))
@@ -77,27 +85,48 @@ def cosine_topk(
     )
 
 
-def _distinct_topk(vectors: DataFrame, k: int, block_rows: int, max_cells: int) -> DataFrame:
-    """(id, neighbor, similarity): best k for each row of (id, unit)."""
+def _distinct_topk(
+    vectors: DataFrame, n: int, k: int, block_rows: int, max_cells: int
+) -> DataFrame:
+    """(id, neighbor, similarity, rank): best k for each of the ``n`` rows of (id, unit)."""
     spark = vectors.sparkSession
     id_type = vectors.schema["id"].dataType
-    n = vectors.count()
-    cells = max(1, min(max_cells, math.ceil(n / block_rows)))
-    if cells == 1:
-        pivots = np.zeros((0, 0))
-        sizes = pd.DataFrame({"cell": [0], "rows": [n], "radius": [math.pi]})
-        assigned = _assign(vectors, pivots, id_type)
-    else:
-        pivots = _pivots(vectors, cells)
-        assigned = _assign(vectors, pivots, id_type)
-        # At most MAX_CELLS rows.
-        sizes = assigned.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")
-        ).toPandas()
+    if n <= block_rows:
+        return _one_block(vectors, k, id_type)
+    cells = min(max_cells, math.ceil(n / block_rows))
+    pivots = _pivots(vectors, cells)
+    assigned = _assign(vectors, pivots, id_type)
+    # At most MAX_CELLS rows.
+    sizes = assigned.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")
+    ).toPandas()
     subs = {int(c): max(1, math.ceil(r / block_rows)) for c, r in zip(sizes.cell, sizes.rows)}
     blocks = stash(_pack(assigned, subs, k, id_type), "vector-blocks")
     best = _compare(blocks, _pairs(spark, blocks, pivots, sizes, subs), k, id_type)
-    return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor")).drop("rank")
+    return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor"))
+
+
+def _one_block(vectors: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+    """The same for rows that fit in one block."""
+    schema = T.StructType(
+        [
+            T.StructField("id", id_type),
+            T.StructField("neighbor", id_type),
+            T.StructField("similarity", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ]
+    )
+
+    def rank(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id", kind="stable")
+        ids, matrix = group["id"].to_numpy(), _matrix(group["unit"])
+        scores = _scores(matrix, matrix)
+        np.fill_diagonal(scores, -4 * SCALE)
+        hits = _best(scores, ids, ids, np.full(len(ids), -2 * SCALE), k)
+        hits = hits.sort_values(["id", "similarity", "neighbor"], ascending=[True, False, True])
+        return hits.assign(rank=hits.groupby("id").cumcount() + 1)
+
+    return vectors.groupBy().applyInPandas(rank, schema)
 
 
 def _units(rows: DataFrame, with_unit: bool) -> DataFrame:
@@ -140,9 +169,7 @@ def _pivots(vectors: DataFrame, cells: int) -> np.ndarray:
 
 
 def _assign(vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
-    """Each row with its nearest pivot and the angle to it; one cell when there are no pivots."""
-    if not len(pivots):
-        return vectors.withColumn("cell", F.lit(0)).withColumn("angle", F.lit(math.pi))
+    """Each row with its nearest pivot and the angle to it."""
     schema = T.StructType(
         [
             T.StructField("id", id_type),
@@ -229,15 +256,12 @@ def _pairs(
     subs: dict[int, int],
 ) -> DataFrame:
     """Unordered block pairs that may hold a neighbour of either block, each once."""
-    if len(pivots):
-        gaps = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
-        links = [
-            (int(a), int(b), float(max(0.0, gaps[int(a), int(b)] - radius)), subs[int(b)])
-            for a in sizes.cell
-            for b, radius in zip(sizes.cell, sizes.radius)
-        ]
-    else:
-        links = [(0, 0, 0.0, 1)]
+    gaps = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
+    links = [
+        (int(a), int(b), float(max(0.0, gaps[int(a), int(b)] - radius)), subs[int(b)])
+        for a in sizes.cell
+        for b, radius in zip(sizes.cell, sizes.radius)
+    ]
     # Cells are bounded, so this relation is too: MAX_CELLS squared small rows at most.
     near = spark.createDataFrame(links, "cell int, other int, gap double, subs int")
     seen = (
