@@ -47,9 +47,12 @@ def materialize(
     return count_rows(spark, path), True
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Create or replace a table in one bulk write."""
-    df.write.mode("overwrite").option("compression", "zstd").saveAsTable(table)
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Create or replace a table in one bulk write, at ``path`` when one is given."""
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def write_manifest(spark: SparkSession, path: str, **fields: str) -> None:

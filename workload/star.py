@@ -12,7 +12,8 @@ from keystar.plans import cards, lookup
 from keystar.plans.marts import ANCHOR, amino_acids
 from keystar.plans.tables import Tables
 from keystar.plans.warehouse import build_star
-from keystar.session import stash
+from keystar.session import scratch_path, stash
+from keystar.sources.storage import read_parquet, write_parquet
 from workload import bronze as B
 from workload.registry import query, with_ctes
 
@@ -442,6 +443,25 @@ def map_extract(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.map_extract(served(spark, sf))
 
 
+@query(
+    "S15",
+    sql("""SELECT count(*) AS points, min(e.umap_x) AS min_x, max(e.umap_x) AS max_x,
+                  min(e.umap_y) AS min_y, max(e.umap_y) AS max_y
+           FROM protein JOIN b_embedding e ON e.uniprot_accession = acc"""),
+)
+def map_extract_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The extract as a columnar file, which is what a map reads."""
+    path = scratch_path(spark, "map")
+    write_parquet(lookup.map_extract(served(spark, sf)), path)
+    return read_parquet(spark, path).agg(
+        F.count(F.lit(1)).alias("points"),
+        F.min("umap_x").alias("min_x"),
+        F.max("umap_x").alias("max_x"),
+        F.min("umap_y").alias("min_y"),
+        F.max("umap_y").alias("max_y"),
+    )
+
+
 @query(
     "P22",
     sql("""SELECT CASE WHEN family_group IN ('Receptors', 'Enzymes') THEN family_group

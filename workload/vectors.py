@@ -38,7 +38,7 @@ def cosine_neighbors(spark: SparkSession, sf: str) -> DataFrame:
 @query("Q15 J13", _TOPK)
 def cosine_neighbors_blocked(spark: SparkSession, sf: str) -> DataFrame:
     """The same from many small blocks around many pivots."""
-    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", block_rows=64)
+    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", block_rows=128)
 
 
 @query(
