@@ -94,9 +94,10 @@ def resolve_edges(
 ) -> tuple[DataFrame, Observation]:
     """(resolved edges, observation): edges with an unmapped end are dropped and counted.
 
-    The observation fills ``kept`` and ``unmapped`` when the edges are first written.
+    The observation fills ``kept`` and ``unmapped`` when the edges are first written. A stage
+    that runs again after a lost executor counts its rows again; ``count_edges`` does not.
     """
-    strong = edges if min_score is None else edges.where(F.col(score) >= min_score)
+    strong = _strong(edges, score, min_score)
     seen = Observation("edge_resolution")
     looked_up = with_ends(strong, mapping, a, b).observe(
         seen, F.count_if(~unmapped()).alias("kept"), F.count_if(unmapped()).alias("unmapped")
@@ -107,6 +108,25 @@ def resolve_edges(
     return kept, seen
 
 
+def _strong(edges: DataFrame, score: str, min_score: int | None) -> DataFrame:
+    return edges if min_score is None else edges.where(F.col(score) >= min_score)
+
+
+def count_edges(
+    edges: DataFrame,
+    mapping: DataFrame,
+    a: str = "protein1",
+    b: str = "protein2",
+    score: str = "combined_score",
+    min_score: int | None = None,
+) -> DataFrame:
+    """One row (kept, unmapped) for edges that reach the score."""
+    ends = with_ends(_strong(edges, score, min_score), mapping, a, b)
+    return ends.agg(
+        F.count_if(~unmapped()).alias("kept"), F.count_if(unmapped()).alias("unmapped")
+    )
+
+
 def match_symbols(
     rows: DataFrame, dim: DataFrame, symbol: str = "symbol", dim_symbol: str = "gene_symbol",
     key: str = "uniprot_accession",

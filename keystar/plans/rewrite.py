@@ -12,6 +12,8 @@ from keystar import constants as K
 from keystar.functions.json_text import has_unescaped_quotes, parse_status, parsed_object, string_field
 from keystar.functions.texts import prompt
 from keystar.plans.marts import ANCHOR
+from keystar.session import stash
+from keystar.sources.storage import read_parquet, write_parquet
 
 # Called with a list of prompts, returns one response text (or None) per prompt.
 Caller = Callable[[list[str]], list[str | None]]
@@ -40,7 +42,7 @@ def requests(
 def call_batches(prompts: DataFrame, caller: Caller, batch: int = 10_000) -> DataFrame:
     """(anchor, response): ``caller`` once per chunk of at most ``batch`` prompts.
 
-    Write the result before using it twice: each evaluation calls the service again.
+    Each evaluation calls the service, so write the result before reading it.
     """
 
     def call(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,16 +80,20 @@ def rewrite(
     caller: Caller,
     model_id: str,
     limit: int | None = None,
-    stash: Callable[[DataFrame], DataFrame] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Rewrites of all source rows; rows without text are not sent.
 
-    ``stash`` stores the raw responses and returns them read back.
+    The raw responses are written once, to ``path`` or the scratch folder, so the service is
+    not called again when the result is read; ``rows_to_redo`` can read them there too.
     """
     wanted = requests(source, limit)
     responses = call_batches(wanted.where(F.col("function_raw").isNotNull()), caller)
-    if stash is not None:
-        responses = stash(responses)
+    if path is None:
+        responses = stash(responses, "responses")
+    else:
+        write_parquet(responses, path)
+        responses = read_parquet(source.sparkSession, path)
     return assemble(wanted, parse_responses(responses), model_id)
 
 

@@ -9,6 +9,7 @@ from keystar import constants as K
 from keystar.operators.embedding import ModelFactory, embed, project_2d
 from keystar.operators.neighbors import cosine_topk
 from keystar.plans.marts import ANCHOR
+from keystar.session import stash
 
 
 def fact_embedding(
@@ -16,11 +17,11 @@ def fact_embedding(
 ) -> DataFrame:
     """Embedding, 2-D coordinates and truncation flag per protein with a sequence.
 
-    The projection fits on the embeddings and then applies to them: pass an already written
-    embedding to :func:`assemble_embedding` to run the model only once.
+    The projection reads the embeddings to fit and again to apply, so they are written once
+    and the model runs once per sequence.
     """
     embedded = embed(dim.select(ANCHOR, "sequence"), "sequence", model_factory, batch)
-    return assemble_embedding(embedded, model_version)
+    return assemble_embedding(stash(embedded, "embeddings"), model_version)
 
 
 def assemble_embedding(embedded: DataFrame, model_version: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keystar.plans.marts import amino_acids, build_marts, family_groups
+from keystar.plans.marts import ANCHOR, amino_acids, build_marts, family_groups
 from keystar.plans.staging import build_staging
 from keystar.plans.tables import Tables
 from keystar.sources.storage import bronze_paths, read_parquet, replace_table
@@ -42,10 +42,22 @@ def load_bronze(
     )
 
 
-def write_marts(star: Mapping[str, DataFrame], database: str | None = None) -> list[str]:
-    """Save seeds, dimensions and facts as tables (staging stays views); returns their names."""
+def write_marts(
+    star: Mapping[str, DataFrame], database: str | None = None, buckets: int | None = None
+) -> list[str]:
+    """Save seeds, dimensions and facts as tables (staging stays views); returns their names.
+
+    With ``buckets`` every mart that has the anchor key is stored by it, which lets cards and
+    map extracts read their sides already partitioned.
+    """
     names = sorted(n for n in star if not n.startswith("stg_"))
     tables = [f"{database}.{n}" if database else n for n in names]
     for name, table in zip(names, tables, strict=True):
-        replace_table(star[name], table)
+        mart = name.startswith(("dim_", "fact_")) and ANCHOR in star[name].columns
+        replace_table(star[name], table, key=ANCHOR if mart else None, buckets=buckets)
     return tables
+
+
+def load_tables(spark: SparkSession, names: list[str]) -> Tables:
+    """Saved tables as relations, by their unqualified names."""
+    return Tables({n.rsplit(".", 1)[-1]: (lambda n=n: spark.table(n)) for n in names})

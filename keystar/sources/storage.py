@@ -47,9 +47,23 @@ def materialize(
     return count_rows(spark, path), True
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Create or replace a table in one bulk write, at ``path`` when one is given."""
-    writer = df.write.mode("overwrite").option("compression", "zstd")
+def replace_table(
+    df: DataFrame,
+    table: str,
+    path: str | None = None,
+    key: str | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Create or replace a table in one bulk write, at ``path`` when one is given.
+
+    With ``key`` and ``buckets`` the rows are stored by key, one file per bucket, so joins
+    and windows on the key read them without a shuffle.
+    """
+    bucketed = key is not None and buckets is not None
+    rows = df.repartition(buckets, key) if bucketed else df
+    writer = rows.write.mode("overwrite").option("compression", "zstd")
+    if bucketed:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

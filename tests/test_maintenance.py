@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from keystar.operators.embedding import embed, masked_mean, project_2d
 from keystar.operators.patch import check_patch, member_check, patch_by_key, split_members
 from keystar.plans import rewrite as R
-from keystar.plans.vectors import assemble_embedding, fact_protein_neighbor
+from keystar.plans.vectors import fact_embedding, fact_protein_neighbor
 from keystar.session import scratch_path, scratch_root, stash
 from keystar.sources import storage
 from tests.conftest import rows
@@ -71,9 +71,10 @@ def answer(prompts):
     return [json.dumps({"function_friendly": p.split("\n")[-1].upper(), "tagline": 7}) for p in prompts]
 
 
-def test_rewrites_keep_every_key_and_skip_missing_text(spark):
+def test_rewrites_keep_every_key_and_skip_missing_text(spark, tmp_path):
     source = spark.createDataFrame(SOURCE, SOURCE_SCHEMA).repartition(3)
-    done = R.rewrite(source, answer, "m", stash=lambda df: stash(df, "responses"))
+    done = R.rewrite(source, answer, "m", path=str(tmp_path / "responses"))
+    assert rows(spark.read.parquet(str(tmp_path / "responses")), "uniprot_accession") == [("P1",), ("P4",)]
     assert rows(done, "uniprot_accession", "function_friendly", "tagline", "model_id") == [
         ("P1", "TEXT ONE", None, "m"), ("P2", None, None, "m"), ("P3", None, None, "m"), ("P4", "TEXT FOUR", None, "m"),
     ]
@@ -126,7 +127,7 @@ def test_embedding_relation(spark):
     assert got == {
         "P1": ([1022.0, 1023.0], False), "P2": ([1022.0, 1023.0], True), "P3": ([3.0, 1.0], False), "P5": ([3.0, 3.0], False),
     }
-    fact = assemble_embedding(embedded, "letters")
+    fact = fact_embedding(dim, letters_model, "letters")
     assert fact.columns == [
         "uniprot_accession", "embedding", "umap_x", "umap_y", "model_version", "was_truncated", "computed_at",
     ]

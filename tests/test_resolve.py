@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from keystar.operators.resolve import match_symbols, resolve_edges, resolve_ids
+from keystar.operators.resolve import count_edges, match_symbols, resolve_edges, resolve_ids
 from tests.conftest import rows
 
 H, E, A = "Ensembl_HGNC_uniprot_ids", "Ensembl_UniProt", "UniProt_AC"
@@ -48,6 +48,7 @@ def test_blank_mapping_counts_as_unmapped(spark):
     kept, seen = resolve_edges(edges, mapping, min_score=700)
     assert rows(kept) == [("P1", "P2", 900)]
     assert seen.get == {"kept": 1, "unmapped": 2}
+    assert rows(count_edges(edges, mapping, min_score=700)) == [(1, 2)]
 
 
 def test_symbols_take_the_lowest_key(spark):

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from keystar import schemas
 from keystar.operators import quality as Q
+from keystar.operators.ranking import top_n
 from keystar.plans import checks as C
 from keystar.plans import marts, staging
 from keystar.plans.cards import story_cards
-from keystar.plans.warehouse import build_star, load_bronze, write_marts
+from keystar.plans.warehouse import build_star, load_bronze, load_tables, write_marts
 from keystar.sources import storage
 from tests.conftest import rows
 
@@ -147,8 +149,14 @@ def test_landed_bronze_to_tables(spark, bronze, star, tmp_path):
     tables = write_marts(rebuilt, "star_test")
     assert len(tables) == 11
     assert rows(spark.table("star_test.fact_interaction")) == [("P1", "P2", 900)]
-    write_marts(rebuilt, "star_test")
+    write_marts(rebuilt, "star_test", buckets=4)
     assert spark.table("star_test.dim_protein").count() == 3
+    # Stored by key: the top-N window over the fact needs no shuffle.
+    saved = load_tables(spark, tables)
+    best = top_n(saved["fact_protein_disease"], "uniprot_accession", 5, F.desc("overall_score"), F.asc("efo_id"))
+    assert "Exchange" not in best._jdf.queryExecution().executedPlan().toString()
+    served = story_cards(saved)
+    assert rows(served, "uniprot_accession", F.size("top_diseases")) == [("P1", 2), ("P2", 0), ("P3", 0)]
 
 
 def test_best_group_ignores_unnamed_groups(spark):

@@ -18,7 +18,7 @@ from keystar.operators.dedup import (
 )
 from keystar.operators.patch import check_patch, member_check, patch_by_key, split_members
 from keystar.operators.ranking import flatten_list, nest, top_n
-from keystar.operators.resolve import match_symbols, resolve_edges, resolve_ids, unmapped, with_ends
+from keystar.operators.resolve import count_edges, match_symbols, resolve_edges, resolve_ids
 from keystar.plans.lookup import search
 from keystar.plans.marts import best_group
 from keystar.sources.readers import spread
@@ -228,10 +228,7 @@ def edge_resolve(spark: SparkSession, sf: str) -> DataFrame:
 )
 def edge_resolve_counts(spark: SparkSession, sf: str) -> DataFrame:
     edges, mapping = _edges(spark, sf)
-    ends = with_ends(edges.where("combined_score >= 5"), mapping, "protein1", "protein2")
-    return ends.agg(
-        F.count_if(~unmapped()).alias("kept"), F.count_if(unmapped()).alias("unmapped")
-    )
+    return count_edges(edges, mapping, min_score=5)
 
 
 _SYMBOLS = "SELECT c_custkey, 'Brand#' || (c_custkey % 30) AS symbol FROM customer"

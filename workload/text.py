@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from keystar.functions.json_text import has_unescaped_quotes, parse_status, parsed_object, string_field
 from keystar.functions.texts import prompt
+from keystar.operators.patch import check_patch, patch_by_key
 from keystar.plans import rewrite as R
-from keystar.session import stash
 from workload.bronze import uniprot
 from workload.registry import query, table, with_ctes
 from workload.star import STAR_SQL, star
@@ -112,8 +112,7 @@ def _stand_in(prompts: list[str]) -> list[str]:
 )
 def rewrite_batch(spark: SparkSession, sf: str) -> DataFrame:
     source = star(spark, sf)["stg_uniprot"]
-    done = R.rewrite(source, _stand_in, "stand-in", stash=lambda df: stash(df, "responses"))
-    return done.drop("generated_at")
+    return R.rewrite(source, _stand_in, "stand-in").drop("generated_at")
 
 
 @query(
@@ -162,8 +161,6 @@ def rewrite_redo(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def rewrite_patch(spark: SparkSession, sf: str) -> DataFrame:
-    from keystar.operators.patch import check_patch, patch_by_key
-
     old = star(spark, sf)["stg_llm_rewrites"]
     rings = uniprot(spark, sf).where(F.endswith("protein_name", F.lit("ring"))).select(
         F.col("primary_accession").alias("uniprot_accession")

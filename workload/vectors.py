@@ -14,8 +14,8 @@ from keystar.operators.neighbors import cosine_topk
 from keystar.operators.patch import member_check
 from keystar.operators.quality import coverage
 from keystar.plans.lookup import neighbors_of
-from keystar.plans.vectors import assemble_embedding, fact_protein_neighbor
-from keystar.session import stash
+from keystar.plans.vectors import fact_embedding as embedding_relation
+from keystar.plans.vectors import fact_protein_neighbor
 from keystar.sources.readers import spread
 from workload.bronze import fact_embedding
 from workload.registry import query, table, with_ctes
@@ -150,8 +150,7 @@ def embedding_coverage(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select(
         F.col("doc_id").alias("uniprot_accession"), F.col("text").alias("sequence")
     )
-    embedded = stash(embed(documents, "sequence", stand_in_model), "embedded")
-    fact = assemble_embedding(embedded, "stand-in")
+    fact = embedding_relation(spread(documents), stand_in_model, "stand-in")
     return coverage(
         documents,
         fact,
