@@ -26,6 +26,8 @@ from keystar.session import stash
 # Pivots, and with them everything gathered on the driver, stay below this bound.
 MAX_CELLS = 256
 BLOCK_ROWS = 2048
+PAIRS_PER_TASK = 4
+MAX_TASKS = 20_000
 # Similarities are ranked as integers of this scale: 6 decimals, what float32 can hold.
 SCALE = 1_000_000
 # Room for floating-point error when angles are compared.
@@ -46,21 +48,21 @@ def cosine_topk(
     have nor are neighbours. Similarity is rounded to 6 decimals.
     """
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
-    seen = _units(rows, with_unit=False).agg(
+    seen = _units(rows, with_values=False).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("copy").alias("vectors")
     ).first()
     if seen["vectors"] == seen["rows"]:
         # No vector occurs twice: the rows are the distinct vectors.
-        units = _units(rows, with_unit=True).select("id", "unit")
-        near = _distinct_topk(units, seen["rows"], k, block_rows, max_cells)
+        units = _units(rows, with_values=True).select("id", "raw")
+        near = _distinct_topk(units, seen["rows"], k, block_rows, max_cells, _dtype(rows))
         return near.withColumnRenamed("id", id)
     # The k + 1 lowest ids of each group of copies: all that can ever be listed as neighbours.
-    firsts = top_n(_units(rows, with_unit=True), "copy", k + 1, F.asc("id"), rank="place")
+    firsts = top_n(_units(rows, with_values=True), "copy", k + 1, F.asc("id"), rank="place")
     firsts = stash(
         firsts.withColumn("rep", F.min("id").over(Window.partitionBy("copy"))), "vector-copies"
     )
-    distinct = firsts.where("place = 1").select("id", "unit")
-    near = _distinct_topk(distinct, seen["vectors"], k, block_rows, max_cells)
+    distinct = firsts.where("place = 1").select("id", "raw")
+    near = _distinct_topk(distinct, seen["vectors"], k, block_rows, max_cells, _dtype(rows))
     # Per distinct vector: its own copies and those of its neighbours, best k + 1 of them.
     own = distinct.select("id", F.col("id").alias("neighbor"), F.lit(1.0).alias("similarity"))
     members = firsts.select(F.col("rep").alias("neighbor"), F.col("id").alias("member"))
@@ -72,7 +74,7 @@ def cosine_topk(
     # Every copy takes its group's list, less itself.
     others = F.slice(F.filter("items", lambda x: x["member"] != F.col("id")), 1, k)
     return (
-        _units(rows, with_unit=False)
+        _units(rows, with_values=False)
         .join(lists, "copy")
         .select("id", others.alias("others"))
         .select("id", F.posexplode("others").alias("pos", "item"))
@@ -86,27 +88,33 @@ def cosine_topk(
 
 
 def _distinct_topk(
-    vectors: DataFrame, n: int, k: int, block_rows: int, max_cells: int
+    vectors: DataFrame, n: int, k: int, block_rows: int, max_cells: int, dtype: type
 ) -> DataFrame:
-    """(id, neighbor, similarity, rank): best k for each of the ``n`` rows of (id, unit)."""
+    """(id, neighbor, similarity, rank): best k for each of the ``n`` rows of (id, raw)."""
     spark = vectors.sparkSession
     id_type = vectors.schema["id"].dataType
     if n <= block_rows:
-        return _one_block(vectors, k, id_type)
+        return _one_block(vectors, k, id_type, dtype)
     cells = min(max_cells, math.ceil(n / block_rows))
-    pivots = _pivots(vectors, cells)
-    assigned = _assign(vectors, pivots, id_type)
+    pivots = _pivots(vectors, cells, dtype)
+    assigned = _assign(vectors, pivots, id_type, dtype)
     # At most MAX_CELLS rows.
     sizes = assigned.groupBy("cell").agg(
         F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")
     ).toPandas()
     subs = {int(c): max(1, math.ceil(r / block_rows)) for c, r in zip(sizes.cell, sizes.rows)}
-    blocks = stash(_pack(assigned, subs, k, id_type), "vector-blocks")
-    best = _compare(blocks, _pairs(spark, blocks, pivots, sizes, subs), k, id_type)
+    blocks = stash(_pack(assigned, subs, k, id_type, dtype), "vector-blocks")
+    # A pair is seconds of work, so a task gets a few of them, however few shuffle
+    # partitions the session asks for.
+    ends = sum(subs.values())
+    tasks = min(MAX_TASKS, ends * (ends + 1) // 2 // PAIRS_PER_TASK)
+    tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = _pairs(spark, blocks, pivots, sizes, subs)
+    best = _compare(blocks, pairs, k, id_type, dtype, tasks)
     return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor"))
 
 
-def _one_block(vectors: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+def _one_block(vectors: DataFrame, k: int, id_type: T.DataType, dtype: type) -> DataFrame:
     """The same for rows that fit in one block."""
     schema = T.StructType(
         [
@@ -119,7 +127,8 @@ def _one_block(vectors: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
 
     def rank(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
-        ids, matrix = group["id"].to_numpy(), _matrix(group["unit"])
+        ids = group["id"].to_numpy()
+        matrix = _matrix(b"".join(group["raw"]), len(group), dtype)
         scores = _scores(matrix, matrix)
         np.fill_diagonal(scores, -4 * SCALE)
         hits = _best(scores, ids, ids, np.full(len(ids), -2 * SCALE), k)
@@ -129,51 +138,63 @@ def _one_block(vectors: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
     return vectors.groupBy().applyInPandas(rank, schema)
 
 
-def _units(rows: DataFrame, with_unit: bool) -> DataFrame:
-    """(id, copy, unit): rows with a direction, a digest of their vector, and it scaled to 1."""
+def _units(rows: DataFrame, with_values: bool) -> DataFrame:
+    """(id, copy, raw): rows with a direction, a digest of their unit vector, and their values.
+
+    Values travel as they came, float32 mostly; unit vectors are made where they are used.
+    """
+    dtype = _dtype(rows)
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("copy", T.BinaryType())])
-    if with_unit:
-        schema.add("unit", T.BinaryType())
+    if with_values:
+        schema.add("raw", T.BinaryType())
 
     def scale(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            unit, usable = _unit_rows(batch["vector"])
-            packed = [row.tobytes() for row in unit]
+            raw = np.asarray(batch["vector"].tolist(), dtype=dtype).reshape(len(batch), -1)
+            unit, usable = _scaled(raw)
             out = pd.DataFrame(
                 {
                     "id": batch["id"][usable].to_numpy(),
-                    "copy": [hashlib.sha256(data).digest() for data in packed],
+                    "copy": [hashlib.sha256(row.tobytes()).digest() for row in unit],
                 }
             )
-            yield out.assign(unit=packed) if with_unit else out
+            yield out.assign(raw=[row.tobytes() for row in raw[usable]]) if with_values else out
 
     return rows.mapInPandas(scale, schema)
 
 
-def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+def _scaled(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(unit rows in double, which rows have a direction)."""
-    matrix = np.asarray(vectors.tolist(), dtype=np.float64).reshape(len(vectors), -1)
+    matrix = raw.astype(np.float64)
     norms = np.linalg.norm(matrix, axis=1)
     usable = np.isfinite(norms) & (norms > 0)
     return matrix[usable] / norms[usable, None], usable
 
 
-def _matrix(units: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(units), dtype=np.float64).reshape(len(units), -1)
+def _dtype(rows: DataFrame) -> type:
+    single = rows.schema["vector"].dataType.elementType == T.FloatType()
+    return np.float32 if single else np.float64
+
 
+def _matrix(values: bytes, rows: int, dtype: type) -> np.ndarray:
+    """Unit rows from the concatenated values of ``rows`` vectors."""
+    return _scaled(np.frombuffer(values, dtype=dtype).reshape(rows, -1))[0]
 
-def _pivots(vectors: DataFrame, cells: int) -> np.ndarray:
+
+def _pivots(vectors: DataFrame, cells: int, dtype: type) -> np.ndarray:
     """``cells`` unit vectors, chosen by a hash of the id so that any run picks the same."""
-    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).select("unit").toPandas()
-    return _matrix(picked["unit"])
+    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).select("raw").toPandas()
+    return _matrix(b"".join(picked["raw"]), len(picked), dtype)
 
 
-def _assign(vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> DataFrame:
+def _assign(
+    vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType, dtype: type
+) -> DataFrame:
     """Each row with its nearest pivot and the angle to it."""
     schema = T.StructType(
         [
             T.StructField("id", id_type),
-            T.StructField("unit", T.BinaryType()),
+            T.StructField("raw", T.BinaryType()),
             T.StructField("cell", T.IntegerType()),
             T.StructField("angle", T.DoubleType()),
         ]
@@ -182,8 +203,8 @@ def _assign(vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> Data
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                nearness = _matrix(batch["unit"]) @ pivots.T
-                yield batch[["id", "unit"]].assign(
+                nearness = _matrix(b"".join(batch["raw"]), len(batch), dtype) @ pivots.T
+                yield batch[["id", "raw"]].assign(
                     cell=nearness.argmax(axis=1).astype(np.int32),
                     angle=np.arccos(np.clip(nearness.max(axis=1), -1.0, 1.0)),
                 )
@@ -191,7 +212,9 @@ def _assign(vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType) -> Data
     return vectors.mapInPandas(assign, schema)
 
 
-def _pack(assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType) -> DataFrame:
+def _pack(
+    assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType, dtype: type
+) -> DataFrame:
     """One row per block: its ids in order, its matrix, and how far its rows must look.
 
     A cell is cut into ``subs`` blocks by a hash of the id, so a cell holding most rows is
@@ -215,7 +238,8 @@ def _pack(assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("id", kind="stable")
-        matrix = _matrix(group["unit"])
+        values = b"".join(group["raw"])
+        matrix = _matrix(values, len(group), dtype)
         floors = _own_floors(matrix, k)
         # The lowest true similarity that could still round up to the k-th best.
         lowest = (floors.min() - 1) / SCALE
@@ -227,7 +251,7 @@ def _pack(assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType
                 "reach": [math.acos(max(-1.0, min(1.0, lowest)))],
                 "ids": [group["id"].tolist()],
                 "floors": [floors.tolist()],
-                "matrix": [matrix.tobytes()],
+                "matrix": [values],
             }
         )
 
@@ -274,7 +298,9 @@ def _pairs(
     return seen.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
 
 
-def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+def _compare(
+    blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType, dtype: type, tasks: int
+) -> DataFrame:
     """Best k of each row of one block within the other, both ways, as (id, neighbor, similarity)."""
 
     def side(end: str) -> DataFrame:
@@ -283,7 +309,7 @@ def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -
         joined = pairs.join(packed, F.col(end) == F.col("key"))
         return joined.select(
             F.col("a").alias(f"a_{end}"), F.col("b").alias(f"b_{end}"), "ids", "floors", "matrix"
-        )
+        ).repartition(tasks, f"a_{end}", f"b_{end}")
 
     schema = T.StructType(
         [
@@ -298,9 +324,9 @@ def _compare(blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType) -
             return _hits([], [], [])
         a, b = one.iloc[0], two.iloc[0]
         ids_a, ids_b = np.asarray(a["ids"]), np.asarray(b["ids"])
-        left_m = np.frombuffer(a["matrix"], dtype=np.float64).reshape(len(ids_a), -1)
-        right_m = np.frombuffer(b["matrix"], dtype=np.float64).reshape(len(ids_b), -1)
-        scores = _scores(left_m, right_m)
+        scores = _scores(
+            _matrix(a["matrix"], len(ids_a), dtype), _matrix(b["matrix"], len(ids_b), dtype)
+        )
         if a["a_a"] == a["b_a"]:
             np.fill_diagonal(scores, -4 * SCALE)
             return _best(scores, ids_a, ids_b, np.asarray(a["floors"]), k)
