@@ -358,17 +358,3 @@ def _best(
 
 def _hits(ids: object, neighbors: object, similarity: object) -> pd.DataFrame:
     return pd.DataFrame({"id": ids, "neighbor": neighbors, "similarity": similarity})
-
-
-def neighbors_by_pairs(df: DataFrame, id: str, vector: str, k: int) -> DataFrame:
-    """The same result from every row pair; for checking small data only."""
-    from keystar.functions.vectors import cosine
-
-    left = df.select(F.col(id).alias("id"), F.col(vector).alias("_v"))
-    right = df.select(F.col(id).alias("neighbor"), F.col(vector).alias("_w"))
-    scored = left.join(right, F.col("id") != F.col("neighbor")).select(
-        "id", "neighbor", F.round(cosine(F.col("_v"), F.col("_w")), 6).alias("similarity")
-    )
-    return top_n(
-        scored.where("similarity is not null"), "id", k, F.desc("similarity"), F.asc("neighbor")
-    )
