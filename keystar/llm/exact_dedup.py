@@ -18,6 +18,8 @@ from keystar.session import stash
 
 #: Snapshot digests in one filter; the number of buckets follows the snapshot's size.
 BUCKET_ROWS = 100_000
+#: Slots a shared digest may fall into when texts are fetched; bounds what is broadcast.
+SLOTS = 1 << 20
 
 FILTER = "bucket int, seed int, segment int, segments int, slots binary"
 
@@ -104,16 +106,20 @@ def dedup(
     snapshot = stash(_groups(rows.where("old")), "snapshot")
     merged = merge_batch(snapshot, _groups(rows.where("NOT old")))
     shared = stash(merged.where("n > 1").select("digest"), "shared")
+    # Which of a fixed number of slots have a shared digest: keeps most other texts from moving.
+    slot = F.pmod(_key(), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(shared.select(slot).distinct())
 
     # Bytes are compared among rows with a common digest only.
     whole = docs.select(
         own, F.coalesce(text, F.lit("")).alias("text"), _digest(text).alias("digest")
     )
-    copies = stash(whole.join(shared, "digest"), "copies")
+    near = whole.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
+    copies = stash(near.join(shared.hint("merge"), "digest"), "copies")
     equal = copies.groupBy("digest", "text").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
     )
-    grouped = copies.join(equal, ["digest", "text"]).select(
+    grouped = copies.join(equal.hint("merge"), ["digest", "text"]).select(
         "doc_id", "digest", "keep_id", "group_size"
     )
     single = rows.join(shared, "digest", "left_anti").select(
