@@ -12,10 +12,12 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keystar.llm.common import record, rows_of
+
 # The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -109,7 +111,7 @@ def format_log(events: DataFrame, trained: str = "assistant") -> DataFrame:
     events give no rows.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, current, position = Fold(), object(), 0
         out: list[tuple] = []
 
@@ -120,29 +122,28 @@ def format_log(events: DataFrame, trained: str = "assistant") -> DataFrame:
                 position += 1
             state.messages.clear()
 
-        for frame in frames:
-            for conv, _, _, turn, kind, role, text in frame.itertuples(index=False):
-                conv = None if pd.isna(conv) else int(conv)
+        for batch in batches:
+            for conv, _, _, turn, kind, role, text in rows_of(batch):
                 if conv != current:
                     flush()
                     current, position = conv, 0
                 if kind == "settle":
                     flush()
                 else:
-                    state.take(-1 if pd.isna(turn) else int(turn), kind, role or "", text or "")
+                    state.take(-1 if turn is None else turn, kind, role or "", text or "")
             if out:
-                yield pd.DataFrame(out, columns=_names(SEGMENTS))
+                yield record(SEGMENTS, out)
                 out.clear()
         flush()
         if out:
-            yield pd.DataFrame(out, columns=_names(SEGMENTS))
+            yield record(SEGMENTS, out)
 
     ordered = (
         events.select(*_names(EVENTS))
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "seq", "part")
     )
-    return ordered.mapInPandas(run, SEGMENTS)
+    return ordered.mapInArrow(run, SEGMENTS)
 
 
 def _names(schema: str) -> list[str]:
@@ -156,13 +157,11 @@ def read_back(segments: DataFrame) -> DataFrame:
     so no conversation is held whole.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = object(), None
-        for frame in frames:
+        for batch in batches:
             out = []
-            rows = frame.itertuples(index=False)
-            for conv, _, _, segment, mask_at, mask_end in rows:
-                conv = None if pd.isna(conv) else int(conv)
+            for conv, _, _, segment, mask_at, mask_end in rows_of(batch):
                 if state is None or conv != current:
                     if state is not None:
                         out.append(_digest(current, state))
@@ -171,16 +170,16 @@ def read_back(segments: DataFrame) -> DataFrame:
                 role, text = parse(segment)
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
-                if not pd.isna(mask_at):
-                    loss = unescape(segment[int(mask_at) : int(mask_end)])
+                if mask_at is not None:
+                    loss = unescape(segment[mask_at:mask_end])
                     state[2] += len(loss)
                     state[3].update(loss.encode())
                 state[4] += len(segment)
-            yield pd.DataFrame(out, columns=_names(DIGESTS))
+            yield record(DIGESTS, out)
         if state is not None:
-            yield pd.DataFrame([_digest(current, state)], columns=_names(DIGESTS))
+            yield record(DIGESTS, [_digest(current, state)])
 
-    return segments.mapInPandas(run, DIGESTS)
+    return segments.mapInArrow(run, DIGESTS)
 
 
 def _digest(conv: int | None, state: list) -> tuple:
@@ -195,12 +194,11 @@ def message_log(messages: DataFrame) -> DataFrame:
     by turn, then role, then text (nulls first), so that repeated turns have a defined order.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         previous, seq = object(), 0
-        for frame in frames:
+        for batch in batches:
             out = []
-            for conv, role, text in frame.itertuples(index=False):
-                conv = None if pd.isna(conv) else int(conv)
+            for conv, role, text in rows_of(batch):
                 seq = seq + 1 if conv == previous else 0
                 previous = conv
                 body = text or ""
@@ -208,7 +206,7 @@ def message_log(messages: DataFrame) -> DataFrame:
                 kinds = [("open", None), *(("delta", p) for p in pieces), ("settle", None)]
                 for part, (kind, piece) in enumerate(kinds):
                     out.append((conv, seq, part, seq, kind, role, piece))
-            yield pd.DataFrame(out, columns=_names(EVENTS))
+            yield record(EVENTS, out)
 
     rows = messages.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -217,7 +215,7 @@ def message_log(messages: DataFrame) -> DataFrame:
         "text",
     )
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInPandas(run, EVENTS)
+    return ordered.select("conv_id", "role", "text").mapInArrow(run, EVENTS)
 
 
 def with_rows(messages: DataFrame, extra: Iterable[tuple]) -> DataFrame:

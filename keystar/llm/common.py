@@ -34,6 +34,29 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator
             yield batch.slice(start, rows)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Plain Python rows; longs stay exact beside nulls."""
+    return zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+ARROW_TYPES = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "boolean": pa.bool_(),
+}
+
+
+def record(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows as a batch of a flat schema such as ``a long, b string``."""
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    arrays = [pa.array(c, ARROW_TYPES[t]) for c, (_, t) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives as long as the Python worker.
 

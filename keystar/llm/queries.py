@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystar.llm import chat
 from keystar.llm.common import table
 from keystar.llm.exact_dedup import dedup
+from keystar.llm.packing import pack
 from keystar.llm.simhash import near_groups
 from keystar.llm.topk import top_k
+from keystar.llm.toxicity import score_documents
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +22,11 @@ Run = Callable[[SparkSession, str], DataFrame]
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer file is installed."""
+    return public_tokenizers.path(name)
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_groups(table(spark, sf_dir, "documents"))
@@ -48,11 +56,23 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in training sequences."""
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction of every document."""
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_exact_top_k": op5_exact_top_k,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
