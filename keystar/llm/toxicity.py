@@ -12,6 +12,7 @@ slots, so their size does not depend on the corpus.
 from __future__ import annotations
 
 import string
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -204,23 +205,37 @@ def evidence_of(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.stack([*columns, np.log(n)], axis=1)
 
 
-def _evidence(model: Callable[[], Tables], name: str, toxic: str, ordinary: str) -> Callable:
+def packed_tables(tables: Tables) -> dict[tuple, bytes]:
+    """Mostly empty tables take a fraction of their size while they travel."""
+    return {k: zlib.compress(v.tobytes(), 1) for k, v in tables.items()}
+
+
+def unpacked_tables(sent: dict[tuple, bytes]) -> Tables:
+    return {k: np.frombuffer(zlib.decompress(v), dtype=np.float32) for k, v in sent.items()}
+
+
+def _evidence(
+    sent: Callable[[], dict[tuple, bytes]], name: str, toxic: str, ordinary: str
+) -> Callable:
     """Batch function: rows (doc_id, held_out, toxic, text) with the features of the text."""
 
-    def remembered() -> dict[str, float]:
-        known = worker_store("toxicity")
-        if known.get(None) != name or len(known) > WORDS:
+    def remembered() -> tuple[Tables, dict[str, float]]:
+        store = worker_store("toxicity")
+        if name not in store:
+            store.clear()
+            store[name] = unpacked_tables(sent()), {}
+        tables, known = store[name]
+        if len(known) > WORDS:
             known.clear()
-            known[None] = name
-        return known
+        return tables, known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            known = remembered()
+            tables, known = remembered()
             documents = [x.lower().split() for x in texts(batch.column(3))]
             new = list(set().union(*documents) - known.keys())
             parts = [words_of(x) for x in new]
-            ratios = word_log_ratios([w for p in parts for w in p], model(), toxic, ordinary)
+            ratios = word_log_ratios([w for p in parts for w in p], tables, toxic, ordinary)
             owner = np.repeat(np.arange(len(new)), [len(p) for p in parts])
             known.update(zip(new, np.bincount(owner, ratios, len(new)).tolist(), strict=True))
             sizes = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
@@ -304,7 +319,7 @@ def score_documents(
 
     def evidence(frame: DataFrame, toxic: str, ordinary: str) -> DataFrame:
         used = {k: v for k, v in tables.items() if k[2] in ("n_all", toxic, ordinary)}
-        sent = spark.sparkContext.broadcast(used)
+        sent = spark.sparkContext.broadcast(packed_tables(used))
         run = _evidence(lambda: sent.value, uuid4().hex, toxic, ordinary)
         columns = ["doc_id", "held_out", F.col("toxic").cast("int"), "text"]
         schema = "doc_id long, held_out boolean, toxic int"
