@@ -201,7 +201,7 @@ def pack_shards(items: DataFrame, capacity: int) -> DataFrame:
     def run(first: bool):
         return lambda names, frame: _epoch(names, frame, capacity, first)
 
-    islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).cast("int")
+    islands = F.explode(F.array(*(F.lit(i) for i in range(ISLANDS))))
     state = items.select("shard", islands.alias("island"), "row", "length", "bin")
     for epoch in range(EPOCHS):
         own = state.withColumn("guest", F.lit(False))
