@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from keystar.llm import chat
 from keystar.llm.common import table
 from keystar.llm.exact_dedup import dedup
+from keystar.llm.html_text import extract
 from keystar.llm.packing import pack
 from keystar.llm.simhash import near_groups
 from keystar.llm.topk import top_k
@@ -56,6 +57,11 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in training sequences."""
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Run] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_exact_top_k": op5_exact_top_k,
+    "op7_html_extraction": op7_html_extraction,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
