@@ -45,7 +45,7 @@ RIDGE = 1e-3
 
 #: Sides and sizes of the excess ratios, in nats, that make a document's features.
 MARGINS = ((1, 2.0), (1, 4.0), (1, 6.0), (-1, 0.0), (-1, 2.0), (-1, 4.0))
-FEATURES = [f"e{i}" for i in range(len(MARGINS) + 1)]
+FEATURES = [f"e{i}" for i in range(len(MARGINS))]
 FLOOR = 1e-3
 
 PAD, END = 1, 2
@@ -193,7 +193,7 @@ def evidence_of(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Features of documents whose words' log ratios stand one after the other.
 
     Per document the length-normalised excess of the ratios over each margin, toxic and
-    ordinary, on a log scale, and the log of the length. Margins keep the small, steady ratios
+    ordinary, on a log scale. Margins keep the small, steady ratios
     of a language or topic from drowning the few expressions that tell.
     """
     n = np.maximum(sizes, 1)
@@ -202,7 +202,7 @@ def evidence_of(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         np.log(FLOOR + np.bincount(owner, np.maximum(sign * ratios - margin, 0), len(sizes)) / n)
         for sign, margin in MARGINS
     ]
-    return np.stack([*columns, np.log(n)], axis=1)
+    return np.stack(columns, axis=1)
 
 
 def packed_tables(tables: Tables) -> dict[tuple, bytes]:
@@ -332,7 +332,10 @@ def score_documents(
     scored = evidence(rows.withColumn("toxic", F.lit(None)), "t", "o")
     line = F.lit(offset)
     for name, weight in zip(FEATURES, weights.tolist(), strict=True):
-        line = line + F.col(name) * F.lit(weight)
+        # The curve is not extended beyond what it was placed on.
+        low, high = (float(x) for x in (seen[name].min(), seen[name].max()))
+        held = F.greatest(F.lit(low), F.least(F.lit(high), F.col(name))) if len(seen) else F.lit(0.0)
+        line = line + held * F.lit(weight)
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), line))))
     return scored.select(
         "doc_id", "held_out", score.alias("score"),
