@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keystar.llm import chat
+from keystar.llm import chat, piece_index, warc
 from keystar.llm.common import table
 from keystar.llm.exact_dedup import dedup
 from keystar.llm.html_text import extract
 from keystar.llm.packing import pack
 from keystar.llm.simhash import near_groups
+from keystar.llm.token_edit import count_edited
 from keystar.llm.topk import top_k
 from keystar.llm.toxicity import score_documents
 
@@ -23,6 +24,10 @@ Run = Callable[[SparkSession, str], DataFrame]
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+# Edits of every document: where, in hundredths of its length, how much goes, what comes.
+EDITS = ((75, 40, ""), (50, 12, " a corrected passage,\n"), (25, 0, "inserted words 2024"), (0, 1, "Le"))
+
+
 def vocabulary(name: str) -> str:
     """Where a public tokenizer file is installed."""
     return public_tokenizers.path(name)
@@ -51,12 +56,42 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), F.xxhash64("doc_id") > 0)
 
 
+def op4_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after the same few edits."""
+    n = F.length(F.coalesce("text", F.lit("")))
+    at = [(F.floor(n * share / 100).cast("int"), cut, new) for share, cut, new in EDITS]
+    edits = F.array(
+        *(F.struct(a.alias("start"), (a + c).alias("end"), F.lit(t).alias("new")) for a, c, t in at)
+    )
+    return count_edited(table(spark, sf_dir, "documents"), edits, vocabulary("byte_bpe_50k.json"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products of every fiftieth vector against all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors.where("vec_id % 50 = 0"), vectors, 5)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives its text again."""
+    path = vocabulary("piece_bpe_32k.model")
+    # The mark that stands for a space is decoded to one.
+    spaced = F.translate(F.coalesce("text", F.lit("")), piece_index.MARK, " ")
+    docs = table(spark, sf_dir, "documents").select("doc_id", spaced.alias("text"))
+    decoded = piece_index.decode(piece_index.encode(docs, path), path)
+    found = decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids_crc32",
+        F.sha2("text", 256).alias("digest"),
+    )
+    texts = docs.select(F.col("doc_id").alias("own"), F.sha2("text", 256).alias("want")).distinct()
+    same = (found.doc_id == texts.own) & (found.digest == texts.want)
+    return found.join(texts, same, "left").select(
+        "doc_id", "n_ids", "ids_crc32", F.col("want").isNotNull().alias("round_trip")
+    )
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract(table(spark, sf_dir, "pages"))
@@ -67,6 +102,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the derivative records of every page's response say when they are read back."""
+    return warc.described(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and prediction of every document."""
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -76,9 +116,12 @@ QUERIES: dict[str, Run] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_edited_token_counts": op4_edited_token_counts,
     "op5_exact_top_k": op5_exact_top_k,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_html_extraction": op7_html_extraction,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_warc_derivatives": op9_warc_derivatives,
     "op10_toxicity": op10_toxicity,
 }
 
