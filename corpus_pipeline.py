@@ -1,18 +1,76 @@
-"""Documents to packed training sequences, one dealt operator per stage."""
+"""Documents to packed training sequences, one operator of ``keystar.llm`` per stage.
+
+Every stage takes all that its predecessor kept. The first three return rows of ``documents``;
+the last returns where each piece of the documents that are left stands in a sequence.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from keystar.llm.exact_dedup import dedup
+from keystar.llm.packing import pack
+from keystar.llm.simhash import near_groups
+from keystar.llm.toxicity import without_toxic
 from keystar.session import stash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _name() -> Column:
+    """The id of a row, or a negative number from its text where it has none."""
+    own = -F.abs(F.xxhash64("text") % (1 << 61)) - 1
+    return F.coalesce(F.col("doc_id").cast("long"), own)
+
+
+def _one_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``name`` in ``chosen``; repeated rows share a name."""
+    counted = docs.withColumn("name", _name()).join(chosen.distinct(), "name")
+    again = docs.select(_name().alias("name")).groupBy("name").count().where("count > 1")
+    single = counted.join(again, "name", "left_anti")
+    order = Window.partitionBy("name").orderBy("text")
+    several = counted.join(again.select("name"), "name", "left_semi")
+    first = several.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
+    return single.unionByName(first).select(*docs.columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the largest doc_id stays."""
+    named = docs.select(_name().alias("doc_id"), "text")
+    groups = dedup(named, F.xxhash64("doc_id") > 0)
+    return _one_each(docs, groups.where("kept").select(F.col("doc_id").alias("name")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest doc_id stays."""
+    groups = near_groups(docs.select(_name().alias("doc_id"), "text"))
+    return _one_each(docs, groups.select(F.col("component_id").alias("name")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that are left, placed in training sequences."""
+    return pack(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
+]
 
-# Scores, fingerprints and packing have no SQL; tests compare with brute force.
+# Scores, fingerprints and packings have no SQL; a test runs the stages by brute force.
 ORACLE_SQL: str | None = None
 
 
@@ -21,4 +79,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

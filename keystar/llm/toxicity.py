@@ -15,6 +15,7 @@ import string
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import chain
 from uuid import uuid4
 
@@ -23,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keystar.llm.common import slices, texts, worker_store
 from keystar.session import stash
@@ -42,6 +44,8 @@ WORD_CHARS = 256
 #: Distinct words a task counts, or a worker remembers, before it starts anew.
 WORDS = 400_000
 RIDGE = 1e-3
+#: A document that scores this much is toxic.
+THRESHOLD = 0.7
 
 #: Sides and sizes of the excess ratios, in nats, that make a document's features.
 MARGINS = ((1, 2.0), (1, 4.0), (1, 6.0), (-1, 0.0), (-1, 2.0), (-1, 4.0))
@@ -217,7 +221,7 @@ def unpacked_tables(sent: dict[tuple, bytes]) -> Tables:
 def _evidence(
     sent: Callable[[], dict[tuple, bytes]], name: str, toxic: str, ordinary: str
 ) -> Callable:
-    """Batch function: rows (doc_id, held_out, toxic, text) with the features of the text."""
+    """Batch function: rows (row, text) to rows with the features of the text."""
 
     def remembered() -> tuple[Tables, dict[str, float]]:
         store = worker_store("toxicity")
@@ -232,7 +236,7 @@ def _evidence(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             tables, known = remembered()
-            documents = [x.lower().split() for x in texts(batch.column(3))]
+            documents = [x.lower().split() for x in texts(batch.column(1))]
             new = list(set().union(*documents) - known.keys())
             parts = [words_of(x) for x in new]
             ratios = word_log_ratios([w for p in parts for w in p], tables, toxic, ordinary)
@@ -241,10 +245,9 @@ def _evidence(
             sizes = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
             flat = map(known.__getitem__, chain.from_iterable(documents))
             found = evidence_of(np.fromiter(flat, dtype=np.float64, count=sizes.sum()), sizes)
-            columns = [batch.column(i) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [*columns, *(pa.array(found[:, i]) for i in range(len(FEATURES)))],
-                names=["doc_id", "held_out", "toxic", *FEATURES],
+                [batch.column(0), *(pa.array(found[:, i]) for i in range(len(FEATURES)))],
+                names=["row", *FEATURES],
             )
 
     return run
@@ -272,41 +275,79 @@ def fit_curve(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, floa
     return own, float(weights[-1] - own @ centre)
 
 
-def score_documents(
+@dataclass(frozen=True)
+class Curve:
+    """Weights of the features, each held to the range the curve was placed on."""
+
+    weights: list[float]
+    offset: float
+    ranges: list[tuple[float, float]]
+
+    def score(self) -> Column:
+        line = F.lit(self.offset)
+        for name, weight, (low, high) in zip(FEATURES, self.weights, self.ranges, strict=True):
+            held = F.greatest(F.lit(low), F.least(F.lit(high), F.col(name)))
+            line = line + held * F.lit(weight)
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), line))))
+
+
+@dataclass(frozen=True)
+class Model:
+    tables: Tables
+    curve: Curve | None = None
+
+    def evidence(self, rows: DataFrame, toxic: str, ordinary: str) -> DataFrame:
+        """(row, features) of rows (row, text); all columns of ``row`` are carried along."""
+        used = {k: v for k, v in self.tables.items() if k[2] in ("n_all", toxic, ordinary)}
+        sent = rows.sparkSession.sparkContext.broadcast(packed_tables(used))
+        run = _evidence(lambda: sent.value, uuid4().hex, toxic, ordinary)
+        fields = [T.StructField(name, T.DoubleType()) for name in FEATURES]
+        schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *fields])
+        return rows.select("row", "text").mapInArrow(run, schema)
+
+    def score_rows(self, rows: DataFrame) -> DataFrame:
+        """(row, score) of rows (row, text)."""
+        return self.evidence(rows, "t", "o").select("row", self.curve.score().alias("score"))
+
+
+def _fold(key: Column) -> Column:
+    """The crc32 of the id as text modulo 3; rows without an id count as the empty text."""
+    text = F.coalesce(key.cast("long").cast("string"), F.lit(""))
+    return (F.crc32(text.cast("binary")) % 3).cast("int")
+
+
+def _held_out(key: Column) -> Column:
+    return key.isNotNull() & (_fold(key) == 1)
+
+
+def fit(
     docs: DataFrame,
     labels: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     label_rows: int = LABEL_ROWS,
-    threshold: float = 0.7,
-) -> DataFrame:
-    """(doc_id, held_out, score, predicted), one row per input row.
+) -> Model:
+    """Models of both classes, and the curve that turns their evidence into a score.
 
     Labels are read from rows whose crc32 of the id as text leaves no remainder of 1 modulo 3.
     Remainder 0 gives the counts of a first pair of models, remainder 2 places the logistic
     curve on their evidence; the final models count both. Shared counts read every document.
-    Null and blank texts have no evidence. Rows without an id are scored and not held out; a
-    repeated label counts once, as toxic if any of its rows says so; null labels are no labels.
-    Without labels of both classes every score is the base rate, 0.01 without any. Empty
-    tables give no rows.
+    A repeated label counts once, as toxic if any of its rows says so; null labels are none.
     """
-    spark = docs.sparkSession
-    own = F.col(key).cast("long")
-    rest = F.crc32(F.coalesce(own.cast("string"), F.lit("")).cast("binary")) % 3
-    given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").dropna()
-    given = given.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    given = labels.select(F.col("doc_id").cast("long").alias("id"), "toxic").dropna()
+    given = given.groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     share = min(1.0, label_rows / max(1, given.count()))
     million = 1_000_000
-    chosen = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < int(share * million))
-    held_out = F.when(own.isNull(), False).otherwise(rest == 1)
+    chosen = given.where(F.pmod(F.xxhash64("id"), F.lit(million)) < int(share * million))
+    own = F.col(key).cast("long")
     rows = docs.select(
-        own.alias("doc_id"), held_out.alias("held_out"), rest.alias("fold"),
+        own.alias("id"), _fold(own).alias("fold"), _held_out(own).alias("held_out"),
         F.col(text).alias("text"),
     )
     # At most LABEL_ROWS ids and flags in expectation, whatever the size of the corpus.
-    marked = rows.join(F.broadcast(chosen), "doc_id", "left")
+    marked = rows.join(F.broadcast(chosen), "id", "left")
     usable = F.when(~F.col("held_out"), F.col("toxic"))
-    words = marked.select("text", F.col("fold").cast("int"), usable.alias("toxic")).mapInArrow(
+    words = marked.select("text", "fold", usable.alias("toxic")).mapInArrow(
         _count_words, "word string, n_all long, t0 long, o0 long, t2 long, o2 long"
     )
     sums = [F.sum(c).alias(c) for c in ("n_all", "t0", "o0", "t2", "o2")]
@@ -317,27 +358,41 @@ def score_documents(
             grams = stash(_shorter(grams, order), "grams")
         tables |= _tables(grams, order)
 
-    def evidence(frame: DataFrame, toxic: str, ordinary: str) -> DataFrame:
-        used = {k: v for k, v in tables.items() if k[2] in ("n_all", toxic, ordinary)}
-        sent = spark.sparkContext.broadcast(packed_tables(used))
-        run = _evidence(lambda: sent.value, uuid4().hex, toxic, ordinary)
-        columns = ["doc_id", "held_out", F.col("toxic").cast("int"), "text"]
-        schema = "doc_id long, held_out boolean, toxic int"
-        schema += "".join(f", {name} double" for name in FEATURES)
-        return frame.select(*columns).mapInArrow(run, schema)
-
     placing = marked.where("fold = 2 AND toxic IS NOT NULL AND NOT held_out")
-    seen = evidence(placing, "t0", "o0").select("toxic", *FEATURES).toPandas()
+    rows = placing.select(F.struct("toxic").alias("row"), "text")
+    seen = Model(tables).evidence(rows, "t0", "o0").select("row.toxic", *FEATURES).toPandas()
     weights, offset = fit_curve(seen[FEATURES].to_numpy(), seen["toxic"].to_numpy())
-    scored = evidence(rows.withColumn("toxic", F.lit(None)), "t", "o")
-    line = F.lit(offset)
-    for name, weight in zip(FEATURES, weights.tolist(), strict=True):
-        # The curve is not extended beyond what it was placed on.
-        low, high = (float(x) for x in (seen[name].min(), seen[name].max()))
-        held = F.greatest(F.lit(low), F.least(F.lit(high), F.col(name))) if len(seen) else F.lit(0.0)
-        line = line + held * F.lit(weight)
-    score = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), line))))
+    ends = [(float(seen[x].min()), float(seen[x].max())) for x in FEATURES if len(seen)]
+    return Model(tables, Curve(weights.tolist(), offset, ends or [(0.0, 0.0)] * len(FEATURES)))
+
+
+def score_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label_rows: int = LABEL_ROWS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """(doc_id, held_out, score, predicted), one row per input row; see ``fit``.
+
+    Null and blank texts have no evidence. Rows without an id are scored and not held out.
+    Without labels of both classes every score is the base rate, 0.01 without any. Empty
+    tables give no rows.
+    """
+    own = F.col(key).cast("long").alias("doc_id")
+    model = fit(docs, labels, key, text, label_rows)
+    rows = docs.select(F.struct(own).alias("row"), F.col(text).alias("text"))
+    scored = model.score_rows(rows)
+    doc_id = F.col("row.doc_id")
     return scored.select(
-        "doc_id", "held_out", score.alias("score"),
-        (score >= threshold).cast("int").alias("predicted"),
+        doc_id.alias("doc_id"), _held_out(doc_id).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below the threshold."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    scored = fit(docs, labels).score_rows(rows)
+    return scored.where(F.col("score") < threshold).select("row.*")
