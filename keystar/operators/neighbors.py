@@ -1,37 +1,33 @@
 """Exact k nearest neighbours by cosine similarity.
 
-Copies of one vector are compared once, whatever their number. Distinct vectors are grouped around a bounded set of pivots and packed into blocks of bounded size.
-Blocks, not rows, are paired, and a pair of blocks is compared only where the triangle
-inequality on angles cannot rule it out, so clustered data is far from all-pairs while the
-result stays exact on any data. Spark never sees a row pair: each comparison is one matrix
-product inside a task, which returns the best k per row.
+Rows are dealt by a hash of their id into g strips, and the pairs of strips are the tasks: a
+row travels to g of the g²/2 tasks, so what is shuffled grows with the rows times the root of
+the tasks. A task multiplies its two strips block by block and keeps a running best k for every
+row of either, so Spark never sees a row pair. The work is that of all products, halved by
+their symmetry: the price of an exact answer on data without structure.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keystar import constants as K
-from keystar.operators.ranking import nest, top_n
+from keystar.functions.vectors import has_direction
+from keystar.operators.ranking import top_n
 from keystar.session import stash
 
-# Pivots, and with them everything gathered on the driver, stay below this bound.
-MAX_CELLS = 256
-BLOCK_ROWS = 2048
-PAIRS_PER_TASK = 4
-MAX_TASKS = 20_000
+# Bytes of one strip; a task holds two, in double precision.
+STRIP_BYTES = 64 << 20
+# Rows of one side of a matrix product inside a task.
+BLOCK_ROWS = 1024
 # Similarities are ranked as integers of this scale: 6 decimals, what float32 can hold.
 SCALE = 1_000_000
-# Room for floating-point error when angles are compared.
-SLACK = 1e-6
 
 
 def cosine_topk(
@@ -39,322 +35,154 @@ def cosine_topk(
     id: str,
     vector: str,
     k: int = K.NEIGHBOR_K,
-    block_rows: int = BLOCK_ROWS,
-    max_cells: int = MAX_CELLS,
+    strip_rows: int | None = None,
 ) -> DataFrame:
     """(id, neighbor, similarity, rank 1..k), best first, ties by neighbour id.
 
-    A row is not its own neighbour; rows without a direction (NULL or zero vectors) neither
-    have nor are neighbours. Similarity is rounded to 6 decimals.
+    A row is not its own neighbour; rows without a direction (NULL, zero or not finite) neither
+    have nor are neighbours. Similarity is rounded to 6 decimals. ``strip_rows`` sets the rows
+    of a strip instead of ``STRIP_BYTES``.
     """
-    rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).where("vector is not null")
-    seen = _units(rows, with_values=False).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("copy").alias("vectors")
-    ).first()
-    if seen["vectors"] == seen["rows"]:
-        # No vector occurs twice: the rows are the distinct vectors.
-        units = _units(rows, with_values=True).select("id", "raw")
-        near = _distinct_topk(units, seen["rows"], k, block_rows, max_cells, _dtype(rows))
-        return near.withColumnRenamed("id", id)
-    # The k + 1 lowest ids of each group of copies: all that can ever be listed as neighbours.
-    firsts = top_n(_units(rows, with_values=True), "copy", k + 1, F.asc("id"), rank="place")
-    firsts = stash(
-        firsts.withColumn("rep", F.min("id").over(Window.partitionBy("copy"))), "vector-copies"
+    rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector"))
+    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(np.inf)))
+    rows = rows.where(F.coalesce(finite & has_direction(F.col("vector")), F.lit(False)))
+    # Counting and dealing read the vectors, so they are written once.
+    rows = stash(rows, "vectors")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    strips = _strips(rows, size["n"], size["dim"] or 1, strip_rows)
+    best = _compare(_dealt(rows, strips), k, rows.schema["id"].dataType)
+    found = top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor"))
+    return found.withColumnRenamed("id", id)
+
+
+def _strips(rows: DataFrame, n: int, dim: int, strip_rows: int | None) -> int:
+    """Enough strips for their size, and for every core to have a pair of them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    fitting = math.ceil(n / (strip_rows or max(1, STRIP_BYTES // (8 * dim))))
+    return max(1, fitting, math.ceil(math.sqrt(2 * cores)))
+
+
+def _dealt(rows: DataFrame, strips: int) -> DataFrame:
+    """Every row once for each pair (a, b) of strips, a <= b, that its own strip is in."""
+    own = F.pmod(F.xxhash64("id"), F.lit(strips)).cast("int")
+    dealt = rows.select("id", "vector", own.alias("own")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("other")
     )
-    distinct = firsts.where("place = 1").select("id", "raw")
-    near = _distinct_topk(distinct, seen["vectors"], k, block_rows, max_cells, _dtype(rows))
-    # Per distinct vector: its own copies and those of its neighbours, best k + 1 of them.
-    own = distinct.select("id", F.col("id").alias("neighbor"), F.lit(1.0).alias("similarity"))
-    members = firsts.select(F.col("rep").alias("neighbor"), F.col("id").alias("member"))
-    found = near.drop("rank").unionByName(own).join(members, "neighbor")
-    best = top_n(found, "id", k + 1, F.desc("similarity"), F.asc("member"))
-    lists = nest(best, "id", ["member", "similarity"], "items")
-    heads = firsts.where("place = 1").select("copy", F.col("rep").alias("_rep"))
-    lists = lists.join(heads, F.col("id") == F.col("_rep")).select("copy", "items")
-    # Every copy takes its group's list, less itself.
-    others = F.slice(F.filter("items", lambda x: x["member"] != F.col("id")), 1, k)
-    return (
-        _units(rows, with_values=False)
-        .join(lists, "copy")
-        .select("id", others.alias("others"))
-        .select("id", F.posexplode("others").alias("pos", "item"))
-        .select(
-            F.col("id").alias(id),
-            F.col("item.member").alias("neighbor"),
-            F.col("item.similarity").alias("similarity"),
-            (F.col("pos") + 1).alias("rank"),
-        )
-    )
-
-
-def _distinct_topk(
-    vectors: DataFrame, n: int, k: int, block_rows: int, max_cells: int, dtype: type
-) -> DataFrame:
-    """(id, neighbor, similarity, rank): best k for each of the ``n`` rows of (id, raw)."""
-    spark = vectors.sparkSession
-    id_type = vectors.schema["id"].dataType
-    if n <= block_rows:
-        return _one_block(vectors, k, id_type, dtype)
-    cells = min(max_cells, math.ceil(n / block_rows))
-    pivots = _pivots(vectors, cells, dtype)
-    assigned = _assign(vectors, pivots, id_type, dtype)
-    # At most MAX_CELLS rows.
-    sizes = assigned.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("angle").alias("radius")
-    ).toPandas()
-    subs = {int(c): max(1, math.ceil(r / block_rows)) for c, r in zip(sizes.cell, sizes.rows)}
-    blocks = stash(_pack(assigned, subs, k, id_type, dtype), "vector-blocks")
-    # A pair is seconds of work, so a task gets a few of them, however few shuffle
-    # partitions the session asks for.
-    ends = sum(subs.values())
-    tasks = min(MAX_TASKS, ends * (ends + 1) // 2 // PAIRS_PER_TASK)
-    tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pairs = _pairs(spark, blocks, pivots, sizes, subs)
-    best = _compare(blocks, pairs, k, id_type, dtype, tasks)
-    return top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor"))
+    return dealt.select(
+        F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+        "own", "id", "vector",
+    )
 
 
-def _one_block(vectors: DataFrame, k: int, id_type: T.DataType, dtype: type) -> DataFrame:
-    """The same for rows that fit in one block."""
+def _compare(dealt: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+    """Best k of each row within each of its pairs, as (id, neighbor, similarity)."""
     schema = T.StructType(
         [
             T.StructField("id", id_type),
             T.StructField("neighbor", id_type),
             T.StructField("similarity", T.DoubleType()),
-            T.StructField("rank", T.IntegerType()),
         ]
     )
 
-    def rank(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
-        ids = group["id"].to_numpy()
-        matrix = _matrix(b"".join(group["raw"]), len(group), dtype)
-        scores = _scores(matrix, matrix)
-        np.fill_diagonal(scores, -4 * SCALE)
-        hits = _best(scores, ids, ids, np.full(len(ids), -2 * SCALE), k)
-        hits = hits.sort_values(["id", "similarity", "neighbor"], ascending=[True, False, True])
-        return hits.assign(rank=hits.groupby("id").cumcount() + 1)
-
-    return vectors.groupBy().applyInPandas(rank, schema)
-
-
-def _units(rows: DataFrame, with_values: bool) -> DataFrame:
-    """(id, copy, raw): rows with a direction, a digest of their unit vector, and their values.
-
-    Values travel as they came, float32 mostly; unit vectors are made where they are used.
-    """
-    dtype = _dtype(rows)
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("copy", T.BinaryType())])
-    if with_values:
-        schema.add("raw", T.BinaryType())
-
-    def scale(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = np.asarray(batch["vector"].tolist(), dtype=dtype).reshape(len(batch), -1)
-            unit, usable = _scaled(raw)
-            out = pd.DataFrame(
-                {
-                    "id": batch["id"][usable].to_numpy(),
-                    "copy": [hashlib.sha256(row.tobytes()).digest() for row in unit],
-                }
-            )
-            yield out.assign(raw=[row.tobytes() for row in raw[usable]]) if with_values else out
-
-    return rows.mapInPandas(scale, schema)
-
-
-def _scaled(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit rows in double, which rows have a direction)."""
-    matrix = raw.astype(np.float64)
-    norms = np.linalg.norm(matrix, axis=1)
-    usable = np.isfinite(norms) & (norms > 0)
-    return matrix[usable] / norms[usable, None], usable
-
-
-def _dtype(rows: DataFrame) -> type:
-    single = rows.schema["vector"].dataType.elementType == T.FloatType()
-    return np.float32 if single else np.float64
-
-
-def _matrix(values: bytes, rows: int, dtype: type) -> np.ndarray:
-    """Unit rows from the concatenated values of ``rows`` vectors."""
-    return _scaled(np.frombuffer(values, dtype=dtype).reshape(rows, -1))[0]
-
-
-def _pivots(vectors: DataFrame, cells: int, dtype: type) -> np.ndarray:
-    """``cells`` unit vectors, chosen by a hash of the id so that any run picks the same."""
-    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).select("raw").toPandas()
-    return _matrix(b"".join(picked["raw"]), len(picked), dtype)
-
-
-def _assign(
-    vectors: DataFrame, pivots: np.ndarray, id_type: T.DataType, dtype: type
-) -> DataFrame:
-    """Each row with its nearest pivot and the angle to it."""
-    schema = T.StructType(
-        [
-            T.StructField("id", id_type),
-            T.StructField("raw", T.BinaryType()),
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("angle", T.DoubleType()),
-        ]
-    )
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                nearness = _matrix(b"".join(batch["raw"]), len(batch), dtype) @ pivots.T
-                yield batch[["id", "raw"]].assign(
-                    cell=nearness.argmax(axis=1).astype(np.int32),
-                    angle=np.arccos(np.clip(nearness.max(axis=1), -1.0, 1.0)),
-                )
-
-    return vectors.mapInPandas(assign, schema)
-
-
-def _pack(
-    assigned: DataFrame, subs: dict[int, int], k: int, id_type: T.DataType, dtype: type
-) -> DataFrame:
-    """One row per block: its ids in order, its matrix, and how far its rows must look.
-
-    A cell is cut into ``subs`` blocks by a hash of the id, so a cell holding most rows is
-    many blocks of about the usual size.
-    """
-    counts = F.create_map(*(F.lit(x) for item in subs.items() for x in item))
-    keyed = assigned.withColumn(
-        "sub", F.pmod(F.xxhash64("id"), F.coalesce(counts[F.col("cell")], F.lit(1))).cast("int")
-    )
-    schema = T.StructType(
-        [
-            T.StructField("cell", T.IntegerType()),
-            T.StructField("sub", T.IntegerType()),
-            T.StructField("radius", T.DoubleType()),
-            T.StructField("reach", T.DoubleType()),
-            T.StructField("ids", T.ArrayType(id_type)),
-            T.StructField("floors", T.ArrayType(T.LongType())),
-            T.StructField("matrix", T.BinaryType()),
-        ]
-    )
-
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id", kind="stable")
-        values = b"".join(group["raw"])
-        matrix = _matrix(values, len(group), dtype)
-        floors = _own_floors(matrix, k)
-        # The lowest true similarity that could still round up to the k-th best.
-        lowest = (floors.min() - 1) / SCALE
-        return pd.DataFrame(
-            {
-                "cell": [group["cell"].iloc[0]],
-                "sub": [group["sub"].iloc[0]],
-                "radius": [group["angle"].max()],
-                "reach": [math.acos(max(-1.0, min(1.0, lowest)))],
-                "ids": [group["id"].tolist()],
-                "floors": [floors.tolist()],
-                "matrix": [values],
-            }
-        )
-
-    return keyed.groupBy("cell", "sub").applyInPandas(pack, schema)
-
-
-def _scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return np.rint(left @ right.T * SCALE).astype(np.int64)
-
-
-def _own_floors(matrix: np.ndarray, k: int) -> np.ndarray:
-    """Each row's k-th best score inside its own block; no bound in a block of k rows or less."""
-    n = len(matrix)
-    if n <= k:
-        return np.full(n, -2 * SCALE, dtype=np.int64)
-    scores = _scores(matrix, matrix)
-    np.fill_diagonal(scores, -2 * SCALE)
-    return np.partition(scores, n - k, axis=1)[:, n - k]
-
-
-def _pairs(
-    spark: SparkSession,
-    blocks: DataFrame,
-    pivots: np.ndarray,
-    sizes: pd.DataFrame,
-    subs: dict[int, int],
-) -> DataFrame:
-    """Unordered block pairs that may hold a neighbour of either block, each once."""
-    gaps = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
-    links = [
-        (int(a), int(b), float(max(0.0, gaps[int(a), int(b)] - radius)), subs[int(b)])
-        for a in sizes.cell
-        for b, radius in zip(sizes.cell, sizes.radius)
-    ]
-    # Cells are bounded, so this relation is too: MAX_CELLS squared small rows at most.
-    near = spark.createDataFrame(links, "cell int, other int, gap double, subs int")
-    seen = (
-        blocks.select("cell", "sub", "radius", "reach")
-        .join(near, "cell")
-        .where(F.col("gap") - F.col("radius") <= F.col("reach") + SLACK)
-        .select("cell", "sub", "other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("osub"))
-    )
-    one, two = F.struct("cell", "sub"), F.struct(F.col("other").alias("cell"), F.col("osub").alias("sub"))
-    return seen.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
-
-
-def _compare(
-    blocks: DataFrame, pairs: DataFrame, k: int, id_type: T.DataType, dtype: type, tasks: int
-) -> DataFrame:
-    """Best k of each row of one block within the other, both ways, as (id, neighbor, similarity)."""
-
-    def side(end: str) -> DataFrame:
-        """Each pair with the packed block at one of its ends, under names of its own."""
-        packed = blocks.select(F.struct("cell", "sub").alias("key"), "ids", "floors", "matrix")
-        joined = pairs.join(packed, F.col(end) == F.col("key"))
-        return joined.select(
-            F.col("a").alias(f"a_{end}"), F.col("b").alias(f"b_{end}"), "ids", "floors", "matrix"
-        ).repartition(tasks, f"a_{end}", f"b_{end}")
-
-    schema = T.StructType(
-        [
-            T.StructField("id", id_type),
-            T.StructField("neighbor", id_type),
-            T.StructField("similarity", T.DoubleType()),
-        ]
-    )
-
-    def compare(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        if one.empty or two.empty:
-            return _hits([], [], [])
-        a, b = one.iloc[0], two.iloc[0]
-        ids_a, ids_b = np.asarray(a["ids"]), np.asarray(b["ids"])
-        scores = _scores(
-            _matrix(a["matrix"], len(ids_a), dtype), _matrix(b["matrix"], len(ids_b), dtype)
-        )
-        if a["a_a"] == a["b_a"]:
-            np.fill_diagonal(scores, -4 * SCALE)
-            return _best(scores, ids_a, ids_b, np.asarray(a["floors"]), k)
-        return pd.concat(
-            [
-                _best(scores, ids_a, ids_b, np.asarray(a["floors"]), k),
-                _best(scores.T, ids_b, ids_a, np.asarray(b["floors"]), k),
-            ]
+    def compare(names: tuple, group: pa.Table) -> pa.Table:
+        a, b = names[0].as_py(), names[1].as_py()
+        group = group.sort_by("id")
+        strip = group.column("own").to_numpy()
+        units = _units(group.column("vector").combine_chunks())
+        ids = group.column("id")
+        left, right = np.flatnonzero(strip == a), np.flatnonzero(strip == b)
+        if a == b:
+            sides = [(left, left, *strip_topk(units[left], units[left], k, same=True))]
+        else:
+            one, two = pair_topk(units[left], units[right], k)
+            sides = [(left, right, *one), (right, left, *two)]
+        own = np.concatenate([mine[row] for mine, _, row, _, _ in sides])
+        near = np.concatenate([others[at] for _, others, _, at, _ in sides])
+        scores = np.concatenate([score for *_, score in sides])
+        return pa.table(
+            [ids.take(pa.array(own)), ids.take(pa.array(near)), pa.array(scores / SCALE)],
+            names=["id", "neighbor", "similarity"],
         )
 
-    left, right = side("a").groupBy("a_a", "b_a"), side("b").groupBy("a_b", "b_b")
-    return left.cogroup(right).applyInPandas(compare, schema)
-
-
-def _best(
-    scores: np.ndarray, ids: np.ndarray, others: np.ndarray, floors: np.ndarray, k: int
-) -> pd.DataFrame:
-    """Top k columns per row, ties by position (positions are in id order)."""
-    width = scores.shape[1]
-    keys = scores * width + (width - 1 - np.arange(width))
-    if width > k:
-        columns = np.argpartition(keys, width - k, axis=1)[:, width - k :]
-    else:
-        columns = np.broadcast_to(np.arange(width), scores.shape)
-    found = np.take_along_axis(scores, columns, axis=1)
-    rows, at = np.nonzero(found >= np.maximum(floors, -2 * SCALE)[:, None])
-    return _hits(ids[rows], others[columns[rows, at]], found[rows, at] / SCALE)
-
-
-def _hits(ids: object, neighbors: object, similarity: object) -> pd.DataFrame:
-    return pd.DataFrame({"id": ids, "neighbor": neighbors, "similarity": similarity})
+    return dealt.groupBy("a", "b").applyInArrow(compare, schema)
+
+
+def _units(column: pa.Array) -> np.ndarray:
+    matrix = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    matrix = matrix.astype(np.float64)
+    return matrix / np.linalg.norm(matrix, axis=1)[:, None]
+
+
+class Best:
+    """The best k columns of each row so far; columns have to come in increasing order."""
+
+    def __init__(self, rows: int, k: int) -> None:
+        self.k = k
+        self.floor = np.full(rows, -4.0 * SCALE)
+        self.row = self.at = np.zeros(0, dtype=np.int64)
+        self.score = np.zeros(0)
+
+    def take(self, scores: np.ndarray, first_row: int, first_column: int) -> None:
+        """A block of scores. Once a row is full, equal scores of later columns lose."""
+        rows, width = scores.shape
+        floor = self.floor[first_row : first_row + rows]
+        if width > self.k:
+            # A row cannot keep more than its k best of this block, the first of equals.
+            least = np.partition(scores, width - self.k, axis=1)[:, width - self.k]
+            mask = (scores > floor[:, None]) & (scores >= least[:, None])
+        else:
+            mask = scores > floor[:, None]
+        row, at = np.nonzero(mask)
+        if not len(row):
+            return
+        value = scores[row, at]
+        # Only the rows of this block change.
+        low, high = np.searchsorted(self.row, (first_row, first_row + rows))
+        row = np.concatenate([self.row[low:high], row + first_row])
+        at = np.concatenate([self.at[low:high], at + first_column])
+        value = np.concatenate([self.score[low:high], value])
+        order = np.lexsort((at, -value, row))
+        row, at, value = row[order], at[order], value[order]
+        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        counts = np.diff(np.append(starts, len(row)))
+        rank = np.arange(len(row)) - np.repeat(starts, counts)
+        full = rank == self.k - 1
+        self.floor[row[full]] = value[full]
+        kept = rank < self.k
+        self.row = np.concatenate([self.row[:low], row[kept], self.row[high:]])
+        self.at = np.concatenate([self.at[:low], at[kept], self.at[high:]])
+        self.score = np.concatenate([self.score[:low], value[kept], self.score[high:]])
+
+    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.row, self.at, self.score
+
+
+def _block(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    scores = left @ right.T
+    scores *= SCALE
+    return np.rint(scores, out=scores)
+
+
+def strip_topk(
+    left: np.ndarray, right: np.ndarray, k: int, same: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, score) of the best k columns per row; not itself if the sides are the same."""
+    best = Best(len(left), k)
+    for i in range(0, len(left), BLOCK_ROWS):
+        for j in range(0, len(right), BLOCK_ROWS):
+            scores = _block(left[i : i + BLOCK_ROWS], right[j : j + BLOCK_ROWS])
+            if same and i == j:
+                np.fill_diagonal(scores, -5.0 * SCALE)
+            best.take(scores, i, j)
+    return best.lists()
+
+
+def pair_topk(left: np.ndarray, right: np.ndarray, k: int) -> tuple[tuple, tuple]:
+    """The lists of both sides from one product of each pair of blocks."""
+    one, two = Best(len(left), k), Best(len(right), k)
+    for i in range(0, len(left), BLOCK_ROWS):
+        for j in range(0, len(right), BLOCK_ROWS):
+            scores = _block(left[i : i + BLOCK_ROWS], right[j : j + BLOCK_ROWS])
+            one.take(scores, i, j)
+            two.take(np.ascontiguousarray(scores.T), j, i)
+    return one.lists(), two.lists()

@@ -51,13 +51,14 @@ def test_k_is_clipped_and_length_is_ignored(spark):
 def test_single_row_no_rows_and_directionless_rows(spark):
     assert N.cosine_topk(frame(spark, [[1, 2]]), "id", "v").count() == 0
     assert N.cosine_topk(frame(spark, []), "id", "v").count() == 0
-    got = rows(N.cosine_topk(frame(spark, [[1, 0], [0, 0], None, [1, 1]]), "id", "v"), "id", "neighbor")
+    got = rows(N.cosine_topk(frame(spark, [[1, 0], [0, 0], None, [1, 1], [float("nan"), 1], [float("inf"), 0]]), "id", "v"), "id", "neighbor")
     assert got == [(0, 3), (3, 0)]
 
 
 @pytest.mark.parametrize("data", ["random", "clustered", "copies"])
-@pytest.mark.parametrize("block", [16, 64, 2048])
-def test_equal_to_all_pairs(spark, data, block):
+@pytest.mark.parametrize("strip", [16, 64, None])
+def test_equal_to_all_pairs(spark, data, strip, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 32)
     vectors = {
         "random": lambda: random_vectors(150),
         "clustered": lambda: clustered(150),
@@ -65,36 +66,34 @@ def test_equal_to_all_pairs(spark, data, block):
         "copies": lambda: np.vstack([random_vectors(100), np.tile(random_vectors(1, seed=9), (50, 1))]),
     }[data]()
     df = frame(spark, vectors)
-    got = N.cosine_topk(df, "id", "v", 7, block_rows=block)
+    got = N.cosine_topk(df, "id", "v", 7, strip_rows=strip)
     assert rows(got) == rows(by_pairs(df, 7), "id", "neighbor", "similarity", "rank")
 
 
-def test_far_blocks_are_not_compared(spark, monkeypatch):
-    counted = {}
-    pairs = N._pairs
-
-    def spy(*args):
-        result = pairs(*args)
-        counted["pairs"] = result.count()
-        counted["blocks"] = args[1].count()
-        return result
-
-    monkeypatch.setattr(N, "_pairs", spy)
-    N.cosine_topk(frame(spark, clustered(400, centers=8, dim=16)), "id", "v", 5, block_rows=25).count()
-    everything = counted["blocks"] * (counted["blocks"] + 1) / 2
-    assert counted["pairs"] < everything / 2
-
-
-def test_hot_cell_is_cut_into_blocks_of_the_usual_size(spark, monkeypatch):
-    sizes = []
-    pack = N._pack
-
-    def spy(*args):
-        packed = pack(*args)
-        sizes.extend(r[0] for r in packed.select(F.size("ids")).collect())
-        return packed
-
-    monkeypatch.setattr(N, "_pack", spy)
-    copies = np.tile(random_vectors(1), (300, 1)) + 1e-4 * random_vectors(300, seed=3)
-    N.cosine_topk(frame(spark, np.vstack([copies, random_vectors(100, seed=4)])), "id", "v", 3, block_rows=50).count()
-    assert sum(sizes) == 400 and max(sizes) < 110
+@pytest.mark.parametrize("block", [1, 3, 8, 100])
+def test_running_lists(block, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(block)
+    left, right = (np.round(rng.normal(size=(n, 2)), 1) + 0.05 for n in (23, 31))
+    left, right = (m / np.linalg.norm(m, axis=1)[:, None] for m in (left, right))
+    one, two = N.pair_topk(left, right, 4)
+    for (row, at, score), a, b in ((one, left, right), (two, right, left)):
+        scores = np.rint(a @ b.T * N.SCALE)
+        for r in range(len(a)):
+            want = sorted((-s, c) for c, s in enumerate(scores[r]))[:4]
+            assert list(zip(-score[row == r], at[row == r])) == want
+
+
+def test_rows_travel_to_as_many_tasks_as_there_are_strips(spark):
+    df = frame(spark, random_vectors(200)).withColumnRenamed("v", "vector")
+    for strips in (3, 6):
+        dealt = N._dealt(df, strips)
+        assert dealt.count() == 200 * strips
+        assert dealt.select("a", "b").distinct().count() == strips * (strips + 1) // 2
+
+
+def test_strips_follow_the_rows(spark):
+    df = spark.range(1)
+    assert N._strips(df, 10**6, 1000, None) == 120
+    assert N._strips(df, 10**8, 1000, None) == 11922
+    assert N._strips(df, 100, 8, None) == 3

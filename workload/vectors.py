@@ -37,8 +37,46 @@ def cosine_neighbors(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("Q15 J13", _TOPK)
 def cosine_neighbors_blocked(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from many small blocks around many pivots."""
-    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", block_rows=128)
+    """The same from many small strips."""
+    return cosine_topk(table(spark, sf, "embeddings"), "vec_id", "embedding", strip_rows=128)
+
+
+_COPIES = """
+    SELECT vec_id, embedding FROM embeddings UNION ALL
+    SELECT 100000 + vec_id, (SELECT embedding FROM embeddings WHERE vec_id = 7) FROM embeddings
+    WHERE vec_id % 2 = 0"""
+
+
+@query("Q15 J13", _TOPK.replace("embeddings a JOIN embeddings b", f"({_COPIES}) a JOIN ({_COPIES}) b"))
+def cosine_neighbors_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the rows are one vector: ties at every rank."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    one = vectors.where("vec_id = 7").select("embedding").scalar()
+    copies = vectors.where("vec_id % 2 = 0").select(
+        (F.col("vec_id") + 100000).alias("vec_id"), one.alias("embedding")
+    )
+    return cosine_topk(vectors.unionByName(copies), "vec_id", "embedding")
+
+
+@query(
+    "W4 J13 Q15",
+    """WITH m AS (SELECT label, list(v ORDER BY d) AS mean FROM (
+                     SELECT label, d, round(avg(embedding[d]::DOUBLE), 9) AS v
+                     FROM embeddings, (SELECT unnest(range(1, 65)) AS d) GROUP BY label, d)
+                 GROUP BY label)
+       SELECT label, neighbor, similarity,
+              row_number() OVER (PARTITION BY label ORDER BY similarity DESC, neighbor)::INTEGER AS rank
+       FROM (SELECT a.label, b.label AS neighbor,
+                    round(list_cosine_similarity(a.mean, b.mean), 6) AS similarity
+             FROM m a JOIN m b ON a.label <> b.label)
+       QUALIFY rank <= 20""",
+)
+def label_neighbors(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean vectors of the labels: fewer rows than k."""
+    cells = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("d", "x"))
+    means = cells.groupBy("label", "d").agg(F.round(F.avg(F.col("x").cast("double")), 9).alias("v"))
+    listed = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("d", "v"))).alias("c"))
+    return cosine_topk(listed.select("label", F.col("c.v").alias("mean")), "label", "mean")
 
 
 @query(
@@ -129,7 +167,7 @@ _EMBED = f"""
     f"SELECT doc_id, dim::INTEGER AS dim, was_truncated, value FROM ({_EMBED})",
 )
 def embed_batch(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism)
     embedded = embed(documents, "text", stand_in_model)
     values = embedded.select("doc_id", "was_truncated", F.posexplode("embedding").alias("pos", "v"))
     return values.select(
@@ -150,7 +188,7 @@ def embedding_coverage(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select(
         F.col("doc_id").alias("uniprot_accession"), F.col("text").alias("sequence")
     )
-    fact = embedding_relation(spread(documents), stand_in_model, "stand-in")
+    fact = embedding_relation(spread(documents, spark.sparkContext.defaultParallelism), stand_in_model, "stand-in")
     return coverage(
         documents,
         fact,
