@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from keystar import schemas
 from keystar.operators.dedup import keep_first
 from keystar.operators.resolve import match_symbols, resolve_edges, resolve_ids
+from keystar.plans import ingest
 from keystar.plans.rewrite import build_editorial_seed
+from keystar.plans.warehouse import build_star, load_bronze
 from keystar.session import scratch_path
 from keystar.sources import readers, storage
 from workload.registry import query, table
@@ -120,11 +122,24 @@ def entry_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_ALIASES = """
-    SELECT event_id // 6 AS id, event_id AS ord, event_type AS src, 'A' || (user_id % 3) AS alias FROM events"""
+def _resolved_sql(alias: str) -> str:
+    """The mapping of an alias file whose aliases are ``alias``."""
+    return f"""
+        WITH rows AS (SELECT event_id // 6 AS id, event_id AS ord, event_type AS src,
+                             {alias} AS alias FROM events),
+             g AS (SELECT id,
+                          list(alias ORDER BY ord) FILTER (WHERE src = 'purchase') AS h,
+                          list(alias ORDER BY ord) FILTER (WHERE src = 'view') AS v,
+                          list(alias ORDER BY ord) FILTER (WHERE src = 'click') AS c
+                   FROM rows WHERE src IN ('purchase', 'view', 'click') GROUP BY id),
+             b AS (SELECT *, [z FOR z IN coalesce(v, []) IF list_contains(coalesce(c, []), z)] AS x FROM g)
+        SELECT 'E' || id AS id,
+               CASE WHEN h IS NOT NULL THEN coalesce([z FOR z IN h IF list_contains(x, z)][1], h[1])
+                    WHEN len(x) = 1 THEN x[1] ELSE coalesce(c[1], v[1]) END AS accession
+        FROM b"""
 
 
-def _alias_file(spark: SparkSession, sf: str) -> str:
+def _alias_file(spark: SparkSession, sf: str, prefix: str = "A", kinds: int = 3) -> str:
     source = (
         F.when(F.col("event_type") == "purchase", "Ensembl_HGNC_uniprot_ids")
         .when(F.col("event_type") == "view", "Ensembl_UniProt")
@@ -133,7 +148,7 @@ def _alias_file(spark: SparkSession, sf: str) -> str:
     )
     fields = F.array(
         F.concat(F.lit("E"), F.floor(F.col("event_id") / 6).cast("string")),
-        F.concat(F.lit("A"), (F.col("user_id") % 3).cast("string")),
+        F.concat(F.lit(prefix), (F.col("user_id") % kinds).cast("string")),
         source,
         F.lit("extra"),
     )
@@ -147,16 +162,7 @@ def _alias_file(spark: SparkSession, sf: str) -> str:
 
 @query(
     "S2 A16 Q21",
-    f"""WITH g AS (SELECT id,
-                          list(alias ORDER BY ord) FILTER (WHERE src = 'purchase') AS h,
-                          list(alias ORDER BY ord) FILTER (WHERE src = 'view') AS v,
-                          list(alias ORDER BY ord) FILTER (WHERE src = 'click') AS c
-                   FROM ({_ALIASES}) WHERE src IN ('purchase', 'view', 'click') GROUP BY id),
-             b AS (SELECT *, [z FOR z IN coalesce(v, []) IF list_contains(coalesce(c, []), z)] AS x FROM g)
-        SELECT 'E' || id AS id,
-               CASE WHEN h IS NOT NULL THEN coalesce([z FOR z IN h IF list_contains(x, z)][1], h[1])
-                    WHEN len(x) = 1 THEN x[1] ELSE coalesce(c[1], v[1]) END AS accession
-        FROM b""",
+    _resolved_sql("'A' || (user_id % 3)"),
 )
 def alias_file_resolution(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_ids(readers.read_aliases(spark, _alias_file(spark, sf)))
@@ -184,6 +190,92 @@ def edge_file_scan(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_edges(edges, mapping)[0]
 
 
+_EDGES = """
+    SELECT 'E' || (l_orderkey % 2000) AS a, 'E' || (l_partkey % 2000) AS b,
+           CAST(l_quantity * 20 AS INTEGER) AS s
+    FROM lineitem WHERE l_quantity * 20 >= 700"""
+
+
+def _interaction_files(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """An alias file whose aliases are keys of parts, and an edge file between its ids."""
+    lines = table(spark, sf, "lineitem").select(
+        F.concat_ws(
+            " ",
+            F.concat(F.lit("E"), (F.col("l_orderkey") % 2000).cast("string")),
+            F.concat(F.lit("E"), (F.col("l_partkey") % 2000).cast("string")),
+            (F.col("l_quantity") * 20).cast("int").cast("string"),
+        ).alias("value")
+    )
+    return _alias_file(spark, sf, "P", 250), _text_file(lines, "edges")
+
+
+@query(
+    "Q21 S2 S3 J6 A16 A17",
+    f"""WITH m AS ({_resolved_sql("'P' || (user_id % 250)")}), e AS ({_EDGES}),
+             j AS (SELECT x.accession AS uniprot_a, y.accession AS uniprot_b, s AS combined_score
+                   FROM e LEFT JOIN m x ON x.id = a LEFT JOIN m y ON y.id = b)
+        SELECT *, (SELECT count(*) FROM j WHERE uniprot_a IS NULL OR uniprot_b IS NULL) AS unmapped
+        FROM j WHERE uniprot_a IS NOT NULL AND uniprot_b IS NOT NULL""",
+)
+def ingest_interactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Alias file and edge file to the written bronze relation, with the unmapped count."""
+    aliases, edges = _interaction_files(spark, sf)
+    path = scratch_path(spark, "bronze-string")
+    done = ingest.ingest_interactions(spark, aliases, edges, path, partitions=8)
+    again = ingest.ingest_interactions(spark, aliases, edges, path)
+    assert done.written and not again.written and done.rows == again.rows
+    return storage.read_parquet(spark, path).withColumn(
+        "unmapped", F.lit(again.unmapped).cast("long")
+    )
+
+
+@query(
+    "Q5 Q21 S1 P10 P11",
+    f"""WITH m AS ({_resolved_sql("'P' || (user_id % 250)")}), e AS ({_EDGES}),
+             j AS (SELECT x.accession AS a, y.accession AS b, s
+                   FROM e JOIN m x ON x.id = a JOIN m y ON y.id = b)
+        SELECT least(a, b) AS uniprot_a, greatest(a, b) AS uniprot_b, max(s) AS combined_score
+        FROM j WHERE a <> b AND a IN (SELECT 'P' || p_partkey FROM part)
+            AND b IN (SELECT 'P' || p_partkey FROM part)
+        GROUP BY 1, 2""",
+)
+def landed_to_fact_interaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed entries, alias file and edge file to bronze, and the star's fact from there."""
+    aliases, edges = _interaction_files(spark, sf)
+    landed = scratch_path(spark, "entries")
+    _entries(spark, sf).write.json(landed, compression="gzip")
+    root = scratch_path(spark, "bronze")
+    paths = storage.bronze_paths(root)
+    ingest.ingest_entries(spark, landed, paths["uniprot"])
+    ingest.ingest_interactions(spark, aliases, edges, paths["string"], partitions=8)
+    editorial = spark.createDataFrame([], schemas.SEED_EDITORIAL)
+    return build_star(spark, load_bronze(spark, root), editorial)["fact_interaction"]
+
+
+@query(
+    "J6",
+    """SELECT n_name AS uniprot_a, n_name AS uniprot_b, count(*) AS edges FROM (
+           SELECT user_id % 30 AS k FROM events UNION ALL SELECT event_id % 30 FROM events)
+       JOIN nation ON n_nationkey = k GROUP BY n_name""",
+)
+def edge_resolve_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Two resolved edge sets in one plan."""
+    mapping = table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("accession")
+    )
+    events = table(spark, sf, "events")
+
+    def resolved(column: str) -> DataFrame:
+        end = (F.col(column) % 30).cast("string")
+        edges = events.select(
+            end.alias("protein1"), end.alias("protein2"), F.lit(900).alias("combined_score")
+        )
+        return resolve_edges(edges, mapping)[0]
+
+    both = resolved("user_id").unionByName(resolved("event_id"))
+    return both.groupBy("uniprot_a", "uniprot_b").agg(F.count(F.lit(1)).alias("edges"))
+
+
 @query(
     "S4 A14",
     """SELECT p_name AS gene_symbol, CASE WHEN p_type <> 'PROMO' THEN p_brand END AS uniprot_accession,
@@ -223,6 +315,20 @@ def parts_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 
+@query(
+    "S5 U2",
+    "SELECT doc_id, lang, source FROM documents",
+)
+def parts_with_other_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts that hold the declared columns beside others of their own, in another order."""
+    path = scratch_path(spark, "parts")
+    documents = table(spark, sf, "documents")
+    odd = F.col("doc_id") % 2 == 1
+    documents.where(odd).select("source", "n_chars", "doc_id", "lang").write.parquet(path)
+    documents.where(~odd).select("doc_id", "lang", "source", "text").write.mode("append").parquet(path)
+    return readers.read_parts(spark, path, ["doc_id", "lang", "source"])
+
+
 @query(
     "S6 S7 S8 S9",
     """SELECT l_returnflag, count(*) AS lines, sum(l_quantity) AS quantity,
@@ -255,12 +361,13 @@ def roundtrip(spark: SparkSession, sf: str) -> DataFrame:
        FROM orders GROUP BY o_orderstatus""",
 )
 def table_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """Bulk load into a table, twice, the second load replacing the first."""
+    """Bulk load into a table, the second load replacing the first, the third built from it."""
     path = scratch_path(spark, "orders")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     orders = table(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
     storage.replace_table(orders.withColumn("load", F.lit(1)), name, path)
     storage.replace_table(orders, name, path)
+    storage.replace_table(spark.table(name), name, path)
     return (
         spark.table(name)
         .groupBy("o_orderstatus")
