@@ -51,10 +51,11 @@ def project_2d(df: DataFrame, vector: str, x: str = "umap_x", y: str = "umap_y")
     """Adds two float coordinates: the first two principal axes of the unit vectors.
 
     The fit aggregates one dim x dim matrix, so its size depends on the vector width only.
-    Each axis points to where its largest weight is positive. Rows without a direction are
-    left out.
+    Each axis points to where its largest weight is positive. Rows without a direction keep
+    NULL coordinates.
     """
-    ready = df.where(has_direction(F.col(vector))).withColumn(
+    placed = F.coalesce(has_direction(F.col(vector)), F.lit(False))
+    ready = df.where(placed).withColumn(
         "_vector", array_to_vector(F.col(vector).cast("array<double>"))
     )
     ready = Normalizer(inputCol="_vector", outputCol="_unit", p=2.0).transform(ready)
@@ -62,8 +63,13 @@ def project_2d(df: DataFrame, vector: str, x: str = "umap_x", y: str = "umap_y")
     weights = model.pc.toArray()
     flips = [1.0 if w[np.abs(w).argmax()] >= 0 else -1.0 for w in weights.T]
     axes = vector_to_array(F.col("_axes"))
-    return model.transform(ready).select(
-        *df.columns,
-        (F.get(axes, F.lit(0)) * flips[0]).cast("float").alias(x),
-        (F.get(axes, F.lit(1)) * flips[1]).cast("float").alias(y),
+    nowhere = F.lit(None).cast("float")
+    return (
+        model.transform(ready)
+        .select(
+            *df.columns,
+            (F.get(axes, F.lit(0)) * flips[0]).cast("float").alias(x),
+            (F.get(axes, F.lit(1)) * flips[1]).cast("float").alias(y),
+        )
+        .unionByName(df.where(~placed).select("*", nowhere.alias(x), nowhere.alias(y)))
     )

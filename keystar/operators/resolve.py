@@ -98,7 +98,7 @@ def resolve_edges(
     that runs again after a lost executor counts its rows again; ``count_edges`` does not.
     """
     strong = _strong(edges, score, min_score)
-    seen = Observation("edge_resolution")
+    seen = Observation()
     looked_up = with_ends(strong, mapping, a, b).observe(
         seen, F.count_if(~unmapped()).alias("kept"), F.count_if(unmapped()).alias("unmapped")
     )

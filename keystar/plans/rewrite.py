@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,8 +13,8 @@ from keystar import constants as K
 from keystar.functions.json_text import has_unescaped_quotes, parse_status, parsed_object, string_field
 from keystar.functions.texts import prompt
 from keystar.plans.marts import ANCHOR
-from keystar.session import stash
-from keystar.sources.storage import read_parquet, write_parquet
+from keystar.session import scratch_path, stash
+from keystar.sources.storage import count_rows, exists, read_parquet, swap_in, write_manifest
 
 # Called with a list of prompts, returns one response text (or None) per prompt.
 Caller = Callable[[list[str]], list[str | None]]
@@ -75,25 +76,67 @@ def assemble(keys: DataFrame, parsed: DataFrame, model_id: str) -> DataFrame:
     )
 
 
+def send(
+    wanted: DataFrame,
+    caller: Caller,
+    path: str,
+    model_id: str = "",
+    force: bool = False,
+    partitions: int | None = None,
+    waves: int = 1,
+) -> int:
+    """Answer the requests that ``path`` does not answer yet; returns how many were sent.
+
+    A manifest names the run before the first call. Requests go out in ``waves`` of keys, each
+    written before the next, so a job that fails pays again for its own wave only and the next
+    call sends what is missing. ``force`` answers all of them anew and then replaces the old
+    answers. ``partitions`` is the number of tasks that call at a time.
+    """
+    spark = wanted.sparkSession
+    path = path.rstrip("/")
+    before = count_rows(spark, path) if exists(spark, path) and not force else 0
+    target = f"{path}.{uuid.uuid4().hex}" if force else path
+    pending = wanted.where(F.col("function_raw").isNotNull()).select(ANCHOR, "prompt")
+    if before:
+        answered = read_parquet(spark, path).select(ANCHOR)
+        pending = pending.join(answered, ANCHOR, "left_anti")
+    pending = stash(pending, "requests")
+    open_requests = pending.count()
+    if not open_requests and before:
+        return 0
+    write_manifest(
+        spark, f"{path}.manifest", model_id=model_id, requests=str(open_requests), force=str(force)
+    )
+    for wave in range(waves):
+        part = pending.where(F.pmod(F.xxhash64(ANCHOR), F.lit(waves)) == wave)
+        part = part.repartition(partitions, ANCHOR) if partitions else part
+        call_batches(part, caller).write.mode("append").parquet(target)
+    if force:
+        swap_in(spark, target, path)
+    return count_rows(spark, path) - before
+
+
 def rewrite(
     source: DataFrame,
     caller: Caller,
     model_id: str,
     limit: int | None = None,
     path: str | None = None,
+    force: bool = False,
+    partitions: int | None = None,
+    waves: int = 1,
 ) -> DataFrame:
     """Rewrites of all source rows; rows without text are not sent.
 
-    The raw responses are written once, to ``path`` or the scratch folder, so the service is
-    not called again when the result is read; ``rows_to_redo`` can read them there too.
+    The raw responses are written to ``path`` or the scratch folder, so the service is not
+    called again when the result is read, nor by a second run with the same ``path``: see
+    ``send``. ``rows_to_redo`` can read them there too.
     """
+    spark = source.sparkSession
     wanted = requests(source, limit)
-    responses = call_batches(wanted.where(F.col("function_raw").isNotNull()), caller)
-    if path is None:
-        responses = stash(responses, "responses")
-    else:
-        write_parquet(responses, path)
-        responses = read_parquet(source.sparkSession, path)
+    at = path or scratch_path(spark, "responses")
+    send(wanted, caller, at, model_id, force, partitions, waves)
+    responses = read_parquet(spark, at).join(wanted.select(ANCHOR), ANCHOR, "left_semi")
     return assemble(wanted, parse_responses(responses), model_id)
 
 

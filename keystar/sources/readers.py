@@ -6,6 +6,8 @@ itself, before any shuffle: file, start of the split, position within the split.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,8 @@ from keystar.functions.lists import distinct_texts, first_element, first_where,
 from keystar.functions.texts import null_tokens
 
 ORD = "ord"
+# Part footers read at once.
+FOOTERS = 8
 
 
 def file_order() -> Column:
@@ -25,20 +29,20 @@ def file_order() -> Column:
     )
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan with fewer splits than cores, ahead of heavy per-row work.
+def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal out the rows of a scan over ``partitions`` tasks, ahead of heavy per-row work.
 
-    Unsplittable or single-block files feed few tasks. A scan with enough splits, as any
-    large one has, is returned as it is.
+    For files that cannot be split or hold a single block, which the caller knows; without a
+    number the scan is returned as it is.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan.repartition(partitions) if partitions else scan
 
 
 def read_entries(spark: SparkSession, path: str, paged: bool = False) -> DataFrame:
     """Nested JSON entries flattened to the 11 bronze columns.
 
-    ``paged`` files hold one document each, with the entries under ``results``.
+    ``paged`` files hold one document each, with the entries under ``results``. A line that is
+    not JSON and an entry without its key are errors, whichever columns are read.
     """
     if paged:
         pages = spark.read.schema(schemas.ENTRY_PAGE).json(path, multiLine=True)
@@ -65,10 +69,11 @@ def flatten_entries(entries: DataFrame) -> DataFrame:
         return or_empty(F.transform(hits, lambda p: p["value"]))
 
     ensembl = F.filter(xrefs, lambda x: x["database"] == "Ensembl")
-    return entries.select(
-        F.coalesce(
-            "primaryAccession", F.raise_error(F.lit("entry without primaryAccession"))
-        ).alias("primary_accession"),
+    # A filter, since an unread column would take its check with it.
+    stop = F.raise_error(F.lit("entry without primaryAccession")).cast("boolean")
+    keyed = F.when(F.col("primaryAccession").isNotNull(), True).otherwise(stop)
+    return entries.where(keyed).select(
+        F.col("primaryAccession").alias("primary_accession"),
         or_empty(F.col("secondaryAccessions")).alias("secondary_accessions"),
         first_element(F.col("genes"))["geneName"]["value"].alias("gene_symbol"),
         F.coalesce(
@@ -124,8 +129,11 @@ def read_tsv(
     columns: dict[str, str],
     nulls: tuple[str, ...] = ("", "NA"),
 ) -> DataFrame:
-    """Chosen columns of a headed TSV, all text, with ``ord``; an absent column is an error."""
-    raw = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
+    """Chosen columns of a headed TSV, all text, with ``ord``.
+
+    An absent column is an error, and so is a file whose header differs from the first one's.
+    """
+    raw = spark.read.csv(path, sep="\t", header=True, inferSchema=False, enforceSchema=False)
     return raw.select(
         *(null_tokens(F.col(f"`{src}`"), nulls).alias(dst) for src, dst in columns.items()),
         file_order().alias(ORD),
@@ -133,8 +141,22 @@ def read_tsv(
 
 
 def read_parts(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Declared columns of a one- or many-file Parquet dataset; no file or column -> error."""
-    return spark.read.parquet(path).select(*columns)
+    """Declared columns of a one- or many-file Parquet dataset; no file or column -> error.
+
+    Every part has to hold every column; other columns may differ from part to part. Footers
+    are read side by side, a few at a time.
+    """
+    parts = spark.read.parquet(path)
+
+    def lacking(part: str) -> list[str]:
+        held = spark.read.parquet(part).columns
+        return [f"{part}: no column {c}" for c in columns if c not in held]
+
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        found = [line for lines in pool.map(lacking, parts.inputFiles()) for line in lines]
+    if found:
+        raise ValueError("; ".join(found))
+    return parts.select(*columns)
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -18,14 +19,46 @@ def versioned_path(root: str, group: str, version: str, relation: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished relation is there; a write that was cut short does not count."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    system = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.exists(marker)
+    system, to = _filesystem(spark, path)
+    return system.exists(to(f"{path}/_SUCCESS"))
+
+
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop.Path
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Write beside ``path``, then take its place: a failed write leaves what was there.
+
+    The old files go only when the new ones are complete, so a relation may be replaced by
+    something computed from itself.
+    """
+    path = path.rstrip("/")
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    system, to = _filesystem(df.sparkSession, path)
+    try:
+        df.write.option("compression", "zstd").parquet(fresh)
+    except Exception:
+        system.delete(to(fresh), True)
+        raise
+    swap_in(df.sparkSession, fresh, path)
+
+
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the complete relation ``fresh`` where ``path`` is; the old one goes last."""
+    system, to = _filesystem(spark, path)
+    old = f"{path}.{uuid.uuid4().hex}"
+    had = system.exists(to(path))
+    if had and not system.rename(to(path), to(old)):
+        raise OSError(f"cannot move {path}")
+    if not system.rename(to(fresh), to(path)):
+        if had:
+            system.rename(to(old), to(path))
+        raise OSError(f"cannot move {fresh}")
+    if had:
+        system.delete(to(old), True)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -54,19 +87,29 @@ def replace_table(
     key: str | None = None,
     buckets: int | None = None,
 ) -> None:
-    """Create or replace a table in one bulk write, at ``path`` when one is given.
+    """Create or replace a table in one bulk write, below ``path`` when one is given.
 
-    With ``key`` and ``buckets`` the rows are stored by key, one file per bucket, so joins
+    The rows are written as a table of another name and location first, which then takes the
+    name: a failed write leaves the old table, and it may be read to build the new one. With ``key`` and ``buckets`` the rows are stored by key, one file per bucket, so joins
     and windows on the key read them without a shuffle.
     """
     bucketed = key is not None and buckets is not None
+    load = uuid.uuid4().hex
+    fresh = f"{table}__{load}"
     rows = df.repartition(buckets, key) if bucketed else df
-    writer = rows.write.mode("overwrite").option("compression", "zstd")
+    writer = rows.write.option("compression", "zstd")
     if bucketed:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        writer = writer.option("path", f"{path.rstrip('/')}/{load}")
+    spark = df.sparkSession
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
 
 
 def write_manifest(spark: SparkSession, path: str, **fields: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F
 
 from keystar.operators.embedding import embed, masked_mean, project_2d
-from keystar.operators.patch import check_patch, member_check, patch_by_key, split_members
+from keystar.operators.patch import apply_patch, check_patch, member_check, patch_by_key, split_members
 from keystar.plans import rewrite as R
 from keystar.plans.vectors import fact_embedding, fact_protein_neighbor
 from keystar.session import scratch_path, scratch_root, stash
@@ -140,6 +140,76 @@ def test_embedding_relation(spark):
     assert near.count() == 8
 
 
+def test_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "relation")
+    storage.write_parquet(spark.range(3), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    for attempt in (
+        lambda: storage.write_parquet(broken, path),
+        lambda: storage.materialize(spark, path, lambda: broken, force=True),
+    ):
+        with pytest.raises(Exception, match="no"):
+            attempt()
+        assert storage.count_rows(spark, path) == 3
+    storage.write_parquet(storage.read_parquet(spark, path).where("id > 0"), path)
+    assert storage.count_rows(spark, path) == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["relation"]
+
+
+def test_failed_load_leaves_the_old_table(spark, tmp_path):
+    name = scratch_path(spark, "t").rsplit("/", 1)[1].replace("-", "_")
+    storage.replace_table(spark.range(3), name, str(tmp_path))
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        storage.replace_table(broken, name, str(tmp_path))
+    assert spark.table(name).count() == 3
+    storage.replace_table(spark.table(name).where("id > 0"), name, str(tmp_path))
+    assert spark.table(name).count() == 2
+
+
+def test_patch_in_place_is_checked_before_the_swap(spark, tmp_path):
+    path = str(tmp_path / "relation")
+    storage.write_parquet(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), path)
+    patch = spark.createDataFrame([("b", 20)], "k string, v int")
+    assert apply_patch(spark, path, patch, "k") == 2
+    stray = spark.createDataFrame([("z", 0)], "k string, v int")
+    with pytest.raises(ValueError, match="row count changed"):
+        apply_patch(spark, path, stray, "k")
+    assert rows(storage.read_parquet(spark, path)) == [("a", 1), ("b", 20)]
+
+
+def test_answers_are_not_paid_twice(spark, tmp_path):
+    source = spark.createDataFrame(
+        [(f"P{i}", f"G{i}", "n", "text" if i else None) for i in range(6)],
+        "uniprot_accession string, gene_symbol string, protein_name string, function_raw string",
+    )
+    path = str(tmp_path / "answers")
+
+    def answer(prompts):
+        return ['{"function_friendly": "f", "tagline": "t"}' for _ in prompts]
+
+    assert R.send(R.requests(source, 3), answer, path, "m") == 2
+    assert storage.read_manifest(spark, f"{path}.manifest").first()["model_id"] == "m"
+    assert R.send(R.requests(source), answer, path, "m", partitions=2, waves=2) == 3
+    assert R.send(R.requests(source), answer, path, "m") == 0
+    assert R.send(R.requests(source), answer, path, "m", force=True) == 5
+
+    def fail(prompts):
+        raise RuntimeError("called again")
+
+    got = R.rewrite(source, fail, "m", path=path)
+    assert got.where("function_friendly = 'f'").count() == 5 and got.count() == 6
+
+
+def test_rows_without_a_direction_keep_their_place(spark):
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None)], "id int, v array<double>"
+    )
+    got = {r["id"]: r for r in project_2d(df, "v").collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert got[3]["umap_x"] is got[4]["umap_y"] is None and got[1]["umap_x"] is not None
+
+
 def test_projection_is_the_principal_plane(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(60, 5)) * np.array([3.0, 2.0, 0.5, 0.1, 0.1]) + 5.0

@@ -147,8 +147,12 @@ def test_parts_fail_loudly(spark, tmp_path):
     spark.range(10).selectExpr("id", "id * 2 AS extra").repartition(2).write.parquet(path)
     assert readers.read_parts(spark, path, ["id"]).columns == ["id"]
     assert readers.read_parts(spark, path, ["id"]).count() == 10
-    with pytest.raises(AnalysisException):
+    with pytest.raises(ValueError, match="no column absent"):
         readers.read_parts(spark, path, ["absent"])
+    spark.range(3).selectExpr("id", "id AS other").write.mode("append").parquet(path)
+    assert readers.read_parts(spark, path, ["id"]).count() == 13
+    with pytest.raises(ValueError, match="no column extra"):
+        readers.read_parts(spark, path, ["id", "extra"])
     with pytest.raises(AnalysisException):
         readers.read_parts(spark, str(tmp_path / "nowhere"), ["id"])
 
@@ -181,6 +185,30 @@ def test_pipe_table(spark, tmp_path):
     ]
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    assert readers.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
+def test_spread_does_what_it_is_told(spark):
+    assert readers.spread(spark.range(0, 10, 1, 1), 4).rdd.getNumPartitions() == 4
     assert readers.spread(spark.range(0, 100, 1, 9)).rdd.getNumPartitions() == 9
+
+
+@pytest.mark.parametrize("line", ["no json", '{"sequence": {"value": "MK"}}'])
+def test_broken_entries_stop_every_query(spark, tmp_path, line):
+    path = tmp_path / "entries.jsonl"
+    path.write_text("\n".join([json.dumps(FULL), line]))
+    with pytest.raises(Exception, match="entry without primaryAccession"):
+        readers.read_entries(spark, str(path)).count()
+
+
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    folder = tmp_path / "tsv"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("Gene\tKey\ng1\tk1\n")
+    (folder / "b.tsv").write_text("Key\tGene\nk2\tg2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_tsv(spark, str(folder), {"Gene": "gene", "Key": "key"}).collect()
+
+
+def test_two_resolved_edge_sets_in_one_plan(spark):
+    mapping = spark.createDataFrame([("a", "A"), ("b", "B")], "id string, accession string")
+    edges = spark.createDataFrame([("a", "b", 900)], "protein1 string, protein2 string, combined_score int")
+    one, two = (resolve_edges(edges, mapping)[0] for _ in range(2))
+    assert one.unionByName(two).count() == 2

@@ -21,7 +21,7 @@ def _id(prefix: str, column: str) -> Column:
 
 
 def uniprot(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"), spark.sparkContext.defaultParallelism)
     none = F.array().cast("array<string>")
     return (
         table(spark, sf, "part")
@@ -105,7 +105,7 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_discount", "l_returnflag"
     )
-    return spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return spread(lines, spark.sparkContext.defaultParallelism).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def ot_associations(spark: SparkSession, sf: str) -> DataFrame:

@@ -273,7 +273,7 @@ def symbol_unmatched(spark: SparkSession, sf: str) -> DataFrame:
              WHERE length(text) > 0)""",
 )
 def letter_counts(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text", "n_chars"), spark.sparkContext.defaultParallelism)
     return letter_composition(documents, "doc_id", "text", "n_chars")
 
 

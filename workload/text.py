@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from keystar.functions.json_text import has_unescaped_quotes, parse_status, parsed_object, string_field
 from keystar.functions.texts import prompt
-from keystar.operators.patch import check_patch, patch_by_key
+from keystar.operators.patch import apply_patch
 from keystar.plans import rewrite as R
+from keystar.session import scratch_path
+from keystar.sources.storage import read_parquet, write_parquet
 from workload.bronze import uniprot
 from workload.registry import query, table, with_ctes
 from workload.star import STAR_SQL, star
@@ -115,6 +117,55 @@ def rewrite_batch(spark: SparkSession, sf: str) -> DataFrame:
     return R.rewrite(source, _stand_in, "stand-in").drop("generated_at")
 
 
+@query(
+    "P24 Q19",
+    with_ctes(
+        STAR_SQL,
+        """SELECT primary_accession AS uniprot_accession, function_raw AS function_friendly
+           FROM b_uniprot ORDER BY primary_accession LIMIT 25""",
+    ),
+)
+def rewrite_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """A trial run over the first keys."""
+    source = star(spark, sf)["stg_uniprot"]
+    return R.rewrite(source, _stand_in, "stand-in", limit=25).select(
+        "uniprot_accession", "function_friendly"
+    )
+
+
+@query(
+    "Q19 S8 S9",
+    with_ctes(
+        STAR_SQL,
+        """SELECT least(25, count(*)) AS trial_keys, count(function_raw) AS answers,
+                  0::BIGINT AS second_sent, count(function_raw) AS after_force,
+                  true AS trial_not_sent_again
+           FROM b_uniprot""",
+    ),
+)
+def rewrite_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """A trial run, the rest, the same again, and all of it anew."""
+    source = star(spark, sf)["stg_uniprot"]
+    path = scratch_path(spark, "answers")
+    trial = R.requests(source, 25)
+    wanted = R.requests(source)
+    first = R.send(trial, _stand_in, path, "stand-in")
+    rest = R.send(wanted, _stand_in, path, "stand-in", partitions=4, waves=2)
+    second = R.send(wanted, _stand_in, path, "stand-in")
+    forced = R.send(wanted, _stand_in, path, "stand-in", force=True, partitions=4)
+    answers = read_parquet(spark, path)
+    counts = {
+        "second_sent": second,
+        "after_force": forced,
+    }
+    return answers.agg(F.count_distinct("uniprot_accession").alias("answers")).select(
+        F.lit(trial.count()).cast("long").alias("trial_keys"),
+        "answers",
+        *(F.lit(v).cast("long").alias(k) for k, v in counts.items()),
+        (F.lit(first + rest) == F.col("answers")).alias("trial_not_sent_again"),
+    )
+
+
 @query(
     "A17 Q19",
     with_ctes(
@@ -161,7 +212,10 @@ def rewrite_redo(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def rewrite_patch(spark: SparkSession, sf: str) -> DataFrame:
-    old = star(spark, sf)["stg_llm_rewrites"]
+    """The written relation patched in place."""
+    path = scratch_path(spark, "rewrites")
+    write_parquet(star(spark, sf)["stg_llm_rewrites"], path)
+    old = read_parquet(spark, path)
     rings = uniprot(spark, sf).where(F.endswith("protein_name", F.lit("ring"))).select(
         F.col("primary_accession").alias("uniprot_accession")
     )
@@ -170,6 +224,5 @@ def rewrite_patch(spark: SparkSession, sf: str) -> DataFrame:
         .join(rings, "uniprot_accession", "left_semi")
         .select("uniprot_accession", F.lit("redone").alias("function_friendly"), "tagline")
     )
-    merged = patch_by_key(old, patch, "uniprot_accession")
-    check_patch(old, merged)
-    return merged
+    apply_patch(spark, path, patch, "uniprot_accession")
+    return read_parquet(spark, path)
