@@ -1,8 +1,9 @@
-"""Token ids of whole texts with a tokenizer that drops white space.
+"""Token ids of whole texts with a tokenizer that lower-cases and drops white space.
 
-Its tokens never cross white space, so the ids of a text are those of its chunks. Chunks are
-looked up in a store the worker keeps; new ones of plain letters and punctuation go through
-the bare merge model, without its normaliser, all others through the whole tokenizer.
+Texts of plain Latin letters, digits and ASCII marks are cut into pre-tokens by one pattern and
+looked up in a store the worker keeps; new pre-tokens go through the bare merge model. Any other
+text is cut at white space, which no token crosses, and its new chunks go through the whole
+tokenizer.
 """
 
 from __future__ import annotations
@@ -10,16 +11,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from itertools import filterfalse
 
 from keystar.llm.common import worker_store
 
-#: Chunks and words a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Pre-tokens, and chunks, in each of the two generations a worker remembers.
+REMEMBERED = 200_000
 
-# Letters that are their own composed form and have a lower-case form of one letter, then
-# punctuation without the apostrophe, which can start a token of its own.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Characters whose normal form and lower case are themselves or one such letter.
+_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+# The tokenizer's own pattern, within these characters.
+_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
 # White space to Python's split() that the tokenizer reads as characters.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _BLANK = re.compile(r"[ \t\n\r]+")
@@ -32,6 +35,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Remembered:
+    """A look-up in two generations: a full young one becomes the old one."""
+
+    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]]) -> None:
+        self.compute = compute
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def prepare(self, rows: list[list[str]]) -> None:
+        """Have every key of ``rows`` in the young generation."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        missing: set[str] = set()
+        for keys in rows:
+            missing.update(filterfalse(self.young.__contains__, keys))
+        held = missing & self.old.keys()
+        self.young.update((x, self.old[x]) for x in held)
+        new = list(missing - held)
+        if new:
+            self.young.update(zip(new, self.compute(new), strict=True))
+
+    def joined(self, keys: list[str]) -> bytes:
+        return b"".join(map(self.young.__getitem__, keys))
+
+
 class ChunkEncoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,8 +70,8 @@ class ChunkEncoder:
         self.bare = Tokenizer(self.whole.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = _byte_letters()
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.tokens = Remembered(self._merge)
+        self.chunks = Remembered(self._encode)
 
     @staticmethod
     def of(path: str) -> ChunkEncoder:
@@ -53,52 +81,36 @@ class ChunkEncoder:
             store[path] = ChunkEncoder(path)
         return store[path]
 
-    @staticmethod
-    def split(text: str) -> list[str]:
-        if _SEPARATORS.search(text):
-            return [x for x in _BLANK.split(text) if x]
-        return text.split()
+    def _merge(self, tokens: list[str]) -> list[bytes]:
+        mapped = [
+            t if t.isascii() else t.encode().decode("latin-1").translate(self.letters)
+            for t in tokens
+        ]
+        return self._ids(self.bare.encode_batch_fast(mapped, add_special_tokens=False))
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        return self._ids(self.whole.encode_batch_fast(chunks, add_special_tokens=False))
 
     @staticmethod
     def _ids(encodings: Iterable) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in encodings]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        parts, odd = {}, []
-        for chunk in new:
-            found = _PLAIN.fullmatch(chunk)
-            if found:
-                parts[chunk] = found[1].lower(), found[2]
-            else:
-                odd.append(chunk)
-        marks = {m for _, m in parts.values()} - self.words.keys()
-        words = list({w for w, _ in parts.values()} - self.words.keys())
-        odd += marks - {""}
-        mapped = [
-            w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
-            for w in words
-        ]
-        found = self._ids(self.bare.encode_batch_fast(mapped, add_special_tokens=False))
-        self.words.update(zip(words, found, strict=True))
-        found = self._ids(self.whole.encode_batch_fast(odd, add_special_tokens=False))
-        self.chunks.update(zip(odd, found, strict=True))
-        self.words.update((m, self.chunks[m]) for m in marks if m)
-        self.words[""] = b""
-        for chunk, (word, mark) in parts.items():
-            self.chunks[chunk] = self.words[word] + self.words[mark]
+    @staticmethod
+    def split(text: str) -> list[str]:
+        if _SEPARATORS.search(text):
+            return [x for x in _BLANK.split(text) if x]
+        return text.split()
 
     def encode(self, batch: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [self.split(x) for x in batch]
-        new = set().union(*split) - self.chunks.keys()
-        if new:
-            self._learn(list(new))
-            missing = set().union(*split) - self.chunks.keys()
-            if missing:  # the store was emptied meanwhile
-                self._learn(list(missing))
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in split]
+        plain = [_PLAIN.fullmatch(x) is not None for x in batch]
+        cut = [
+            _TOKEN.findall(x.lower()) if easy else self.split(x)
+            for x, easy in zip(batch, plain, strict=True)
+        ]
+        for known, easy in ((self.tokens, True), (self.chunks, False)):
+            known.prepare([keys for keys, own in zip(cut, plain, strict=True) if own == easy])
+        return [
+            (self.tokens if easy else self.chunks).joined(keys)
+            for keys, easy in zip(cut, plain, strict=True)
+        ]
