@@ -36,13 +36,13 @@ DISCOUNT = 0.75
 #: Bits of one character in a packed n-gram; 6 x 10 fit a long.
 BITS = 10
 #: Slots of a hashed count table: a prime, 4 bytes each. A model has 24 such tables at most.
-SLOTS = 999_983
+SLOTS = 499_979
 #: Labelled rows that the classes are learned from, in expectation; all rows if there are fewer.
 LABEL_ROWS = 200_000
 #: Longer words are read in pieces of this length.
 WORD_CHARS = 256
 #: Distinct words a task counts, or a worker remembers, before it starts anew.
-WORDS = 400_000
+WORDS = 250_000
 RIDGE = 1e-3
 #: A document that scores this much is toxic.
 THRESHOLD = 0.7
