@@ -89,14 +89,14 @@ def max_evidence(
 ) -> DataFrame:
     """Best score per (anchor, subject), foreign ids resolved through ``bridge``.
 
-    The bridge is restricted to known anchors before it meets the evidence, and subjects
-    are restricted after the rollup, when the rows are fewest.
+    Evidence is rolled up by foreign id and the bridge restricted to known anchors before the
+    two meet; subjects are restricted after the rollup, when the rows are fewest.
     """
     links = bridge.select(foreign, anchor).where(F.col(anchor).isNotNull())
     links = restrict_to(links, anchors, {anchor: anchors.columns[0]})
+    strongest = evidence.groupBy(foreign, subject).agg(F.max(score).alias(score))
     best = (
-        evidence.select(foreign, subject, score)
-        .join(links, foreign)
+        strongest.join(links, foreign)
         .groupBy(anchor, subject)
         .agg(F.max(score).alias(score))
     )

@@ -58,12 +58,14 @@ def project_2d(df: DataFrame, vector: str, x: str = "umap_x", y: str = "umap_y")
     ready = df.where(placed).withColumn(
         "_vector", array_to_vector(F.col(vector).cast("array<double>"))
     )
+    nowhere = F.lit(None).cast("float")
+    if ready.isEmpty():
+        return df.select("*", nowhere.alias(x), nowhere.alias(y))
     ready = Normalizer(inputCol="_vector", outputCol="_unit", p=2.0).transform(ready)
     model = PCA(k=2, inputCol="_unit", outputCol="_axes").fit(ready)
     weights = model.pc.toArray()
     flips = [1.0 if w[np.abs(w).argmax()] >= 0 else -1.0 for w in weights.T]
     axes = vector_to_array(F.col("_axes"))
-    nowhere = F.lit(None).cast("float")
     return (
         model.transform(ready)
         .select(

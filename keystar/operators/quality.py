@@ -192,6 +192,14 @@ def summarize(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataF
     return reduce(DataFrame.unionByName, results)
 
 
+def require(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> None:
+    """Raise with the names of the checks that found violations, and how many."""
+    found = summarize(checks, tables).where("violations > 0").orderBy("check_name").collect()
+    if found:
+        named = ", ".join(f"{r['check_name']} ({r['violations']})" for r in found)
+        raise ValueError(f"checks violated: {named}")
+
+
 def coverage(left: DataFrame, right: DataFrame, nulls: dict[str, Column]) -> DataFrame:
     """Row counts of two relations and, for the right one, how often each condition holds."""
     counts = right.agg(

@@ -35,15 +35,44 @@ DISEASES = "top_diseases"
 DRUGS = "approved_drugs"
 
 
-def _only(df: DataFrame, keys: DataFrame | None) -> DataFrame:
-    return df if keys is None else restrict_to(df, keys, {ANCHOR: keys.columns[0]})
+# A one-column relation of keys, or a few of them as literals that reach the scans.
+Keys = DataFrame | list[str] | None
 
 
-def top_partners(tables: Mapping[str, DataFrame], keys: DataFrame | None, n: int) -> DataFrame:
-    """(anchor, rank, accession, gene_symbol, protein_name, combined_score)."""
-    seen = _only(
-        symmetric(tables["fact_interaction"], "uniprot_a", "uniprot_b", ANCHOR, "accession"), keys
-    )
+def _only(df: DataFrame, keys: Keys) -> DataFrame:
+    if keys is None:
+        return df
+    if isinstance(keys, list):
+        return df.where(F.col(ANCHOR).isin(keys))
+    return restrict_to(df, keys, {ANCHOR: keys.columns[0]})
+
+
+def partners(edges: DataFrame, keys: Keys = None) -> DataFrame:
+    """(anchor, accession, combined_score): each edge from both ends, or from the given keys.
+
+    Keys restrict each end of the stored edges, so the whole relation is never doubled.
+    """
+    if keys is None:
+        return symmetric(edges, "uniprot_a", "uniprot_b", ANCHOR, "accession")
+    sides = [
+        _only(
+            edges.select(F.col(own).alias(ANCHOR), F.col(other).alias("accession"), "combined_score"),
+            keys,
+        )
+        for own, other in (("uniprot_a", "uniprot_b"), ("uniprot_b", "uniprot_a"))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def top_partners(tables: Mapping[str, DataFrame], keys: Keys, n: int) -> DataFrame:
+    """(anchor, rank, accession, gene_symbol, protein_name, combined_score).
+
+    Reads the relation that is stored by anchor where the tables have it.
+    """
+    if "fact_protein_partner" in tables:
+        seen = _only(tables["fact_protein_partner"], keys)
+    else:
+        seen = partners(tables["fact_interaction"], keys)
     best = top_n(seen, ANCHOR, n, F.desc("combined_score"), F.asc("accession"))
     names = tables["dim_protein"].select(
         F.col(ANCHOR).alias("accession"), "gene_symbol", "protein_name"
@@ -53,7 +82,7 @@ def top_partners(tables: Mapping[str, DataFrame], keys: DataFrame | None, n: int
     )
 
 
-def top_diseases(tables: Mapping[str, DataFrame], keys: DataFrame | None, n: int) -> DataFrame:
+def top_diseases(tables: Mapping[str, DataFrame], keys: Keys, n: int) -> DataFrame:
     """(anchor, rank, efo_id, disease_name, overall_score)."""
     best = top_n(
         _only(tables["fact_protein_disease"], keys),
@@ -73,7 +102,7 @@ def late_drugs(tables: Mapping[str, DataFrame], min_phase: int) -> DataFrame:
 
 
 def top_drugs(
-    tables: Mapping[str, DataFrame], keys: DataFrame | None, n: int, min_phase: int
+    tables: Mapping[str, DataFrame], keys: Keys, n: int, min_phase: int
 ) -> DataFrame:
     """(anchor, rank, chembl_id, drug_name, max_phase)."""
     late = late_drugs(tables, min_phase).select("chembl_id", "drug_name", "max_phase")
@@ -84,13 +113,13 @@ def top_drugs(
 
 def story_cards(
     tables: Mapping[str, DataFrame],
-    keys: DataFrame | None = None,
+    keys: Keys = None,
     n_partners: int = K.TOP_PARTNERS,
     n_diseases: int = K.TOP_DISEASES,
     n_drugs: int = K.TOP_DRUGS,
     min_phase: int = K.LATE_PHASE,
 ) -> DataFrame:
-    """One row per protein (or per key of a one-column ``keys``) with three ranked lists.
+    """One row per protein (or per key in ``keys``) with three ranked lists.
 
     Each list is limited before its names are joined and before anything is gathered. All
     joins share the anchor key, so the wide dimension is partitioned once. A missing list is

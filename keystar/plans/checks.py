@@ -32,7 +32,7 @@ NOT_NULL = {
     "fact_drug_target_disease": ["chembl_id", ANCHOR],
     "dim_protein_editorial": [ANCHOR, "tagline", "is_curated"],
     "seed_amino_acids": [
-        "amino_acid_code", "name", "three_letter_code", "category", "produced_by_body", "description",
+        "amino_acid_code", "name", "three_letter_code", "category", "produced_by_body",
     ],
     "family_group_map": ["protein_class_token", "family_group", "priority"],
 }
@@ -111,6 +111,15 @@ def _outside(column: str, low: object, high: object) -> object:
     return lambda: (F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high))
 
 
+def described_seed() -> Q.Check:
+    """For a residue seed of the user's own, whose descriptions are there to be shown."""
+    return Q.RowCheck(
+        "not_null_seed_amino_acids_description",
+        "seed_amino_acids",
+        lambda: F.col("description").isNull(),
+    )
+
+
 def star_checks() -> list[Q.Check]:
     floor = F.lit(K.MIN_OVERALL_SCORE).cast("decimal(10,6)")
     real = frozenset({Q.REAL_DATA})

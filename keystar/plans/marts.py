@@ -11,7 +11,7 @@ from keystar import constants as K
 from keystar import schemas
 from keystar.functions.texts import repair_dash, stage_phase
 from keystar.operators.composition import letter_composition
-from keystar.operators.dedup import max_evidence, pair_max, restrict_to
+from keystar.operators.dedup import max_evidence, pair_max, restrict_to, symmetric
 
 ANCHOR = "uniprot_accession"
 
@@ -191,6 +191,9 @@ def build_marts(t: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]
         "dim_drug": lambda: dim_drug(t["stg_ot_drugs"], t["stg_ot_drug_molecules"]),
         "fact_protein_tissue": lambda: fact_protein_tissue(t["stg_hpa"], keys()),
         "fact_interaction": lambda: fact_interaction(t["stg_string"], keys()),
+        "fact_protein_partner": lambda: symmetric(
+            fact_interaction(t["stg_string"], keys()), "uniprot_a", "uniprot_b", ANCHOR, "accession"
+        ),
         "fact_protein_disease": lambda: fact_protein_disease(
             t["stg_ot_associations"], t["stg_ot_targets"], keys(), t["stg_ot_diseases"]
         ),

@@ -6,9 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keystar import schemas
+from keystar.operators.embedding import ModelFactory
+from keystar.operators.quality import schema_differences
 from keystar.plans.marts import ANCHOR, amino_acids, build_marts, family_groups
 from keystar.plans.staging import build_staging
 from keystar.plans.tables import Tables
+from keystar.plans.vectors import fact_embedding, fact_protein_neighbor
 from keystar.sources.storage import bronze_paths, read_parquet, replace_table
 
 
@@ -18,8 +22,13 @@ def build_star(
     editorial: DataFrame,
     residues: DataFrame | None = None,
     groups: DataFrame | None = None,
+    model: tuple[ModelFactory, str] | None = None,
 ) -> Tables:
-    """Staging relations, marts and seeds by name; nothing is planned before it is asked for."""
+    """Staging relations, marts and seeds by name; nothing is planned before it is asked for.
+
+    With a ``model`` (batch function factory and version) the embedding and neighbour facts are
+    among the marts.
+    """
     seeds = Tables(
         {
             "seed_amino_acids": lambda: amino_acids(spark) if residues is None else residues,
@@ -28,7 +37,15 @@ def build_star(
         }
     )
     sources = seeds.extended(build_staging(bronze))
-    return sources.extended(build_marts(sources))
+    marts = sources.extended(build_marts(sources))
+    if model is None:
+        return marts
+    embedded = marts.extended(
+        {"fact_embedding": lambda: fact_embedding(marts["stg_uniprot"], *model)}
+    )
+    return embedded.extended(
+        {"fact_protein_neighbor": lambda: fact_protein_neighbor(embedded["fact_embedding"])}
+    )
 
 
 def load_bronze(
@@ -47,12 +64,15 @@ def write_marts(
 ) -> list[str]:
     """Save seeds, dimensions and facts as tables (staging stays views); returns their names.
 
-    With ``buckets`` every mart that has the anchor key is stored by it, which lets cards and
+    A relation without its declared columns and types stops the run before it is written. With ``buckets`` every mart that has the anchor key is stored by it, which lets cards and
     map extracts read their sides already partitioned.
     """
     names = sorted(n for n in star if not n.startswith("stg_"))
     tables = [f"{database}.{n}" if database else n for n in names]
     for name, table in zip(names, tables, strict=True):
+        differences = schema_differences(star[name], schemas.MARTS[name])
+        if differences:
+            raise ValueError(f"{name}: {'; '.join(differences)}")
         mart = name.startswith(("dim_", "fact_")) and ANCHOR in star[name].columns
         replace_table(star[name], table, key=ANCHOR if mart else None, buckets=buckets)
     return tables

@@ -99,3 +99,56 @@ SEED_AMINO_ACIDS = _struct(
 )
 SEED_FAMILY_GROUPS = _struct(protein_class_token=_s, family_group=_s, priority=_i)
 SEED_EDITORIAL = _struct(uniprot_accession=_s, tagline=_s, function_friendly=_s, is_curated=_b)
+
+_score, _small, _time = T.DecimalType(10, 6), T.ShortType(), T.TimestampType()
+_f = T.FloatType()
+
+# Dimension, fact or seed -> the columns it is stored with.
+MARTS = {
+    "seed_amino_acids": SEED_AMINO_ACIDS,
+    "family_group_map": SEED_FAMILY_GROUPS,
+    "dim_protein_editorial": SEED_EDITORIAL,
+    "dim_protein": _struct(
+        uniprot_accession=_s,
+        gene_symbol=_s,
+        protein_name=_s,
+        sequence_length=_l,
+        sequence=_s,
+        pfam_id=_s,
+        function_raw=_s,
+        function_friendly=_s,
+        tagline=_s,
+        is_curated=_b,
+        ensembl_gene_id=_s,
+        string_protein_id=_s,
+        chembl_target_id=_s,
+        protein_class=_s,
+        subcellular_location=_s,
+        family_group=_s,
+        updated_at=_time,
+    ),
+    "dim_disease": _struct(efo_id=_s, disease_name=_s, therapeutic_area=_s),
+    "dim_drug": _struct(chembl_id=_s, drug_name=_s, max_phase=_small, modality=_s),
+    "fact_protein_tissue": _struct(uniprot_accession=_s, tissue=_s, expression_level=_s),
+    "fact_interaction": _struct(uniprot_a=_s, uniprot_b=_s, combined_score=_i),
+    "fact_protein_partner": _struct(uniprot_accession=_s, accession=_s, combined_score=_i),
+    "fact_protein_disease": _struct(uniprot_accession=_s, efo_id=_s, overall_score=_score),
+    "fact_drug_target_disease": _struct(
+        chembl_id=_s, uniprot_accession=_s, efo_id=_s, mechanism_of_action=_s
+    ),
+    "fact_protein_aa_composition": _struct(
+        uniprot_accession=_s, amino_acid_code=_s, count=_l, pct_of_sequence=_d
+    ),
+    "fact_embedding": _struct(
+        uniprot_accession=_s,
+        embedding=T.ArrayType(_f),
+        umap_x=_f,
+        umap_y=_f,
+        model_version=_s,
+        was_truncated=_b,
+        computed_at=_time,
+    ),
+    "fact_protein_neighbor": _struct(
+        uniprot_accession=_s, neighbor_accession=_s, similarity=_f, rank=_i
+    ),
+}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,12 +23,20 @@ DEFAULTS = {
 
 
 def build_session(
-    app: str = "keystar", master: str | None = None, conf: dict[str, str] | None = None
+    app: str = "keystar",
+    master: str | None = None,
+    conf: dict[str, str] | None = None,
+    shuffle_partitions: int | None = None,
 ) -> SparkSession:
+    """``shuffle_partitions`` is where AQE starts merging from: the shuffled bytes of the largest
+    stage over what fits in a task, some thousands for many TB."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    sized = {}
+    if shuffle_partitions:
+        sized["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
+    for key, value in {**DEFAULTS, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -49,9 +60,30 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+# The folder of the run that is open, if any.
+_run: ContextVar[str | None] = ContextVar("scratch_run", default=None)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for everything that is stashed inside, removed at the end.
+
+    What is computed inside has to be written elsewhere before the run ends. Without a run,
+    stashed relations stay until the owner of the scratch folder removes them.
+    """
+    folder = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch folder; never reused, so no run sees another's files."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_run.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:

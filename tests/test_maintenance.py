@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 
 import numpy as np
@@ -14,7 +15,7 @@ from keystar.operators.embedding import embed, masked_mean, project_2d
 from keystar.operators.patch import apply_patch, check_patch, member_check, patch_by_key, split_members
 from keystar.plans import rewrite as R
 from keystar.plans.vectors import fact_embedding, fact_protein_neighbor
-from keystar.session import scratch_path, scratch_root, stash
+from keystar.session import scratch_path, scratch_root, scratch_run, stash
 from keystar.sources import storage
 from tests.conftest import rows
 
@@ -27,6 +28,14 @@ def test_scratch_is_the_configured_folder(spark):
     assert stash(spark.range(3), "ids").count() == 3
 
 
+def test_run_folder_goes_with_its_run(spark):
+    with scratch_run(spark) as folder:
+        inside = stash(spark.range(3), "ids")
+        assert inside.inputFiles()[0].startswith(f"file://{folder}/ids-") and inside.count() == 3
+    assert not os.path.exists(folder)
+    assert not scratch_path(spark, "x").startswith(folder)
+
+
 def test_versioned_write_is_skipped_unless_forced(spark, tmp_path):
     path = storage.versioned_path(str(tmp_path), "group", "1", "relation")
     assert path.endswith("/group/v1/relation")

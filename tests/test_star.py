@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,7 +118,6 @@ def test_checks_on_the_star(star):
     found = {name: n for name, n in rows(Q.summarize(C.star_checks(), star)) if n}
     # Seed notes are the user's; C4's disease and stage are unknown; three proteins are few.
     assert found == {
-        "not_null_seed_amino_acids_description": 20,
         "accepted_stages": 1,
         "relationships_fact_drug_target_disease_efo_id": 1,
         "protein_volume": 1,
@@ -127,7 +127,10 @@ def test_checks_on_the_star(star):
 
 def test_zero_rows(spark):
     empty = build_star(
-        spark, storage.empty_sources(spark), spark.createDataFrame([], schemas.SEED_EDITORIAL)
+        spark,
+        storage.empty_sources(spark),
+        spark.createDataFrame([], schemas.SEED_EDITORIAL),
+        model=(lambda: lambda texts: np.zeros((len(texts), 2), np.float32), "none"),
     )
     for name in empty:
         if name.startswith(("stg_", "dim_", "fact_")):
@@ -135,7 +138,13 @@ def test_zero_rows(spark):
     assert story_cards(empty).count() == 0
     untagged = Q.select_checks(C.star_checks(), exclude=[Q.REAL_DATA])
     found = {name: n for name, n in rows(Q.summarize(untagged, empty)) if n}
-    assert found == {"not_null_seed_amino_acids_description": 20}
+    assert found == {}
+    Q.require(untagged, empty)
+    with pytest.raises(ValueError, match=r"not_null_seed_amino_acids_description \(20\)"):
+        Q.require([*untagged, C.described_seed()], empty)
+    for name in empty:
+        if not name.startswith("stg_"):
+            assert Q.schema_differences(empty[name], schemas.MARTS[name]) == [], name
 
 
 def test_landed_bronze_to_tables(spark, bronze, star, tmp_path):
@@ -147,7 +156,7 @@ def test_landed_bronze_to_tables(spark, bronze, star, tmp_path):
     rebuilt = build_star(spark, landed, star["dim_protein_editorial"])
     spark.sql("CREATE DATABASE IF NOT EXISTS star_test")
     tables = write_marts(rebuilt, "star_test")
-    assert len(tables) == 11
+    assert len(tables) == 12
     assert rows(spark.table("star_test.fact_interaction")) == [("P1", "P2", 900)]
     write_marts(rebuilt, "star_test", buckets=4)
     assert spark.table("star_test.dim_protein").count() == 3
