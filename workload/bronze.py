@@ -1,8 +1,9 @@
 """The nine bronze relations and the editorial seed, derived from the driver tables.
 
 Parts are proteins (with the document of the same number as sequence), lines are edges,
-associations and drug records, customers are diseases, suppliers are drugs. Nothing is left
-out: every driver row becomes a bronze row. ``SQL`` states the same derivation for DuckDB.
+associations and drug records, customers are diseases, suppliers are drugs. Every driver row
+becomes a bronze row, except orders that no line belongs to: they would be diseases without
+evidence. ``SQL`` states the same derivation for DuckDB.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ from workload.star import STAR_SQL, served
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 _PRIORITY_LIST = ", ".join(f"'{p}'" for p in PRIORITIES)
 
+_LETTERS = "".join(sorted(K.RESIDUES))
+
 
 @query("D1", "SELECT p_partkey, doc_id FROM part LEFT JOIN documents ON doc_id = p_partkey WHERE doc_id IS NULL")
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,28 +117,37 @@ def dq_domain(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "D14 A11 J11 X5",
-    """WITH c AS (SELECT doc_id, letter, length(text) - length(replace(text, letter, '')) AS n,
+    f"""WITH c AS (SELECT doc_id, letter, length(text) - length(replace(text, letter, ''))
+                             + CASE WHEN doc_id % 7 = 0 AND letter = 'A' THEN 1 ELSE 0 END AS n,
                          n_chars
-                  FROM documents, (SELECT unnest(string_split('ARNDC', '')) AS letter)
-                  WHERE length(text) > 0),
+                  FROM documents, (SELECT unnest(string_split('{_LETTERS}', '')) AS letter)
+                  WHERE length(text) > 0 AND NOT (doc_id % 11 = 0 AND letter = 'W')),
             t AS (SELECT doc_id, count(*) AS n_rows, sum(n)::BIGINT AS total_counted,
                          round(sum(floor(n::DOUBLE * 100::DOUBLE / n_chars::DOUBLE * 100::DOUBLE + 0.5::DOUBLE)
                                    / 100::DOUBLE), 2) AS total_pct
                   FROM c GROUP BY doc_id)
        SELECT doc_id, n_rows, total_counted, total_pct,
-              length(regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g'))::INTEGER AS standard_residues
+              length(regexp_replace(text, '[^{_LETTERS}]', '', 'g'))::INTEGER AS standard_residues
        FROM t JOIN documents USING (doc_id)
-       WHERE n_rows <> 5 OR total_pct > 100.5
-          OR total_counted <> length(regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g'))""",
+       WHERE n_rows <> 20 OR total_pct > 100.5
+          OR total_counted <> length(regexp_replace(text, '[^{_LETTERS}]', '', 'g'))""",
 )
 def dq_composition(spark: SparkSession, sf: str) -> DataFrame:
-    """Five of the twenty letters counted, so texts with other capitals do not reconcile."""
+    """Every seventh document counts one letter too many, every eleventh lacks a letter's row."""
     documents = table(spark, sf, "documents")
-    counted = letter_composition(documents, "doc_id", "text", "n_chars", letters="ARNDC")
+    counted = letter_composition(documents, "doc_id", "text", "n_chars")
+    added = F.when((F.col("doc_id") % 7 == 0) & (F.col("amino_acid_code") == "A"), 1).otherwise(0)
+    percent = F.floor((F.col("count") + added) * 100.0 / F.col("n_chars") * 100.0 + 0.5) / 100.0
+    counted = (
+        counted.join(documents.select("doc_id", "n_chars"), "doc_id")
+        .where(~((F.col("doc_id") % 11 == 0) & (F.col("amino_acid_code") == "W")))
+        .withColumn("pct_of_sequence", percent)
+        .withColumn("count", F.col("count") + added)
+    )
     expected = documents.where(F.length("text") > 0).select(
         "doc_id", standard_length(F.col("text")).alias("standard_residues")
     )
-    found = Q.composition_complete(counted, expected, "doc_id", 5, K.MAX_TOTAL_PCT)
+    found = Q.composition_complete(counted, expected, "doc_id", 20, K.MAX_TOTAL_PCT)
     return found.withColumn("total_pct", F.round("total_pct", 2))
 
 
@@ -256,12 +267,12 @@ def _suite_sql() -> str:
         ),
         count(
             "composition_complete",
-            """SELECT 1 FROM (SELECT uniprot_accession, count(*) AS n, sum(count) AS total,
+            f"""SELECT 1 FROM (SELECT uniprot_accession, count(*) AS n, sum(count) AS total,
                                      sum(pct_of_sequence) AS pct
                               FROM r_fact_protein_aa_composition GROUP BY 1)
                JOIN r_dim_protein USING (uniprot_accession)
                WHERE n <> 20 OR pct > 100.5
-                  OR total <> length(regexp_replace(sequence, '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g'))""",
+                  OR total <> length(regexp_replace(sequence, '[^{_LETTERS}]', '', 'g'))""",
         ),
         count("protein_volume", "SELECT 1 FROM r_dim_protein HAVING count(*) < 15000"),
         count(
