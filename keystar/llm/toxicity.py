@@ -16,7 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, filterfalse
 from uuid import uuid4
 
 import numpy as np
@@ -41,8 +41,12 @@ SLOTS = 499_979
 LABEL_ROWS = 200_000
 #: Longer words are read in pieces of this length.
 WORD_CHARS = 256
-#: Distinct words a task counts, or a worker remembers, before it starts anew.
-WORDS = 250_000
+#: Distinct words a task counts before it hands them on.
+COUNTED = 100_000
+#: Words a worker remembers before it starts anew.
+REMEMBERED = 200_000
+#: Words whose n-grams are held at once.
+AT_ONCE = 20_000
 RIDGE = 1e-3
 #: A document that scores this much is toxic.
 THRESHOLD = 0.7
@@ -114,7 +118,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counters[0].update(tokens)
             if fold is not None and toxic is not None:
                 counters[(1 if toxic else 2) + (2 if fold == 2 else 0)].update(tokens)
-            if len(counters[0]) > WORDS:
+            if len(counters[0]) > COUNTED:
                 yield record()
     yield record()
 
@@ -124,8 +128,8 @@ def _longest(words: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), 50_000):
-                part = frame.iloc[at : at + 50_000]
+            for at in range(0, len(frame), AT_ONCE):
+                part = frame.iloc[at : at + AT_ONCE]
                 gram, owner = packed_grams(part["word"].tolist())
                 distinct, place = np.unique(gram, return_inverse=True)
                 out = {"g": distinct}
@@ -229,19 +233,25 @@ def _evidence(
             store.clear()
             store[name] = unpacked_tables(sent()), {}
         tables, known = store[name]
-        if len(known) > WORDS:
+        if len(known) > REMEMBERED:
             known.clear()
         return tables, known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 500):
             tables, known = remembered()
             documents = [x.lower().split() for x in texts(batch.column(1))]
-            new = list(set().union(*documents) - known.keys())
-            parts = [words_of(x) for x in new]
-            ratios = word_log_ratios([w for p in parts for w in p], tables, toxic, ordinary)
-            owner = np.repeat(np.arange(len(new)), [len(p) for p in parts])
-            known.update(zip(new, np.bincount(owner, ratios, len(new)).tolist(), strict=True))
+            missing: set[str] = set()
+            for tokens in documents:
+                missing.update(filterfalse(known.__contains__, tokens))
+            new = list(missing)
+            for at in range(0, len(new), AT_ONCE):
+                part = new[at : at + AT_ONCE]
+                cut = [words_of(x) for x in part]
+                ratios = word_log_ratios([w for p in cut for w in p], tables, toxic, ordinary)
+                owner = np.repeat(np.arange(len(part)), [len(p) for p in cut])
+                sums = np.bincount(owner, ratios, len(part)).tolist()
+                known.update(zip(part, sums, strict=True))
             sizes = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
             flat = map(known.__getitem__, chain.from_iterable(documents))
             found = evidence_of(np.fromiter(flat, dtype=np.float64, count=sizes.sum()), sizes)
