@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystar.llm.exact_dedup import dedup
@@ -29,15 +29,10 @@ def _name() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
-def _one_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each ``name`` in ``chosen``; repeated rows share a name."""
-    counted = docs.withColumn("name", _name()).join(chosen.distinct(), "name")
-    again = docs.select(_name().alias("name")).groupBy("name").count().where("count > 1")
-    single = counted.join(again, "name", "left_anti")
-    order = Window.partitionBy("name").orderBy("text")
-    several = counted.join(again.select("name"), "name", "left_semi")
-    first = several.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
-    return single.unionByName(first).select(*docs.columns)
+def _one_each(docs: DataFrame, chosen: DataFrame, **keys: Column) -> DataFrame:
+    """One row of ``docs`` for each key in ``chosen``; rows that share a key are one document."""
+    named = docs.withColumns(keys)
+    return named.join(chosen, list(keys)).dropDuplicates(list(keys)).select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,14 +43,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
     named = docs.select(_name().alias("doc_id"), "text")
-    groups = dedup(named, F.xxhash64("doc_id") > 0)
-    return _one_each(docs, groups.where("kept").select(F.col("doc_id").alias("name")))
+    groups = dedup(named, F.xxhash64("doc_id") > 0).where("kept")
+    kept = groups.select(F.col("doc_id").alias("_name"), F.col("text_sha256").alias("_digest"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return _one_each(docs, kept.distinct(), _name=_name(), _digest=digest)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the smallest doc_id stays."""
     groups = near_groups(docs.select(_name().alias("doc_id"), "text"))
-    return _one_each(docs, groups.select(F.col("component_id").alias("name")))
+    kept = groups.select(F.col("component_id").alias("_name")).distinct()
+    return _one_each(docs, kept, _name=_name())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
