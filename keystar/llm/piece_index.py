@@ -13,6 +13,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,9 @@ class Pieces:
         self.bytes = {
             bytes([int(self.text[i][3:5], 16)]): i for i in range(n) if model.is_byte(i)
         }
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.shown = list(self.text)
+        for byte, i in self.bytes.items():
+            self.shown[i] = byte.decode("ascii", "surrogateescape")
         self.unknown = model.unk_id()
         self.score = np.array([model.get_score(i) for i in range(n)], dtype=np.float64)
         self.ids = np.array(plain, dtype=np.int64)
@@ -58,7 +61,7 @@ class Pieces:
         self.codes = np.zeros((len(plain), self.longest), dtype=np.int64)
         for row, i in enumerate(plain):
             self.codes[row, : len(self.text[i])] = [ord(c) for c in self.text[i]]
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Pieces:
@@ -72,67 +75,107 @@ class Pieces:
         return [self.unknown] if None in found else found
 
 
-def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` characters, by prefix doubling."""
+def packed_keys(codes: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """The first characters at every position as one number, and how many these are."""
+    width = 63 // bits
+    ahead = np.concatenate([codes, np.zeros(width, dtype=np.int64)])
+    keys = np.zeros(len(codes), dtype=np.int64)
+    for i in range(width):
+        keys = (keys << bits) | ahead[i : i + len(codes)]
+    return keys, width
+
+
+def suffix_array(codes: np.ndarray, depth: int, bits: int) -> np.ndarray:
+    """Suffixes in order of their first ``depth`` characters, by prefix doubling.
+
+    Codes are positive and below ``1 << bits``; the first step packs as many as fit a number.
+    """
     n = len(codes)
-    _, rank = np.unique(codes, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    known = 1
+    key, known = packed_keys(codes, bits)
     while True:
-        after = np.zeros(n, dtype=np.int64)
-        if known < n:
-            after[: n - known] = rank[known:]
-        key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
-        known *= 2
+        order = np.argsort(key)
         if known >= depth:
             return order
         changed = np.concatenate([[1], (np.diff(key[order]) != 0).astype(np.int64)])
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(changed)
+        after = np.zeros(n, dtype=np.int64)
+        after[: max(0, n - known)] = rank[known:]
+        key = rank * (n + 2) + after
+        known *= 2
 
 
 def occurrences(
-    codes: np.ndarray, order: np.ndarray, pieces: np.ndarray, sizes: np.ndarray
+    codes: np.ndarray, order: np.ndarray, pieces: np.ndarray, sizes: np.ndarray, bits: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For every piece the range of the suffix array whose suffixes start with it."""
+    """For every piece the range of the suffix array whose suffixes start with it.
+
+    ``pieces`` has a row of codes per piece, with -1 for a character the text has not.
+    """
+    keys, width = packed_keys(codes, bits)
+    keys = keys[order]
+    low = np.zeros(len(pieces), dtype=np.int64)
+    high = np.zeros(len(pieces), dtype=np.int64)
+    within = np.arange(pieces.shape[1])[None, :] < sizes[:, None]
+    there = ~((pieces < 0) & within).any(axis=1)
+    short = np.flatnonzero(there & (sizes <= width))
+    if len(short):
+        first = np.zeros(len(short), dtype=np.int64)
+        last = np.zeros(len(short), dtype=np.int64)
+        for i in range(width):
+            used = i < sizes[short]
+            code = pieces[short, i] if i < pieces.shape[1] else np.zeros(len(short), np.int64)
+            first = (first << bits) | np.where(used, code, 0)
+            last = (last << bits) | np.where(used, code, (1 << bits) - 1)
+        low[short] = np.searchsorted(keys, first, "left")
+        high[short] = np.searchsorted(keys, last, "right")
+    long = np.flatnonzero(there & (sizes > width))
+    if len(long):
+        low[long], high[long] = (
+            _search(codes, order, pieces[long], within[long], upper) for upper in (False, True)
+        )
+    return low, high
+
+
+def _search(
+    codes: np.ndarray, order: np.ndarray, pieces: np.ndarray, within: np.ndarray, upper: bool
+) -> np.ndarray:
+    """Binary searches side by side: where suffixes starting with each piece begin or end."""
     width = pieces.shape[1]
     text = np.concatenate([codes, np.zeros(width, dtype=np.int64)])
-    within = np.arange(width)[None, :] < sizes[:, None]
     rows = np.arange(len(pieces))
-
-    def search(upper: bool) -> np.ndarray:
-        low = np.zeros(len(pieces), dtype=np.int64)
-        high = np.full(len(pieces), len(order), dtype=np.int64)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
-            middle = (low + high) // 2
-            start = order[np.minimum(middle, len(order) - 1)]
-            seen = text[start[:, None] + np.arange(width)]
-            differs = (seen != pieces) & within
-            at = differs.argmax(axis=1)
-            any_ = differs[rows, at]
-            below = np.where(any_, seen[rows, at] < pieces[rows, at], upper)
-            low = np.where(open_ & below, middle + 1, low)
-            high = np.where(open_ & ~below, middle, high)
-
-    return search(False), search(True)
+    low = np.zeros(len(pieces), dtype=np.int64)
+    high = np.full(len(pieces), len(order), dtype=np.int64)
+    while (low < high).any():
+        open_ = low < high
+        middle = (low + high) // 2
+        start = order[np.minimum(middle, len(order) - 1)]
+        seen = text[start[:, None] + np.arange(width)]
+        differs = (seen != pieces) & within
+        at = differs.argmax(axis=1)
+        below = np.where(differs[rows, at], seen[rows, at] < pieces[rows, at], upper)
+        low = np.where(open_ & below, middle + 1, low)
+        high = np.where(open_ & ~below, middle, high)
+    return low
 
 
 class Lattice:
     """Edges of a text, sorted by position: the piece of each (position, length)."""
 
     def __init__(self, text: str, pieces: Pieces) -> None:
-        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-        order = suffix_array(codes, pieces.longest)
-        low, high = occurrences(codes, order, pieces.codes, pieces.sizes)
+        points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        letters, codes = np.unique(points, return_inverse=True)
+        codes = codes.astype(np.int64) + 1
+        bits = len(letters).bit_length()
+        at = np.minimum(np.searchsorted(letters, pieces.codes), len(letters) - 1)
+        known = np.where(letters[at] == pieces.codes, at + 1, -1)
+        order = suffix_array(codes, pieces.longest, bits)
+        low, high = occurrences(codes, order, known, pieces.sizes, bits)
         counts = high - low
         piece = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         start = order[np.repeat(low, counts) + within]
-        by_position = np.argsort(start, kind="stable")
+        by_position = np.argsort(start)
         start, piece = start[by_position], piece[by_position]
         self.width = pieces.longest + 1
         self.table = np.full(len(codes) * self.width, -1, dtype=np.int32)
@@ -227,14 +270,16 @@ def _learn(pieces: Pieces, new: list[str]) -> None:
     order = np.argsort(start, kind="stable")
     start, size = start[order].astype(np.int64), size[order].astype(np.int64)
     ids = lattice.piece(start, size).astype("<i4")
-    cuts = np.searchsorted(start, starts).tolist() + [len(start)]
-    lone = np.flatnonzero(ids < 0)
+    cuts = np.append(np.searchsorted(start, starts), len(start))
+    lone = np.concatenate([[0], np.cumsum(ids < 0)])
+    odd = np.flatnonzero(lone[cuts[1:]] > lone[cuts[:-1]]).tolist()
+    raw, cuts = ids.tobytes(), cuts.tolist()
+    known = pieces.known
     for number, chunk in enumerate(new):
-        own = ids[cuts[number] : cuts[number + 1]]
-        low, high = np.searchsorted(lone, (cuts[number], cuts[number + 1]))
-        if low < high:
-            own = _with_bytes(pieces, own, text, start[cuts[number] : cuts[number + 1]])
-        pieces.known[chunk] = own.copy()
+        known[chunk] = raw[4 * cuts[number] : 4 * cuts[number + 1]]
+    for number in odd:
+        own = slice(cuts[number], cuts[number + 1])
+        known[new[number]] = _with_bytes(pieces, ids[own], text, start[own]).tobytes()
 
 
 def _with_bytes(pieces: Pieces, ids: np.ndarray, text: str, start: np.ndarray) -> np.ndarray:
@@ -249,9 +294,12 @@ def encode_batch(pieces: Pieces, batch: list[str]) -> list[np.ndarray]:
     split = [_CHUNK.findall(MARK + x.replace(" ", MARK)) if x else [] for x in batch]
     if len(pieces.known) > REMEMBERED:
         pieces.known.clear()
+    missing: set[str] = set()
+    for chunks in split:
+        missing.update(filterfalse(pieces.known.__contains__, chunks))
     new: list[str] = []
     size = 0
-    for chunk in set().union(*split) - pieces.known.keys():
+    for chunk in missing:
         if new and size + len(chunk) > INDEX_CHARS:
             _learn(pieces, new)
             new, size = [], 0
@@ -259,27 +307,17 @@ def encode_batch(pieces: Pieces, batch: list[str]) -> list[np.ndarray]:
         size += len(chunk) + 1
     if new:
         _learn(pieces, new)
-    none = np.zeros(0, dtype="<i4")
     known = pieces.known.__getitem__
-    return [np.concatenate(list(map(known, x))) if x else none for x in split]
+    return [np.frombuffer(b"".join(map(known, x)), dtype="<i4") for x in split]
 
 
 def decode_ids(pieces: Pieces, ids: list[int]) -> str:
     """The text of ids: runs of byte pieces as UTF-8, marks as spaces, the first one dropped."""
-    parts: list[str] = []
-    pending = b""
-    for piece in ids:
-        byte = pieces.byte_of.get(piece)
-        if byte is not None:
-            pending += byte
-            continue
-        if pending:
-            parts.append(pending.decode("utf-8", "replace"))
-            pending = b""
-        parts.append(pieces.text[piece])
-    if pending:
-        parts.append(pending.decode("utf-8", "replace"))
-    return "".join(parts).replace(MARK, " ").removeprefix(" ")
+    text = "".join(map(pieces.shown.__getitem__, ids))
+    if not text.isascii():
+        # Byte pieces stand as escaped surrogates, which meet as bytes here.
+        text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+    return text.replace(MARK, " ").removeprefix(" ")
 
 
 def encode(

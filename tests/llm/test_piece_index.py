@@ -45,18 +45,19 @@ def test_random_texts(monkeypatch):
         assert ids.tolist() == LIBRARY.encode(text), text
 
 
+@pytest.mark.parametrize("bits", [2, 13, 21, 31])
 @pytest.mark.parametrize("seed", range(3))
-def test_suffix_array_finds_every_occurrence(seed):
+def test_suffix_array_finds_every_occurrence(seed, bits):
     rng = random.Random(seed)
     text = "".join(rng.choices("abc", k=200))
     words = ["".join(rng.choices("abc", k=rng.randrange(1, 6))) for _ in range(40)] + ["zz"]
-    codes = np.array([ord(c) for c in text])
-    order = suffix_array(codes, 5)
+    codes = np.array([ord(c) - ord("a") + 1 for c in text])
+    order = suffix_array(codes, 5, bits)
     assert [text[i : i + 5] for i in order] == sorted(text[i : i + 5] for i in range(200))
     table = np.zeros((len(words), 5), dtype=np.int64)
     for row, word in enumerate(words):
-        table[row, : len(word)] = [ord(c) for c in word]
-    low, high = occurrences(codes, order, table, np.array([len(w) for w in words]))
+        table[row, : len(word)] = [ord(c) - ord("a") + 1 if c != "z" else -1 for c in word]
+    low, high = occurrences(codes, order, table, np.array([len(w) for w in words]), bits)
     for word, a, b in zip(words, low, high, strict=True):
         want = [i for i in range(200) if text.startswith(word, i)]
         assert sorted(order[a:b].tolist()) == want
