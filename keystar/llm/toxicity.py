@@ -164,11 +164,13 @@ def _tables(grams: DataFrame, order: int) -> Tables:
         "sum": grams.groupBy(_slot(F.shiftright("g", BITS)).alias("slot")).agg(*sums, *distinct),
     }
     for kind, part in parts.items():
-        frame = part.toPandas()
-        for column in frame.columns[1:]:
+        # At most SLOTS rows, as columns.
+        frame = part.toArrow()
+        slot = frame.column("slot").to_numpy()
+        for column in frame.column_names[1:]:
             name = column.removesuffix("_kinds")
             dense = np.zeros(SLOTS, dtype=np.float32)
-            dense[frame["slot"].to_numpy()] = frame[column].to_numpy()
+            dense[slot] = frame.column(column).to_numpy()
             found[order, "kinds" if name != column else kind, name] = dense
     return found
 
@@ -370,10 +372,13 @@ def fit(
 
     placing = marked.where("fold = 2 AND toxic IS NOT NULL AND NOT held_out")
     rows = placing.select(F.struct("toxic").alias("row"), "text")
-    seen = Model(tables).evidence(rows, "t0", "o0").select("row.toxic", *FEATURES).toPandas()
-    weights, offset = fit_curve(seen[FEATURES].to_numpy(), seen["toxic"].to_numpy())
-    ends = [(float(seen[x].min()), float(seen[x].max())) for x in FEATURES if len(seen)]
-    return Model(tables, Curve(weights.tolist(), offset, ends or [(0.0, 0.0)] * len(FEATURES)))
+    seen = Model(tables).evidence(rows, "t0", "o0").select("row.toxic", *FEATURES).toArrow()
+    features = np.column_stack([seen.column(x).to_numpy() for x in FEATURES])
+    weights, offset = fit_curve(features, seen.column("toxic").to_numpy())
+    ranges = [(0.0, 0.0)] * len(FEATURES)
+    if len(features):
+        ranges = [(float(x.min()), float(x.max())) for x in features.T]
+    return Model(tables, Curve(weights.tolist(), offset, ranges))
 
 
 def score_documents(
