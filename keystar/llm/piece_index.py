@@ -13,7 +13,6 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keystar.llm.common import slices, texts, worker_store
+from keystar.llm.word_bpe import Remembered
 
 MARK = "▁"
 #: Characters indexed at once, unless a single chunk is longer.
-INDEX_CHARS = 400_000
-REMEMBERED = 300_000
+INDEX_CHARS = 150_000
 #: Longer chunks are relaxed one by one with a heap instead of side by side.
 SHORT = 64
 NO_SCORE = -np.inf
@@ -61,7 +60,7 @@ class Pieces:
         self.codes = np.zeros((len(plain), self.longest), dtype=np.int64)
         for row, i in enumerate(plain):
             self.codes[row, : len(self.text[i])] = [ord(c) for c in self.text[i]]
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(lambda new: _learn_all(self, new))
 
     @staticmethod
     def of(path: str) -> Pieces:
@@ -256,7 +255,7 @@ class Lattice:
         return np.array(kept) + start, np.array([size[x] for x in kept])
 
 
-def _learn(pieces: Pieces, new: list[str]) -> None:
+def _learn(pieces: Pieces, new: list[str]) -> list[bytes]:
     """Ids of new chunks, indexed together."""
     text = "\0".join(new)
     lattice = Lattice(text, pieces)
@@ -274,12 +273,25 @@ def _learn(pieces: Pieces, new: list[str]) -> None:
     lone = np.concatenate([[0], np.cumsum(ids < 0)])
     odd = np.flatnonzero(lone[cuts[1:]] > lone[cuts[:-1]]).tolist()
     raw, cuts = ids.tobytes(), cuts.tolist()
-    known = pieces.known
-    for number, chunk in enumerate(new):
-        known[chunk] = raw[4 * cuts[number] : 4 * cuts[number + 1]]
+    found = [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
     for number in odd:
         own = slice(cuts[number], cuts[number + 1])
-        known[new[number]] = _with_bytes(pieces, ids[own], text, start[own]).tobytes()
+        found[number] = _with_bytes(pieces, ids[own], text, start[own]).tobytes()
+    return found
+
+
+def _learn_all(pieces: Pieces, new: list[str]) -> Iterator[bytes]:
+    """The same in indexes of bounded size."""
+    part: list[str] = []
+    size = 0
+    for chunk in new:
+        if part and size + len(chunk) > INDEX_CHARS:
+            yield from _learn(pieces, part)
+            part, size = [], 0
+        part.append(chunk)
+        size += len(chunk) + 1
+    if part:
+        yield from _learn(pieces, part)
 
 
 def _with_bytes(pieces: Pieces, ids: np.ndarray, text: str, start: np.ndarray) -> np.ndarray:
@@ -292,23 +304,8 @@ def _with_bytes(pieces: Pieces, ids: np.ndarray, text: str, start: np.ndarray) -
 def encode_batch(pieces: Pieces, batch: list[str]) -> list[np.ndarray]:
     """Ids of each text: a mark in front, spaces as marks, whole chunks looked up or learned."""
     split = [_CHUNK.findall(MARK + x.replace(" ", MARK)) if x else [] for x in batch]
-    if len(pieces.known) > REMEMBERED:
-        pieces.known.clear()
-    missing: set[str] = set()
-    for chunks in split:
-        missing.update(filterfalse(pieces.known.__contains__, chunks))
-    new: list[str] = []
-    size = 0
-    for chunk in missing:
-        if new and size + len(chunk) > INDEX_CHARS:
-            _learn(pieces, new)
-            new, size = [], 0
-        new.append(chunk)
-        size += len(chunk) + 1
-    if new:
-        _learn(pieces, new)
-    known = pieces.known.__getitem__
-    return [np.frombuffer(b"".join(map(known, x)), dtype="<i4") for x in split]
+    pieces.known.prepare(split)
+    return [np.frombuffer(pieces.known.joined(x), dtype="<i4") for x in split]
 
 
 def decode_ids(pieces: Pieces, ids: list[int]) -> str:
@@ -332,7 +329,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(path)
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, 200):
             found = encode_batch(pieces, texts(batch.column(1)))
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([*found, np.zeros(0, dtype="<i4")]).astype(np.int32)
@@ -352,7 +349,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(path)
-        for batch in slices(batches, 1000):
+        for batch in slices(batches, 200):
             text = [None if x is None else decode_ids(pieces, x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(text, pa.string())],
