@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keystar.llm.common import record, rows_of, slices, worker_store
+from keystar.llm.word_bpe import Remembered
 
 # White space and the pre-token pattern of the byte-level vocabularies.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -27,7 +28,6 @@ PATTERN = (
 #: Characters after a pre-token that can decide where it ends.
 CONTEXT = 2
 LEAF = 64
-REMEMBERED = 400_000
 
 COUNTS = (
     "doc_id long, n_chars long, n_tokens long, n_edits int, edited_chars long, "
@@ -44,7 +44,7 @@ class TokenCounter:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, int] = {}
+        self.known = Remembered(self._encode)
         self.pattern = regex.compile(PATTERN)
 
     @staticmethod
@@ -54,25 +54,22 @@ class TokenCounter:
             store[path] = TokenCounter(path)
         return store[path]
 
-    def learn(self, tokens: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set(tokens) - self.known.keys())
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((t, len(e.ids)) for t, e in zip(new, found, strict=True))
+    def _encode(self, new: list[str]) -> list[int]:
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        return [len(e) for e in found]
 
     def counts(self, tokens: list[str]) -> list[int]:
-        self.learn(tokens)
-        return [self.known[t] for t in tokens]
+        self.known.prepare([tokens])
+        return list(map(self.known.young.__getitem__, tokens))
 
 
 class CountTree:
     """A document with the sums of its pre-tokens; leaves are lists of (length, tokens)."""
 
-    def __init__(self, text: str, counter: TokenCounter) -> None:
+    def __init__(self, text: str, counter: TokenCounter, cut: list[str] | None = None) -> None:
+        """``cut`` are the text's pre-tokens, where they are known already."""
         self.text, self.counter, self.reencoded = text, counter, 0
-        tokens = counter.pattern.findall(text)
+        tokens = counter.pattern.findall(text) if cut is None else cut
         self._plant(list(zip(map(len, tokens), counter.counts(tokens), strict=True)))
 
     def _plant(self, pairs: list[tuple[int, int]]) -> None:
@@ -181,8 +178,11 @@ def count_edited(
         counter = TokenCounter.of(path)
         for batch in slices(batches, 200):
             out = []
-            for doc_id, body, changes in rows_of(batch):
-                tree = CountTree(body or "", counter)
+            rows = list(rows_of(batch))
+            cuts = [counter.pattern.findall(body or "") for _, body, _ in rows]
+            counter.known.prepare(cuts)
+            for (doc_id, body, changes), cut in zip(rows, cuts, strict=True):
+                tree = CountTree(body or "", counter, cut)
                 before = len(tree.text), tree.n_tokens
                 done = 0
                 for change in changes or ():

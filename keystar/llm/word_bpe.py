@@ -38,10 +38,10 @@ def _byte_letters() -> dict[int, str]:
 class Remembered:
     """A look-up in two generations: a full young one becomes the old one."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]]) -> None:
+    def __init__(self, compute: Callable[[list[str]], Iterable]) -> None:
         self.compute = compute
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict = {}
+        self.old: dict = {}
 
     def prepare(self, rows: list[list[str]]) -> None:
         """Have every key of ``rows`` in the young generation."""
