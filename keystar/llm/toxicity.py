@@ -5,8 +5,9 @@ document of the corpus; long contexts are counted per class in labelled rows. A
 scored by its length-normalised log-likelihood ratios, put through a logistic curve.
 
 All counts are Spark aggregations: words per task, then distinct character n-grams, then the
-continuation counts of each shorter n-gram. What is broadcast are tables of a fixed number of
-slots, so their size does not depend on the corpus.
+continuation counts of each shorter n-gram. They stay exact in written tables that grow with
+the corpus. Scoring reads documents in blocks: the distinct words of a block, their distinct
+n-grams, and one join of these to the tables; only the ratios come back to the block.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ from __future__ import annotations
 import string
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, filterfalse
 from uuid import uuid4
 
 import numpy as np
@@ -26,27 +26,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keystar.llm.common import slices, texts, worker_store
+from keystar.llm.common import slices, texts
 from keystar.session import stash
 
 ORDER = 6
 #: Shorter n-grams share their counts between the classes, longer ones have them per class.
 SHARED = 3
 DISCOUNT = 0.75
-#: Bits of one character in a packed n-gram; 6 x 10 fit a long.
+#: Bits of one character in a packed n-gram; 6 x 10 fit a long. Counts use no packed n-grams.
 BITS = 10
-#: Slots of a hashed count table: a prime, 4 bytes each. A model has 24 such tables at most.
-SLOTS = 499_979
+#: The chance of a character below the shortest n-grams.
+UNSEEN = 1 / 1024
 #: Labelled rows that the classes are learned from, in expectation; all rows if there are fewer.
 LABEL_ROWS = 200_000
 #: Longer words are read in pieces of this length.
 WORD_CHARS = 256
 #: Distinct words a task counts before it hands them on.
 COUNTED = 100_000
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 200_000
-#: Words whose n-grams are held at once.
-AT_ONCE = 20_000
+#: Distinct words after which a block of documents ends.
+BLOCK_WORDS = 300_000
 RIDGE = 1e-3
 #: A document that scores this much is toxic.
 THRESHOLD = 0.7
@@ -56,11 +54,13 @@ MARGINS = ((1, 2.0), (1, 4.0), (1, 6.0), (-1, 0.0), (-1, 2.0), (-1, 4.0))
 FEATURES = [f"e{i}" for i in range(len(MARGINS))]
 FLOOR = 1e-3
 
-PAD, END = 1, 2
+# White space, which no word holds.
+PAD, END = " ", "\n"
 STRIPPED = string.punctuation + "…„“”‚‘’«»¿¡–—"
 CLASSES = ("t0", "o0", "t", "o")
 
-Tables = dict[tuple, np.ndarray]
+#: By order: ("count") n-grams ``g``, ("sum") histories ``h`` with their sums and kinds.
+Tables = dict[tuple[int, str], DataFrame]
 
 
 def words_of(token: str) -> list[str]:
@@ -77,8 +77,8 @@ def packed_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     A word starts after ORDER - 1 pads and ends with an end mark. Characters beyond the code
     range share codes of its upper half.
     """
-    before = chr(PAD) * (ORDER - 1)
-    text = "".join(f"{before}{w}{chr(END)}" for w in words)
+    before = PAD * (ORDER - 1)
+    text = "".join(f"{before}{w}{END}" for w in words)
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     half = 1 << (BITS - 1)
     code = np.where(code < 2 * half, code, half + code % half)
@@ -92,8 +92,20 @@ def packed_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return gram[kept], owner[kept]
 
 
-def _slot(gram: np.ndarray | Column) -> np.ndarray | Column:
-    return gram % SLOTS
+def grams_of(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The longest n-grams that end at each character of each word, and the word of each.
+
+    A word that ``words_of`` would cut has the n-grams of its pieces.
+    """
+    before, grams, sizes = PAD * (ORDER - 1), [], []
+    for word in words:
+        pieces = [word] if len(word) <= WORD_CHARS else words_of(word)
+        start = len(grams)
+        for piece in pieces:
+            text = before + piece + END
+            grams.extend([text[i : i + ORDER] for i in range(len(piece) + 1)])
+        sizes.append(len(grams) - start)
+    return grams, np.repeat(np.arange(len(words)), sizes)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,75 +140,100 @@ def _longest(words: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), AT_ONCE):
-                part = frame.iloc[at : at + AT_ONCE]
-                gram, owner = packed_grams(part["word"].tolist())
-                distinct, place = np.unique(gram, return_inverse=True)
-                out = {"g": distinct}
-                for name in ("n_all", "t0", "o0", "t", "o"):
-                    weight = part[name].to_numpy()[owner]
-                    out[name] = np.bincount(place, weight, len(distinct)).astype(np.int64)
-                yield pd.DataFrame(out)
+            grams, owner = grams_of(frame["word"].tolist())
+            place, distinct = pd.factorize(np.array(grams, dtype=object))
+            out = {"g": distinct}
+            for name in ("n_all", *CLASSES):
+                weight = frame[name].to_numpy()[owner]
+                out[name] = np.bincount(place, weight, len(distinct)).astype(np.int64)
+            yield pd.DataFrame(out)
 
     both = words.select(
         "word", "n_all", "t0", "o0", (F.col("t0") + F.col("t2")).alias("t"),
         (F.col("o0") + F.col("o2")).alias("o"),
     )
-    partial = both.mapInPandas(run, "g long, n_all long, t0 long, o0 long, t long, o long")
+    partial = both.mapInPandas(run, "g string, n_all long, t0 long, o0 long, t long, o long")
     return partial.groupBy("g").agg(*(F.sum(c).alias(c) for c in ("n_all", *CLASSES)))
 
 
+def _end(order: int) -> Column:
+    """The last characters of an n-gram."""
+    return F.substring("g", -order, order) if order else F.lit("")
+
+
 def _shorter(grams: DataFrame, order: int) -> DataFrame:
     """Continuation counts: in how many distinct longer n-grams each n-gram is the end."""
-    end = F.col("g").bitwiseAND((1 << (BITS * order)) - 1)
     counts = [F.count_if(F.col(c) > 0).alias(c) for c in ("n_all", *CLASSES)]
-    return grams.groupBy(end.alias("g")).agg(*counts)
+    return grams.groupBy(_end(order).alias("g")).agg(*counts)
+
+
+def _names(order: int) -> tuple[str, ...]:
+    """The counts that an order is read with."""
+    return ("n_all",) if order <= SHARED else CLASSES
 
 
 def _tables(grams: DataFrame, order: int) -> Tables:
-    """Hashed tables of one order: counts, and per history their sum and how many there are."""
-    names = ("n_all",) if order <= SHARED else CLASSES
-    found: Tables = {}
-    sums = [F.sum(c).alias(c) for c in names]
+    """Exact counts of one order, and per history their sum and how many there are."""
+    names = _names(order)
+    sums = [F.sum(c).alias(f"{c}_sum") for c in names]
     distinct = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in names]
-    parts = {
-        "count": grams.groupBy(_slot(F.col("g")).alias("slot")).agg(*sums),
-        "sum": grams.groupBy(_slot(F.shiftright("g", BITS)).alias("slot")).agg(*sums, *distinct),
+    counted = grams.where(" OR ".join(f"{c} > 0" for c in names))
+    history = F.substring("g", 1, order - 1).alias("h")
+    return {
+        (order, "count"): counted.select("g", *names),
+        (order, "sum"): counted.groupBy(history).agg(*sums, *distinct),
     }
-    for kind, part in parts.items():
-        # At most SLOTS rows, as columns.
-        frame = part.toArrow()
-        slot = frame.column("slot").to_numpy()
-        for column in frame.column_names[1:]:
-            name = column.removesuffix("_kinds")
-            dense = np.zeros(SLOTS, dtype=np.float32)
-            dense[slot] = frame.column(column).to_numpy()
-            found[order, "kinds" if name != column else kind, name] = dense
-    return found
+
+
+def packed_tables(tables: Tables) -> Tables:
+    """Every history table written once, for all that is scored; the counts already are."""
+    return {k: stash(v, "histories") if k[1] == "sum" else v for k, v in tables.items()}
+
+
+def gram_log_ratios(grams: DataFrame, tables: Tables, toxic: str, ordinary: str) -> DataFrame:
+    """(g, ratio) of distinct n-grams ``g`` of the highest order, seen in the corpus or not.
+
+    ``ratio`` is log P(last character | toxic) - log P(last character | ordinary). An order's
+    n-grams are the distinct ends of the next one's, so each is joined once.
+    """
+    chances = {"n_all": F.lit(UNSEEN)}
+    lower: DataFrame | None = None
+    for order in range(1, ORDER + 1):
+        asked = grams.select(_end(order).alias("g"))
+        asked = asked if order == ORDER else asked.distinct()
+        if order == SHARED + 1:
+            chances = {toxic: F.col("n_all_lower"), ordinary: F.col("n_all_lower")}
+        found = asked.withColumns({"h": F.substring("g", 1, order - 1), "end": _end(order - 1)})
+        found = found.join(tables[order, "count"], "g", "left")
+        found = found.join(tables[order, "sum"], "h", "left")
+        if lower is not None:
+            found = found.join(lower, "end")
+        out = {}
+        for name, below in chances.items():
+            total = F.coalesce(F.col(f"{name}_sum"), F.lit(0))
+            count = F.coalesce(F.col(name), F.lit(0))
+            top = F.greatest(count - DISCOUNT, F.lit(0.0))
+            top = top + DISCOUNT * F.col(f"{name}_kinds") * below
+            out[f"{name}_chance"] = F.when(total > 0, top / total).otherwise(below)
+        level = found.select("g", *(c.alias(k) for k, c in out.items()))
+        if order < ORDER:
+            lower = level.withColumnsRenamed(
+                {"g": "end", **{f"{n}_chance": f"{n}_lower" for n in chances}}
+            )
+            chances = {n: F.col(f"{n}_lower") for n in chances}
+    ratio = F.log(f"{toxic}_chance") - F.log(f"{ordinary}_chance")
+    return level.select("g", ratio.alias("ratio"))
 
 
 def word_log_ratios(words: list[str], tables: Tables, toxic: str, ordinary: str) -> np.ndarray:
-    """log P(word | toxic) - log P(word | ordinary) of each word."""
+    """log P(word | toxic) - log P(word | ordinary) of each of a few words."""
     if not words:
         return np.zeros(0)
-    gram, owner = packed_grams(words)
-    unseen = 1.0 / (1 << BITS)
-    chance = {None: np.full(len(gram), unseen)}
-    for order in range(1, ORDER + 1):
-        own = gram & ((1 << (BITS * order)) - 1)
-        here, history = _slot(own), _slot(own >> BITS)
-        if order == SHARED + 1:
-            chance = {toxic: chance[None], ordinary: chance[None]}
-        for name, lower in chance.items():
-            column = name or "n_all"
-            total = tables[order, "sum", column][history].astype(np.float64)
-            kinds = tables[order, "kinds", column][history]
-            count = tables[order, "count", column][here]
-            top = np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * lower
-            # Hashed slots can hold more than their n-gram; the lower order keeps it positive.
-            chance[name] = np.where(total > 0, top / np.maximum(total, 1), lower)
-    ratio = np.log(chance[toxic] + 1e-30) - np.log(chance[ordinary] + 1e-30)
-    return np.bincount(owner, ratio, len(words))
+    grams, owner = grams_of(words)
+    spark = tables[ORDER, "count"].sparkSession
+    asked = spark.createDataFrame([(g,) for g in sorted(set(grams))], "g string")
+    known = dict(gram_log_ratios(asked, tables, toxic, ordinary).collect())
+    return np.bincount(owner, [known[g] for g in grams], len(words))
 
 
 def evidence_of(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -215,54 +252,99 @@ def evidence_of(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def packed_tables(tables: Tables) -> dict[tuple, bytes]:
-    """Mostly empty tables take a fraction of their size while they travel."""
-    return {k: zlib.compress(v.tobytes(), 1) for k, v in tables.items()}
-
-
-def unpacked_tables(sent: dict[tuple, bytes]) -> Tables:
-    return {k: np.frombuffer(zlib.decompress(v), dtype=np.float32) for k, v in sent.items()}
-
-
-def _evidence(
-    sent: Callable[[], dict[tuple, bytes]], name: str, toxic: str, ordinary: str
-) -> Callable:
-    """Batch function: rows (row, text) to rows with the features of the text."""
-
-    def remembered() -> tuple[Tables, dict[str, float]]:
-        store = worker_store("toxicity")
-        if name not in store:
-            store.clear()
-            store[name] = unpacked_tables(sent()), {}
-        tables, known = store[name]
-        if len(known) > REMEMBERED:
-            known.clear()
-        return tables, known
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 500):
-            tables, known = remembered()
-            documents = [x.lower().split() for x in texts(batch.column(1))]
-            missing: set[str] = set()
-            for tokens in documents:
-                missing.update(filterfalse(known.__contains__, tokens))
-            new = list(missing)
-            for at in range(0, len(new), AT_ONCE):
-                part = new[at : at + AT_ONCE]
-                cut = [words_of(x) for x in part]
-                ratios = word_log_ratios([w for p in cut for w in p], tables, toxic, ordinary)
-                owner = np.repeat(np.arange(len(part)), [len(p) for p in cut])
-                sums = np.bincount(owner, ratios, len(part)).tolist()
-                known.update(zip(part, sums, strict=True))
-            sizes = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
-            flat = map(known.__getitem__, chain.from_iterable(documents))
-            found = evidence_of(np.fromiter(flat, dtype=np.float64, count=sizes.sum()), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(found[:, i]) for i in range(len(FEATURES)))],
-                names=["row", *FEATURES],
-            )
+GRAMS, WORDS, DOCS = 0, 1, 2
+
 
-    return run
+def _stripped(tokens: list[str]) -> list[str]:
+    return [x.strip(STRIPPED) or x for x in tokens]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows (row, text): (block, kind, i, g, data, row).
+
+    DOCS: the numbers and counts of a text's distinct tokens in the block; WORDS: the tokens in
+    order of their numbers; GRAMS: their distinct n-grams, numbered as they first occur.
+    """
+
+    def rows(kind: int, n: int, row: pa.Array, **given: pa.Array) -> pa.RecordBatch:
+        columns = {
+            "block": pa.array(np.full(n, block)), "kind": pa.array(np.full(n, kind, np.int32)),
+            "i": pa.nulls(n, pa.int32()), "g": pa.nulls(n, pa.string()),
+            "data": pa.nulls(n, pa.binary()), "row": row,
+        } | given
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        data = zlib.compress("\n".join(number).encode(), 1)
+        yield rows(WORDS, 1, pa.nulls(1, kept), data=pa.array([data], pa.binary()))
+        distinct = pd.unique(np.array(grams_of(_stripped(list(number)))[0], dtype=object))
+        n = len(distinct)
+        numbers, grams = pa.array(np.arange(n, dtype=np.int32)), pa.array(distinct, pa.string())
+        yield rows(GRAMS, n, pa.nulls(n, kept), i=numbers, g=grams)
+
+    number: dict[str, int] = {}
+    block, kept = uuid4().int >> 65, pa.null()
+    for batch in slices(batches, 500):
+        kept, bags = batch.column(0).type, []
+        for text in texts(batch.column(1)):
+            counts = Counter(text.lower().split())
+            for token in counts:
+                number.setdefault(token, len(number))
+            ids = np.fromiter(map(number.__getitem__, counts), dtype=np.int32, count=len(counts))
+            order = np.argsort(ids)
+            n = np.fromiter(counts.values(), dtype=np.int32, count=len(counts))[order]
+            steps = np.diff(ids[order], prepend=np.int32(0))
+            bags.append(zlib.compress(steps.tobytes() + n.tobytes(), 1))
+        yield rows(DOCS, len(bags), batch.column(0), data=pa.array(bags, pa.binary()))
+        if len(number) > BLOCK_WORDS:
+            yield from ended()
+            number, block = {}, uuid4().int >> 65
+    if number:
+        yield from ended()
+
+
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the features of their texts, of blocks sorted by (block, kind).
+
+    GRAMS come with their ratio, before the words, and these before the rows.
+    """
+    current, numbers, ratios = None, [], []
+    known = np.zeros(0)
+    for batch in slices(batches, 10_000):
+        block, kind = (batch.column(c).to_numpy() for c in ("block", "kind"))
+        edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
+        for start, end in zip([0, *edges], [*edges, len(block)], strict=True):
+            if start == end:
+                continue
+            part = batch.slice(start, end - start)
+            if block[start] != current:
+                current, numbers, ratios, known = block[start], [], [], np.zeros(0)
+            if kind[start] == GRAMS:
+                numbers.append(part.column("i").to_numpy())
+                ratios.append(part.column("ratio").to_numpy())
+            elif kind[start] == WORDS:
+                sent = zlib.decompress(part.column("data")[0].as_py())
+                words = _stripped(sent.decode().split("\n"))
+                grams, owner = grams_of(words)
+                place, distinct = pd.factorize(np.array(grams, dtype=object))
+                found = np.full(len(distinct), np.nan)
+                found[np.concatenate(numbers)] = np.concatenate(ratios)
+                if np.isnan(found).any():
+                    raise ValueError("n-grams of a block without their ratio")
+                known = np.bincount(owner, found[place], len(words))
+                numbers, ratios = [], []
+            else:
+                for piece in slices(iter([part]), 500):
+                    flat, sizes = [], []
+                    for data in piece.column("data").to_pylist():
+                        bag = np.frombuffer(zlib.decompress(data), dtype=np.int32).reshape(2, -1)
+                        flat.append(np.repeat(known[np.cumsum(bag[0])], bag[1]))
+                        sizes.append(len(flat[-1]))
+                    found = evidence_of(np.concatenate(flat), np.array(sizes))
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column("row"), *(pa.array(x) for x in found.T)],
+                        names=["row", *FEATURES],
+                    )
 
 
 def fit_curve(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
@@ -310,12 +392,21 @@ class Model:
 
     def evidence(self, rows: DataFrame, toxic: str, ordinary: str) -> DataFrame:
         """(row, features) of rows (row, text); all columns of ``row`` are carried along."""
-        used = {k: v for k, v in self.tables.items() if k[2] in ("n_all", toxic, ordinary)}
-        sent = rows.sparkSession.sparkContext.broadcast(packed_tables(used))
-        run = _evidence(lambda: sent.value, uuid4().hex, toxic, ordinary)
+        row = T.StructField("row", rows.schema["row"].dataType)
+        plain = [("block", T.LongType()), ("kind", T.IntegerType()), ("i", T.IntegerType())]
+        plain += [("g", T.StringType()), ("data", T.BinaryType())]
+        made = T.StructType([*(T.StructField(*x) for x in plain), row])
+        # Written once, so that a block that is made again has no other number.
+        blocks = stash(rows.select("row", "text").mapInArrow(_blocks, made), "blocks")
+        grams = blocks.where(F.col("kind") == GRAMS).select("block", "kind", "i", "g")
+        asked = stash(grams.select("g").distinct(), "asked")
+        ratios = gram_log_ratios(asked, self.tables, toxic, ordinary)
+        others = blocks.where(F.col("kind") > GRAMS).drop("g")
+        found = grams.join(ratios, "g").select("block", "kind", "i", "ratio")
+        both = others.unionByName(found, allowMissingColumns=True)
+        sorted_blocks = both.repartition("block").sortWithinPartitions("block", "kind")
         fields = [T.StructField(name, T.DoubleType()) for name in FEATURES]
-        schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *fields])
-        return rows.select("row", "text").mapInArrow(run, schema)
+        return sorted_blocks.mapInArrow(_evidence, T.StructType([row, *fields]))
 
     def score_rows(self, rows: DataFrame) -> DataFrame:
         """(row, score) of rows (row, text)."""
@@ -369,12 +460,17 @@ def fit(
         if order < ORDER:
             grams = stash(_shorter(grams, order), "grams")
         tables |= _tables(grams, order)
+    tables = packed_tables(tables)
 
     placing = marked.where("fold = 2 AND toxic IS NOT NULL AND NOT held_out")
     rows = placing.select(F.struct("toxic").alias("row"), "text")
     seen = Model(tables).evidence(rows, "t0", "o0").select("row.toxic", *FEATURES).toArrow()
     features = np.column_stack([seen.column(x).to_numpy() for x in FEATURES])
-    weights, offset = fit_curve(features, seen.column("toxic").to_numpy())
+    toxic = seen.column("toxic").to_numpy()
+    # Blocks arrive in any order; sums of doubles depend on it.
+    order = np.lexsort((*features.T, toxic))
+    features = features[order]
+    weights, offset = fit_curve(features, toxic[order])
     ranges = [(0.0, 0.0)] * len(FEATURES)
     if len(features):
         ranges = [(float(x.min()), float(x.max())) for x in features.T]
@@ -408,6 +504,10 @@ def score_documents(
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score below the threshold."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    # The score is the text's alone, so whole rows need not travel with their words.
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = docs.select(F.struct(digest.alias("digest")).alias("row"), "text")
     scored = fit(docs, labels).score_rows(rows)
-    return scored.where(F.col("score") < threshold).select("row.*")
+    toxic = scored.where(F.col("score") >= threshold).select(F.col("row.digest").alias("_digest"))
+    toxic = toxic.distinct()
+    return docs.withColumn("_digest", digest).join(toxic, "_digest", "left_anti").drop("_digest")

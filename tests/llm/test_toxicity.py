@@ -139,3 +139,29 @@ def test_held_out_accuracy(spark):
         table[r.toxic, r.predicted] += 1
     assert table[0, 1] <= 0.02 * (table[0, 0] + table[0, 1])
     assert table[1, 1] >= 0.7 * (table[1, 0] + table[1, 1])
+
+
+def test_ngrams_share_no_counts(spark, monkeypatch):
+    # Six letters that were in one slot of 499,979, and characters that were folded into one.
+    codes = np.random.default_rng(5).integers(97, 123, (4000, ORDER))
+    slot = (codes << (10 * np.arange(ORDER)[::-1])).sum(axis=1) % 499_979
+    first, last = next(
+        (np.flatnonzero(slot == s)[:2] for s in slot if (slot == s).sum() > 1)
+    )
+    bad, good = ("".join(map(chr, codes[i])) for i in (first, last))
+    wide, other = "\u65e5" * 6, chr(0x65E5 + 512) * 6
+    assert bad != good
+    docs = [(i, f"{bad} {wide}" if i % 2 else f"{good} {good} {other}") for i in range(40)]
+    labels = [(i, 1, i % 2) for i in range(40)]
+    caught = {}
+    real = toxicity.packed_tables
+    monkeypatch.setattr(toxicity, "packed_tables", lambda t: caught.update(t) or real(t))
+    score_documents(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    ).count()
+    words = [bad, good, wide, other]
+    got = toxicity.word_log_ratios(words, caught, "t", "o")
+    want = [plain_ratio(docs, labels, w) for w in words]
+    assert got == pytest.approx(want, abs=1e-3)
+    assert got[0] > 1 > -1 > got[1] and got[2] > 1 > -1 > got[3]
