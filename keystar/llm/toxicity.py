@@ -1,8 +1,9 @@
 """Toxicity from class-conditional Kneser-Ney models of the characters of words.
 
-Two models, toxic and ordinary, share the counts of their short contexts, which come from every
-document of the corpus; long contexts are counted per class in labelled rows. A document is
-scored by its length-normalised log-likelihood ratios, put through a logistic curve.
+Two models, toxic and ordinary, count long contexts per class in labelled rows. Below these
+counts they share a model of every document of the corpus: once that of short contexts, once
+that of all orders. A document is scored by its length-normalised log-likelihood ratios over
+both, put through a logistic curve.
 
 All counts are Spark aggregations: words per task, then distinct character n-grams, then the
 continuation counts of each shorter n-gram. They stay exact in written tables that grow with
@@ -51,7 +52,9 @@ THRESHOLD = 0.7
 
 #: Sides and sizes of the excess ratios, in nats, that make a document's features.
 MARGINS = ((1, 2.0), (1, 4.0), (1, 6.0), (-1, 0.0), (-1, 2.0), (-1, 4.0))
-FEATURES = [f"e{i}" for i in range(len(MARGINS))]
+#: Ratios of a word: over the corpus model of short contexts, and over that of all orders.
+RATIOS = ("ratio", "whole")
+FEATURES = [f"e{i}" for i in range(len(RATIOS) * len(MARGINS))]
 FLOOR = 1e-3
 
 # White space, which no word holds.
@@ -169,7 +172,7 @@ def _shorter(grams: DataFrame, order: int) -> DataFrame:
 
 def _names(order: int) -> tuple[str, ...]:
     """The counts that an order is read with."""
-    return ("n_all",) if order <= SHARED else CLASSES
+    return ("n_all",) if order <= SHARED else ("n_all", *CLASSES)
 
 
 def _tables(grams: DataFrame, order: int) -> Tables:
@@ -177,11 +180,10 @@ def _tables(grams: DataFrame, order: int) -> Tables:
     names = _names(order)
     sums = [F.sum(c).alias(f"{c}_sum") for c in names]
     distinct = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in names]
-    counted = grams.where(" OR ".join(f"{c} > 0" for c in names))
     history = F.substring("g", 1, order - 1).alias("h")
     return {
-        (order, "count"): counted.select("g", *names),
-        (order, "sum"): counted.groupBy(history).agg(*sums, *distinct),
+        (order, "count"): grams.select("g", *names),
+        (order, "sum"): grams.groupBy(history).agg(*sums, *distinct),
     }
 
 
@@ -191,38 +193,53 @@ def packed_tables(tables: Tables) -> Tables:
 
 
 def gram_log_ratios(grams: DataFrame, tables: Tables, toxic: str, ordinary: str) -> DataFrame:
-    """(g, ratio) of distinct n-grams ``g`` of the highest order, seen in the corpus or not.
+    """(g, ratio, whole) of distinct n-grams ``g`` of the highest order, seen or not.
 
-    ``ratio`` is log P(last character | toxic) - log P(last character | ordinary). An order's
-    n-grams are the distinct ends of the next one's, so each is joined once.
+    Both are log P(last character | toxic) - log P(last character | ordinary): ``ratio`` over
+    the corpus model of the SHARED shortest orders, ``whole`` over that of all orders. What the
+    class counts leave to the model below them is linear in it, so ``own`` + ``left`` x its
+    chance serves both. An order's n-grams are the distinct ends of the next one's, so each is
+    joined once.
     """
-    chances = {"n_all": F.lit(UNSEEN)}
+    # Of the next shorter n-gram; columns after the first order.
+    below: dict[str, Column] = {"all": F.lit(UNSEEN)}
     lower: DataFrame | None = None
     for order in range(1, ORDER + 1):
         asked = grams.select(_end(order).alias("g"))
         asked = asked if order == ORDER else asked.distinct()
-        if order == SHARED + 1:
-            chances = {toxic: F.col("n_all_lower"), ordinary: F.col("n_all_lower")}
         found = asked.withColumns({"h": F.substring("g", 1, order - 1), "end": _end(order - 1)})
         found = found.join(tables[order, "count"], "g", "left")
         found = found.join(tables[order, "sum"], "h", "left")
         if lower is not None:
             found = found.join(lower, "end")
-        out = {}
-        for name, below in chances.items():
-            total = F.coalesce(F.col(f"{name}_sum"), F.lit(0))
-            count = F.coalesce(F.col(name), F.lit(0))
-            top = F.greatest(count - DISCOUNT, F.lit(0.0))
-            top = top + DISCOUNT * F.col(f"{name}_kinds") * below
-            out[f"{name}_chance"] = F.when(total > 0, top / total).otherwise(below)
-        level = found.select("g", *(c.alias(k) for k, c in out.items()))
-        if order < ORDER:
-            lower = level.withColumnsRenamed(
-                {"g": "end", **{f"{n}_chance": f"{n}_lower" for n in chances}}
-            )
-            chances = {n: F.col(f"{n}_lower") for n in chances}
-    ratio = F.log(f"{toxic}_chance") - F.log(f"{ordinary}_chance")
-    return level.select("g", ratio.alias("ratio"))
+        if order == SHARED + 1:
+            below["short"] = below["all"]
+            for name in (toxic, ordinary):
+                below |= {f"{name}_own": F.lit(0.0), f"{name}_left": F.lit(1.0)}
+
+        def parts(name: str) -> tuple[Column, Column]:
+            """What an n-gram's own count gives, and what its history leaves to the rest."""
+            total, count = F.col(f"{name}_sum"), F.coalesce(F.col(name), F.lit(0))
+            seen = F.coalesce(total, F.lit(0)) > 0
+            own = F.when(seen, F.greatest(count - DISCOUNT, F.lit(0.0)) / total)
+            left = F.when(seen, DISCOUNT * F.col(f"{name}_kinds") / total)
+            return own.otherwise(0.0), left.otherwise(1.0)
+
+        own, left = parts("n_all")
+        out = below | {"all": own + left * below["all"]}
+        for name in (toxic, ordinary) if order > SHARED else ():
+            own, left = parts(name)
+            out[f"{name}_own"] = own + left * below[f"{name}_own"]
+            out[f"{name}_left"] = left * below[f"{name}_left"]
+        level = found.select("g", *(c.alias(f"_{k}") for k, c in out.items()))
+        lower = level.withColumnRenamed("g", "end")
+        below = {k: F.col(f"_{k}") for k in out}
+
+    def ratio(base: str) -> Column:
+        chances = [below[f"{x}_own"] + below[f"{x}_left"] * below[base] for x in (toxic, ordinary)]
+        return F.log(chances[0]) - F.log(chances[1])
+
+    return level.select("g", ratio("short").alias("ratio"), ratio("all").alias("whole"))
 
 
 def word_log_ratios(words: list[str], tables: Tables, toxic: str, ordinary: str) -> np.ndarray:
@@ -232,7 +249,8 @@ def word_log_ratios(words: list[str], tables: Tables, toxic: str, ordinary: str)
     grams, owner = grams_of(words)
     spark = tables[ORDER, "count"].sparkSession
     asked = spark.createDataFrame([(g,) for g in sorted(set(grams))], "g string")
-    known = dict(gram_log_ratios(asked, tables, toxic, ordinary).collect())
+    found = gram_log_ratios(asked, tables, toxic, ordinary)
+    known = dict(found.select("g", "ratio").collect())
     return np.bincount(owner, [known[g] for g in grams], len(words))
 
 
@@ -306,10 +324,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the features of their texts, of blocks sorted by (block, kind).
 
-    GRAMS come with their ratio, before the words, and these before the rows.
+    GRAMS come with their ratios, before the words, and these before the rows.
     """
     current, numbers, ratios = None, [], []
-    known = np.zeros(0)
+    known = np.zeros((len(RATIOS), 0))
     for batch in slices(batches, 10_000):
         block, kind = (batch.column(c).to_numpy() for c in ("block", "kind"))
         edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
@@ -318,29 +336,31 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             part = batch.slice(start, end - start)
             if block[start] != current:
-                current, numbers, ratios, known = block[start], [], [], np.zeros(0)
+                current, numbers, ratios = block[start], [], []
+                known = np.zeros((len(RATIOS), 0))
             if kind[start] == GRAMS:
                 numbers.append(part.column("i").to_numpy())
-                ratios.append(part.column("ratio").to_numpy())
+                ratios.append(np.stack([part.column(x).to_numpy() for x in RATIOS]))
             elif kind[start] == WORDS:
                 sent = zlib.decompress(part.column("data")[0].as_py())
                 words = _stripped(sent.decode().split("\n"))
                 grams, owner = grams_of(words)
                 place, distinct = pd.factorize(np.array(grams, dtype=object))
-                found = np.full(len(distinct), np.nan)
-                found[np.concatenate(numbers)] = np.concatenate(ratios)
+                found = np.full((len(RATIOS), len(distinct)), np.nan)
+                found[:, np.concatenate(numbers)] = np.concatenate(ratios, axis=1)
                 if np.isnan(found).any():
                     raise ValueError("n-grams of a block without their ratio")
-                known = np.bincount(owner, found[place], len(words))
+                known = np.stack([np.bincount(owner, x[place], len(words)) for x in found])
                 numbers, ratios = [], []
             else:
                 for piece in slices(iter([part]), 500):
                     flat, sizes = [], []
                     for data in piece.column("data").to_pylist():
                         bag = np.frombuffer(zlib.decompress(data), dtype=np.int32).reshape(2, -1)
-                        flat.append(np.repeat(known[np.cumsum(bag[0])], bag[1]))
-                        sizes.append(len(flat[-1]))
-                    found = evidence_of(np.concatenate(flat), np.array(sizes))
+                        flat.append(np.repeat(known[:, np.cumsum(bag[0])], bag[1], axis=1))
+                        sizes.append(flat[-1].shape[1])
+                    each = np.concatenate(flat, axis=1)
+                    found = np.hstack([evidence_of(x, np.array(sizes)) for x in each])
                     yield pa.RecordBatch.from_arrays(
                         [piece.column("row"), *(pa.array(x) for x in found.T)],
                         names=["row", *FEATURES],
@@ -402,7 +422,7 @@ class Model:
         asked = stash(grams.select("g").distinct(), "asked")
         ratios = gram_log_ratios(asked, self.tables, toxic, ordinary)
         others = blocks.where(F.col("kind") > GRAMS).drop("g")
-        found = grams.join(ratios, "g").select("block", "kind", "i", "ratio")
+        found = grams.join(ratios, "g").select("block", "kind", "i", *RATIOS)
         both = others.unionByName(found, allowMissingColumns=True)
         sorted_blocks = both.repartition("block").sortWithinPartitions("block", "kind")
         fields = [T.StructField(name, T.DoubleType()) for name in FEATURES]
