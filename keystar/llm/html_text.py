@@ -45,12 +45,24 @@ ENDS = {
 SCOPES = frozenset("table ul ol dl select article section div body html main".split())
 ARTICLE = re.compile(r"\b(article|content|entry|main|post|story|text)\b", re.I)
 UNWANTED = re.compile(
-    r"(^|[\s_-])(ads?\d*|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|"
+    r"ads?\d*|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|"
     r"gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|pager|popup|"
     r"promo\w*|related|replies|respond|share|sharing|sidebar|signup|social|sponsor\w*|"
-    r"subscribe|toc|toolbar|widget)(?=$|[\s_-])",
+    r"subscribe|toc|toolbar|widget",
     re.I,
 )
+#: Parts of a name that say nothing beside an unwanted one.
+PLAIN = re.compile(
+    r"\d*|area|bar|block|bottom|box|form|global|inner|left|links?|list|main|outer|page|primary|"
+    r"right|secondary|section|site|top|widgets",
+    re.I,
+)
+#: Class names that tell how a page is laid out around something.
+LAYOUT = re.compile(r"(?:no|has|with|without)[-_]", re.I)
+AROUND = re.compile(r"[-_](?:wrap|wrapper|container|layout)$", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the page's points on which an unwanted name tells nothing.
+MOST = 0.75
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert menu menubar form".split()
 )
@@ -72,27 +84,47 @@ class Node:
     parent: Node | None
     dropped: bool = False
     named: bool = False
+    #: The unwanted word of the element's name: evidence that ``_judge`` weighs.
+    suspect: str = ""
     children: list[Node | str] = field(default_factory=list)
     score: float = 0.0
     size: int = 0
     linked: int = 0
 
 
-def _unwanted(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is no part of an article, and whether its name says it is one."""
+def _suspect(tag: str, classes: str, own: str) -> str:
+    """The first unwanted word of an element's class and id that is evidence, or nothing.
+
+    Ids are often slugs of a heading, so all their words have to be unwanted or plain; so do
+    those of a wrapper's class. Ids of headings and layout modifiers tell nothing.
+    """
+    names = [(x, bool(AROUND.search(x))) for x in classes.split() if not LAYOUT.match(x)]
+    if tag not in HEADINGS:
+        names += [(x, True) for x in own.split()]
+    for name, whole in names:
+        parts = re.split("[-_]+", AROUND.sub("", name))
+        found = [x for x in parts if UNWANTED.fullmatch(x)]
+        if found and (not whole or all(x in found or PLAIN.fullmatch(x) for x in parts)):
+            return found[0].lower()
+    return ""
+
+
+def _unwanted(tag: str, attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element is no part of an article, whether its name says it is one, and the
+    word that says it is none."""
     if tag in DROPPED:
-        return True, False
+        return True, False, ""
     if not attributes.strip() or tag in ("html", "body"):
-        return False, tag in ("article", "main")
+        return False, tag in ("article", "main"), ""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
-    names = _CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}")
+    classes, own = (_CAMEL.sub("-", found.get(x, "")) for x in ("class", "id"))
     hidden = "hidden" in found or found.get("aria-hidden") == "true"
     style = found.get("style", "").replace(" ", "").lower()
     hidden = hidden or "display:none" in style or "visibility:hidden" in style
-    named = tag in ("article", "main") or bool(ARTICLE.search(names))
+    suspect = _suspect(tag, classes, own)
     if tag in ("article", "main"):
-        return hidden or bool(UNWANTED.search(names)), True
-    return hidden or found.get("role") in ROLES or bool(UNWANTED.search(names)), named
+        return hidden, True, suspect
+    return hidden or found.get("role") in ROLES, bool(ARTICLE.search(f"{classes} {own}")), suspect
 
 
 def build(page: str) -> Node:
@@ -118,8 +150,8 @@ def build(page: str) -> Node:
         if tag in ("html", "body"):
             continue
         node = _end_implied(node, tag)
-        dropped, named = _unwanted(tag, attributes)
-        child = Node(tag, node, node.dropped or dropped, named)
+        dropped, named, suspect = _unwanted(tag, attributes)
+        child = Node(tag, node, node.dropped or dropped, named, suspect)
         node.children.append(child)
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -127,6 +159,7 @@ def build(page: str) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             node = child
+    _judge(root)
     return root
 
 
@@ -229,6 +262,67 @@ def _points(node: Node) -> float:
     return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - _density(node))
 
 
+def _earns(node: Node) -> bool:
+    """Whether an element's own text earns points."""
+    if node.tag in PARAGRAPHS:
+        return True
+    return node.tag in BLOCKS and any(isinstance(c, str) and c.strip() for c in node.children)
+
+
+def _judge(root: Node) -> None:
+    """Drop the elements with an unwanted name, where the page does not speak against it.
+
+    What holds the page's main or h1 stays. If no other article is left, so does what a name
+    marks on most of the page's points, and then what holds an article.
+    """
+    order = [x for x in _walk(root) if not x.dropped]
+    if not any(x.suspect for x in order):
+        return
+    _measure(order)
+    points: dict[int, float] = {}
+    holds: dict[int, set[str]] = {}
+    for node in reversed(order):
+        kids = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        own = _points(node) if _earns(node) else 0.0
+        points[id(node)] = own + sum(points[id(c)] for c in kids)
+        held = set().union(*(holds[id(c)] for c in kids))
+        if node.tag == "main" or (node.tag in ("article", "h1") and not node.suspect):
+            held.add(node.tag)
+        holds[id(node)] = held
+
+    def left(kept: set[int]) -> bool:
+        """Whether an article with text stays if of the suspects only these do."""
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            if node.dropped or (node.suspect and id(node) not in kept):
+                continue
+            if node.tag in ("article", "main") and points[id(node)] > 0:
+                return True
+            stack.extend(c for c in node.children if isinstance(c, Node))
+        return False
+
+    suspects = [x for x in order if x.suspect]
+    kept = {id(x) for x in suspects if holds[id(x)] & {"main", "h1"}}
+    if not left(kept):
+        marked: dict[str, float] = {}
+        stack: list[tuple[Node, frozenset[str]]] = [(root, frozenset())]
+        while stack:
+            node, above = stack.pop()
+            if node.dropped:
+                continue
+            if node.suspect and node.suspect not in above:
+                marked[node.suspect] = marked.get(node.suspect, 0.0) + points[id(node)]
+                above = above | {node.suspect}
+            stack.extend((c, above) for c in node.children if isinstance(c, Node))
+        kept |= {id(x) for x in suspects if marked[x.suspect] > MOST * points[id(root)]}
+        if not left(kept):
+            kept |= {id(x) for x in suspects if "article" in holds[id(x)]}
+    for node in order:
+        above = node.parent is not None and node.parent.dropped
+        node.dropped = above or bool(node.suspect and id(node) not in kept)
+
+
 def container(root: Node) -> Node:
     """The element that holds the article."""
     order = list(_walk(root))
@@ -237,11 +331,9 @@ def container(root: Node) -> Node:
     for node in order:
         if node.dropped:
             continue
-        loose = node.tag in BLOCKS and node.tag not in PARAGRAPHS
-        if node.tag not in PARAGRAPHS and not (
-            loose and any(isinstance(c, str) and c.strip() for c in node.children)
-        ):
+        if not _earns(node):
             continue
+        loose = node.tag not in PARAGRAPHS
         points, up, level = _points(node), node if loose else node.parent, 1.0
         while points > 0 and up is not None:
             up.score += points / level

@@ -78,3 +78,29 @@ def test_whole_table(spark):
         text = "\n\n".join(t for t in (" ".join(p.split()) for p in plain) if t)
         want.append((page["page_id"], page["url"], text, len(text)))
     assert rows(QUERIES["op7_html_extraction"](spark, sf)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["site no-sidebar", "content-sidebar-wrap", "elementor-widget-container", "has-social", "sidebar"],
+)
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_with_unwanted_names(wrapper, inner):
+    text = f"<h2 id=related-work>Related work</h2><p>{LONG}</p><p>{LONG}</p>"
+    page = f"<body><div class='{wrapper}'><{inner}>{text}</{inner}></div><p class=ad>ad</p></body>"
+    assert main_text(page) == f"Related work\n\n{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("slug", ["related-work", "social-impact", "comments-on-method", "menu-planning"])
+def test_slugs_are_no_verdict(slug):
+    part = f"<section id={slug}><h2 id={slug}>T</h2><p>{LONG}</p></section>"
+    page = f"<article><p>{LONG}</p>{part}<section id=comments><p>{LONG}</p></section></article>"
+    assert main_text(page) == f"{LONG}\n\nT\n\n{LONG}"
+
+
+def test_cards_and_widgets():
+    card = f"<article><p>{LONG}</p></article>"
+    page = f"<article><p>{LONG} own</p></article><section class=related>{card}{card}{card}</section>"
+    assert main_text(page) == f"{LONG} own"
+    widget = f"<div class='elementor-widget text'><p>{LONG}</p></div>"
+    assert main_text(f"<div>{widget * 3}</div>") == "\n\n".join([LONG] * 3)
