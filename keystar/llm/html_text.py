@@ -2,8 +2,9 @@
 
 A page becomes a light tree of elements. Every paragraph earns points for its length and its
 commas; the parent gets them whole, the grandparent half and so on, and an element's sum is
-discounted by the share of its text that stands in links. The element with the best score is
-the container; its parent's other children are kept where they look like the same article.
+discounted by the share of its text that stands in links. The element with the best score, or
+the article it lies in, is the container; around one that is no article, what its parent holds
+is kept unless it is mostly links.
 """
 
 from __future__ import annotations
@@ -60,7 +61,11 @@ PLAIN = re.compile(
 #: Class names that tell how a page is laid out around something.
 LAYOUT = re.compile(r"(?:no|has|with|without)[-_]", re.I)
 AROUND = re.compile(r"[-_](?:wrap|wrapper|container|layout)$", re.I)
+#: Elements that are never a whole article.
+PARTS = PARAGRAPHS | frozenset("a b em i span strong tr tbody thead tfoot".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of links from which a block beside the container is no part of the article.
+LINKED = 0.5
 #: Share of the page's points on which an unwanted name tells nothing.
 MOST = 0.75
 ROLES = frozenset(
@@ -344,13 +349,25 @@ def container(root: Node) -> Node:
         value = node.score * (1 - _density(node)) * (1.5 if node.named else 1.0)
         if value > most:
             best, most = node, value
-    while best.tag in PARAGRAPHS | {"a", "b", "em", "i", "span", "strong"} and best.parent:
+    while best.tag in PARTS and best.parent:
         best = best.parent
-    return best
+    return _article(best)
+
+
+def _article(node: Node) -> Node:
+    """The nearest article, main or else named element that an element is or lies in."""
+    above = [node]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    for wanted in ("article", "main"):
+        for up in above:
+            if up.tag == wanted:
+                return up
+    return next((up for up in above if up.named and up.tag not in PARTS), node)
 
 
 def _alike(node: Node, best: Node, parent: Node) -> bool:
-    """Whether a sibling of the container belongs to the article."""
+    """Whether what stands beside an article or main belongs to it."""
     if node is best:
         return True
     if node.dropped or not node.size:
@@ -369,8 +386,13 @@ def main_text(page: str) -> str:
     parent = best.parent
     if parent is None:
         return "\n\n".join(blocks(best))
-    kept = [c for c in parent.children if isinstance(c, Node) and _alike(c, best, parent)]
-    return "\n\n".join(text for node in kept for text in blocks(node))
+    if best.tag in ("article", "main"):
+        kept = [c for c in parent.children if isinstance(c, Node) and _alike(c, best, parent)]
+        return "\n\n".join(text for node in kept for text in blocks(node))
+    for node in parent.children:
+        if isinstance(node, Node) and node is not best and node.tag in BLOCKS:
+            node.dropped = node.dropped or _density(node) >= LINKED
+    return "\n\n".join(blocks(parent))
 
 
 TEXTS = "page_id long, url string, text string, n_chars long"

@@ -104,3 +104,31 @@ def test_cards_and_widgets():
     assert main_text(page) == f"{LONG} own"
     widget = f"<div class='elementor-widget text'><p>{LONG}</p></div>"
     assert main_text(f"<div>{widget * 3}</div>") == "\n\n".join([LONG] * 3)
+
+
+LEAD, ITEMS = "<p>A short lead.</p>", "".join(f"<li>Item {i}, of a list, with commas</li>" for i in range(20))
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div class=post", "div"])
+@pytest.mark.parametrize(
+    "parts",
+    [
+        [LEAD, "<section>" + f"<p>{LONG}</p>" * 10 + "</section>", f"<section><h3>S</h3><p>{LONG}</p></section>",
+         "<ul><li>one<li>two</ul>", "<table><tr><td>a<td>b</table>", "<figure><figcaption>F</figcaption></figure>",
+         "<h3>Late</h3>", "<div>tail</div>", "<p>End.</p>"],
+        [LEAD, f"<ul>{ITEMS}</ul>", "<p>Short.</p>"],
+        [LEAD, f"<table><tr><td>{LONG}<tr><td>{LONG}<tr><td>{LONG}</table>", "loose text", "<p>Short.</p>"],
+    ],
+)
+def test_nothing_of_an_article_is_lost(outer, parts):
+    links = "<ul>" + "<li><a href=x>other, page</a></li>" * 5 + "</ul>"
+    page = f"<body><{outer}>{''.join(parts)}</{outer.split()[0]}>{links}</body>"
+    want = [t for p in parts for t in blocks(build(p))]
+    assert main_text(page) == "\n\n".join(want)
+
+
+def test_link_lists_beside_the_text_go():
+    links = "<ul>" + "<li><a href=x>other, page</a></li>" * 5 + "</ul>"
+    text = "<div>" + f"<p>{LONG}</p>" * 5 + "</div>"
+    page = f"<div>{LEAD}{text}{links}<ul><li>own item</ul></div>"
+    assert main_text(page) == "\n\n".join(["A short lead.", *[LONG] * 5, "own item"])
