@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from keystar.llm.exact_dedup import dedup
 from keystar.llm.packing import pack
-from keystar.llm.simhash import near_groups
+from keystar.llm.simhash import near_survivors
 from keystar.llm.toxicity import without_toxic
 from keystar.session import stash
 
@@ -29,6 +29,10 @@ def _name() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
+def _digest() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
 def _one_each(docs: DataFrame, chosen: DataFrame, **keys: Column) -> DataFrame:
     """One row of ``docs`` for each key in ``chosen``; rows that share a key are one document."""
     named = docs.withColumns(keys)
@@ -45,15 +49,14 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.select(_name().alias("doc_id"), "text")
     groups = dedup(named, F.xxhash64("doc_id") > 0).where("kept")
     kept = groups.select(F.col("doc_id").alias("_name"), F.col("text_sha256").alias("_digest"))
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return _one_each(docs, kept.distinct(), _name=_name(), _digest=digest)
+    return _one_each(docs, kept.distinct(), _name=_name(), _digest=_digest())
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays."""
-    groups = near_groups(docs.select(_name().alias("doc_id"), "text"))
-    kept = groups.select(F.col("component_id").alias("_name")).distinct()
-    return _one_each(docs, kept, _name=_name())
+    """Of each group of near copies the smallest doc_id stays, of its texts the least digest."""
+    named = docs.select(_name().alias("doc_id"), "text", _digest().alias("_digest"))
+    kept = near_survivors(named, "_digest").withColumnRenamed("doc_id", "_name")
+    return _one_each(docs, kept, _name=_name(), _digest=_digest())
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,18 +59,24 @@ def simhash(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int(majority.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash of every row's whole text, as a signed long."""
+def fingerprints(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", *carried: str
+) -> DataFrame:
+    """(doc_id, fp): the SimHash of every row's whole text, as a signed long; ``carried`` too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([simhash(x) for x in encoded(batch.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *carried],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *carried
+    )
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried]
+    return rows.mapInArrow(run, ", ".join(["doc_id long", "fp long", *fields]))
 
 
 class BkTree:
@@ -219,6 +225,19 @@ def hamming_links(distinct: DataFrame, tree_rows: int = TREE_ROWS) -> DataFrame:
     return sorted_shards.mapInArrow(_linked, "a long, b long")
 
 
+def _components(fps: DataFrame, tree_rows: int) -> DataFrame:
+    """(fp, component) of the distinct fingerprints; a component is named by its least one.
+
+    A fingerprint stands in the graph as itself: an id can stand on rows with unlike texts.
+    """
+    distinct = stash(fps.select("fp").distinct(), "distinct")
+    links = hamming_links(distinct.select("fp", F.col("fp").alias("rep")), tree_rows)
+    labels = connected_components(links).withColumnRenamed("node", "fp")
+    return distinct.join(labels, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", tree_rows: int = TREE_ROWS
 ) -> DataFrame:
@@ -227,20 +246,13 @@ def near_groups(
     ``component_id`` is the smallest doc_id that can be reached over links of at most four
     differing bits, the row itself included. Null and blank texts have fingerprint zero and
     are linked like any other. Repeated rows and equal texts share a fingerprint and with it
-    a component. Rows without an id keep a null id; they link what lies around them, and a
-    component without any id has a null ``component_id``. An empty table gives no rows.
+    a component; rows that share only their id do not. Rows without an id keep a null id; they
+    link what lies around them, and a component without any id has a null ``component_id``. An
+    empty table gives no rows.
     """
     fps = stash(fingerprints(docs, key, text), "fingerprints")
-    # A fingerprint stands in the graph as its smallest id; one without any as a negative hash.
-    anonymous = -F.abs(F.xxhash64("fp") % (1 << 62)) - 1
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = stash(
-        distinct.select("fp", "least", F.coalesce("least", anonymous).alias("rep")), "distinct"
-    )
-    labels = connected_components(hamming_links(distinct.select("fp", "rep"), tree_rows))
-    labelled = distinct.join(labels, distinct.rep == labels.node, "left").select(
-        "fp", "least", F.coalesce("component", "rep").alias("component")
-    )
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    labelled = stash(_components(fps, tree_rows).join(least, "fp"), "labelled")
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     groups = labelled.join(smallest, "component").select("fp", "component_id")
     return fps.join(groups, "fp").select(
@@ -248,3 +260,14 @@ def near_groups(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def near_survivors(docs: DataFrame, digest: str, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """(doc_id, digest) of the row that stays of each component: the least of these pairs.
+
+    Rows (doc_id, text, digest) all have an id, which need not be theirs alone.
+    """
+    fps = stash(fingerprints(docs, "doc_id", "text", digest), "fingerprints")
+    first = fps.groupBy("fp").agg(F.min(F.struct("doc_id", digest)).alias("first"))
+    labelled = _components(fps, tree_rows).join(first, "fp")
+    return labelled.groupBy("component").agg(F.min("first").alias("first")).select("first.*")

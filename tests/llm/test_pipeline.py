@@ -63,3 +63,16 @@ def test_odd_rows(spark, stage):
     texts = sorted((r.text or "") for r in got.collect())
     assert texts == sorted({t or "" for _, t, *_ in data})
     assert run(spark, frame.limit(0), SF).collect() == []
+
+
+def test_near_dedup_of_ids_on_several_texts(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(50)) for w in ("alpha", "beta", "gamma", "delta")]
+    one, two, three, four = texts
+    data = [(1, one), (1, two), (2, two), (3, three), (3, four), (4, four), (5, one), (1, three)]
+    frame = spark.createDataFrame(
+        [(i, t, "en", "a", len(t)) for i, t in data],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    got = sorted((r.doc_id, r.text) for r in stage(spark, frame, SF).collect())
+    assert got == sorted([(1, one), (1, two), (1, three), (3, four)])

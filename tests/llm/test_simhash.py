@@ -113,3 +113,18 @@ def test_whole_table(spark):
     label = plain_components(values)
     want = [(i, f"{values[i]:016x}", label[i]) for i in docs]
     assert rows(QUERIES["op1_simhash_near_dedup"](spark, sf)) == sorted(want, key=repr)
+
+
+def test_one_id_on_unlike_texts_links_nothing(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(200)) for w in ("alpha", "beta", "gamma"))
+    own = simhash(two.encode())
+    near = next(
+        t
+        for t in (two + f" more{i} words{i} come{i}" for i in range(1000))
+        if 0 < (simhash(t.encode()) ^ own).bit_count() <= 4
+    )
+    data = [(3, one), (3, two), (1, near), (5, three), (5, one), (6, three)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    want = {one: 3, two: 1, near: 1, three: 5}
+    got = [(r.doc_id, r.component_id) for r in near_groups(frame).collect()]
+    assert sorted(got) == sorted((i, want[t]) for i, t in data)
