@@ -165,49 +165,3 @@ def test_ngrams_share_no_counts(spark, monkeypatch):
     want = [plain_ratio(docs, labels, w) for w in words]
     assert got == pytest.approx(want, abs=1e-3)
     assert got[0] > 1 > -1 > got[1] and got[2] > 1 > -1 > got[3]
-
-
-def test_corpus_counts_of_all_orders_are_used(spark, monkeypatch):
-    docs, labels = corpus(60, 4)
-    marked = {i for i, _, _ in labels}
-    # The same words more often, in a text without a label: no shorter n-gram gets a new history.
-    more = [(i, t if i in marked else f"{t} " * 30) for i, t in docs]
-    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    scores, caught = [], {}
-    real = toxicity.packed_tables
-    monkeypatch.setattr(toxicity, "packed_tables", lambda t: caught.update(t) or real(t))
-    for given in (docs, more):
-        frame = spark.createDataFrame(given, "doc_id long, text string")
-        found = score_documents(frame, marks).collect()
-        scores.append({r.doc_id: r.score for r in found if r.doc_id in marked})
-    assert max(abs(scores[0][i] - scores[1][i]) for i in marked) > 1e-6
-
-    # The model of all orders, below the counts of the classes, by dictionaries of strings.
-    toxic = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 3 != 1}
-    levels = {(n, ORDER): Counter() for n in ("all", 1, 0)}
-    for i, text in more:
-        for w in text.split():
-            padded = toxicity.PAD * (ORDER - 1) + w + toxicity.END
-            for name in ("all", toxic.get(i, "all"))[: 1 + (i in toxic)]:
-                levels[name, ORDER].update(padded[j : j + ORDER] for j in range(len(w) + 1))
-    for k in range(ORDER - 1, 0, -1):
-        for name in ("all", 1, 0):
-            levels[name, k] = Counter(g[1:] for g in levels[name, k + 1])
-
-    def chance(name, gram, k):
-        if k == 0 or (name != "all" and k == SHARED):
-            return 1 / 1024 if k == 0 else chance("all", gram, ORDER)
-        own, counts = gram[-k:], levels[name, k]
-        lower = chance(name, gram, k - 1)
-        after = [n for g, n in counts.items() if g[:-1] == own[:-1]]
-        if not after:
-            return lower
-        return (max(counts[own] - 0.75, 0) + 0.75 * len(after) * lower) / sum(after)
-
-    grams = [*sorted(levels["all", ORDER])[::40], "zzzzzz", "  idio", "erquzz"]
-    frame = spark.createDataFrame([(g,) for g in grams], "g string")
-    found = toxicity.gram_log_ratios(frame, caught, "t", "o").collect()
-    assert len(found) == len(grams)
-    for r in found:
-        want = math.log(chance(1, r.g, ORDER)) - math.log(chance(0, r.g, ORDER))
-        assert r.whole == pytest.approx(want, abs=1e-9)
