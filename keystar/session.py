@@ -77,8 +77,13 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _run.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder below the scratch folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
