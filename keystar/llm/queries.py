@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from keystar.llm import chat, piece_index, warc
 from keystar.llm.common import table
 from keystar.llm.exact_dedup import dedup
+from keystar.llm.filter_audit import audit
 from keystar.llm.html_text import extract
 from keystar.llm.packing import pack
 from keystar.llm.simhash import near_groups
 from keystar.llm.token_edit import count_edited
 from keystar.llm.topk import top_k
 from keystar.llm.toxicity import score_documents
+from keystar.llm.vector_codes import vector_codes
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +114,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes per language, in each of their 120 orders."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks they refer to."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _code_rounds(rounds: int) -> str:
+    """CTEs of the rounds: assignment ``a``t from codebook ``c``t, then the next codebook."""
+    found = []
+    for t in range(rounds + 1):
+        found.append(f"""a{t} AS MATERIALIZED (
+            SELECT r, x.p, any_value(x.x) AS x,
+                min((list_inner_product(x.x, x.x) - 2 * list_inner_product(x.x, c.x)
+                    + list_inner_product(c.x, c.x))::BIGINT * 256 + j) AS best
+            FROM parts x JOIN c{t} c ON x.p = c.p GROUP BY r, x.p
+        )""")
+        if t < rounds:
+            found.append(f"""c{t + 1} AS MATERIALIZED (
+            SELECT p, j, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+                SELECT p, j, list(m ORDER BY pos) AS x FROM (
+                    SELECT p, best % 256 AS j, pos, floor(sum(val) / count(*)) AS m
+                    FROM (
+                        SELECT p, best, unnest(x) AS val, generate_subscripts(x, 1) AS pos
+                        FROM a{t}
+                    ) GROUP BY ALL
+                ) GROUP BY p, j
+            ) m USING (p, j)
+        )""")
+    return ", ".join(found)
+
+
 QUERIES: dict[str, Run] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -123,6 +160,8 @@ QUERIES: dict[str, Run] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 SQL: dict[str, str] = {
@@ -166,4 +205,85 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
     """,
+    "op11_filter_audit": """
+        WITH rows AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+        ), read AS (
+            SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+                min(doc_id) OVER (PARTITION BY t) AS first
+            FROM rows
+        ), failed AS (
+            SELECT doc_id, part, [
+                    len(w) < 200,
+                    100 * len(list_distinct(w)) < 50 * len(w),
+                    100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t),
+                    regexp_matches(t, '[#$%&*|]'),
+                    coalesce(first < doc_id, false)
+                ] AS f
+            FROM read
+        ), marked AS (
+            SELECT part, f, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+            FROM failed LEFT JOIN (
+                SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+                FROM labels GROUP BY doc_id
+            ) USING (doc_id)
+        ), combos AS (
+            SELECT part, f, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+            FROM marked GROUP BY part, f
+        ), five AS (
+            SELECT unnest([1, 2, 3, 4, 5]) AS i
+        ), orders AS (
+            SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+            FROM five a, five b, five c, five d, five e
+            WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+        ), steps AS (
+            SELECT array_to_string(list_transform(o, lambda x: chr(64 + x)), '') AS filter_order,
+                i AS step, o[i] AS own, o[1:i - 1] AS before
+            FROM orders, five
+        ), cells AS (
+            SELECT *, f[own] AS fails, len(list_filter(before, lambda x: f[x])) > 0 AS gone,
+                len(list_filter(f, lambda x: x)) = 1 AS alone
+            FROM combos, steps
+        ), counted AS (
+            SELECT part, filter_order, step, own,
+                coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS kept,
+                coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+                coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+                coalesce(sum(n) FILTER (fails AND alone), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS good_lost,
+                coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost
+            FROM cells GROUP BY ALL
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept,
+            removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+            unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+            toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM counted
+    """,
+    "op12_vector_codes": f"""
+        WITH ints AS MATERIALIZED (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r,
+                list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (
+            SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x
+            FROM ints, (SELECT unnest([0, 1, 2, 3]) AS p)
+        ), c0 AS MATERIALIZED (
+            SELECT p, r - 1 AS j, x FROM parts WHERE r <= 256
+        ), {_code_rounds(4)}, books AS (
+            SELECT sha256(string_agg(val::BIGINT::VARCHAR, ',' ORDER BY p, j, pos)) AS digest
+            FROM (SELECT p, j, unnest(x) AS val, generate_subscripts(x, 1) AS pos FROM c4)
+        ), coded AS (
+            SELECT r, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code,
+                sum(best // 256)::BIGINT AS error
+            FROM a4 GROUP BY r
+        )
+        SELECT vec_id, code, error,
+            (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            digest AS codebooks_sha256
+        FROM ints JOIN coded USING (r), books
+    """,
 }
