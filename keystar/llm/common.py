@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Records in one Arrow batch where rows are whole texts; bounds a Python worker's memory.
 TEXT_ROWS = 2000
@@ -39,6 +40,21 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
+def join_sized(
+    many: DataFrame, keyed: DataFrame, on: list[str], size: str, hot_keys: int = 1000
+) -> DataFrame:
+    """Inner join where ``keyed`` has one narrow row per key and says how often ``many`` has it.
+
+    A key with more than one in ``hot_keys`` of the rows is hot; there are fewer than
+    ``hot_keys`` of them whatever the input, so these rows are broadcast. No other key is large
+    enough to hold up a shuffle. Both sides should be written tables: they are read twice.
+    """
+    share = (keyed.agg(F.sum(size)).first()[0] or 0) / hot_keys
+    hot, cold = keyed.where(F.col(size) > share), keyed.where(F.col(size) <= share)
+    rest = many.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return many.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
+
+
 ARROW_TYPES = {
     "long": pa.int64(),
     "int": pa.int32(),

@@ -13,6 +13,7 @@ from keystar.llm.common import table
 from keystar.llm.exact_dedup import dedup
 from keystar.llm.filter_audit import audit
 from keystar.llm.html_text import extract
+from keystar.llm.ngram_join import ngram_components
 from keystar.llm.packing import pack
 from keystar.llm.simhash import near_groups
 from keystar.llm.token_edit import count_edited
@@ -124,6 +125,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def _code_rounds(rounds: int) -> str:
     """CTEs of the rounds: assignment ``a``t from codebook ``c``t, then the next codebook."""
     found = []
@@ -162,6 +168,7 @@ QUERIES: dict[str, Run] = {
     "op10_toxicity": op10_toxicity,
     "op11_filter_audit": op11_filter_audit,
     "op12_vector_codes": op12_vector_codes,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 
 SQL: dict[str, str] = {

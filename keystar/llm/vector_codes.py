@@ -265,7 +265,9 @@ def first_codebooks(rows: DataFrame) -> Codebooks:
     """The parts of the rows with the smallest ids; rows without an id come last."""
     order = F.col("vec_id").asc_nulls_last()
     chosen = rows.select("vec_id", "v").orderBy(order, "v").limit(ENTRIES).collect()
-    x = np.array([r.v for r in chosen], dtype=np.int64).reshape(len(chosen), -1)
+    if not chosen:
+        return np.zeros((PARTS, 0, 0), dtype=np.int64)
+    x = np.array([r.v for r in chosen], dtype=np.int64)
     return np.stack([_part(x, p) for p in range(PARTS)])
 
 
