@@ -26,6 +26,8 @@ MARKS = "[#$%&*|]"
 SPACE = "[ \\t-\\r]+"
 #: Rows of one text that are compared in one place; a text with more is spread by salts.
 SALT_ROWS = 1000
+#: Slots a shared digest may fall into when texts are fetched; bounds what is broadcast.
+SLOTS = 1 << 20
 
 
 def _bit(letter: str) -> int:
@@ -59,7 +61,11 @@ def repeated(rows: DataFrame, scan: DataFrame) -> DataFrame:
         groups.where("n > 1").select("digest", F.ceil(F.col("n") / SALT_ROWS).alias("salts")),
         "shared",
     )
-    copies = stash(rows.join(shared, "digest"), "copies")
+    # The slots of shared digests keep most other texts from moving.
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(shared.select(slot).distinct())
+    near = rows.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
+    copies = stash(near.join(shared.hint("merge"), "digest"), "copies")
     earlier = (
         copies.groupBy("digest", "text")
         .agg(F.min("doc_id").alias("first"), F.first("salts").alias("salts"))
