@@ -34,8 +34,11 @@ PERCENT = 85
 SLOT_BITS = 20
 SLOT_CHUNKS = 64
 FRAGMENTS = 16
-#: Rounds of hubs before the rest is compared pair by pair.
+#: No n-gram's rows stay in one place if they are more than 1 in PARTS of all.
+PARTS = 4096
+#: Rounds of hubs, for groups of over HUB_MEMBERS, before the rest is compared pair by pair.
 HUB_ROUNDS = 2
+HUB_MEMBERS = 64
 #: Members of one group that one task compares with all others of the group.
 SALT_ROWS = 500
 #: Sets a task remembers so that copies are not sent again.
@@ -129,10 +132,17 @@ def global_order(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, np.minimum(fragment, FRAGMENTS - 1)
 
 
-def prefix_rows(docs: DataFrame, place: np.ndarray) -> DataFrame:
-    """(gram, d1, d2): the first n-grams of every set in the global order.
+def slot_parts(counts: np.ndarray) -> np.ndarray:
+    """Into how many parts each slot is dealt; none then has more than 1 in ``PARTS`` of all."""
+    share = max(1.0, counts.sum() / PARTS)
+    return np.maximum(1, np.ceil(counts / share)).astype(np.int32)
 
-    So many that two linked sets share one: n - ceil(n x PERCENT / 100) + 1.
+
+def prefix_rows(docs: DataFrame, place: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """(gram, part, d1, d2): the first n-grams of every set in the global order.
+
+    So many that two linked sets share one: n - ceil(n x PERCENT / 100) + 1. Rows whose slot has
+    several ``parts`` are dealt to them by their set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,15 +168,54 @@ def prefix_rows(docs: DataFrame, place: np.ndarray) -> DataFrame:
                 for i in np.flatnonzero(new)
             ]
             at = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+            names = digests[rows[at]]
+            part = names[:, 0].view(np.uint64) % parts[_slot(grams[at])].astype(np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(grams[at].view(np.int64)),
-                    *(pa.array(d) for d in digests[rows[at]].T),
+                    pa.array(part.astype(np.int32)),
+                    *(pa.array(d) for d in names.T),
                 ],
-                names=["gram", "d1", "d2"],
+                names=["gram", "part", "d1", "d2"],
             )
 
-    return docs.select("text").mapInArrow(run, "gram long, d1 long, d2 long")
+    return docs.select("text").mapInArrow(run, "gram long, part int, d1 long, d2 long")
+
+
+def shared_prefixes(prefixes: DataFrame, parts: np.ndarray) -> DataFrame:
+    """Distinct (gram, d1, d2) without the n-grams that one set alone has in its prefix.
+
+    One shuffle: rows are sorted by n-gram where they arrive, and a row goes on when it or its
+    neighbour shows a second set. N-grams that are dealt to several parts go on in any case.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row, which may have a neighbour in the next batch
+        met = False  # whether its n-gram has had another set
+        for batch in batches:
+            rows = np.stack([batch.column(i).to_numpy() for i in (0, 2, 3)])
+            if held is not None:
+                rows = np.concatenate([held, rows], axis=1)
+            if rows.shape[1] < 2:
+                held = rows if rows.shape[1] else held
+                continue
+            same_gram = rows[0, 1:] == rows[0, :-1]
+            repeat = same_gram & (rows[1:, 1:] == rows[1:, :-1]).all(axis=0)
+            rows = rows[:, np.append(~repeat, True)]
+            same = np.append(met, rows[0, 1:] == rows[0, :-1])
+            keep = same[:-1] | same[1:]
+            keep |= parts[_slot(rows[0, :-1].view(np.uint64))] > 1
+            held, met = rows[:, -1:], bool(same[-1])
+            yield named(rows[:, :-1][:, keep])
+        if held is not None:
+            alone = not met and parts[_slot(held[0].view(np.uint64))][0] <= 1
+            yield named(held[:, :0] if alone else held)
+
+    def named(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["gram", "d1", "d2"])
+
+    placed = prefixes.repartition("gram", "part").sortWithinPartitions("gram", "d1", "d2")
+    return placed.mapInArrow(run, "gram long, d1 long, d2 long")
 
 
 def segments(texts: DataFrame, place: np.ndarray, fragment: np.ndarray) -> DataFrame:
@@ -216,21 +265,28 @@ def _members(shared: DataFrame) -> DataFrame:
     ).select("gram", (F.col("own") + F.col("guest").cast("int")).alias("bucket"), "guest", "cls", "n")
 
 
-def _undecided(members: DataFrame, labels: DataFrame | None, hub: Column) -> tuple:
-    """Groups with at least two components and a hub of their own, and the members with both."""
+def _undecided(
+    members: DataFrame, labels: DataFrame | None, round_: int
+) -> tuple[DataFrame, DataFrame]:
+    """Groups with at least two components, with a hub of their own, and the members with both.
+
+    In the rounds of hubs only groups with many members; each round chooses other hubs.
+    """
     if labels is None:
         named = members.withColumn("comp", F.col("cls"))
     else:
         named = members.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    named = stash(named, "named")
+        named = stash(named, "named")
+    by = F.xxhash64("cls", F.lit(round_)) if round_ else F.col("cls")
     groups = named.groupBy("gram", "bucket").agg(
         F.count("*").alias("members"),
         F.min("comp").alias("low"),
         F.max("comp").alias("high"),
-        F.min(F.when(~F.col("guest"), F.struct(hub.alias("by"), "cls", "n", "comp"))).alias("hub"),
+        F.min(F.when(~F.col("guest"), F.struct(by.alias("by"), "cls", "n", "comp"))).alias("hub"),
     )
-    open_ = groups.where("low < high AND hub IS NOT NULL").drop("low", "high")
-    return stash(open_, "groups"), named
+    least = HUB_MEMBERS if round_ < HUB_ROUNDS else 1
+    open_ = groups.where(f"low < high AND hub IS NOT NULL AND members > {least}")
+    return stash(open_.drop("low", "high"), "groups"), named
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -312,6 +368,15 @@ def open_pairs(groups: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
+def class_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in the pairs, from the row that stands for the class."""
+    ends = F.explode(F.array("a", "b")).alias("cls")
+    wanted = pairs.select(ends).distinct()
+    reps = stash(classes.join(wanted, "cls", "left_semi").select("cls", "rep.*"), "reps")
+    same = docs.key.eqNullSafe(reps.key) & docs.doc_id.eqNullSafe(reps.doc_id)
+    return docs.join(reps, same).select("cls", "text").dropDuplicates(["cls"])
+
+
 def linked(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     """The pairs (a, b) that are linked: overlaps per fragment, summed per pair."""
     first = cut.select(F.col("cls").alias("a"), "frag", F.col("grams").alias("left"))
@@ -338,38 +403,21 @@ def _labels(links: DataFrame) -> DataFrame:
 
 def _class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(cls, comp) of the classes that are linked with another one; None without any link."""
-    place, fragment = global_order(slot_counts(docs))
-    posts = stash(prefix_rows(docs, place), "prefixes")
-    counts = stash(
-        posts.groupBy("gram").agg(F.count("*").alias("posts")).where("posts > 1"), "counts"
-    )
-    sets = classes.select("d1", "d2", "cls", "n", "size")
-    shared = (
-        join_sized(posts, counts, ["gram"], "posts")
-        .select("gram", "d1", "d2")
-        .distinct()
-        .join(sets, ["d1", "d2"])
-        .select("gram", "cls", "n")
-    )
-    members = stash(_members(shared), "members")
-    groups, named = _undecided(members, None, F.col("cls"))
-    if groups.isEmpty():
-        return None
-
-    # Texts of the classes that stand in any open group, by the row that stands for the class.
-    wanted = named.join(groups, ["gram", "bucket"], "left_semi").select("cls").distinct()
-    reps = stash(classes.join(wanted, "cls", "left_semi").select("cls", "rep.*"), "reps")
-    same = docs.key.eqNullSafe(reps.key) & docs.doc_id.eqNullSafe(reps.doc_id)
-    texts = docs.join(reps, same).select("cls", "text").dropDuplicates(["cls"])
-    cut = stash(segments(texts, place, fragment), "segments")
+    counts = slot_counts(docs)
+    place, fragment = global_order(counts)
+    parts = slot_parts(counts)
+    shared = shared_prefixes(prefix_rows(docs, place, parts), parts)
+    sets = classes.select("d1", "d2", "cls", "n")
+    members = stash(_members(shared.join(sets, ["d1", "d2"])), "members")
 
     links, labels = None, None
     for round_ in range(HUB_ROUNDS + 1):
-        if round_:
-            hub = F.xxhash64("cls", F.lit(round_))
-            groups, named = _undecided(members, labels, hub)
-        found = hub_pairs if round_ < HUB_ROUNDS else open_pairs
-        new = stash(linked(found(groups, named), cut), "links")
+        groups, named = _undecided(members, labels, round_)
+        if groups.isEmpty():
+            continue
+        pairs = stash((hub_pairs if round_ < HUB_ROUNDS else open_pairs)(groups, named), "pairs")
+        texts = class_texts(docs, classes, pairs)
+        new = stash(linked(pairs, stash(segments(texts, place, fragment), "segments")), "links")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             labels = _labels(links)
