@@ -12,6 +12,7 @@ from keystar import schemas
 from keystar.functions.texts import repair_dash, stage_phase
 from keystar.operators.composition import letter_composition
 from keystar.operators.dedup import max_evidence, pair_max, restrict_to, symmetric
+from keystar.plans.diseases import disease_areas, nearest_area
 
 ANCHOR = "uniprot_accession"
 
@@ -93,9 +94,14 @@ def dim_protein(
     )
 
 
-def dim_disease(diseases: DataFrame) -> DataFrame:
-    return diseases.select(
-        "efo_id", "disease_name", F.lit(None).cast("string").alias("therapeutic_area")
+def dim_disease(diseases: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """One row per named disease; its area needs the ontology's ``terms`` (efo_id, parents)."""
+    if terms is None:
+        unknown = F.lit(None).cast("string").alias("therapeutic_area")
+        return diseases.select("efo_id", "disease_name", unknown)
+    areas = nearest_area(disease_areas(terms), diseases)
+    return diseases.join(areas, "efo_id", "left").select(
+        "efo_id", "disease_name", "therapeutic_area"
     )
 
 
@@ -187,7 +193,7 @@ def build_marts(t: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]
             t["stg_llm_rewrites"],
             t["family_group_map"],
         ),
-        "dim_disease": lambda: dim_disease(t["stg_ot_diseases"]),
+        "dim_disease": lambda: dim_disease(t["stg_ot_diseases"], t.get("disease_terms")),
         "dim_drug": lambda: dim_drug(t["stg_ot_drugs"], t["stg_ot_drug_molecules"]),
         "fact_protein_tissue": lambda: fact_protein_tissue(t["stg_hpa"], keys()),
         "fact_interaction": lambda: fact_interaction(t["stg_string"], keys()),

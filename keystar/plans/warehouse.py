@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from keystar import schemas
 from keystar.operators.embedding import ModelFactory
 from keystar.operators.quality import schema_differences
+from keystar.plans.accessions import resolve_accessions, with_current_accessions
 from keystar.plans.marts import ANCHOR, amino_acids, build_marts, family_groups
 from keystar.plans.staging import build_staging
 from keystar.plans.tables import Tables
 from keystar.plans.vectors import fact_embedding, fact_protein_neighbor
+from keystar.session import stash
 from keystar.sources.storage import bronze_paths, read_parquet, replace_table
 
 
@@ -23,11 +25,14 @@ def build_star(
     residues: DataFrame | None = None,
     groups: DataFrame | None = None,
     model: tuple[ModelFactory, str] | None = None,
+    terms: DataFrame | None = None,
+    forwards: DataFrame | None = None,
 ) -> Tables:
     """Staging relations, marts and seeds by name; nothing is planned before it is asked for.
 
     With a ``model`` (batch function factory and version) the embedding and neighbour facts are
-    among the marts.
+    among the marts; with the ontology's ``terms`` (efo_id, parents) diseases get their area;
+    with ``forwards`` (old, new accession) old accessions are resolved before anything joins.
     """
     seeds = Tables(
         {
@@ -37,6 +42,11 @@ def build_star(
         }
     )
     sources = seeds.extended(build_staging(bronze))
+    if terms is not None:
+        sources = sources.extended({"disease_terms": lambda: terms})
+    if forwards is not None:
+        resolution = stash(resolve_accessions(forwards, sources["stg_uniprot"]), "accessions")
+        sources = with_current_accessions(sources, resolution)
     marts = sources.extended(build_marts(sources))
     if model is None:
         return marts
@@ -67,7 +77,7 @@ def write_marts(
     A relation without its declared columns and types stops the run before it is written. With ``buckets`` every mart that has the anchor key is stored by it, which lets cards and
     map extracts read their sides already partitioned.
     """
-    names = sorted(n for n in star if not n.startswith("stg_"))
+    names = sorted(n for n in star if not n.startswith("stg_") and n != "disease_terms")
     tables = [f"{database}.{n}" if database else n for n in names]
     for name, table in zip(names, tables, strict=True):
         differences = schema_differences(star[name], schemas.MARTS[name])
