@@ -12,6 +12,7 @@ from keystar import schemas
 from keystar.functions.texts import repair_dash, stage_phase
 from keystar.operators.composition import letter_composition
 from keystar.operators.dedup import max_evidence, pair_max, restrict_to, symmetric
+from keystar.operators.median import grouped_median
 from keystar.plans.diseases import disease_areas, nearest_area
 
 ANCHOR = "uniprot_accession"
@@ -170,6 +171,24 @@ def fact_drug_target_disease(
     return known.withColumn("mechanism_of_action", F.lit(None).cast("string"))
 
 
+def fact_bioactivity(
+    activities: DataFrame, dim: DataFrame, drug_dim: DataFrame | None = None
+) -> DataFrame:
+    """(chembl_id, anchor, standard_type, pchembl_value, n_assays): the median over the assays.
+
+    ``activities`` has one row per measurement with these first four columns; measurements
+    without a comparable value, of unknown proteins or, with ``drug_dim``, of unknown drugs go.
+    Many assays of one pair are normal and some are far off, hence the median.
+    """
+    known = restrict_to(activities.where(F.col("pchembl_value").isNotNull()), dim, {ANCHOR: ANCHOR})
+    if drug_dim is not None:
+        known = restrict_to(known, drug_dim, {"chembl_id": "chembl_id"})
+    keys = ["chembl_id", ANCHOR, "standard_type"]
+    return grouped_median(known, keys, "pchembl_value", "pchembl_value").select(
+        *keys, "pchembl_value", F.col("n").alias("n_assays")
+    )
+
+
 def fact_protein_aa_composition(dim: DataFrame, residues: DataFrame) -> DataFrame:
     counted = letter_composition(dim, ANCHOR, "sequence", "sequence_length")
     return restrict_to(counted, residues, {"amino_acid_code": "amino_acid_code"})
