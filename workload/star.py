@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystar import constants as K
+from keystar import schemas
 from keystar.operators.composition import category_rollup, with_bar
+from keystar.operators.quality import schema_differences
 from keystar.operators.ranking import flatten_list
 from keystar.plans import cards, lookup
 from keystar.plans.marts import ANCHOR, amino_acids
 from keystar.plans.tables import Tables
 from keystar.plans.warehouse import build_star
 from keystar.session import scratch_path, stash
-from keystar.sources.storage import read_parquet, write_parquet
+from keystar.sources.storage import empty_sources, read_parquet, write_parquet
 from workload import bronze as B
 from workload.registry import query, with_ctes
 
@@ -527,3 +529,50 @@ def composition_rollup(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sequence_lengths(spark: SparkSession, sf: str) -> DataFrame:
     return lookup.lengths(served(spark, sf)["dim_protein"], B.editorial(spark, sf).select(ANCHOR))
+
+
+# Mart -> the relation of the SQL above with the same rows.
+_CONTRACT = {
+    "dim_protein": "protein",
+    "dim_disease": "disease",
+    "dim_drug": "drug",
+    "fact_interaction": "pair",
+    "fact_protein_partner": "(SELECT a FROM pair UNION ALL SELECT b FROM pair)",
+    "fact_protein_disease": "evidence",
+    "fact_drug_target_disease": "triple",
+}
+
+
+@query(
+    "D16 S13",
+    sql(" UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS found_rows, 0 AS differences, 0::BIGINT AS rows_without_data, "
+        f"0 AS differences_without_data FROM {relation}"
+        for mart, relation in _CONTRACT.items()
+    )),
+)
+def schema_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Declared against found columns and types of the written marts, with data and without."""
+    full = served(spark, sf)
+    none = build_star(spark, empty_sources(spark), B.editorial(spark, sf).limit(0))
+    found = []
+    for mart in _CONTRACT:
+        for tables, kind in ((full, "found"), (none, "without")):
+            written = tables[mart] if tables is full else stash(tables[mart], mart)
+            differences = len(schema_differences(written, schemas.MARTS[mart]))
+            found.append(written.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(mart).alias("mart"), F.lit(kind).alias("kind"), "n", F.lit(differences).alias("d")
+            ))
+    union = found[0]
+    for one in found[1:]:
+        union = union.unionByName(one)
+
+    def of(kind: str, column: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(column)))
+
+    return union.groupBy("mart").agg(
+        of("found", "n").alias("found_rows"),
+        of("found", "d").alias("differences"),
+        of("without", "n").alias("rows_without_data"),
+        of("without", "d").alias("differences_without_data"),
+    )

@@ -14,7 +14,9 @@ from keystar.operators.embedding import embed, masked_mean, project_2d
 from keystar.operators.neighbors import cosine_topk
 from keystar.operators.patch import member_check
 from keystar.operators.quality import coverage
-from keystar.plans.lookup import neighbors_of
+from keystar.plans.embedding_state import STATE, as_embedding, classify_sequences, refresh_embeddings, unseen_texts
+from keystar.plans.lookup import map_extract, neighbors_of
+from keystar.plans.vectors import assemble_embedding
 from keystar.plans.vectors import fact_embedding as embedding_relation
 from keystar.plans.vectors import fact_protein_neighbor
 from keystar.session import stash
@@ -208,7 +210,7 @@ def pca_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The two largest eigenvalues of the unit vectors' covariance, by power iteration.
-_PRINCIPAL = """
+_AXES = """
     WITH RECURSIVE u AS (
         SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE
             / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS v
@@ -235,7 +237,9 @@ _PRINCIPAL = """
         SELECT step + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))) FROM (
             SELECT step, list_transform(m, lambda r, i: list_dot_product(r, two.v)
                 - first.size * first.v[i] * list_dot_product(first.v, two.v)) AS w
-            FROM two, m, first WHERE step < 400))
+            FROM two, m, first WHERE step < 400))"""
+
+_PRINCIPAL = f"""{_AXES}
     SELECT (SELECT count(*) FROM embeddings) AS points,
            round((SELECT size FROM first), 4) AS first_variance,
            (SELECT round(list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))), 4)
@@ -339,3 +343,119 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
     )
     found = search_texts(index, asked, "query_id", "text", stand_in_model, 5)
     return found.select("query_id", "rank", "similarity")
+
+
+def _sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as proteins; every ninth has the text of the one before it."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    other = docs.select((F.col("doc_id") + 1).alias("doc_id"), F.col("text").alias("before"))
+    text = F.when(F.col("doc_id") % 9 == 0, F.coalesce("before", "text")).otherwise(F.col("text"))
+    return docs.join(other, "doc_id", "left").select(
+        F.concat(F.lit("P"), F.col("doc_id").cast("string")).alias("uniprot_accession"), text.alias("sequence"),
+        "doc_id",
+    )
+
+
+def _earlier(spark: SparkSession, sf: str) -> DataFrame:
+    """What the last run saw: a tenth was not there, a seventh read otherwise, some are gone now."""
+    now = _sequences(spark, sf)
+    changed = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("Old "), "sequence")).otherwise(F.col("sequence"))
+    kept = now.where("doc_id % 10 <> 3").select("uniprot_accession", changed.alias("sequence"))
+    gone = now.where("doc_id % 11 = 0").select(F.concat(F.lit("Z"), "uniprot_accession").alias("uniprot_accession"), "sequence")
+    return kept.unionByName(gone)
+
+
+_STATES = {
+    "documents_now": """
+        SELECT d.doc_id, 'P' || d.doc_id AS acc,
+               CASE WHEN d.doc_id % 9 = 0 THEN coalesce(b.text, d.text) ELSE d.text END AS text
+        FROM documents d LEFT JOIN documents b ON b.doc_id = d.doc_id - 1""",
+    "documents_before": """
+        SELECT acc, CASE WHEN doc_id % 7 = 0 THEN 'Old ' || text ELSE text END AS text
+        FROM documents_now WHERE doc_id % 10 <> 3
+        UNION ALL SELECT 'Z' || acc, text FROM documents_now WHERE doc_id % 11 = 0""",
+}
+
+
+@query(
+    "Q18 Q16 A18",
+    with_ctes(
+        _STATES,
+        """SELECT coalesce(n.acc, b.acc) AS uniprot_accession,
+                  CASE WHEN b.acc IS NULL THEN 'new' WHEN n.acc IS NULL THEN 'gone'
+                       WHEN b.text = n.text THEN 'same' ELSE 'changed' END AS status,
+                  n.acc IS NOT NULL AND n.text NOT IN (SELECT text FROM documents_before) AS sent
+           FROM documents_now n FULL JOIN documents_before b ON b.acc = n.acc""",
+    ),
+)
+def embedding_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second run finds, and whose texts the model has to see."""
+    now = _sequences(spark, sf)
+    state = _earlier(spark, sf).select(
+        "uniprot_accession",
+        F.sha2("sequence", 256).alias("sequence_digest"),
+        F.lit("v1").alias("model_version"),
+    )
+    unseen = unseen_texts(now, state, "v1").select("sequence_digest", F.lit(True).alias("sent"))
+    found = classify_sequences(now, state, "v1")
+    return found.join(unseen, "sequence_digest", "left").select(
+        "uniprot_accession", "status", F.coalesce("sent", F.lit(False)).alias("sent")
+    )
+
+
+@query(
+    "Q18 Q16 F1",
+    with_ctes(
+        _STATES,
+        f"""SELECT acc AS uniprot_accession, dim::INTEGER AS dim, value
+            FROM documents_now n JOIN ({_EMBED.replace("FROM documents,", "FROM (SELECT DISTINCT text, text AS doc_id FROM documents_now),")}) e
+                ON e.doc_id = n.text""",
+    ),
+)
+def embedding_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings after the second run: kept where nothing changed, made where something did."""
+    nothing = spark.createDataFrame([], STATE)
+    first = stash(refresh_embeddings(_earlier(spark, sf), nothing, stand_in_model, "v1"), "state")
+    second = refresh_embeddings(_sequences(spark, sf), first, stand_in_model, "v1")
+    return second.select("uniprot_accession", F.posexplode("embedding").alias("pos", "value")).select(
+        "uniprot_accession", (F.col("pos") + 1).alias("dim"), "value"
+    )
+
+
+# Coordinates on both axes, each turned so that its largest weight is positive.
+_PLACED = f"""{_AXES.replace("FROM embeddings", "FROM vectors")},
+    signed AS (
+        SELECT first.v AS a, two.v AS b,
+               sign(list_sort(list_transform(first.v, lambda w: [abs(w), w]), 'DESC')[1][2]) AS sa,
+               sign(list_sort(list_transform(two.v, lambda w: [abs(w), w]), 'DESC')[1][2]) AS sb
+        FROM first, two WHERE step = 400)
+    SELECT vec_id AS acc, sa * list_dot_product(u.v, a) AS x, sb * list_dot_product(u.v, b) AS y FROM u, signed"""
+
+
+@query(
+    "Q11 S15 P22 Q17 Q18 J10 A5 A6",
+    with_ctes(
+        {
+            **STAR_SQL,
+            "vectors": f"""
+                SELECT 'P' || doc_id AS vec_id, list(value ORDER BY dim) AS embedding FROM ({_EMBED})
+                WHERE 'P' || doc_id IN (SELECT acc FROM protein WHERE sequence IS NOT NULL) GROUP BY doc_id""",
+        },
+        f"""SELECT p.acc AS uniprot_accession, p.gene_symbol, p.family_group, round(e.x, 3) AS umap_x,
+                  round(e.y, 3) AS umap_y, coalesce(d.n, 0) AS disease_count, coalesce(g.n, 0) AS drug_count
+           FROM protein p JOIN ({_PLACED}) e ON e.acc = p.acc
+           LEFT JOIN (SELECT acc, count(*) AS n FROM evidence GROUP BY acc) d ON d.acc = p.acc
+           LEFT JOIN (SELECT t.acc, count(DISTINCT chembl_id) AS n FROM triple t
+                      JOIN drug USING (chembl_id) WHERE max_phase >= 3 GROUP BY t.acc) g ON g.acc = p.acc""",
+    ),
+)
+def map_of_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """From sequences to the map: embedded, projected, joined with their counts."""
+    star = served(spark, sf)
+    sequences = star["dim_protein"].where("sequence IS NOT NULL").select("uniprot_accession", "sequence")
+    state = refresh_embeddings(sequences, spark.createDataFrame([], STATE), stand_in_model, "v1")
+    fact = assemble_embedding(stash(as_embedding(state), "state"), "v1")
+    points = map_extract(star.extended({"fact_embedding": lambda: stash(fact, "fact")}))
+    return points.withColumns(
+        {c: F.round(F.col(c).cast("double"), 3) for c in ("umap_x", "umap_y")}
+    )
