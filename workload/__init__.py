@@ -4,7 +4,7 @@ import sys
 
 from pyspark.cloudpickle import register_pickle_by_value
 
-from workload import activity, generic, graphs, ingest, quality, star, text, vectors  # noqa: F401
+from workload import activity, generic, graphs, ingest, quality, refresh, star, text, vectors  # noqa: F401
 from workload.registry import QUERIES
 
 register_pickle_by_value(sys.modules[__name__])
