@@ -13,6 +13,7 @@ from keystar.operators.ranking import flatten_list
 from keystar.plans import cards, lookup
 from keystar.plans.marts import ANCHOR, amino_acids
 from keystar.plans.tables import Tables
+from keystar.plans.text_index import search_indexed, write_text_index
 from keystar.plans.warehouse import build_star
 from keystar.session import scratch_path, stash
 from keystar.sources.storage import empty_sources, read_parquet, write_parquet
@@ -576,3 +577,30 @@ def schema_contract(spark: SparkSession, sf: str) -> DataFrame:
         of("without", "n").alias("rows_without_data"),
         of("without", "d").alias("differences_without_data"),
     )
+
+
+TEXT_BUCKETS = 64
+_text_indexes: dict[tuple[str, str], str] = {}
+
+
+def text_index(spark: SparkSession, sf: str) -> str:
+    """Where the postings of the served proteins are, written on first use."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _text_indexes:
+        path = scratch_path(spark, "postings")
+        write_text_index(served(spark, sf)["dim_protein"], path, TEXT_BUCKETS)
+        _text_indexes[at] = path
+    return _text_indexes[at]
+
+
+@query("Q10 P17 O2", sql(_SEARCH.format(q="Dget")))
+def search_by_index(spark: SparkSession, sf: str) -> DataFrame:
+    dim = served(spark, sf)["dim_protein"]
+    return search_indexed(dim, text_index(spark, sf), "Dget", TEXT_BUCKETS)
+
+
+@query("Q10 P17 O2", sql(_SEARCH.format(q="red%gear")))
+def search_by_index_wildcard(spark: SparkSession, sf: str) -> DataFrame:
+    """Trigrams of both runs; the order of the runs is left to the search."""
+    dim = served(spark, sf)["dim_protein"]
+    return search_indexed(dim, text_index(spark, sf), "red%gear", TEXT_BUCKETS)
