@@ -156,7 +156,38 @@ class TableCheck:
         return self.find(tables)
 
 
-Check = RowCheck | TableCheck
+@dataclass(frozen=True)
+class UniqueCheck:
+    """A key that no two rows may share; the violations are the keys that are."""
+
+    name: str
+    relation: str
+    columns: tuple[str, ...]
+    tags: frozenset[str] = frozenset()
+
+    def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return unique(tables[self.relation], *self.columns)
+
+
+@dataclass(frozen=True)
+class ReferenceCheck:
+    """A key that the parent has to have; the violations are the child rows without one."""
+
+    name: str
+    child: str
+    column: str
+    parent: str
+    parent_column: str
+    tags: frozenset[str] = frozenset()
+
+    def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        return relationships(
+            tables[self.child], self.column, tables[self.parent], self.parent_column
+        )
+
+
+KeyCheck = UniqueCheck | ReferenceCheck
+Check = RowCheck | TableCheck | KeyCheck
 
 
 def select_checks(checks: Iterable[Check], exclude: Iterable[str] = ()) -> list[Check]:
@@ -168,13 +199,17 @@ def select_checks(checks: Iterable[Check], exclude: Iterable[str] = ()) -> list[
 def summarize(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """(check_name, violations) for all checks, as one job.
 
-    Row checks of one relation share a single scan that reads only the columns they name.
+    Row checks of one relation share a single scan that reads only the columns they name; key
+    checks of all relations share a single shuffle.
     """
     by_relation: dict[str, list[RowCheck]] = {}
+    keyed: list[KeyCheck] = []
     results = []
     for check in checks:
         if isinstance(check, RowCheck):
             by_relation.setdefault(check.relation, []).append(check)
+        elif isinstance(check, KeyCheck):
+            keyed.append(check)
         else:
             counted = check.violations(tables).agg(F.count(F.lit(1)).alias("violations"))
             results.append(counted.select(F.lit(check.name).alias("check_name"), "violations"))
@@ -189,9 +224,58 @@ def summarize(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataF
             )
         )
         results.append(counts.select(F.inline(pairs)))
+    if keyed:
+        results.append(_key_violations(keyed, tables))
     return reduce(DataFrame.unionByName, results)
 
 
+def _key_violations(checks: Sequence[KeyCheck], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(check_name, violations) of key checks: one scan per relation, one shuffle for all.
+
+    Every row names, per check, its key and whether it holds it as a child or as a parent; they
+    are counted per check and key before and after the shuffle, however many rows share a key.
+    """
+    asked: dict[str, list[tuple[int, tuple[str, ...], bool]]] = {}
+    for i, check in enumerate(checks):
+        if isinstance(check, UniqueCheck):
+            asked.setdefault(check.relation, []).append((i, check.columns, False))
+        else:
+            asked.setdefault(check.child, []).append((i, (check.column,), False))
+            asked.setdefault(check.parent, []).append((i, (check.parent_column,), True))
+
+    def holder(i: int, columns: tuple[str, ...], parent: bool) -> Column:
+        # Equal texts are equal keys; a single null key is no key, a composite one may have nulls.
+        key = (
+            F.col(columns[0]).cast("string")
+            if len(columns) == 1
+            else F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        )
+        row = F.struct(F.lit(i).alias("check"), key.alias("key"), F.lit(parent).alias("parent"))
+        return F.when(key.isNotNull(), row)
+
+    held = [
+        tables[relation].select(
+            F.inline(F.filter(F.array(*(holder(*x) for x in wanted)), lambda r: r.isNotNull()))
+        )
+        for relation, wanted in asked.items()
+    ]
+    keys = reduce(DataFrame.unionByName, held).groupBy("check", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.bool_or("parent").alias("known")
+    )
+    references = [i for i, check in enumerate(checks) if isinstance(check, ReferenceCheck)]
+    lost = F.col("check").isin(references)
+    violations = F.when(lost, F.when(F.col("known"), 0).otherwise(F.col("rows"))).otherwise(
+        (F.col("rows") > 1).cast("long")
+    )
+    counted = keys.groupBy("check").agg(F.sum(violations).alias("violations"))
+    # Checks whose relations have no keys at all passed too.
+    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c.name).alias("check_name")) for i, c in enumerate(checks)))
+    all_names = tables[next(iter(asked))].sparkSession.range(1).select(F.inline(names))
+    return all_names.join(counted, F.col("i") == F.col("check"), "left").select(
+        "check_name", F.coalesce("violations", F.lit(0).cast("long")).alias("violations")
+    )
+
+
 def require(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> None:
     """Raise with the names of the checks that found violations, and how many."""
     found = summarize(checks, tables).where("violations > 0").orderBy("check_name").collect()

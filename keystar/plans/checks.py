@@ -89,21 +89,10 @@ def _column_checks() -> list[Q.Check]:
             )
     for relation, keys in UNIQUE.items():
         for key in keys:
-            checks.append(
-                Q.TableCheck(
-                    f"unique_{relation}_{'_'.join(key)}",
-                    lambda t, relation=relation, key=key: Q.unique(t[relation], *key),
-                )
-            )
+            checks.append(Q.UniqueCheck(f"unique_{relation}_{'_'.join(key)}", relation, key))
     for child, column, parent, parent_column in RELATIONSHIPS:
-        checks.append(
-            Q.TableCheck(
-                f"relationships_{child}_{column}",
-                lambda t, c=child, col=column, p=parent, pc=parent_column: Q.relationships(
-                    t[c], col, t[p], pc
-                ),
-            )
-        )
+        name = f"relationships_{child}_{column}"
+        checks.append(Q.ReferenceCheck(name, child, column, parent, parent_column))
     return checks
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from keystar import constants as K
@@ -89,3 +91,35 @@ def test_coverage(spark):
     a = spark.range(3)
     b = spark.createDataFrame([(1, None), (2, 0.5)], "id int, x double")
     assert rows(Q.coverage(a, b, {"null_x": F.col("x").isNull()})) == [(3, 2, 1)]
+
+
+def test_key_checks_share_a_shuffle(spark):
+    rng = random.Random(4)
+
+    def frame(n, schema):
+        return spark.createDataFrame(
+            [(rng.choice([None, *range(12)]), rng.choice([None, "a", "b"]), rng.randrange(30)) for _ in range(n)],
+            schema,
+        )
+
+    tables = {
+        "child": frame(60, "a int, b string, c int"),
+        "parent": frame(9, "a int, b string, c int"),
+        "none": frame(0, "a int, b string, c int"),
+    }
+    checks = [
+        Q.UniqueCheck("one", "child", ("c",)),
+        Q.UniqueCheck("two", "child", ("a", "b")),
+        Q.UniqueCheck("null", "parent", ("a",)),
+        Q.UniqueCheck("empty", "none", ("a",)),
+        Q.ReferenceCheck("ref_a", "child", "a", "parent", "a"),
+        Q.ReferenceCheck("ref_b", "child", "b", "parent", "b"),
+        Q.ReferenceCheck("ref_none", "child", "c", "none", "c"),
+        Q.ReferenceCheck("from_none", "none", "c", "child", "c"),
+        Q.ReferenceCheck("itself", "parent", "a", "parent", "a"),
+    ]
+    found = Q.summarize(checks, tables)
+    assert dict(rows(found)) == {c.name: c.violations(tables).count() for c in checks}
+    plan = Q.summarize(checks, tables)._jdf.queryExecution().executedPlan().toString()
+    # One by check and key, one by check, and the few names.
+    assert plan.count("Exchange hashpartitioning") <= 3, plan
