@@ -39,6 +39,8 @@ PARTS = 4096
 #: Rounds of hubs, for groups of over HUB_MEMBERS, before the rest is compared pair by pair.
 HUB_ROUNDS = 2
 HUB_MEMBERS = 64
+#: Hubs of a group in one round.
+HUBS = 4
 #: Members of one group that one task compares with all others of the group.
 SALT_ROWS = 500
 #: Sets a task remembers so that copies are not sent again.
@@ -139,7 +141,7 @@ def slot_parts(counts: np.ndarray) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, place: np.ndarray, parts: np.ndarray) -> DataFrame:
-    """(gram, part, d1, d2): the first n-grams of every set in the global order.
+    """(gram, part, n, d1, d2): the first n-grams of every set in the global order.
 
     So many that two linked sets share one: n - ceil(n x PERCENT / 100) + 1. Rows whose slot has
     several ``parts`` are dealt to them by their set.
@@ -174,48 +176,84 @@ def prefix_rows(docs: DataFrame, place: np.ndarray, parts: np.ndarray) -> DataFr
                 [
                     pa.array(grams[at].view(np.int64)),
                     pa.array(part.astype(np.int32)),
+                    pa.array(sizes[rows[at]].astype(np.int32)),
                     *(pa.array(d) for d in names.T),
                 ],
-                names=["gram", "part", "d1", "d2"],
+                names=["gram", "part", "n", "d1", "d2"],
             )
 
-    return docs.select("text").mapInArrow(run, "gram long, part int, d1 long, d2 long")
+    return docs.select("text").mapInArrow(run, "gram long, part int, n int, d1 long, d2 long")
+
+
+SHARED = ("gram", "n", "d1", "d2", "m", "e1", "e2")
+
+
+def _met(rows: np.ndarray, parts: np.ndarray, long_run: int | None) -> pa.RecordBatch:
+    """Whole runs (gram, n, d1, d2) as pairs, or as members where a run is long or dealt out."""
+    new = np.ones(rows.shape[1], dtype=bool)
+    new[1:] = rows[0, 1:] != rows[0, :-1]
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, rows.shape[1]))
+    grams = rows[0, starts]
+    whole = (lengths > HUB_MEMBERS) | (parts[_slot(grams.view(np.uint64))] > 1)
+    if long_run is not None:
+        whole |= grams == long_run
+    members = rows[:, np.repeat(whole, lengths)]
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for z in np.unique(lengths[~whole & (lengths > 1)]).tolist():
+        i, j = np.triu_indices(z, 1)
+        at = starts[~whole & (lengths == z)][:, None]
+        left.append((at + i).ravel())
+        right.append((at + j).ravel())
+    i, j = np.concatenate(left), np.concatenate(right)
+    # Runs are sorted by size.
+    fits = 100 * rows[1, i] >= PERCENT * rows[1, j]
+    i, j = i[fits], j[fits]
+    no_pair, no_gram = np.ones(members.shape[1], dtype=bool), np.ones(len(i), dtype=bool)
+
+    def column(of_members: np.ndarray, of_pairs: np.ndarray, absent: np.ndarray) -> pa.Array:
+        return pa.array(np.concatenate([of_members, of_pairs]), pa.int64(), mask=absent)
+
+    here, there = np.zeros(len(no_pair), dtype=bool), np.zeros(len(no_gram), dtype=bool)
+    only_members, only_pairs = np.concatenate([here, no_gram]), np.concatenate([no_pair, there])
+    both = np.concatenate([here, there])
+    return pa.RecordBatch.from_arrays(
+        [
+            column(members[0], rows[0, i], only_members),
+            *(column(members[k], rows[k, i], both) for k in (1, 2, 3)),
+            *(column(members[k], rows[k, j], only_pairs) for k in (1, 2, 3)),
+        ],
+        names=list(SHARED),
+    )
 
 
 def shared_prefixes(prefixes: DataFrame, parts: np.ndarray) -> DataFrame:
-    """Distinct (gram, d1, d2) without the n-grams that one set alone has in its prefix.
+    """Who shares prefix n-grams, as rows (gram, n, d1, d2, m, e1, e2) of two kinds.
 
-    One shuffle: rows are sorted by n-gram where they arrive, and a row goes on when it or its
-    neighbour shows a second set. N-grams that are dealt to several parts go on in any case.
+    One shuffle: rows are sorted by n-gram and size where they arrive. Of an n-gram in at most
+    ``HUB_MEMBERS`` sets come the pairs whose sizes fit, without ``gram``; the sets of any other
+    one, and of those dealt to several parts, come as members, without ``m, e1, e2``. A task
+    holds no more than a run of ``HUB_MEMBERS`` and a batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, which may have a neighbour in the next batch
-        met = False  # whether its n-gram has had another set
+        held = np.zeros((4, 0), dtype=np.int64)
+        long_run = None
         for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy() for i in (0, 2, 3)])
-            if held is not None:
-                rows = np.concatenate([held, rows], axis=1)
-            if rows.shape[1] < 2:
-                held = rows if rows.shape[1] else held
-                continue
-            same_gram = rows[0, 1:] == rows[0, :-1]
-            repeat = same_gram & (rows[1:, 1:] == rows[1:, :-1]).all(axis=0)
-            rows = rows[:, np.append(~repeat, True)]
-            same = np.append(met, rows[0, 1:] == rows[0, :-1])
-            keep = same[:-1] | same[1:]
-            keep |= parts[_slot(rows[0, :-1].view(np.uint64))] > 1
-            held, met = rows[:, -1:], bool(same[-1])
-            yield named(rows[:, :-1][:, keep])
-        if held is not None:
-            alone = not met and parts[_slot(held[0].view(np.uint64))][0] <= 1
-            yield named(held[:, :0] if alone else held)
-
-    def named(rows: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["gram", "d1", "d2"])
-
-    placed = prefixes.repartition("gram", "part").sortWithinPartitions("gram", "d1", "d2")
-    return placed.mapInArrow(run, "gram long, d1 long, d2 long")
+            rows = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 2, 3, 4)])
+            rows = np.concatenate([held, rows], axis=1)
+            again = (rows[:, 1:] == rows[:, :-1]).all(axis=0)
+            rows = rows[:, np.append(True, ~again)]
+            last = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
+            if rows.shape[1] - last > HUB_MEMBERS:
+                # The last row stays, so that its repeats in the next batch are seen.
+                long_run, last = int(rows[0, -1]), rows.shape[1] - 1
+            yield _met(rows[:, :last], parts, long_run)
+            held = rows[:, last:]
+        yield _met(held, parts, long_run)
+
+    placed = prefixes.repartition("gram", "part").sortWithinPartitions("gram", "n", "d1", "d2")
+    return placed.mapInArrow(run, ", ".join(f"{c} long" for c in SHARED))
 
 
 def segments(texts: DataFrame, place: np.ndarray, fragment: np.ndarray) -> DataFrame:
@@ -268,7 +306,7 @@ def _members(shared: DataFrame) -> DataFrame:
 def _undecided(
     members: DataFrame, labels: DataFrame | None, round_: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Groups with at least two components, with a hub of their own, and the members with both.
+    """Groups with at least two components, with hubs of their own, and all named members.
 
     In the rounds of hubs only groups with many members; each round chooses other hubs.
     """
@@ -278,31 +316,38 @@ def _undecided(
         named = members.join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         named = stash(named, "named")
     by = F.xxhash64("cls", F.lit(round_)) if round_ else F.col("cls")
+    lot = F.pmod(F.xxhash64("cls", F.lit(round_)), F.lit(HUBS))
+
+    def hub(k: int) -> Column:
+        return F.min(F.when(~F.col("guest") & (lot == k), F.struct(by.alias("by"), "cls", "n", "comp")))
+
     groups = named.groupBy("gram", "bucket").agg(
         F.count("*").alias("members"),
         F.min("comp").alias("low"),
         F.max("comp").alias("high"),
-        F.min(F.when(~F.col("guest"), F.struct(by.alias("by"), "cls", "n", "comp"))).alias("hub"),
+        F.array_compact(F.array(*(hub(k) for k in range(HUBS)))).alias("hubs"),
     )
     least = HUB_MEMBERS if round_ < HUB_ROUNDS else 1
-    open_ = groups.where(f"low < high AND hub IS NOT NULL AND members > {least}")
+    open_ = groups.where(f"low < high AND size(hubs) > 0 AND members > {least}")
     return stash(open_.drop("low", "high"), "groups"), named
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    """Distinct (a, b, na, nb) with a < b of rows (x, nx, y, ny)."""
+def _pairs(found: DataFrame, *carried: str) -> DataFrame:
+    """(a, b, na, nb) with a < b of rows (x, nx, y, ny)."""
     up = F.col("x") < F.col("y")
     return found.select(
         F.least("x", "y").alias("a"),
         F.greatest("x", "y").alias("b"),
         F.when(up, F.col("nx")).otherwise(F.col("ny")).alias("na"),
         F.when(up, F.col("ny")).otherwise(F.col("nx")).alias("nb"),
+        *carried,
     )
 
 
 def hub_pairs(groups: DataFrame, named: DataFrame) -> DataFrame:
-    """Pairs of a group's hub with every member of another component whose size fits."""
+    """Pairs of a group's hubs with every member of another component whose size fits."""
     met = join_sized(named, groups, ["gram", "bucket"], "members")
+    met = met.withColumn("hub", F.explode("hubs"))
     other = F.col("comp") != F.col("hub.comp")
     return _pairs(
         met.where(other & _sizes_fit(F.col("n"), F.col("hub.n"))).select(
@@ -324,11 +369,12 @@ def _needed(na: Column, nb: Column) -> Column:
     return F.ceil((na + nb) * PERCENT / (100 + PERCENT))
 
 
-def open_pairs(groups: DataFrame, named: DataFrame) -> DataFrame:
-    """All pairs of members in different components that may be linked.
+def open_pairs(groups: DataFrame, named: DataFrame, few: DataFrame) -> DataFrame:
+    """All pairs of members in different components that may be linked, and the pairs ``few``.
 
     A pair's prefix n-grams in common and what the rest of the sets could add bound the overlap.
     A group with many members is spread: each part of it meets the whole group elsewhere.
+    ``few`` has (x, nx, y, ny, common) of the n-grams that few sets share.
     """
     salts = groups.select(
         "gram", "bucket", "members", F.ceil(F.col("members") / SALT_ROWS).alias("salts")
@@ -359,15 +405,26 @@ def open_pairs(groups: DataFrame, named: DataFrame) -> DataFrame:
     na, nb = F.col("na"), F.col("nb")
     # The smaller set cannot add more than it has after its prefix where that ends first.
     most = F.col("common") + F.greatest(_reach(na), _reach(nb))
+    times = met.select("x", "nx", "y", "ny", F.lit(1).cast("long").alias("common")).unionByName(few)
     return (
-        _pairs(met)
+        _pairs(times, "common")
         .groupBy("a", "b", "na", "nb")
-        .agg(F.count("*").alias("common"))
+        .agg(F.sum("common").alias("common"))
         .where(most >= _needed(na, nb))
         .drop("common")
     )
 
 
+def _named_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(x, nx, y, ny, common): pairs of digests by their classes, with how often they met."""
+    times = pairs.groupBy("n", "d1", "d2", "m", "e1", "e2").agg(F.count("*").alias("common"))
+    left = sets.select("d1", "d2", F.col("cls").alias("x"))
+    right = sets.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("cls").alias("y"))
+    return times.join(left, ["d1", "d2"]).join(right, ["e1", "e2"]).select(
+        "x", F.col("n").alias("nx"), "y", F.col("m").alias("ny"), "common"
+    )
+
+
 def class_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(cls, text) of the classes in the pairs, from the row that stands for the class."""
     ends = F.explode(F.array("a", "b")).alias("cls")
@@ -406,16 +463,21 @@ def _class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     counts = slot_counts(docs)
     place, fragment = global_order(counts)
     parts = slot_parts(counts)
-    shared = shared_prefixes(prefix_rows(docs, place, parts), parts)
+    shared = stash(shared_prefixes(prefix_rows(docs, place, parts), parts), "shared")
     sets = classes.select("d1", "d2", "cls", "n")
-    members = stash(_members(shared.join(sets, ["d1", "d2"])), "members")
+    large = shared.where("gram IS NOT NULL").select("gram", "d1", "d2")
+    members = stash(_members(large.join(sets, ["d1", "d2"])), "members")
+    few = stash(_named_pairs(shared.where("gram IS NULL"), sets), "few")
 
     links, labels = None, None
     for round_ in range(HUB_ROUNDS + 1):
         groups, named = _undecided(members, labels, round_)
-        if groups.isEmpty():
-            continue
-        pairs = stash((hub_pairs if round_ < HUB_ROUNDS else open_pairs)(groups, named), "pairs")
+        if round_ < HUB_ROUNDS:
+            if groups.isEmpty():
+                continue
+            pairs = stash(hub_pairs(groups, named), "pairs")
+        else:
+            pairs = stash(open_pairs(groups, named, few), "pairs")
         texts = class_texts(docs, classes, pairs)
         new = stash(linked(pairs, stash(segments(texts, place, fragment), "segments")), "links")
         if not new.isEmpty():
