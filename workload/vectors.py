@@ -296,9 +296,9 @@ def vector_search_exact(spark: SparkSession, sf: str) -> DataFrame:
     return search(indexed(spark, sf), new_vectors(spark, sf), "vec_id", "v")
 
 
-# Cells that are read, of the root of the rows: what reaches the recall below on vectors
-# that are spread evenly, where cells help least.
-PROBE_SHARE = 0.6
+# Share of the cells that are read: what reaches the recall below on vectors that are spread
+# evenly, where cells help least.
+PROBE_SHARE = 0.7
 
 
 def probes_of(index: CellIndex) -> int:
