@@ -1,10 +1,13 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a light tree of elements. Every paragraph earns points for its length and its
-commas; the parent gets them whole, the grandparent half and so on, and an element's sum is
-discounted by the share of its text that stands in links. The element with the best score, or
-the article it lies in, is the container; around one that is no article, what its parent holds
-is kept unless it is mostly links.
+commas; the parent gets them whole, each further ancestor half of what the one below it got,
+and an element's sum is discounted by the share of its text that stands in links. The element
+with the best score, or the article it lies in, is the container; around one that is no
+article, what its parent holds is kept unless it is mostly links.
+
+Points are handed up once, from the leaves to the root, and open elements are found through
+links to the next one that matters, so the work grows with the page and not with its depth.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ VOID = frozenset(
 )
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset(
-    "script style noscript template head nav header footer aside form button select option "
+    "script style noscript template head nav footer aside button select option datalist label "
     "textarea input iframe object embed svg canvas audio video dialog menu title xmp noembed "
     "noframes".split()
 )
+FIELDS = frozenset("input select textarea".split())
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption "
     "figure h1 h2 h3 h4 h5 h6 hr html legend li main ol p pre section summary table tbody td "
@@ -40,13 +44,16 @@ PARAGRAPHS = frozenset("p pre blockquote td th li dd dt h1 h2 h3 h4 h5 h6 figcap
 ENDS = {
     "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"},
     "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-    "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"},
+    **dict.fromkeys(
+        ("tbody", "thead", "tfoot"), {"tbody", "thead", "tfoot", "tr", "td", "th"}
+    ),
 }
+ENDED = frozenset().union(*ENDS.values())
 #: Elements beyond which nothing is ended implicitly.
 SCOPES = frozenset("table ul ol dl select article section div body html main".split())
 ARTICLE = re.compile(r"\b(article|content|entry|main|post|story|text)\b", re.I)
 UNWANTED = re.compile(
-    r"ads?\d*|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|"
+    r"ads?\d*|advert\w*|banner|breadcrumbs?|\w*comment(?!ar)\w*|consent|cookies?|disqus|footer|"
     r"gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|pager|popup|"
     r"promo\w*|related|replies|respond|share|sharing|sidebar|signup|social|sponsor\w*|"
     r"subscribe|toc|toolbar|widget",
@@ -58,6 +65,17 @@ PLAIN = re.compile(
     r"right|secondary|section|site|top|widgets",
     re.I,
 )
+#: Parts of class names of what readers wrote; two together, or the plural alone, are evidence
+#: where nothing of the article follows.
+READERS = re.compile(
+    r"users?|readers?|customers?|reviews?|discussions?|threads?|reply|replies|responses?|"
+    r"feedback|list|area|board",
+    re.I,
+)
+#: The word that ``_suspect`` gives for them.
+LATE = "reviews"
+#: Unwanted words that, late on a page, mark what readers wrote however long that is.
+SAID = re.compile(rf"\w*comment\w*|replies|disqus|{LATE}", re.I)
 #: Class names that tell how a page is laid out around something.
 LAYOUT = re.compile(r"(?:no|has|with|without)[-_]", re.I)
 AROUND = re.compile(r"[-_](?:wrap|wrapper|container|layout)$", re.I)
@@ -68,17 +86,21 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LINKED = 0.5
 #: Share of the page's points on which an unwanted name tells nothing.
 MOST = 0.75
+#: Share of the page's points over which a form is the page's and not one of its parts.
+FORM = 0.5
 ROLES = frozenset(
-    "navigation banner contentinfo complementary search dialog alert menu menubar form".split()
+    "navigation banner contentinfo complementary search dialog alert menu menubar".split()
 )
 
-_MARKUP = re.compile(
+MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</\s*([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_ROLE_FORM = re.compile(r"\brole\s*=\s*[\"']?form\b", re.I)
+_HIDDEN = re.compile(r"\btype\s*=\s*[\"']?(?:hidden|submit|button)\b", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
@@ -91,10 +113,32 @@ class Node:
     named: bool = False
     #: The unwanted word of the element's name: evidence that ``_judge`` weighs.
     suspect: str = ""
+    #: A form or an article's own header, which ``_weigh`` keeps or drops by what it holds.
+    weighed: str = ""
     children: list[Node | str] = field(default_factory=list)
     score: float = 0.0
     size: int = 0
     linked: int = 0
+    #: Length and commas of the text outside the paragraphs inside.
+    own: int = 0
+    commas: int = 0
+    depth: int = 0
+    #: Whether the element lies in an article or main.
+    inside: bool = False
+    #: The nearest element, itself included, beyond which an end tag does not reach, ...
+    scope: Node | None = None
+    #: ... that a block stops at, ...
+    stop: Node | None = None
+    #: ... and that an item or a cell may end.
+    item: Node | None = None
+
+    def __post_init__(self) -> None:
+        up = self.parent or self
+        self.depth = up.depth + (up is not self)
+        self.inside = up.inside or up.tag in ("article", "main")
+        self.scope = self if self.tag in SCOPES and self.tag != "div" else up.scope
+        self.stop = self if self.tag in SCOPES or self.tag == "p" else up.stop
+        self.item = self if self.tag in SCOPES or self.tag in ENDED else up.item
 
 
 def _suspect(tag: str, classes: str, own: str) -> str:
@@ -111,6 +155,10 @@ def _suspect(tag: str, classes: str, own: str) -> str:
         found = [x for x in parts if UNWANTED.fullmatch(x)]
         if found and (not whole or all(x in found or PLAIN.fullmatch(x) for x in parts)):
             return found[0].lower()
+    for name in classes.split():
+        parts = re.split("[-_]+", name)
+        if name.lower() == LATE or (len(parts) > 1 and all(map(READERS.fullmatch, parts))):
+            return LATE
     return ""
 
 
@@ -121,7 +169,7 @@ def _unwanted(tag: str, attributes: str) -> tuple[bool, bool, str]:
         return True, False, ""
     if not attributes.strip() or tag in ("html", "body"):
         return False, tag in ("article", "main"), ""
-    found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
+    found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
     classes, own = (_CAMEL.sub("-", found.get(x, "")) for x in ("class", "id"))
     hidden = "hidden" in found or found.get("aria-hidden") == "true"
     style = found.get("style", "").replace(" ", "").lower()
@@ -135,9 +183,10 @@ def _unwanted(tag: str, attributes: str) -> tuple[bool, bool, str]:
 def build(page: str) -> Node:
     """The element tree of a page; unclosed and misnested markup is closed as browsers do."""
     root = node = Node("html", None)
+    opened: dict[str, list[Node]] = {}
     at, end = 0, len(page)
     while at < end:
-        found = _MARKUP.search(page, at)
+        found = MARKUP.search(page, at)
         if found is None:
             node.children.append(page[at:])
             break
@@ -145,7 +194,7 @@ def build(page: str) -> Node:
             node.children.append(page[at : found.start()])
         at = found.end()
         if found[1]:
-            node = _close(node, found[1].lower())
+            node = _close(node, found[1].lower(), opened)
             continue
         if not found[2]:
             if found[0].startswith("<![CDATA["):
@@ -154,9 +203,17 @@ def build(page: str) -> Node:
         tag, attributes = found[2].lower(), found[3]
         if tag in ("html", "body"):
             continue
-        node = _end_implied(node, tag)
+        node = _end_implied(node, tag, opened)
         dropped, named, suspect = _unwanted(tag, attributes)
         child = Node(tag, node, node.dropped or dropped, named, suspect)
+        if tag == "form" or _ROLE_FORM.search(attributes):
+            child.weighed = "form"
+        elif tag == "header" and child.inside:
+            child.weighed, child.suspect = tag, "" if suspect == tag else suspect
+        elif tag == "header":
+            child.dropped = True
+        elif tag in FIELDS and not _HIDDEN.search(attributes):
+            child.weighed = "field"
         node.children.append(child)
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -164,37 +221,43 @@ def build(page: str) -> Node:
             at = close.end() if close else end
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             node = child
+            opened.setdefault(tag, []).append(child)
+    _weigh(root)
     _judge(root)
     return root
 
 
-def _close(node: Node, tag: str) -> Node:
+def _leave(node: Node, last: Node, opened: dict[str, list[Node]]) -> Node:
+    """The parent of ``last``, which is closed with all that is open inside it."""
+    while node is not last.parent:
+        opened[node.tag].pop()
+        node = node.parent
+    return node
+
+
+def _close(node: Node, tag: str, opened: dict[str, list[Node]]) -> Node:
     """The node after an end tag; one that closes nothing is ignored."""
-    up = node
-    while up is not None and up.tag != tag:
-        if tag in PARAGRAPHS - {"blockquote"} and up.tag in SCOPES - {"div"}:
-            return node
-        up = up.parent
-    return up.parent if up is not None and up.parent is not None else node
+    if not opened.get(tag):
+        return node
+    last = opened[tag][-1]
+    if tag in PARAGRAPHS - {"blockquote"} and last.depth < node.scope.depth:
+        return node
+    return _leave(node, last, opened)
 
 
-def _end_implied(node: Node, tag: str) -> Node:
+def _end_implied(node: Node, tag: str, opened: dict[str, list[Node]]) -> Node:
     """Where a start tag goes: paragraphs, items and cells end when the next one starts."""
-    if tag in BLOCKS:
-        up = node
-        while up is not None and up.tag not in SCOPES and up.tag != "p":
-            up = up.parent
-        if up is not None and up.tag == "p" and up.parent is not None:
-            node = up.parent
+    if tag in BLOCKS and node.stop.tag == "p":
+        node = _leave(node, node.stop, opened)
     ended = ENDS.get(tag)
     if ended:
-        up, last = node, None
-        while up is not None and up.tag not in SCOPES:
+        up, last = node.item, None
+        while up.tag not in SCOPES:
             if up.tag in ended:
                 last = up
-            up = up.parent
-        if last is not None and last.parent is not None:
-            node = last.parent
+            up = up.parent.item
+        if last is not None:
+            node = _leave(node, last, opened)
     return node
 
 
@@ -241,10 +304,14 @@ def _measure(order: list[Node]) -> None:
     for node in reversed(order):
         if node.dropped:
             continue
-        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        said = [c.strip() for c in node.children if isinstance(c, str)]
         kids = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        own = sum(map(len, said))
         node.size = own + sum(c.size for c in kids)
         node.linked = node.size if node.tag == "a" else sum(c.linked for c in kids)
+        loose = [c for c in kids if c.tag not in PARAGRAPHS]
+        node.own = own + sum(c.own for c in loose)
+        node.commas = sum(t.count(",") for t in said) + sum(c.commas for c in loose)
 
 
 def _density(node: Node) -> float:
@@ -253,18 +320,9 @@ def _density(node: Node) -> float:
 
 def _points(node: Node) -> float:
     """A paragraph's points, for its own text and not that of paragraphs inside it."""
-    texts = []
-    stack: list[Node | str] = list(node.children)
-    while stack:
-        item = stack.pop()
-        if isinstance(item, str):
-            texts.append(item)
-        elif not item.dropped and item.tag not in PARAGRAPHS:
-            stack.extend(item.children)
-    text = "".join(texts).strip()
-    if not text:
+    if not node.own:
         return 0.0
-    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - _density(node))
+    return (1 + node.commas + min(node.own / 100, 3)) * (1 - _density(node))
 
 
 def _earns(node: Node) -> bool:
@@ -274,6 +332,57 @@ def _earns(node: Node) -> bool:
     return node.tag in BLOCKS and any(isinstance(c, str) and c.strip() for c in node.children)
 
 
+def _weigh(root: Node) -> None:
+    """Drop forms that are no page's body, and headers of articles without title or text.
+
+    A form stays if it holds an article or main, or most of the page's points and fewer
+    fields than points.
+    """
+    order = [x for x in _walk(root) if not x.dropped or x.weighed == "field"]
+    if not any(x.weighed and not x.dropped for x in order):
+        return
+    _measure(order)
+    points: dict[int, float] = {}
+    fields: dict[int, int] = {}
+    bodies, texts = set(), set()
+    for node in reversed(order):
+        kids = [c for c in node.children if isinstance(c, Node) and id(c) in points]
+        own = _points(node) if _earns(node) and not node.dropped else 0.0
+        points[id(node)] = own + sum(points[id(c)] for c in kids)
+        fields[id(node)] = (node.weighed == "field") + sum(fields[id(c)] for c in kids)
+        held = {id(c) for c in kids}
+        if held & bodies or (node.tag in ("article", "main") and points[id(node)] > 0):
+            bodies.add(id(node))
+        if held & texts or (own > 0 and (node.tag == "p" or node.tag in HEADINGS)):
+            texts.add(id(node))
+    for node in order:
+        n = id(node)
+        if node.weighed == "form" and n not in bodies:
+            node.dropped = points[n] <= max(fields[n], FORM * points[id(root)])
+        elif node.weighed == "header":
+            node.dropped = node.dropped or n not in texts
+        node.dropped = node.dropped or (node.parent is not None and node.parent.dropped)
+
+
+def _late(order: list[Node], points: dict[int, float]) -> set[int]:
+    """What follows the article's text, not its headings alone, with nothing of it after."""
+    mine = [
+        0.0 if x.suspect else points[id(x)] - sum(
+            points[id(c)] for c in x.children if isinstance(c, Node) and not c.dropped
+        )
+        for x in order
+    ]
+    within: list[bool] = []
+    place = {id(x): i for i, x in enumerate(order)}
+    for node in order:
+        above = place.get(id(node.parent), -1)
+        within.append(bool(node.suspect) or (above >= 0 and within[above]))
+    told = [i for i, x in enumerate(mine) if x > 1e-9 and not within[i]]
+    if all(order[i].tag in HEADINGS for i in told):
+        return set()
+    return {id(x) for i, x in enumerate(order) if told[-1] < i}
+
+
 def _judge(root: Node) -> None:
     """Drop the elements with an unwanted name, where the page does not speak against it.
 
@@ -307,6 +416,10 @@ def _judge(root: Node) -> None:
             stack.extend(c for c in node.children if isinstance(c, Node))
         return False
 
+    late = _late(order, points)
+    for node in order:
+        if node.suspect == LATE and id(node) not in late:
+            node.suspect = ""
     suspects = [x for x in order if x.suspect]
     kept = {id(x) for x in suspects if holds[id(x)] & {"main", "h1"}}
     if not left(kept):
@@ -320,7 +433,9 @@ def _judge(root: Node) -> None:
                 marked[node.suspect] = marked.get(node.suspect, 0.0) + points[id(node)]
                 above = above | {node.suspect}
             stack.extend((c, above) for c in node.children if isinstance(c, Node))
-        kept |= {id(x) for x in suspects if marked[x.suspect] > MOST * points[id(root)]}
+        most = {x for x, n in marked.items() if n > MOST * points[id(root)]}
+        said = {id(x) for x in suspects if id(x) in late and SAID.fullmatch(x.suspect)}
+        kept |= {id(x) for x in suspects if x.suspect in most} - said
         if not left(kept):
             kept |= {id(x) for x in suspects if "article" in holds[id(x)]}
     for node in order:
@@ -332,23 +447,20 @@ def container(root: Node) -> Node:
     """The element that holds the article."""
     order = list(_walk(root))
     _measure(order)
-    touched: list[Node] = []
-    for node in order:
+    best, most = root, (0.0, 0)
+    for node in reversed(order):
         if node.dropped:
             continue
-        if not _earns(node):
-            continue
-        loose = node.tag not in PARAGRAPHS
-        points, up, level = _points(node), node if loose else node.parent, 1.0
-        while points > 0 and up is not None:
-            up.score += points / level
-            touched.append(up)
-            up, level = up.parent, level * 2 if level < 2 else level + 2
-    best, most = root, 0.0
-    for node in touched:
+        loose = node.tag not in PARAGRAPHS and _earns(node)
+        node.score = _points(node) if loose else 0.0
+        for kid in node.children:
+            if isinstance(kid, Node) and not kid.dropped:
+                node.score += kid.score / 2
+                node.score += _points(kid) if kid.tag in PARAGRAPHS else 0.0
         value = node.score * (1 - _density(node)) * (1.5 if node.named else 1.0)
-        if value > most:
-            best, most = node, value
+        # Of equals the deepest, then the first of the page.
+        if value > 0 and (value, node.depth) >= most:
+            best, most = node, (value, node.depth)
     while best.tag in PARTS and best.parent:
         best = best.parent
     return _article(best)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -132,3 +133,86 @@ def test_link_lists_beside_the_text_go():
     text = "<div>" + f"<p>{LONG}</p>" * 5 + "</div>"
     page = f"<div>{LEAD}{text}{links}<ul><li>own item</ul></div>"
     assert main_text(page) == "\n\n".join(["A short lead.", *[LONG] * 5, "own item"])
+
+
+BODY = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+WANT = f"T\n\n{LONG}\n\n{LONG}"
+FIELDS = "<input type=hidden name=state value=x><label>Find</label><input name=q><button>Go</button>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form>{FIELDS}<main>{BODY}</main></form></body>",
+        f"<body><form><article>{BODY}</article></form><footer>f</footer></body>",
+        f"<body><form id=content>{BODY}{FIELDS}</form></body>",
+        f"<body><form id=aspnetForm><nav>n, n, n</nav><div id=content>{BODY}</div></form></body>",
+        f"<body><div role=form><div>{BODY}</div></div></body>",
+        f"<article>{BODY}<form class=poll><p>Which, of these?</p>{FIELDS}</form></article>",
+        f"<body><div>{BODY}</div><form><p>Write to us, please.</p>{FIELDS * 3}</form></body>",
+    ],
+)
+def test_forms(page):
+    assert main_text(page) == WANT
+
+
+def test_a_page_that_is_a_form_of_fields_has_no_article():
+    assert main_text(f"<body><form><p>Name <input></p><p>Mail <input></p>{FIELDS * 4}</form></body>") == ""
+
+
+COMMENT = f"<li><p>{LONG} A reader.</p></li>"
+
+
+@pytest.mark.parametrize(
+    "area",
+    [
+        f"<ol class=commentlist>{COMMENT * 30}</ol>",
+        f"<ol class=usercomments>{COMMENT * 3}</ol>",
+        f"<section class='user-reviews discussion-thread'><h2>Said</h2>{COMMENT * 9}</section>",
+        f"<section class=reviews>{COMMENT * 3}</section><div class=newsletter><p>{LONG}</p></div>",
+        f"<div class=reader-responses>{COMMENT}</div>",
+    ],
+)
+@pytest.mark.parametrize("outer", ["article", "main", "div class=post"])
+def test_comment_areas(outer, area):
+    page = f"<body><{outer}>{BODY}{area}</{outer.split()[0]}></body>"
+    assert main_text(page) == WANT
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["class=review-body", "class=commentary", "id=discussion", "class=reviews", "class=user-reviews"],
+)
+def test_own_sections_with_such_names_stay(name):
+    page = f"<main><h1>T</h1><section {name}><p>{LONG}</p></section><p>{LONG}</p></main>"
+    assert main_text(page) == WANT
+
+
+@pytest.mark.parametrize("name", ["", "class=entry-header", "class=header"])
+def test_an_articles_own_header(name):
+    header = f"<header {name}><h1>T</h1><p>{LONG}</p></header>"
+    assert main_text(f"<header><h1>Site</h1></header><article>{header}<p>{LONG}</p></article>") == WANT
+    links = "<header><div><a href=x>Home</a></div></header>"
+    assert main_text(f"<article>{links}<h1>T</h1><p>{LONG}</p><p>{LONG}</p></article>") == WANT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + LONG,
+        "<span>" * 50_000 + f"<p>{LONG}" * 1000,
+        "<span>" * 30_000 + "<p>x" * 30_000,
+        "<div>text, " * 50_000,
+        "<ul>" + "<li><b>" * 50_000,
+        "<thead>" * 30_000 + "<tr>" * 30_000,
+        "<p><div>" + "<span>" * 30_000 + "</p></b>" * 30_000,
+        "<a x=' " * 50_000 + "'",
+        "<a <b " * 50_000 + "\"",
+        "<div class='user-reviews'><p>a, b" * 20_000,
+        "<form><header><article>" * 20_000 + LONG,
+    ],
+)
+def test_work_grows_with_the_page(page):
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 8
