@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keystar.llm import chat, piece_index, warc
@@ -106,8 +106,32 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the derivative records of every page's response say when they are read back."""
-    return warc.described(warc.derive(warc.responses(table(spark, sf_dir, "pages"))))
+    """What the derivative records of every page's response say when they are read back.
+
+    Responses carry repeated headers and further record fields; by their id some are sent in
+    chunks, some compressed, some both.
+    """
+    pages = table(spark, sf_dir, "pages")
+    name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    way = F.coalesce(F.pmod(F.col("page_id"), F.lit(4)), F.lit(0))
+
+    def lines(*pairs: tuple[str, Column]) -> Column:
+        return F.array(*(F.struct(F.lit(k).alias("name"), v.alias("value")) for k, v in pairs))
+
+    cookies = lines(
+        ("Set-Cookie", F.concat(F.lit("id="), name)), ("Set-Cookie", F.lit("seen=1")),
+        ("x-served-by", F.lit("cache: a, b")),
+    )
+    chunked = F.when(way % 2 == 1, lines(("transfer-encoding", F.lit("chunked"))))
+    packed = F.when(way >= 2, lines(("Content-Encoding", F.lit("gzip"))))
+    none = F.slice(cookies, 1, 0)
+    headers = F.concat(cookies, F.coalesce(chunked, none), F.coalesce(packed, none))
+    fields = lines(
+        ("WARC-IP-Address", F.lit("192.0.2.7")), ("WARC-Protocol", F.lit("http/1.1")),
+        ("warc-protocol", F.lit("tls/1.3")), ("WARC-Truncated", F.lit("length")),
+    )
+    made = warc.responses(pages, headers=headers, fields=fields)
+    return warc.described(warc.derive(made))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ import hashlib
 import html
 import json
 import re
+import time
+import zlib
 
 import pyarrow.parquet as pq
 import pytest
@@ -29,7 +31,11 @@ def sha1(data: bytes) -> str:
 def test_derivatives_are_linked():
     raw = warc.response(7, "http://x/é", PAGE, "2024-01-02T03:04:05Z")[-1]
     source, block = warc.parse_record(raw)
-    made = {kind: (own, to, warc.parse_record(r)) for _, kind, own, to, r in warc.derivatives(7, raw)}
+    source = dict(source)
+    made = {}
+    for _, kind, own, to, r in warc.derivatives(7, raw):
+        fields, content = warc.parse_record(r)
+        made[kind] = own, to, (dict(fields), content)
     assert set(made) == {"metadata", "conversion"}
     for kind, (own, to, (fields, content)) in made.items():
         assert fields["WARC-Type"] == kind and fields["WARC-Record-ID"] == own
@@ -83,6 +89,77 @@ def test_odd_rows(spark):
     assert gzip.decompress(members).count(b"WARC/1.1\r\n") == 4
 
 
+HEAD = [
+    ("WARC-TYPE", "response"), ("warc-record-id", "<urn:x>"), ("WARC-Date", "2024-01-02T03:04:05Z"),
+    ("warc-target-uri", "http://x/"), ("WARC-Protocol", "a"), ("WARC-Protocol", "b"),
+    ("WARC-Truncated", "length"), ("X-Own", "one: two"),
+]
+
+
+def derived(headers, body, head=HEAD):
+    lines = ["HTTP/1.1 200 OK", *(f"{k}: {v}" for k, v in headers), "", ""]
+    raw = warc.build_record(head, "\r\n".join(lines).encode() + body)
+    made = {kind: warc.parse_record(r) for _, kind, _, _, r in warc.derivatives(1, raw)}
+    return made, json.loads(made["metadata"][1]), made["conversion"][1].decode()
+
+
+def test_all_headers_are_kept():
+    headers = [["Set-Cookie", "a=1"], ["set-cookie", "b=2"], ["Server", "s"]]
+    made, facts, text = derived(headers, b"<p>x</p>")
+    assert facts["headers"] == headers and text == "x"
+    assert facts["source_fields"][:-1] == [list(x) for x in HEAD]
+    for fields, _ in made.values():
+        assert [x for x in fields if x in HEAD] == HEAD[2:]
+        assert warc.first_of(fields, "warc-refers-to") == "<urn:x>"
+    folded = b"WARC/1.0\r\nA: b\r\n  c\r\ncontent-length: 0\r\n\r\n"
+    assert warc.parse_record(folded)[0][0] == ("A", "b c")
+
+
+def chunks(body, size=5):
+    parts = [body[i : i + size] for i in range(0, len(body), size)] + [b""]
+    return b"".join(b"%X;ext=1\r\n%s\r\n" % (len(p), p) for p in parts)
+
+
+PLAIN = "<html><title>T</title><p>hello, wörld</p></html>".encode()
+RAW_DEFLATE = zlib.compress(PLAIN)[2:-4]
+
+
+@pytest.mark.parametrize(
+    ("headers", "body", "decoded"),
+    [
+        ([], PLAIN, True),
+        ([("Transfer-Encoding", "chunked")], chunks(PLAIN), True),
+        ([("transfer-encoding", "Chunked"), ("content-encoding", "gzip")], chunks(gzip.compress(PLAIN)), True),
+        ([("Transfer-Encoding", "gzip, chunked")], chunks(gzip.compress(PLAIN)), True),
+        ([("Content-Encoding", "x-gzip")], gzip.compress(PLAIN[:9]) + gzip.compress(PLAIN[9:]), True),
+        ([("Content-Encoding", "deflate")], zlib.compress(PLAIN), True),
+        ([("Content-Encoding", "deflate")], RAW_DEFLATE, True),
+        ([("Content-Encoding", "identity")], PLAIN, True),
+        ([("Transfer-Encoding", "chunked"), ("Content-Encoding", "gzip")], PLAIN, True),
+        ([("Content-Encoding", "br")], b"\x00\x01", False),
+        ([("Content-Encoding", "gzip")], gzip.compress(PLAIN)[:-12], False),
+    ],
+)
+def test_bodies_are_decoded(headers, body, decoded):
+    _, facts, text = derived(headers, body)
+    assert facts["body_decoded"] is decoded
+    assert text == ("T\nhello, wörld" if decoded else "")
+    digests = [("WARC-Payload-Digest", "sha256:" + hashlib.sha256(body).hexdigest())]
+    assert derived(headers, body, HEAD + digests)[1]["payload_digest_matches"] is True
+    assert facts["payload_digest_matches"] is None
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 100_000, "<title>" * 100_000, "<a href='" * 50_000, "<noscript>" * 50_000,
+     "<a x" * 50_000 + '"', "<!--" * 100_000, "<script>" * 50_000, "<a <b " * 50_000 + '"'],
+)
+def test_work_grows_with_the_page(page):
+    start = time.process_time()
+    warc.read_page(page)
+    assert time.process_time() - start < 5
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     got = {
@@ -91,10 +168,29 @@ def test_whole_table(spark):
     pages = pq.read_table(f"{sf}/pages.parquet").to_pylist()
     assert len(got) == 2 * len(pages)
     for page in pages:
-        row = got[page["page_id"], "conversion"]
-        assert row.target_uri == page["url"] and row.block_ok
-        assert row.source_payload_digest == sha1(page["html"].encode())
-        assert got[page["page_id"], "metadata"].refers_to == row.refers_to
+        row, facts = got[page["page_id"], "conversion"], got[page["page_id"], "metadata"]
+        assert row.target_uri == page["url"] and row.block_ok and facts.block_ok
+        body, way = page["html"].encode(), page["page_id"] % 4
+        headers = ["Content-Type: text/html; charset=utf-8", f"Set-Cookie: id={page['page_id']}",
+                   "Set-Cookie: seen=1", "x-served-by: cache: a, b"]
+        if way % 2:
+            headers.append("transfer-encoding: chunked")
+        if way >= 2:
+            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+            body = packer.compress(body) + packer.flush()
+            headers.append("Content-Encoding: gzip")
+        if way % 2:
+            parts = [body[i : i + 4096] for i in range(0, len(body), 4096)] + [b""]
+            body = b"".join(b"%x\r\n%s\r\n" % (len(p), p) for p in parts)
+        else:
+            headers.append(f"Content-Length: {len(body)}")
+        assert facts.http_headers.split("\n") == headers
+        fields = ["WARC-Date: " + warc.EPOCH, f"WARC-Target-URI: {page['url']}",
+                  "WARC-IP-Address: 192.0.2.7", "WARC-Protocol: http/1.1",
+                  "warc-protocol: tls/1.3", "WARC-Truncated: length"]
+        assert row.source_fields.split("\n") == facts.source_fields.split("\n") == fields
+        assert row.source_payload_digest == facts.source_payload_digest == sha1(body)
+        assert facts.refers_to == row.refers_to
         shown = re.sub(r"(?s)<!--.*?-->|<(script|style)>.*?</\1>", "", page["html"])
         shown = re.sub(r"</?(p|div|li|ul|nav|h1|title|article|footer|br)\b[^>]*>", "\n", shown)
         lines = html.unescape(re.sub(r"<[^>]*>", "", shown)).split("\n")
