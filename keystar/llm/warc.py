@@ -49,8 +49,6 @@ EPOCH = "1970-01-01T00:00:00Z"
 
 RECORDS = "source_id long, kind string, record_id string, refers_to string, record binary"
 
-_LINES = re.compile(r"\s*\n\s*")
-_SPACES = re.compile(r"[^\S\n]+")
 
 
 Fields = list[tuple[str, str]]
@@ -218,7 +216,8 @@ def _raw_end(tag: str) -> re.Pattern[str]:
 
 
 def _folded(text: str) -> str:
-    return _LINES.sub("\n", _SPACES.sub(" ", html.unescape(text))).strip()
+    lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
+    return "\n".join(line for line in lines if line)
 
 
 def response(
@@ -268,7 +267,9 @@ def _matches(stated: str | None, block: bytes) -> bool | None:
     if kind.lower() not in ("sha1", "sha256", "md5"):
         return None
     found = hashlib.new(kind.lower(), block).digest()
-    return value.lower() in (base64.b32encode(found).decode().lower(), found.hex())
+    if len(value) == 2 * len(found):
+        return value.lower() == found.hex()
+    return value.upper() == base64.b32encode(found).decode()
 
 
 def derivatives(source: int | None, raw: bytes) -> Iterator[tuple]:
@@ -296,7 +297,9 @@ def derivatives(source: int | None, raw: bytes) -> Iterator[tuple]:
         "body_decoded": decoded,
         "payload_digest": payload,
         # Writers digest the payload as it was sent or without its encodings.
-        "payload_digest_matches": _matches(stated, sent) or _matches(stated, body),
+        "payload_digest_matches": stated == payload
+        or _matches(stated, sent)
+        or _matches(stated, body),
         "block_digest_matches": _matches(first_of(fields, "WARC-Block-Digest"), block),
         "source_fields": fields,
     }
