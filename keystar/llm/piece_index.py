@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keystar.llm.common import slices, texts, worker_store
 from keystar.llm.word_bpe import Remembered
@@ -49,9 +50,12 @@ class Pieces:
         self.bytes = {
             bytes([int(self.text[i][3:5], 16)]): i for i in range(n) if model.is_byte(i)
         }
-        self.shown = list(self.text)
+        shown = list(self.text)
         for byte, i in self.bytes.items():
-            self.shown[i] = byte.decode("ascii", "surrogateescape")
+            shown[i] = byte.decode("ascii", "surrogateescape")
+        raw = [x.encode("utf-8", "surrogateescape") for x in shown]
+        #: What each piece stands for, as bytes.
+        self.taken = pa.array(raw, pa.large_binary())
         self.unknown = model.unk_id()
         self.score = np.array([model.get_score(i) for i in range(n)], dtype=np.float64)
         self.ids = np.array(plain, dtype=np.int64)
@@ -308,19 +312,39 @@ def encode_batch(pieces: Pieces, batch: list[str]) -> list[np.ndarray]:
     return [np.frombuffer(pieces.known.joined(x), dtype="<i4") for x in split]
 
 
+def decode_lists(pieces: Pieces, ids: pa.ListArray) -> list[str | None]:
+    """The texts of lists of ids, null where there is none.
+
+    The pieces are put end to end as bytes, byte pieces as the byte they stand for, and read as
+    UTF-8; marks become spaces and the first one goes.
+    """
+    offsets = ids.offsets.to_numpy()
+    flat = ids.values.slice(offsets[0], offsets[-1] - offsets[0])
+    taken = pieces.taken.take(flat)
+    ends = np.frombuffer(taken.buffers()[1], dtype="<i8", count=len(taken) + 1)
+    raw = memoryview(taken.buffers()[2] or b"")
+    cuts = ends[offsets - offsets[0]].tolist()
+    found = []
+    for start, end, valid in zip(cuts, cuts[1:], ids.is_valid().to_pylist(), strict=False):
+        text = str(raw[start:end], "utf-8", "replace")
+        found.append(text.replace(MARK, " ").removeprefix(" ") if valid else None)
+    return found
+
+
 def decode_ids(pieces: Pieces, ids: list[int]) -> str:
-    """The text of ids: runs of byte pieces as UTF-8, marks as spaces, the first one dropped."""
-    text = "".join(map(pieces.shown.__getitem__, ids))
-    if not text.isascii():
-        # Byte pieces stand as escaped surrogates, which meet as bytes here.
-        text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
-    return text.replace(MARK, " ").removeprefix(" ")
+    """The text of one list of ids."""
+    return decode_lists(pieces, pa.array([ids], pa.list_(pa.int32())))[0]
 
 
 def encode(
-    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, ids, ids_crc32), one row per input row, from the whole text.
+    """(doc_id, ids, ids_crc32) and the ``carried`` columns, one row per input row, from the
+    whole text.
 
     ``ids_crc32`` is of the ids as little-endian unsigned 32-bit numbers. Null and empty texts
     have no ids; null and repeated doc_ids are kept; an empty table gives no rows. Rows are
@@ -336,25 +360,30 @@ def encode(
             crc = [zlib.crc32(x.astype("<i4").tobytes()) for x in found]
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, pa.array(crc, pa.int64())],
-                names=["doc_id", "ids", "ids_crc32"],
+                [batch.column(0), lists, pa.array(crc, pa.int64()), *batch.columns[2:]],
+                names=["doc_id", "ids", "ids_crc32", *carried],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, ids_crc32 long")
+    own = F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
+    rows = docs.select(*own, *carried)
+    made = T.StructType().add("doc_id", "long").add("ids", T.ArrayType(T.IntegerType()))
+    made = made.add("ids_crc32", "long")
+    for name in carried:
+        made = made.add(rows.schema[name])
+    return rows.mapInArrow(run, made)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (doc_id, ids, ids_crc32) with the ``text`` of the ids; null ids give none."""
+    """All columns of ``encoded`` and the ``text`` of its ``ids``; null ids give none."""
+
+    names = [name for name in encoded.columns if name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces.of(path)
         for batch in slices(batches, 200):
-            text = [None if x is None else decode_ids(pieces, x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(text, pa.string())],
-                names=["doc_id", "ids", "ids_crc32", "text"],
-            )
+            found = pa.array(decode_lists(pieces, batch.column("ids")), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*names, "text"])
 
-    rows = encoded.select("doc_id", "ids", "ids_crc32")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, ids_crc32 long, text string")
+    rows = encoded.select(*names)
+    made = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
+    return rows.mapInArrow(run, made)

@@ -81,17 +81,13 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The mark that stands for a space is decoded to one.
     spaced = F.translate(F.coalesce("text", F.lit("")), piece_index.MARK, " ")
     docs = table(spark, sf_dir, "documents").select("doc_id", spaced.alias("text"))
-    decoded = piece_index.decode(piece_index.encode(docs, path), path)
-    found = decoded.select(
+    docs = docs.withColumn("want", F.sha2("text", 256))
+    decoded = piece_index.decode(piece_index.encode(docs, path, carried=("want",)), path)
+    return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
         "ids_crc32",
-        F.sha2("text", 256).alias("digest"),
-    )
-    texts = docs.select(F.col("doc_id").alias("own"), F.sha2("text", 256).alias("want")).distinct()
-    same = (found.doc_id == texts.own) & (found.digest == texts.want)
-    return found.join(texts, same, "left").select(
-        "doc_id", "n_ids", "ids_crc32", F.col("want").isNotNull().alias("round_trip")
+        (F.sha2("text", 256) == F.col("want")).alias("round_trip"),
     )
 
 

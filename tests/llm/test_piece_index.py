@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -73,6 +74,28 @@ def test_odd_rows(spark):
         [(i, t or "") for i, t, _ in data], key=repr
     )
     assert rows(encode(frame.limit(0), PATH)) == []
+    carried = piece_index.decode(encode(frame.withColumnRenamed("ids", "n"), PATH, carried=("n",)), PATH)
+    assert carried.columns == ["doc_id", "ids", "ids_crc32", "n", "text"]
+    assert {r.n for r in carried.collect()} == {5}
+    lists = spark.createDataFrame([(1, None), (2, []), (3, [260, 261])], "k int, ids array<int>")
+    found = dict(rows(piece_index.decode(lists, PATH), "k", "text"))
+    assert found == {1: None, 2: "", 3: LIBRARY.decode([260, 261])}
+
+
+def test_decoding_of_slices():
+    ids = pa.array([LIBRARY.encode(x) for x in ODD] + [None], pa.list_(pa.int32()))
+    want = [x.replace("▁", " ") for x in ODD] + [None]
+    for start in range(len(ids)):
+        part = ids.slice(start, 3)
+        assert piece_index.decode_lists(PIECES, part) == want[start : start + 3]
+
+
+def test_rows_without_an_id_round_trip(spark, tmp_path):
+    data = [(None, "no id"), (1, "a\u2581b"), (1, "a\u2581b"), (2, None), (None, "no id"), (None, "日本 \n x")]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op6_sentencepiece"](spark, str(tmp_path)).collect()
+    assert len(got) == len(data) and all(r.round_trip for r in got)
 
 
 def test_whole_table(spark):
