@@ -69,13 +69,22 @@ def load_bronze(
     )
 
 
+#: Columns by which single rows are read; each has bloom filters where it is stored.
+LOOKED_UP = (
+    ANCHOR, "gene_symbol", "ensembl_gene_id", "string_protein_id", "uniprot_a", "uniprot_b",
+    "chembl_id", "efo_id",
+)
+
+
 def write_marts(
     star: Mapping[str, DataFrame], database: str | None = None, buckets: int | None = None
 ) -> list[str]:
     """Save seeds, dimensions and facts as tables (staging stays views); returns their names.
 
-    A relation without its declared columns and types stops the run before it is written. With ``buckets`` every mart that has the anchor key is stored by it, which lets cards and
-    map extracts read their sides already partitioned.
+    A relation without its declared columns and types stops the run before it is written. With
+    ``buckets`` every mart that has the anchor key is stored by it, which lets cards and map
+    extracts read their sides already partitioned. Point reads skip row groups by range in the
+    sorted key and by bloom filter in ``LOOKED_UP`` columns.
     """
     names = sorted(n for n in star if not n.startswith("stg_") and n != "disease_terms")
     tables = [f"{database}.{n}" if database else n for n in names]
@@ -84,7 +93,9 @@ def write_marts(
         if differences:
             raise ValueError(f"{name}: {'; '.join(differences)}")
         mart = name.startswith(("dim_", "fact_")) and ANCHOR in star[name].columns
-        replace_table(star[name], table, key=ANCHOR if mart else None, buckets=buckets)
+        looked_up = [c for c in LOOKED_UP if c in star[name].columns]
+        key = ANCHOR if mart else None
+        replace_table(star[name], table, key=key, buckets=buckets, looked_up=looked_up)
     return tables
 
 

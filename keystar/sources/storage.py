@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,24 +80,39 @@ def materialize(
     return count_rows(spark, path), True
 
 
+def bloom_options(columns: Iterable[str]) -> dict[str, str]:
+    """Write options for a bloom filter per row group of each column.
+
+    A look-up by a value then skips row groups whose range holds it but that do not have it.
+    The size of a filter follows the distinct values of its row group.
+    """
+    named = {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
+    return named | {"parquet.bloom.filter.adaptive.enabled": "true"} if named else {}
+
+
 def replace_table(
     df: DataFrame,
     table: str,
     path: str | None = None,
     key: str | None = None,
     buckets: int | None = None,
+    looked_up: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Create or replace a table in one bulk write, below ``path`` when one is given.
 
     The rows are written as a table of another name and location first, which then takes the
-    name: a failed write leaves the old table, and it may be read to build the new one. With ``key`` and ``buckets`` the rows are stored by key, one file per bucket, so joins
-    and windows on the key read them without a shuffle.
+    name: a failed write leaves the old table, and it may be read to build the new one. With
+    ``key`` and ``buckets`` the rows are stored by key, one sorted file per bucket, so joins and
+    windows on the key read them without a shuffle. ``looked_up`` columns get bloom filters;
+    ``options`` go to the writer.
     """
     bucketed = key is not None and buckets is not None
     load = uuid.uuid4().hex
     fresh = f"{table}__{load}"
     rows = df.repartition(buckets, key) if bucketed else df
-    writer = rows.write.option("compression", "zstd")
+    extra = {**bloom_options(looked_up), **(options or {})}
+    writer = rows.write.option("compression", "zstd").options(**extra)
     if bucketed:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     if path is not None:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import sys
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F
@@ -176,6 +178,47 @@ def test_failed_load_leaves_the_old_table(spark, tmp_path):
     assert spark.table(name).count() == 2
 
 
+def _scanned(frame):
+    """Rows of the result, and rows that the scan handed on."""
+    found = frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return found, leaves.head().metrics().apply("numOutputRows").value()
+
+
+def test_point_reads_skip_row_groups(spark, tmp_path):
+    n = 40_000
+    data = spark.range(n).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"),
+        F.sha2(F.concat(F.lit("s"), F.col("id")), 256).alias("symbol"),
+        F.col("id").alias("v"),
+    )
+    small = {"parquet.block.size": "200000"}
+    read = {}
+    for kind, looked_up in (("plain", []), ("bloom", ["k", "symbol"])):
+        name = scratch_path(spark, kind).rsplit("/", 1)[1].replace("-", "_")
+        folder = tmp_path / kind
+        storage.replace_table(data, name, str(folder), "k", 2, looked_up, small)
+        groups = [
+            pq.ParquetFile(f).metadata.row_group(i).num_rows
+            for f in sorted(folder.rglob("*.parquet"))
+            for i in range(pq.ParquetFile(f).num_row_groups)
+        ]
+        assert sum(groups) == n and len(groups) > 10
+        stored = spark.table(name)
+        # The key is sorted inside its bucket: its range alone leaves one row group.
+        found, scanned = _scanned(stored.where(F.col("k") == F.sha2(F.lit("77").cast("binary"), 256)))
+        assert [r.v for r in found] == [77] and scanned <= max(groups)
+        symbol = hashlib.sha256(b"s77").hexdigest()
+        found, read[kind] = _scanned(stored.where(F.col("symbol") == symbol))
+        assert [r.v for r in found] == [77]
+        absent = hashlib.sha256(b"nowhere").hexdigest()
+        found, read[kind, "absent"] = _scanned(stored.where(F.col("symbol") == absent))
+        assert found == []
+    # Symbols lie anywhere, so every row group's range holds them; filters tell the one.
+    assert read["plain"] > n / 2 and read["bloom"] <= 2 * max(groups)
+    assert read["plain", "absent"] > n / 2 and read["bloom", "absent"] <= max(groups)
+
+
 def test_patch_in_place_is_checked_before_the_swap(spark, tmp_path):
     path = str(tmp_path / "relation")
     storage.write_parquet(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), path)
