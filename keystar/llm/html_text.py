@@ -98,8 +98,8 @@ MARKUP = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
     re.S,
 )
-_ROLE_FORM = re.compile(r"\brole\s*=\s*[\"']?form\b", re.I)
-_HIDDEN = re.compile(r"\btype\s*=\s*[\"']?(?:hidden|submit|button)\b", re.I)
+_ROLE_FORM = re.compile(r"(?<![\w-])role\s*=\s*[\"']?form\b", re.I)
+_HIDDEN = re.compile(r"(?<![\w-])type\s*=\s*[\"']?(?:hidden|submit|button)\b", re.I)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")

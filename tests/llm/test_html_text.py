@@ -148,6 +148,7 @@ FIELDS = "<input type=hidden name=state value=x><label>Find</label><input name=q
         f"<body><form id=content>{BODY}{FIELDS}</form></body>",
         f"<body><form id=aspnetForm><nav>n, n, n</nav><div id=content>{BODY}</div></form></body>",
         f"<body><div role=form><div>{BODY}</div></div></body>",
+        f"<article><h1>T</h1><section data-role=form><p>{LONG}</p></section><p>{LONG}</p></article>",
         f"<article>{BODY}<form class=poll><p>Which, of these?</p>{FIELDS}</form></article>",
         f"<body><div>{BODY}</div><form><p>Write to us, please.</p>{FIELDS * 3}</form></body>",
     ],
