@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keystar.llm.common import slices, texts
+from keystar.llm.common import slices, texts, unused
 from keystar.session import stash
 
 ORDER = 6
@@ -503,11 +503,15 @@ def score_documents(
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below the threshold."""
+    """The rows of ``docs``, all columns, that score below the threshold.
+
+    Null texts score as empty ones, repeated rows stay or go together, rows without an id are
+    scored by their text; columns may have any names; an empty table gives no rows.
+    """
     # The score is the text's alone, so whole rows need not travel with their words.
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     rows = docs.select(F.struct(digest.alias("digest")).alias("row"), "text")
     scored = fit(docs, labels).score_rows(rows)
-    toxic = scored.where(F.col("score") >= threshold).select(F.col("row.digest").alias("_digest"))
-    toxic = toxic.distinct()
-    return docs.withColumn("_digest", digest).join(toxic, "_digest", "left_anti").drop("_digest")
+    name = unused(docs, "_digest")
+    toxic = scored.where(F.col("score") >= threshold).select(F.col("row.digest").alias(name))
+    return docs.withColumn(name, digest).join(toxic.distinct(), name, "left_anti").drop(name)

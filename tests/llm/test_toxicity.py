@@ -106,6 +106,21 @@ def test_odd_rows(spark):
     assert {round(r.score, 6) for r in unlabelled} == {0.01}
 
 
+def test_filter_keeps_rows_whole(spark):
+    docs, labels = corpus(150, 2)
+    docs += [(1000, None), (1001, ""), (None, "lowein idiot vequai"), (7, docs[7][1])]
+    data = [(i, t, f"d{n}", n) for n, (i, t) in enumerate(docs)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, _digest string, score int")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored = score_documents(frame, marks).where("predicted = 1").collect()
+    gone = {(r.doc_id) for r in scored}
+    got = toxicity.without_toxic(frame, marks)
+    assert got.columns == frame.columns
+    assert rows(got) == sorted([x for x in data if x[0] not in gone], key=repr)
+    assert None in gone and 1000 not in gone
+    assert rows(toxicity.without_toxic(frame.limit(0), marks)) == []
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = corpus(120, 3)
     frame = spark.createDataFrame(docs, "doc_id long, text string")
