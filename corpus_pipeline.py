@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keystar.llm.common import unused
 from keystar.llm.exact_dedup import dedup
 from keystar.llm.packing import pack
 from keystar.llm.simhash import near_survivors
@@ -35,8 +36,10 @@ def _digest() -> Column:
 
 def _one_each(docs: DataFrame, chosen: DataFrame, **keys: Column) -> DataFrame:
     """One row of ``docs`` for each key in ``chosen``; rows that share a key are one document."""
-    named = docs.withColumns(keys)
-    return named.join(chosen, list(keys)).dropDuplicates(list(keys)).select(*docs.columns)
+    own = {key: unused(docs, key) for key in keys}
+    named = docs.withColumns({own[key]: value for key, value in keys.items()})
+    found = named.join(chosen.withColumnsRenamed(own), list(own.values()))
+    return found.dropDuplicates(list(own.values())).select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
