@@ -65,6 +65,15 @@ def test_odd_rows(spark, stage):
     assert run(spark, frame.limit(0), SF).collect() == []
 
 
+def test_clashing_columns_are_kept(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(50)) for w in ("alpha", "beta")]
+    data = [(1, texts[0], "n1", "d1"), (2, texts[0], "n2", "d2"), (3, texts[1], "n3", "d3")]
+    frame = spark.createDataFrame(data, "doc_id long, text string, _name string, _digest string")
+    got = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, frame, SF)
+    assert got.columns == frame.columns
+    assert sorted(map(tuple, got.collect())) == data[1:]
+
+
 def test_near_dedup_of_ids_on_several_texts(spark):
     texts = [" ".join(f"{w}{i}" for i in range(50)) for w in ("alpha", "beta", "gamma", "delta")]
     one, two, three, four = texts
