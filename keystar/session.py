@@ -91,12 +91,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_run.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the scratch folder and read it back.
+#: Spark's own setting; it removes a write's shuffle files as soon as the write is done.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stash(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once to the scratch folder, or a folder below it, and read it back.
 
     Cuts the lineage, computes the input a single time and lets later readers fetch only
-    the columns they need; the files outlive any executor.
+    the columns they need; the files outlive any executor. Its shuffles, which nothing reads
+    again, go with the write.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.parquet(path)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from keystar import session
 from keystar.llm import toxicity
 from keystar.llm.queries import QUERIES
 from keystar.llm.toxicity import ORDER, SHARED, fit_curve, packed_grams, score_documents, words_of
@@ -180,3 +181,32 @@ def test_ngrams_share_no_counts(spark, monkeypatch):
     want = [plain_ratio(docs, labels, w) for w in words]
     assert got == pytest.approx(want, abs=1e-3)
     assert got[0] > 1 > -1 > got[1] and got[2] > 1 > -1 > got[3]
+
+
+def test_texts_are_read_once_and_scratch_goes(spark, tmp_path, monkeypatch):
+    """Texts go through one Python pass, and only the model's tables and features stay."""
+    docs, labels = corpus(60, 4)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    read = frame.mapInArrow(counted, frame.schema)
+    assert score_documents(read, marks).count() == len(docs)
+    assert seen.value == len(docs)
+    kept = {x.name.split("-")[0] for x in tmp_path.iterdir()}
+    assert kept == {"grams", "histories", "evidence"}
+
+
+def test_bags():
+    numbers = np.array([5, 0, 70_000, 5], dtype=np.int32)
+    times = np.array([1, 300, 2, 7], dtype=np.int32)
+    got = toxicity.unpacked_bag(toxicity.packed_bag(numbers, times))
+    assert sorted(zip(*(x.tolist() for x in got), strict=True)) == [(0, 300), (5, 1), (5, 7), (70_000, 2)]
+    none = np.zeros(0, dtype=np.int32)
+    assert [len(x) for x in toxicity.unpacked_bag(toxicity.packed_bag(none, none))] == [0, 0]
