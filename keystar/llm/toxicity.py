@@ -48,6 +48,8 @@ BLOCK_WORDS = 300_000
 BLOCK_CHARS = 32 << 20
 #: N-grams, repeats included, after which a block of words ends.
 BLOCK_GRAMS = 600_000
+#: Rows handed to Spark, or read from it, at once; bounds what both sides hold of a block.
+BATCH_ROWS = 10_000
 RIDGE = 1e-3
 #: A document that scores this much is toxic.
 THRESHOLD = 0.7
@@ -201,11 +203,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mark=pa.array(marks, pa.int32()),
         )
         if n > BLOCK_WORDS or ids.chars > BLOCK_CHARS:
-            yield ended()
+            yield from slices(iter([ended()]), BATCH_ROWS)
             ids, counts = _Numbers(), np.zeros((len(COUNTED), 0), dtype=np.int64)
             block = uuid4().int >> 65
     if ids.words:
-        yield ended()
+        yield from slices(iter([ended()]), BATCH_ROWS)
 
 
 def blocks_of(rows: DataFrame, folder: str) -> DataFrame:
@@ -247,7 +249,7 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(distinct, pa.string()), *map(pa.array, sums), pa.nulls(n, pa.binary()),
         ]
         names = ["block", "i", "g", *COUNTS, "data"]
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+        yield from slices(iter([pa.RecordBatch.from_arrays(arrays, names=names)]), BATCH_ROWS)
         data = pa.array([zlib.compress("\n".join(words).encode(), 1)], pa.binary())
         one = [pa.nulls(1, x.type) for x in arrays]
         yield pa.RecordBatch.from_arrays([arrays[0][:1], *one[1:-1], data], names=names)
@@ -351,7 +353,7 @@ def gram_log_ratios(grams: DataFrame, tables: Tables, *pairs: tuple[str, str]) -
 def _word_ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, r0, ...) of rows (block, data, i, r0, ...) sorted by (block, data), nulls first."""
     current, parts = None, []
-    for batch in slices(batches, 10_000):
+    for batch in slices(batches, BATCH_ROWS):
         block, data = batch.column(0).to_numpy(), batch.column(1)
         edges = np.flatnonzero(np.diff(block)) + 1
         for start, end in zip([0, *edges], [*edges, len(block)], strict=True):
@@ -452,7 +454,7 @@ def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 table[:, numbers] = ratios
         return np.pad(table, ((0, 0), (0, max(0, n - table.shape[1]))))
 
-    for batch in slices(batches, 10_000):
+    for batch in slices(batches, BATCH_ROWS):
         block, kind = (batch.column(c).to_numpy() for c in ("block", "kind"))
         edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
         for start, end in zip([0, *edges], [*edges, len(block)], strict=True):
