@@ -112,3 +112,16 @@ def test_whole_table(spark):
     got = QUERIES["op8_best_fit_packing"](spark, sf).collect()
     used, bound = verify([(d["doc_id"], d["text"]) for d in docs], got, 2048)
     assert used <= bound + 2
+
+
+def test_contractions_and_a_larger_store_for_tokens(monkeypatch):
+    """The pattern's order of branches changes no token; short pre-tokens are remembered longer."""
+    monkeypatch.setattr("keystar.llm.word_bpe.REMEMBERED", 4)
+    encoder = ChunkEncoder(PATH)
+    for text in ("'s 'S 'lll ''s 'tt x'y we'll've'd'm 're're '' '1 1's", "a b c d e", "f"):
+        got = encoder.encode([text])[0]
+        assert np.frombuffer(got, "<u4").tolist() == plain_ids(text)
+    fresh = ChunkEncoder(PATH)
+    fresh.encode(["a b c d e"])
+    fresh.encode(["f"])
+    assert len(fresh.tokens.young) == 6 and not fresh.tokens.old
