@@ -6,9 +6,10 @@ find who has to be compared. The order is cut into fragments; the overlap of a p
 in each fragment separately and summed per pair, so that no task holds a whole long document.
 
 Documents with equal sets are one class. Classes that share a prefix n-gram are first compared
-with one hub per n-gram and size; what is connected then is not compared again, and only pairs
-that still lie in different components are looked at one by one, all of them. Groups of near
-copies therefore cost about as many comparisons as they have members.
+with one hub per n-gram and size; what is connected then is not compared again. Pairs that still
+lie in different components are found by what sets have more or less than a hub: what a group has
+in common falls out, and sets that are alike share a rare n-gram of these differences. Groups of
+near copies, linked or not, therefore cost about as many comparisons as they have members.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keystar.llm.common import join_sized
@@ -34,6 +35,8 @@ PERCENT = 85
 SLOT_BITS = 20
 SLOT_CHUNKS = 64
 FRAGMENTS = 16
+#: Slots that say whose texts are read again.
+TEXT_BITS = 23
 #: No n-gram's rows stay in one place if they are more than 1 in PARTS of all.
 PARTS = 4096
 #: Rounds of hubs, for groups of over HUB_MEMBERS, before the rest is compared pair by pair.
@@ -369,50 +372,144 @@ def _needed(na: Column, nb: Column) -> Column:
     return F.ceil((na + nb) * PERCENT / (100 + PERCENT))
 
 
-def open_pairs(groups: DataFrame, named: DataFrame, few: DataFrame) -> DataFrame:
-    """All pairs of members in different components that may be linked, and the pairs ``few``.
+def deltas(groups: DataFrame, named: DataFrame, cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What members of the groups have more or less than a hub of their group.
 
-    A pair's prefix n-grams in common and what the rest of the sets could add bound the overlap.
-    A group with many members is spread: each part of it meets the whole group elsewhere.
-    ``few`` has (x, nx, y, ny, common) of the n-grams that few sets share.
+    (cls, n, comp, hub, nh, d, near): ``d`` n-grams differ, ``near`` says the two are linked; and
+    (cls, hub, grams), the n-grams that differ, in parts. A group's hub is the member of the most
+    groups, so that the groups of one family of copies have the same.
     """
-    salts = groups.select(
-        "gram", "bucket", "members", F.ceil(F.col("members") / SALT_ROWS).alias("salts")
+    sized = groups.select("gram", "bucket", "members")
+    met = stash(join_sized(named, sized, ["gram", "bucket"], "members"), "met")
+    seen = met.groupBy("cls").agg(F.count("*").alias("seen"))
+    by = F.struct("seen", (-F.col("cls")).alias("by"), "cls", "n").alias("hub")
+    hubs = met.join(seen, "cls").groupBy("gram", "bucket").agg(F.max(by).alias("hub"))
+    hubs = stash(hubs.join(sized, ["gram", "bucket"]), "hubs")
+    sides = join_sized(met.drop("members"), hubs, ["gram", "bucket"], "members")
+    sides = sides.select("cls", "n", "comp", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("nh"))
+    sides = stash(sides.distinct(), "sides")
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("frag")
+    own = cut.select("cls", "frag", F.col("grams").alias("own"))
+    of_hub = cut.select(F.col("cls").alias("hub"), "frag", F.col("grams").alias("of_hub"))
+    both = (
+        sides.select("cls", "hub", every)
+        .join(own, ["cls", "frag"], "left")
+        .join(of_hub, ["hub", "frag"], "left")
     )
-    placed = stash(join_sized(named, salts, ["gram", "bucket"], "members"), "placed")
-    left = placed.where("NOT guest").select(
-        "gram",
-        "bucket",
-        F.pmod(F.xxhash64("cls"), "salts").alias("salt"),
-        F.col("cls").alias("x"),
-        F.col("n").alias("nx"),
-        F.col("comp").alias("cx"),
+    none = F.array().cast("array<long>")
+    mine, theirs = F.coalesce("own", none), F.coalesce("of_hub", none)
+    differ = F.concat(F.array_except(mine, theirs), F.array_except(theirs, mine))
+    parts = stash(both.select("cls", "hub", differ.alias("grams")).where("size(grams) > 0"), "differ")
+
+    sizes = parts.groupBy("cls", "hub").agg(F.sum(F.size("grams")).alias("d"))
+    sides = sides.join(sizes, ["cls", "hub"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
+    near = (100 + PERCENT) * F.col("d") <= (100 - PERCENT) * (F.col("n") + F.col("nh"))
+    return stash(sides.withColumn("near", near), "sides"), parts
+
+
+def _delta_prefix() -> tuple[Column, Column]:
+    """Of a delta, the n-grams that one shares with a shorter delta, and with a longer one.
+
+    Linked sets differ in at most k n-grams, so that deltas of x and y have (x + y - k) / 2 in
+    common. Of two sets that are near the hub nothing is asked: the hub links them.
+    """
+    n, nh, d = F.col("n"), F.col("nh"), F.col("d")
+    most = F.floor((100 - PERCENT) * n / PERCENT)
+    # The other one is not near, so it has the more to make up for.
+    made_up = F.floor(((100 + PERCENT) * d + (100 - PERCENT) * (nh - n)) / (2 * (100 + PERCENT)))
+    whole = F.when(F.col("near"), F.least(d, d - made_up)).otherwise(d)
+    return F.least(whole, most + 1), F.least(whole, F.floor(most / 2) + 1)
+
+
+def open_pairs(sides: DataFrame, parts: DataFrame) -> DataFrame:
+    """All pairs (a, b, na, nb) of members in different components that may be linked.
+
+    What a family of copies has in common is not in its deltas. They are ordered by how many
+    have an n-gram, so what only one has comes first and meets nobody; linked sets share one of
+    the n-grams that are left when those that they must have in common are counted from the end.
+    An n-gram with many members is spread: each part of it meets all of them elsewhere.
+    """
+    of = parts.select("cls", "hub", F.explode("grams").alias("gram"))
+    times = of.groupBy("hub", "gram").agg(F.count("*").alias("times")).where("times > 1")
+    to_shorter, to_longer = _delta_prefix()
+    wide = sides.withColumns({"to_shorter": to_shorter, "to_longer": to_longer})
+    one = Window.partitionBy("cls", "hub")
+    shared = F.row_number().over(one.orderBy("times", "gram")) - F.count("*").over(one)
+    placed = (
+        of.join(times, ["hub", "gram"])
+        .withColumn("shared", shared)
+        .join(wide, ["cls", "hub"])
+        .withColumn("at", F.col("d") + F.col("shared"))
+        .where("at <= to_shorter")
+        .withColumn("salts", F.ceil(F.col("times") / SALT_ROWS))
     )
-    right = placed.select(
-        "gram",
-        "bucket",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-        "guest",
-        F.col("cls").alias("y"),
-        F.col("n").alias("ny"),
-        F.col("comp").alias("cy"),
+    placed = stash(placed, "placed")
+
+    def side(name: str) -> list[Column]:
+        own = ("cls", "n", "comp", "d", "near", "at")
+        return [F.col(c).alias(f"{name}_{c}") for c in own]
+
+    left = placed.where("at <= to_longer").select(
+        "hub", "gram", F.pmod(F.xxhash64("cls"), "salts").alias("salt"), *side("x")
+    )
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    right = placed.select("hub", "gram", salts, *side("y"))
+    x_d, y_d = F.col("x_d"), F.col("y_d")
+    differ = F.floor((100 - PERCENT) * (F.col("x_n") + F.col("y_n")) / (100 + PERCENT))
+    needed = F.ceil((x_d + y_d - differ) / 2)
+    met = left.join(right, ["hub", "gram", "salt"]).where(
+        (F.col("x_comp") != F.col("y_comp"))
+        & ((x_d < y_d) | ((x_d == y_d) & (F.col("x_cls") < F.col("y_cls"))))
+        & ~(F.col("x_near") & F.col("y_near"))
+        & (y_d - x_d <= differ)
+        & _sizes_fit(F.col("x_n"), F.col("y_n"))
+        & (F.col("x_at") + needed <= x_d + 1)
+        & (F.col("y_at") + needed <= y_d + 1)
+    )
+    found = met.select(
+        F.col("x_cls").alias("x"),
+        F.col("x_n").alias("nx"),
+        F.col("y_cls").alias("y"),
+        F.col("y_n").alias("ny"),
     )
-    met = left.join(right, ["gram", "bucket", "salt"]).where(
-        (F.col("cx") != F.col("cy"))
-        & (F.col("guest") | (F.col("x") < F.col("y")))
-        & _sizes_fit(F.col("nx"), F.col("ny"))
+    return _pairs(found).distinct()
+
+
+def few_pairs(few: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) of ``few`` (x, nx, y, ny, common) that may be linked.
+
+    Their prefix n-grams in common, those that many sets have among them, and what the rest of
+    the sets could add bound the overlap.
+    """
+    many = members.where("NOT guest").groupBy("cls").agg(F.collect_list("gram").alias("many"))
+    many = stash(many, "many")
+    of_x = many.select(F.col("cls").alias("x"), F.col("many").alias("many_x"))
+    of_y = many.select(F.col("cls").alias("y"), F.col("many").alias("many_y"))
+    both = F.isnotnull("many_x") & F.isnotnull("many_y")
+    also = F.when(both, F.size(F.array_intersect("many_x", "many_y"))).otherwise(0)
+    times = few.join(of_x, "x", "left").join(of_y, "y", "left").select(
+        "x",
+        "nx",
+        "y",
+        "ny",
+        (F.col("common") + also).alias("common"),
     )
     na, nb = F.col("na"), F.col("nb")
     # The smaller set cannot add more than it has after its prefix where that ends first.
     most = F.col("common") + F.greatest(_reach(na), _reach(nb))
-    times = met.select("x", "nx", "y", "ny", F.lit(1).cast("long").alias("common")).unionByName(few)
-    return (
-        _pairs(times, "common")
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("common").alias("common"))
-        .where(most >= _needed(na, nb))
-        .drop("common")
-    )
+    return _pairs(times, "common").where(most >= _needed(na, nb)).drop("common")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    if labels is None:
+        return pairs
+    for end in ("a", "b"):
+        of = labels.select(F.col("cls").alias(end), F.col("comp").alias(f"comp_{end}"))
+        pairs = pairs.join(of, end, "left")
+    comps = [F.coalesce(f"comp_{end}", end) for end in ("a", "b")]
+    return pairs.where(comps[0] != comps[1]).select("a", "b", "na", "nb")
 
 
 def _named_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -425,13 +522,36 @@ def _named_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def class_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(cls, text) of the classes in the pairs, from the row that stands for the class."""
-    ends = F.explode(F.array("a", "b")).alias("cls")
-    wanted = pairs.select(ends).distinct()
+def class_texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, text) of the wanted classes, from the row that stands for the class.
+
+    A bit per slot says which rows may stand for one, so that the other texts are not moved.
+    """
     reps = stash(classes.join(wanted, "cls", "left_semi").select("cls", "rep.*"), "reps")
-    same = docs.key.eqNullSafe(reps.key) & docs.doc_id.eqNullSafe(reps.doc_id)
-    return docs.join(reps, same).select("cls", "text").dropDuplicates(["cls"])
+    slot = F.shiftrightunsigned(F.xxhash64("doc_id", "key"), 64 - TEXT_BITS).alias("slot")
+    bits = np.zeros(1 << (TEXT_BITS - 3), dtype=np.uint8)
+    at = (F.col("slot") + 1).alias("at")
+    filled = (
+        reps.select(slot)
+        .select(at)
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    )
+    for row in filled.collect():
+        part = np.frombuffer(row.bits, dtype=np.uint8)
+        bits[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = batch.column(3).to_numpy()
+            found = (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(found.astype(bool))).select([0, 1, 2])
+
+    may = docs.select("doc_id", "key", "text", slot).mapInArrow(
+        keep, "doc_id long, key long, text string"
+    )
+    same = may.key.eqNullSafe(reps.key) & may.doc_id.eqNullSafe(reps.doc_id)
+    return may.join(reps, same).select("cls", "text").dropDuplicates(["cls"])
 
 
 def linked(pairs: DataFrame, cut: DataFrame) -> DataFrame:
@@ -467,22 +587,35 @@ def _class_components(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     sets = classes.select("d1", "d2", "cls", "n")
     large = shared.where("gram IS NOT NULL").select("gram", "d1", "d2")
     members = stash(_members(large.join(sets, ["d1", "d2"])), "members")
-    few = stash(_named_pairs(shared.where("gram IS NULL"), sets), "few")
+    few = _named_pairs(shared.where("gram IS NULL"), sets)
+    few = stash(few_pairs(few, members), "few")
+    ends = few.select(F.explode(F.array("a", "b")).alias("cls"))
+    wanted = ends.unionByName(members.select("cls")).distinct()
+    cut = stash(segments(class_texts(docs, classes, wanted), place, fragment), "segments")
 
     links, labels = None, None
-    for round_ in range(HUB_ROUNDS + 1):
-        groups, named = _undecided(members, labels, round_)
-        if round_ < HUB_ROUNDS:
-            if groups.isEmpty():
-                continue
-            pairs = stash(hub_pairs(groups, named), "pairs")
-        else:
-            pairs = stash(open_pairs(groups, named, few), "pairs")
-        texts = class_texts(docs, classes, pairs)
-        new = stash(linked(pairs, stash(segments(texts, place, fragment), "segments")), "links")
+
+    def add(new: DataFrame) -> None:
+        nonlocal links, labels
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             labels = _labels(links)
+
+    for round_ in range(HUB_ROUNDS):
+        groups, named = _undecided(members, labels, round_)
+        if not groups.isEmpty():
+            pairs = stash(hub_pairs(groups, named), "pairs")
+            add(stash(linked(pairs, cut), "links"))
+    groups, named = _undecided(members, labels, HUB_ROUNDS)
+    pairs = _apart(few, labels)
+    if groups.isEmpty():
+        add(stash(linked(stash(pairs, "pairs"), cut), "links"))
+    else:
+        sides, parts = deltas(groups, named, cut)
+        pairs = stash(pairs.unionByName(open_pairs(sides, parts)).distinct(), "pairs")
+        ends = [F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")]
+        to_hub = sides.where("near AND cls <> hub").select(*ends)
+        add(stash(linked(pairs, cut).unionByName(to_hub), "links"))
     return labels
 
 

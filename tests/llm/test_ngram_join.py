@@ -143,3 +143,45 @@ def test_whole_table(spark):
     got = rows(QUERIES[name](spark, SF_DIR), "doc_id", "n_shingles", "component_id")
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", F.col("text"))
     assert got == plain([tuple(r) for r in docs.collect()])
+
+
+def scattered(rng, copies, words):
+    """Copies of one text, two or three words changed: linked only if the changes lie close."""
+    base = [f"w{i}" for i in range(words)]
+    return [(i, edited(rng, base, rng.choice([2, 2, 3]))) for i in range(copies)]
+
+
+def test_copies_that_are_not_linked_are_not_compared_in_pairs(spark, monkeypatch):
+    """A large group's members that stay apart need few overlaps, not one per pair."""
+    compared = []
+
+    def counted(pairs, cut):
+        compared.append(pairs.count())
+        return whole(pairs, cut)
+
+    whole = ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", counted)
+    docs = scattered(random.Random(7), 300, 150)
+    check(spark, docs)
+    assert len({c for _, _, c in plain(docs)}) > 30
+    assert sum(compared) < 300 * 299 / 2 / 4
+
+
+@pytest.mark.parametrize("salt_rows", [500, 6])
+def test_differences_from_a_hub_lose_no_link(spark, monkeypatch, salt_rows):
+    """Without rounds of hubs all links of large groups come from the differences."""
+    monkeypatch.setattr(ngram_join, "SALT_ROWS", salt_rows)
+    monkeypatch.setattr(ngram_join, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "HUB_MEMBERS", 3)
+    rng = random.Random(salt_rows)
+    docs, passage = [], [f"p{i}" for i in range(12)]
+    for family in range(14):
+        base = [f"f{family}w{i}" for i in range(rng.choice([6, 12, 40, 90]))]
+        for _ in range(rng.choice([2, 9, 20])):
+            words = edited(rng, base, rng.choice([0, 1, 2, 3, 5])).split()
+            if rng.random() < 0.3:
+                words = words[: max(1, len(words) - rng.randrange(12))]
+            if rng.random() < 0.3:
+                words[2:2] = passage[: rng.randrange(12)]
+            docs.append((len(docs), " ".join(words)))
+    check(spark, docs)
