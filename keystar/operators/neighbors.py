@@ -1,19 +1,23 @@
 """Exact k nearest neighbours by cosine similarity.
 
-Rows are dealt by a hash of their id into g strips, and the pairs of strips are the tasks: a
-row travels to g of the g²/2 tasks, so what is shuffled grows with the rows times the root of
-the tasks. A task multiplies its two strips block by block and keeps a running best k for every
-row of either, so Spark never sees a row pair. The work is that of all products, halved by
-their symmetry: the price of an exact answer on data without structure.
+Rows are dealt by a hash of their id into g bands, and the pairs of bands are the tasks: a row
+travels to g of the g²/2 tasks, so what is shuffled grows with the rows times the root of the
+tasks. Bands are as large as a task can hold, however small the strips that it multiplies. A
+task multiplies its two bands block by block and keeps a running best k for every row of either,
+so Spark never sees a row pair. Products are taken in single precision; those that could enter a
+list, by the bound on their rounding, are taken again in double precision, which alone decides.
+The work is that of all products, halved by their symmetry: the price of an exact answer on data
+without structure.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,12 +26,19 @@ from keystar.functions.vectors import has_direction
 from keystar.operators.ranking import top_n
 from keystar.session import stash
 
-# Bytes of one strip; a task holds two, in double precision.
+# Bytes of one band; a task holds two, in double precision.
 STRIP_BYTES = 64 << 20
 # Rows of one side of a matrix product inside a task.
 BLOCK_ROWS = 1024
 # Similarities are ranked as integers of this scale: 6 decimals, what float32 can hold.
 SCALE = 1_000_000
+# Partitions at most; with more tasks a partition has several of them.
+MOST_PARTITIONS = 10_000
+# A block of which more than this share is to be taken again is taken again as a whole.
+DENSE = 1 / 32
+# An entry of a list is what its score lacks above these bits, its column within them.
+COLUMN_BITS = 39
+NOTHING = np.iinfo(np.int64).max
 
 
 def cosine_topk(
@@ -41,7 +52,8 @@ def cosine_topk(
 
     A row is not its own neighbour; rows without a direction (NULL, zero or not finite) neither
     have nor are neighbours. Similarity is rounded to 6 decimals. ``strip_rows`` sets the rows
-    of a strip instead of ``STRIP_BYTES``.
+    of a strip, which is multiplied at a time; strips that fit ``STRIP_BYTES`` together are one
+    band, so that a row is not copied for every strip.
     """
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(np.inf)))
@@ -49,8 +61,9 @@ def cosine_topk(
     # Counting and dealing read the vectors, so they are written once.
     rows = stash(rows, "vectors")
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    strips = _strips(rows, size["n"], size["dim"] or 1, strip_rows)
-    best = _compare(_dealt(rows, strips), k, rows.schema["id"].dataType)
+    n, dim = size["n"], size["dim"] or 1
+    bands = min(_strips(rows, n, dim, strip_rows), _strips(rows, n, dim, None))
+    best = _compare(_dealt(rows, bands), bands, k, rows.schema["id"].dataType, strip_rows)
     found = top_n(best, "id", k, F.desc("similarity"), F.asc("neighbor"))
     return found.withColumnRenamed("id", id)
 
@@ -74,7 +87,18 @@ def _dealt(rows: DataFrame, strips: int) -> DataFrame:
     )
 
 
-def _compare(dealt: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
+def apart(df: DataFrame, number: Column, count: int) -> DataFrame:
+    """Adds ``part`` and gives each number below ``count`` a partition of its own, if there are not too many.
+
+    A hash would put several of the few large tasks into one partition and leave others empty.
+    """
+    parts = max(1, min(count, MOST_PARTITIONS))
+    return df.withColumn("part", F.pmod(number, F.lit(parts)).cast("int")).repartitionById(parts, "part")
+
+
+def _compare(
+    dealt: DataFrame, bands: int, k: int, id_type: T.DataType, strip_rows: int | None = None
+) -> DataFrame:
     """Best k of each row within each of its pairs, as (id, neighbor, similarity)."""
     schema = T.StructType(
         [
@@ -85,16 +109,16 @@ def _compare(dealt: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
     )
 
     def compare(names: tuple, group: pa.Table) -> pa.Table:
-        a, b = names[0].as_py(), names[1].as_py()
+        a, b = names[1].as_py(), names[2].as_py()
         group = group.sort_by("id")
-        strip = group.column("own").to_numpy()
-        units = _units(group.column("vector").combine_chunks())
+        band = group.column("own").to_numpy()
+        units = units_of(group.column("vector").combine_chunks())
         ids = group.column("id")
-        left, right = np.flatnonzero(strip == a), np.flatnonzero(strip == b)
+        left, right = np.flatnonzero(band == a), np.flatnonzero(band == b)
         if a == b:
-            sides = [(left, left, *strip_topk(units[left], units[left], k, same=True))]
+            sides = [(left, left, *strip_topk(units, units, k, True, strip_rows))]
         else:
-            one, two = pair_topk(units[left], units[right], k)
+            one, two = pair_topk(units[left], units[right], k, strip_rows)
             sides = [(left, right, *one), (right, left, *two)]
         own = np.concatenate([mine[row] for mine, _, row, _, _ in sides])
         near = np.concatenate([others[at] for _, others, _, at, _ in sides])
@@ -104,57 +128,113 @@ def _compare(dealt: DataFrame, k: int, id_type: T.DataType) -> DataFrame:
             names=["id", "neighbor", "similarity"],
         )
 
-    return dealt.groupBy("a", "b").applyInArrow(compare, schema)
+    # The pairs of a band with itself have half the work and come last, where they fill gaps.
+    a, b = F.col("a").cast("long"), F.col("b").cast("long")
+    mixed = bands * (bands - 1) // 2
+    number = F.when(a < b, (a * (2 * bands - a - 1) / 2).cast("long") + b - a - 1).otherwise(a + mixed)
+    placed = apart(dealt, number, mixed + bands)
+    return placed.groupBy("part", "a", "b").applyInArrow(compare, schema)
 
 
-def _units(column: pa.Array) -> np.ndarray:
+def units_of(column: pa.Array) -> np.ndarray:
+    """Rows of length 1 in double precision; ``column`` has finite rows of one width with a direction."""
+    if not len(column):
+        return np.zeros((0, 0))
     matrix = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
     matrix = matrix.astype(np.float64)
     return matrix / np.linalg.norm(matrix, axis=1)[:, None]
 
 
 class Best:
-    """The best k columns of each row so far; columns have to come in increasing order."""
+    """The best k columns of each row so far, equal scores to the smaller column.
 
-    def __init__(self, rows: int, k: int) -> None:
-        self.k = k
+    ``ordered`` says that the columns come in increasing order: equal scores of later ones lose.
+    An entry is one number, so that the smallest is the best: what the score lacks, then the column.
+    """
+
+    def __init__(self, rows: int, k: int, ordered: bool = True) -> None:
+        self.k, self.ordered = k, ordered
         self.floor = np.full(rows, -4.0 * SCALE)
-        self.row = self.at = np.zeros(0, dtype=np.int64)
-        self.score = np.zeros(0)
-
-    def take(self, scores: np.ndarray, first_row: int, first_column: int) -> None:
-        """A block of scores. Once a row is full, equal scores of later columns lose."""
-        rows, width = scores.shape
-        floor = self.floor[first_row : first_row + rows]
-        if width > self.k:
-            # A row cannot keep more than its k best of this block, the first of equals.
-            least = np.partition(scores, width - self.k, axis=1)[:, width - self.k]
-            mask = (scores > floor[:, None]) & (scores >= least[:, None])
+        self.entries = np.full((rows, k), NOTHING)
+        # Found but not yet merged; until then the floor may be lower than it could be.
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting, self.most = 0, max(4 * BLOCK_ROWS, rows // 4)
+
+    def take(
+        self, near: np.ndarray, mine: np.ndarray, others: np.ndarray, rows: np.ndarray, first: int
+    ) -> None:
+        """A block: ``near`` has the products of ``mine[rows]`` with ``others`` from ``first`` on.
+
+        They are in single precision; below -4 stands what is no pair.
+        """
+        floor = self.floor[rows]
+        # Two roundings of the factors, one per sum, one of this bound; lengths are 1.
+        slack = (mine.shape[1] + 8) * 2.0**-24
+        least = (floor + (0.5 if self.ordered else -0.5)) / SCALE - slack
+        if self.ordered:
+            least[floor >= SCALE] = np.inf
+        mask = near >= least.astype(np.float32)[:, None]
+        count = np.count_nonzero(mask)
+        if not count:
+            return
+        if count > DENSE * mask.size:
+            hit = np.flatnonzero(mask.any(axis=1))
+            some = others[first : first + near.shape[1]]
+            row, at, score = self._dense(near[hit], mine[rows[hit]], some, floor[hit])
+            row, at = rows[hit[row]], at + first
         else:
-            mask = scores > floor[:, None]
+            found = np.flatnonzero(mask.ravel(order="K"))
+            if mask.flags.c_contiguous:
+                row, at = np.divmod(found, near.shape[1])
+            else:
+                at, row = np.divmod(found, near.shape[0])
+            row, at = rows[row], at + first
+            score = np.rint(np.einsum("ij,ij->i", mine[row], others[at]) * SCALE)
+        entry = (SCALE - score).astype(np.int64) << COLUMN_BITS | at
+        wins = entry < self.entries[row, -1]
+        self.found.append((row[wins], entry[wins]))
+        self.waiting += np.count_nonzero(wins)
+        if self.waiting > self.most:
+            self._merge()
+
+    def _dense(
+        self, near: np.ndarray, mine: np.ndarray, others: np.ndarray, floor: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        scores = _block(mine, others)
+        scores[near < -4] = -5.0 * SCALE
+        mask = scores >= floor[:, None]
+        if scores.shape[1] > self.k:
+            # A row cannot keep more than its k best of this block and what equals them.
+            place = scores.shape[1] - self.k
+            mask &= scores >= np.partition(scores, place, axis=1)[:, place][:, None]
         row, at = np.nonzero(mask)
-        if not len(row):
-            return
-        value = scores[row, at]
-        # Only the rows of this block change.
-        low, high = np.searchsorted(self.row, (first_row, first_row + rows))
-        row = np.concatenate([self.row[low:high], row + first_row])
-        at = np.concatenate([self.at[low:high], at + first_column])
-        value = np.concatenate([self.score[low:high], value])
-        order = np.lexsort((at, -value, row))
-        row, at, value = row[order], at[order], value[order]
-        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        return row, at, scores[row, at]
+
+    def _merge(self) -> None:
+        row, entry = (np.concatenate(x) for x in zip(*self.found, strict=True))
+        self.found, self.waiting = [], 0
+        order = np.argsort(row, kind="stable")
+        row, entry = row[order], entry[order]
+        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)])
         counts = np.diff(np.append(starts, len(row)))
-        rank = np.arange(len(row)) - np.repeat(starts, counts)
-        full = rank == self.k - 1
-        self.floor[row[full]] = value[full]
-        kept = rank < self.k
-        self.row = np.concatenate([self.row[:low], row[kept], self.row[high:]])
-        self.at = np.concatenate([self.at[:low], at[kept], self.at[high:]])
-        self.score = np.concatenate([self.score[:low], value[kept], self.score[high:]])
+        # Those of a row side by side, so many at a time.
+        for done in range(0, counts.max(initial=0), 2 * self.k):
+            more = np.flatnonzero(counts > done)
+            slots = np.arange(min(2 * self.k, counts.max() - done))
+            there = done + slots < counts[more][:, None]
+            place = np.minimum(starts[more][:, None] + done + slots, len(entry) - 1)
+            mine = row[starts[more]]
+            both = np.concatenate([self.entries[mine], np.where(there, entry[place], NOTHING)], axis=1)
+            both.sort(axis=1)
+            self.entries[mine] = both[:, : self.k]
+            self.floor[mine] = np.maximum(SCALE - (both[:, self.k - 1] >> COLUMN_BITS), -4.0 * SCALE)
 
     def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.row, self.at, self.score
+        if self.found:
+            self._merge()
+        row, rank = np.nonzero(self.entries < NOTHING)
+        entry = self.entries[row, rank]
+        return row, entry & ((1 << COLUMN_BITS) - 1), (SCALE - (entry >> COLUMN_BITS)).astype(np.float64)
 
 
 def _block(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -163,26 +243,47 @@ def _block(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.rint(scores, out=scores)
 
 
+def _products(
+    left: np.ndarray, right: np.ndarray, step: int | None, same: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, columns, their products in single precision) block by block, columns in order.
+
+    A block has ``step`` rows and as many columns as keep its size. If the sides are the same,
+    columns begin with the rows.
+    """
+    step = min(step or BLOCK_ROWS, BLOCK_ROWS)
+    width = BLOCK_ROWS * BLOCK_ROWS // step
+    for i in range(0, len(left), step):
+        rows = np.arange(i, min(i + step, len(left)))
+        one = left[i : i + step].astype(np.float32)
+        for j in range(i if same else 0, len(right), width):
+            columns = np.arange(j, min(j + width, len(right)))
+            yield rows, columns, one @ right[j : j + width].astype(np.float32).T
+
+
 def strip_topk(
-    left: np.ndarray, right: np.ndarray, k: int, same: bool = False
+    left: np.ndarray, right: np.ndarray, k: int, same: bool = False, step: int | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, score) of the best k columns per row; not itself if the sides are the same."""
     best = Best(len(left), k)
-    for i in range(0, len(left), BLOCK_ROWS):
-        for j in range(0, len(right), BLOCK_ROWS):
-            scores = _block(left[i : i + BLOCK_ROWS], right[j : j + BLOCK_ROWS])
-            if same and i == j:
-                np.fill_diagonal(scores, -5.0 * SCALE)
-            best.take(scores, i, j)
+    for rows, columns, near in _products(left, right, step, same):
+        if same and rows[0] == columns[0]:
+            np.fill_diagonal(near, -5)
+        best.take(near, left, right, rows, columns[0])
+        if same:
+            # The other half of the products; the rows' own square was both.
+            square = len(rows) if rows[0] == columns[0] else 0
+            if square < len(columns):
+                best.take(near[:, square:].T, left, left, columns[square:], rows[0])
     return best.lists()
 
 
-def pair_topk(left: np.ndarray, right: np.ndarray, k: int) -> tuple[tuple, tuple]:
+def pair_topk(
+    left: np.ndarray, right: np.ndarray, k: int, step: int | None = None
+) -> tuple[tuple, tuple]:
     """The lists of both sides from one product of each pair of blocks."""
     one, two = Best(len(left), k), Best(len(right), k)
-    for i in range(0, len(left), BLOCK_ROWS):
-        for j in range(0, len(right), BLOCK_ROWS):
-            scores = _block(left[i : i + BLOCK_ROWS], right[j : j + BLOCK_ROWS])
-            one.take(scores, i, j)
-            two.take(np.ascontiguousarray(scores.T), j, i)
+    for rows, columns, near in _products(left, right, step):
+        one.take(near, left, right, rows, columns[0])
+        two.take(near.T, right, left, columns, rows[0])
     return one.lists(), two.lists()

@@ -97,3 +97,12 @@ def test_strips_follow_the_rows(spark):
     assert N._strips(df, 10**6, 1000, None) == 120
     assert N._strips(df, 10**8, 1000, None) == 11922
     assert N._strips(df, 100, 8, None) == 3
+
+
+def test_small_strips_do_not_copy_rows_more_often(spark, monkeypatch):
+    dealt, deal = [], N._dealt
+    monkeypatch.setattr(N, "_dealt", lambda rows, strips: dealt.append(strips) or deal(rows, strips))
+    df = frame(spark, random_vectors(300))
+    got = N.cosine_topk(df, "id", "v", 5, strip_rows=2)
+    assert rows(got) == rows(N.cosine_topk(df, "id", "v", 5))
+    assert dealt == [3, 3]
