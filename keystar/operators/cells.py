@@ -3,6 +3,10 @@
 Directions are grouped into cells around centroids; the index is a written table, partitioned by
 cell, that holds every vector. A search reads the cells whose centroids are nearest to a query
 and ranks what they hold by exact similarity; with all cells it is the exact search.
+
+The tasks are a grid of groups of cells and strips of queries, both as large as a task can hold:
+a query travels once to each group that has a cell of its own, not once to each cell, and a
+vector once to each strip.
 """
 
 from __future__ import annotations
@@ -20,31 +24,32 @@ from pyspark.sql import types as T
 from keystar import constants as K
 from keystar.functions.vectors import has_direction
 from keystar.operators.embedding import ModelFactory, embed
-from keystar.operators.neighbors import SCALE, Best
+from keystar.operators.neighbors import SCALE, STRIP_BYTES, Best, apart, strip_topk, units_of
 from keystar.operators.ranking import top_n
-from keystar.session import scratch_path
+from keystar.session import scratch_path, shuffles_removed, stash
 
 #: Vectors the centroids are fitted on, chosen by a hash of their id; every vector is indexed.
 SAMPLE_ROWS = 65_536
 #: Bounds the centroids, which go to every task.
 MOST_CELLS = 4096
 ITERATIONS = 12
-#: Vectors of a cell that one task holds; a larger cell lies in several blocks.
-BLOCK_ROWS = 50_000
-#: Queries that are compared with a block at a time.
+#: Vectors of a group that one task holds at most; a larger cell lies in several groups.
+BLOCK_ROWS = 500_000
+#: Queries that are compared with a cell at a time, and rows whose cells are found at a time.
 QUERY_ROWS = 1024
 
 
 @dataclass(frozen=True)
 class CellIndex:
-    """A written index: where it is, its centroids and the type of its ids."""
+    """A written index: where it is, its centroids, the rows of each cell and the type of its ids."""
 
     path: str
     centroids: np.ndarray
+    sizes: np.ndarray
     id_type: T.DataType
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        """(id, unit, block, cell) of every indexed vector."""
+        """(id, vector, cell) of every indexed vector."""
         return spark.read.parquet(self.path)
 
 
@@ -53,25 +58,14 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & has_direction(vector), F.lit(False))
 
 
-def _unit(vector: Column) -> Column:
-    wide = F.transform(vector, lambda x: x.cast("double"))
-    squares = F.aggregate(wide, F.lit(0.0), lambda sofar, x: sofar + x * x)
-    return F.transform(wide, lambda x: x / F.sqrt(squares))
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
-
-
 def fit_centroids(units: DataFrame, cells: int, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Directions of at most ``cells`` cells, by spherical k-means on a bounded sample.
 
     The sample is the ``sample_rows`` rows (id, unit) with the least hash of their id: the same
-    rows on every run, however the table is laid out.
+    rows on every run, however the table is laid out. Their lengths do not matter.
     """
     chosen = units.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("unit")
-    x = _matrix(chosen.toArrow().column("unit").combine_chunks())
+    x = units_of(chosen.toArrow().column("unit").combine_chunks())
     if not len(x):
         return np.zeros((0, 0))
     centroids = x[: min(cells, len(x))]
@@ -85,13 +79,24 @@ def fit_centroids(units: DataFrame, cells: int, sample_rows: int = SAMPLE_ROWS)
     return centroids
 
 
-def nearest_cells(df: DataFrame, unit: str, centroids: np.ndarray, probes: int) -> DataFrame:
+def _nearest(units: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
+    """The ``probes`` nearest centroids of each row, nearest first."""
+    found = np.zeros((len(units), probes), dtype=np.int32)
+    for i in range(0, len(units), QUERY_ROWS):
+        scores = units[i : i + QUERY_ROWS] @ centroids.T
+        if probes == 1:
+            found[i : i + QUERY_ROWS, 0] = scores.argmax(axis=1)
+        else:
+            found[i : i + QUERY_ROWS] = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
+    return found
+
+
+def nearest_cells(df: DataFrame, vector: str, centroids: np.ndarray, probes: int) -> DataFrame:
     """``df`` with the list ``cells`` of the ``probes`` nearest centroids, nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _matrix(batch.column(unit)) @ centroids.T if batch.num_rows else np.zeros((0, 1))
-            found = np.argsort(-scores, axis=1, kind="stable")[:, :probes].astype(np.int32)
+            found = _nearest(units_of(batch.column(vector)), centroids, probes)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel())
             )
@@ -114,59 +119,153 @@ def build_index(
     """Writes every vector with a direction to its cell and returns the index.
 
     By default there are about as many cells as the root of the rows, at most ``MOST_CELLS``.
-    Vectors of another length than most cannot be indexed and raise an error. A cell of any
-    size is cut into blocks of about ``BLOCK_ROWS`` by a hash of the id.
+    Vectors of another length than most cannot be indexed and raise an error. A cell has one
+    file, or several if it is much larger than others.
     """
     spark = df.sparkSession
-    units = df.where(_usable(F.col(vector))).select(
-        F.col(id).alias("id"), _unit(F.col(vector)).alias("unit")
-    )
-    lengths = units.agg(
-        F.count("*").alias("n"), F.min(F.size("unit")).alias("low"), F.max(F.size("unit")).alias("high")
+    rows = df.where(_usable(F.col(vector))).select(F.col(id).alias("id"), F.col(vector).alias("vector"))
+    lengths = rows.agg(
+        F.count("*").alias("n"), F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")
     ).first()
     if lengths["low"] != lengths["high"]:
         raise ValueError(f"vectors of {lengths['low']} to {lengths['high']} components")
     wanted = cells or min(MOST_CELLS, max(1, math.isqrt(lengths["n"])))
-    centroids = fit_centroids(units, wanted, sample_rows)
+    centroids = fit_centroids(rows.withColumnRenamed("vector", "unit"), wanted, sample_rows)
     path = path or scratch_path(spark, "cells")
-    assigned = nearest_cells(units, "unit", centroids, 1).select(
-        "id", "unit", F.get("cells", F.lit(0)).alias("cell")
+    placed = nearest_cells(rows, "vector", centroids, 1).select(
+        "id", "vector", F.get("cells", F.lit(0)).alias("cell")
     )
-    # A part of each cell per task at most; large cells take as many blocks as they need.
-    parts = max(1, -(-lengths["n"] // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    placed = assigned.select("id", "unit", block.alias("block"), "cell")
-    placed.repartition("cell", "block").write.partitionBy("cell").parquet(path)
-    return CellIndex(path, centroids, units.schema["id"].dataType)
+    with shuffles_removed(spark):
+        # Spark splits what turns out to be large, so a hot cell does not land in one task.
+        placed.hint("rebalance", F.col("cell")).write.partitionBy("cell").parquet(path)
+    sizes = np.zeros(len(centroids), dtype=np.int64)
+    if len(sizes):
+        counted = spark.read.parquet(path).groupBy("cell").count().toArrow()
+        sizes[counted.column("cell").to_numpy()] = counted.column("count").to_numpy()
+    return CellIndex(path, centroids, sizes, rows.schema["id"].dataType)
 
 
-def _compare(index: DataFrame, asked: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """Best k of every block and query that meet, as (query_id, id, similarity)."""
+def _grid(rows: int, queries: int, dim: int, cores: int) -> tuple[int, int]:
+    """Rows of a group and number of query strips: what fits, two tasks for every core, little copied."""
+    most = max(1, min(BLOCK_ROWS, STRIP_BYTES // (8 * max(1, dim))))
+    even = round(math.sqrt(2 * cores * queries / max(1, rows)))
+    strips = max(1, -(-queries // most), even)
+    groups = max(1, -(-rows // most), -(-2 * cores // strips))
+    return max(1, -(-rows // groups)), strips
 
-    def compare(many: pa.Table, queries: pa.Table) -> pa.Table:
-        many = many.sort_by("id")
-        units = _matrix(many.column("unit").combine_chunks())
-        found = []
-        for start in range(0, queries.num_rows if len(units) else 0, QUERY_ROWS):
-            some = queries.slice(start, QUERY_ROWS)
-            best = Best(some.num_rows, k)
-            left = _matrix(some.column("unit").combine_chunks())
-            for at in range(0, len(units), QUERY_ROWS):
-                best.take(np.rint(left @ units[at : at + QUERY_ROWS].T * SCALE), 0, at)
-            row, column, score = best.lists()
-            found.append((some.column("query_id").take(pa.array(row)), many.column("id").take(pa.array(column)), score))
+
+def _groups(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """First group and number of groups of each cell, and the cells of each group.
+
+    Cells are gathered until a group has ``most`` rows; a larger cell has groups of its own.
+    """
+    first, parts = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64)
+    members: list[list[int]] = []
+    room = 0
+    for cell, size in enumerate(sizes.tolist()):
+        if size > most:
+            parts[cell] = -(-size // most)
+            first[cell] = len(members)
+            members += [[cell] for _ in range(parts[cell])]
+            room = 0
+            continue
+        if not members or size > room:
+            members.append([])
+            room = most
+        members[-1].append(cell)
+        first[cell] = len(members) - 1
+        room -= size
+    return first, parts, [np.array(x) for x in members]
+
+
+def _asking(
+    asked: DataFrame, centroids: np.ndarray, probes: int, members: list[np.ndarray]
+) -> DataFrame:
+    """The queries once per group that has a cell they ask for, with those cells as bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, QUERY_ROWS):
+                batch = whole.slice(at, QUERY_ROWS)
+                wanted = np.zeros((batch.num_rows, len(centroids)), dtype=bool)
+                found = _nearest(units_of(batch.column("vector")), centroids, probes)
+                np.put_along_axis(wanted, found, True, axis=1)
+                for group, cells in enumerate(members):
+                    mine = wanted[:, cells]
+                    some = np.flatnonzero(mine.any(axis=1))
+                    if len(some):
+                        bits = pa.array([x.tobytes() for x in np.packbits(mine[some], axis=1)], pa.binary())
+                        numbers = pa.array(np.full(len(some), group, dtype=np.int64))
+                        part = batch.take(pa.array(some))
+                        yield pa.RecordBatch.from_arrays(
+                            [*part.columns, numbers, bits], names=[*part.schema.names, "cell_group", "bits"]
+                        )
+
+    return asked.mapInArrow(
+        run, T.StructType([*asked.schema.fields, T.StructField("cell_group", T.LongType()), T.StructField("bits", T.BinaryType())])
+    )
+
+
+def _compare(
+    many: DataFrame, asked: DataFrame, k: int, tiles: int, members: list[np.ndarray] | None, strips: int, schema: T.StructType
+) -> DataFrame:
+    """Best k of every group and strip that meet, as (query_id, id, similarity).
+
+    ``members`` has the cells of each group; without it every query meets every row.
+    """
+
+    def compare(names: tuple, many: pa.Table, queries: pa.Table) -> pa.Table:
         target = pa.schema([("query_id", queries.schema.field("query_id").type),
                             ("id", many.schema.field("id").type), ("similarity", pa.float64())])
-        tables = [pa.table([q, i, pa.array(s / SCALE)], schema=target) for q, i, s in found]
-        return pa.concat_tables(tables) if tables else target.empty_table()
+        if not many.num_rows or not queries.num_rows:
+            return target.empty_table()
+        many = many.sort_by("id")
+        right = units_of(many.column("vector").combine_chunks())
+        left = units_of(queries.column("vector").combine_chunks())
+        if members is None:
+            row, at, score = strip_topk(left, right, k)
+        else:
+            row, at, score = _by_cell(left, right, many, queries, members[names[0].as_py() // strips], k)
+        return pa.table(
+            [
+                queries.column("query_id").take(pa.array(row)),
+                many.column("id").take(pa.array(at)),
+                pa.array(score / SCALE),
+            ],
+            schema=target,
+        )
 
     return (
-        index.groupBy("cell", "block")
-        .cogroup(asked.groupBy("cell", "block"))
+        apart(many, "tile", tiles)
+        .groupBy("tile")
+        .cogroup(apart(asked, "tile", tiles).groupBy("tile"))
         .applyInArrow(compare, schema)
     )
 
 
+def _by_cell(
+    left: np.ndarray, right: np.ndarray, many: pa.Table, queries: pa.Table, cells: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lists of queries that meet only the cells they ask for."""
+    bits = np.frombuffer(b"".join(queries.column("bits").to_pylist()), dtype=np.uint8)
+    wanted = np.unpackbits(bits.reshape(len(left), -1), axis=1, count=len(cells)).astype(bool)
+    own = many.column("cell").to_numpy()
+    # By cell, in the order of ids within it; ties between cells go by that order too.
+    order = np.argsort(own, kind="stable")
+    places = np.searchsorted(own[order], cells, "left"), np.searchsorted(own[order], cells, "right")
+    best = Best(len(left), k, ordered=False)
+    for number, (low, high) in enumerate(zip(*places, strict=True)):
+        asking = np.flatnonzero(wanted[:, number])
+        for at in range(low, high, QUERY_ROWS):
+            rows = order[at : min(at + QUERY_ROWS, high)]
+            units = right[rows]
+            narrow = units.astype(np.float32).T
+            for i in range(0, len(asking), QUERY_ROWS):
+                some = asking[i : i + QUERY_ROWS]
+                best.take(left[some].astype(np.float32) @ narrow, left, right, some, rows)
+    return best.lists()
+
+
 def search(
     index: CellIndex,
     queries: DataFrame,
@@ -184,7 +283,7 @@ def search(
     spark = queries.sparkSession
     cells = len(index.centroids)
     asked = queries.where(_usable(F.col(vector))).select(
-        F.col(id).alias("query_id"), _unit(F.col(vector)).alias("unit")
+        F.col(id).alias("query_id"), F.col(vector).alias("vector")
     )
     schema = T.StructType(
         [
@@ -195,17 +294,35 @@ def search(
     )
     if not cells:
         return spark.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    placed = nearest_cells(asked, "unit", index.centroids, min(probes or cells, cells)).select(
-        "query_id", "unit", F.explode("cells").alias("cell")
-    )
-    wanted = placed.select("cell").distinct()
-    # Spark prunes the cells that no query asks for when the queries turn out to be few.
-    best = _compare(
-        index.rows(spark).join(wanted, "cell", "left_semi"),
-        index.rows(spark).select("cell", "block").distinct().join(placed, "cell"),
-        k,
-        schema,
+    # Counting and dealing read the queries, so they are written once.
+    asked = stash(asked, "asked")
+    probes = min(probes or cells, cells)
+    cores = spark.sparkContext.defaultParallelism
+    most, strips = _grid(int(index.sizes.sum()), asked.count(), index.centroids.shape[1], cores)
+    own = F.pmod(F.xxhash64("query_id"), F.lit(strips))
+    if probes == cells:
+        members = None
+        groups = -(-int(index.sizes.sum()) // most)
+        many = index.rows(spark).withColumn("cell_group", F.pmod(F.xxhash64("id"), F.lit(groups)))
+        asking = asked.withColumn("cell_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    else:
+        first, parts, members = _groups(index.sizes, most)
+        groups = len(members)
+        # No more numbers than there are cells; the files of other cells are not read.
+        nearest = nearest_cells(asked, "vector", index.centroids, probes)
+        wanted = [r[0] for r in nearest.select(F.explode("cells").alias("cell")).distinct().collect()]
+        read = index.rows(spark)
+        if len(wanted) < cells:
+            read = read.where(F.col("cell").isin(wanted))
+        part = F.pmod(F.xxhash64("id"), F.get(F.lit(parts), F.col("cell")))
+        many = read.withColumn("cell_group", F.get(F.lit(first), F.col("cell")) + part)
+        asking = _asking(asked, index.centroids, probes, members)
+    every = F.explode(F.sequence(F.lit(0), F.lit(strips - 1)))
+    many = many.withColumn("strip", every).select(
+        "id", "vector", "cell", (F.col("cell_group") * strips + F.col("strip")).cast("int").alias("tile")
     )
+    asking = asking.withColumn("tile", (F.col("cell_group") * strips + own).cast("int")).drop("cell_group")
+    best = _compare(many, asking, k, groups * strips, members, strips, schema)
     return top_n(best, "query_id", k, F.desc("similarity"), F.asc("id"))
 
 

@@ -32,7 +32,7 @@ STRIP_BYTES = 64 << 20
 BLOCK_ROWS = 1024
 # Similarities are ranked as integers of this scale: 6 decimals, what float32 can hold.
 SCALE = 1_000_000
-# Partitions at most; with more tasks a partition has several of them.
+# Tasks at most that get a partition each.
 MOST_PARTITIONS = 10_000
 # A block of which more than this share is to be taken again is taken again as a whole.
 DENSE = 1 / 32
@@ -87,13 +87,13 @@ def _dealt(rows: DataFrame, strips: int) -> DataFrame:
     )
 
 
-def apart(df: DataFrame, number: Column, count: int) -> DataFrame:
-    """Adds ``part`` and gives each number below ``count`` a partition of its own, if there are not too many.
+def apart(df: DataFrame, number: str, count: int) -> DataFrame:
+    """The rows of each number below ``count`` in a partition of their own.
 
-    A hash would put several of the few large tasks into one partition and leave others empty.
+    Grouping by a hash would put several of a few large tasks into one partition and leave others
+    empty; it is left to deal out more tasks than ``MOST_PARTITIONS``.
     """
-    parts = max(1, min(count, MOST_PARTITIONS))
-    return df.withColumn("part", F.pmod(number, F.lit(parts)).cast("int")).repartitionById(parts, "part")
+    return df.repartitionById(max(1, count), number) if count <= MOST_PARTITIONS else df
 
 
 def _compare(
@@ -109,7 +109,7 @@ def _compare(
     )
 
     def compare(names: tuple, group: pa.Table) -> pa.Table:
-        a, b = names[1].as_py(), names[2].as_py()
+        a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
         group = group.sort_by("id")
         band = group.column("own").to_numpy()
         units = units_of(group.column("vector").combine_chunks())
@@ -131,9 +131,9 @@ def _compare(
     # The pairs of a band with itself have half the work and come last, where they fill gaps.
     a, b = F.col("a").cast("long"), F.col("b").cast("long")
     mixed = bands * (bands - 1) // 2
-    number = F.when(a < b, (a * (2 * bands - a - 1) / 2).cast("long") + b - a - 1).otherwise(a + mixed)
-    placed = apart(dealt, number, mixed + bands)
-    return placed.groupBy("part", "a", "b").applyInArrow(compare, schema)
+    pair = F.when(a < b, (a * (2 * bands - a - 1) / 2).cast("long") + b - a - 1).otherwise(a + mixed)
+    placed = apart(dealt.withColumn("pair", pair.cast("int")), "pair", mixed + bands)
+    return placed.groupBy("pair").applyInArrow(compare, schema)
 
 
 def units_of(column: pa.Array) -> np.ndarray:
@@ -161,9 +161,9 @@ class Best:
         self.waiting, self.most = 0, max(4 * BLOCK_ROWS, rows // 4)
 
     def take(
-        self, near: np.ndarray, mine: np.ndarray, others: np.ndarray, rows: np.ndarray, first: int
+        self, near: np.ndarray, mine: np.ndarray, others: np.ndarray, rows: np.ndarray, columns: np.ndarray
     ) -> None:
-        """A block: ``near`` has the products of ``mine[rows]`` with ``others`` from ``first`` on.
+        """A block: ``near`` has the products of ``mine[rows]`` with ``others[columns]``.
 
         They are in single precision; below -4 stands what is no pair.
         """
@@ -179,16 +179,15 @@ class Best:
             return
         if count > DENSE * mask.size:
             hit = np.flatnonzero(mask.any(axis=1))
-            some = others[first : first + near.shape[1]]
-            row, at, score = self._dense(near[hit], mine[rows[hit]], some, floor[hit])
-            row, at = rows[hit[row]], at + first
+            row, at, score = self._dense(near[hit], mine[rows[hit]], others[columns], floor[hit])
+            row, at = rows[hit[row]], columns[at]
         else:
             found = np.flatnonzero(mask.ravel(order="K"))
             if mask.flags.c_contiguous:
                 row, at = np.divmod(found, near.shape[1])
             else:
                 at, row = np.divmod(found, near.shape[0])
-            row, at = rows[row], at + first
+            row, at = rows[row], columns[at]
             score = np.rint(np.einsum("ij,ij->i", mine[row], others[at]) * SCALE)
         entry = (SCALE - score).astype(np.int64) << COLUMN_BITS | at
         wins = entry < self.entries[row, -1]
@@ -269,12 +268,12 @@ def strip_topk(
     for rows, columns, near in _products(left, right, step, same):
         if same and rows[0] == columns[0]:
             np.fill_diagonal(near, -5)
-        best.take(near, left, right, rows, columns[0])
+        best.take(near, left, right, rows, columns)
         if same:
             # The other half of the products; the rows' own square was both.
             square = len(rows) if rows[0] == columns[0] else 0
             if square < len(columns):
-                best.take(near[:, square:].T, left, left, columns[square:], rows[0])
+                best.take(near[:, square:].T, left, left, columns[square:], rows)
     return best.lists()
 
 
@@ -284,6 +283,6 @@ def pair_topk(
     """The lists of both sides from one product of each pair of blocks."""
     one, two = Best(len(left), k), Best(len(right), k)
     for rows, columns, near in _products(left, right, step):
-        one.take(near, left, right, rows, columns[0])
-        two.take(near.T, right, left, columns, rows[0])
+        one.take(near, left, right, rows, columns)
+        two.take(near.T, right, left, columns, rows)
     return one.lists(), two.lists()

@@ -95,6 +95,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside drop their own shuffle files when they are done."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stash(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder, or a folder below it, and read it back.
 
@@ -104,13 +118,6 @@ def stash(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
     return spark.read.parquet(path)

@@ -90,3 +90,43 @@ def test_nothing_to_index(spark):
     assert rows(search(index, spark.createDataFrame([(1, [1.0])], SCHEMA), "id", "v")) == []
     with pytest.raises(ValueError, match="2 to 3"):
         build_index(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0])], SCHEMA), "id", "v")
+
+
+@pytest.mark.parametrize("probes", [None, 28])
+def test_queries_travel_once_to_a_group_of_cells(spark, monkeypatch, probes):
+    sent, compare = [], C._compare
+    monkeypatch.setattr(C, "_compare", lambda many, asked, *more: sent.append((many, asked)) or compare(many, asked, *more))
+    frame = spark.createDataFrame(clustered(1600, 6), SCHEMA)
+    index = build_index(frame, "id", "v", cells=40)
+    asked = frame.where("id % 5 = 0")
+    found = search(index, asked, "id", "v", 5, probes=probes)
+    assert found.count() == 320 * 5
+    many, queries = sent[0]
+    # One strip of queries and some eight groups for four cores, where there are 40 cells.
+    assert many.count() <= 2 * 1600 and queries.count() <= 320 * 12
+
+
+def test_equal_scores_of_several_cells_go_to_the_smaller_id(spark):
+    data = [(i, [1.0, 0.002 * (i % 9), 0.0]) for i in range(400)] + [(1000 + i, [1.0, 0.0, 0.001 * i]) for i in range(9)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    index = build_index(frame, "id", "v", cells=12)
+    asked = [(1, [1.0, 0.001, 0.001]), (2, [1.0, 0.0, 0.0])]
+    some = search(index, spark.createDataFrame(asked, SCHEMA), "id", "v", 60, probes=len(index.centroids) - 1)
+    cells = {r["id"]: r["cell"] for r in index.rows(spark).select("id", "cell").collect()}
+    near = {q: np.argsort(-(index.centroids @ np.array(v)), kind="stable")[:-1] for q, v in asked}
+    want = [r for q, v in asked for r in plain([d for d in data if cells[d[0]] in near[q]], [(q, v)], 60)]
+    assert rows(some, "query_id", "id", "similarity", "rank") == sorted(want, key=repr)
+
+
+def test_large_cells_lie_in_several_groups():
+    first, parts, members = C._groups(np.array([0, 3, 25, 0, 4, 4, 9]), 10)
+    assert parts.tolist() == [1, 1, 3, 1, 1, 1, 1] and sorted({c for m in members for c in m.tolist()}) == list(range(7))
+    assert all(cell in members[f + p] for cell, (f, n) in enumerate(zip(first, parts)) for p in range(n))
+
+
+def test_an_index_has_a_file_per_cell(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(C, "BLOCK_ROWS", 50)
+    frame = spark.createDataFrame(clustered(3000, 7), SCHEMA)
+    index = build_index(frame, "id", "v", cells=20, path=str(tmp_path / "index"))
+    assert len(list((tmp_path / "index").glob("cell=*/*.parquet"))) <= 20
+    assert index.sizes.sum() == 3000
