@@ -106,3 +106,30 @@ def test_small_strips_do_not_copy_rows_more_often(spark, monkeypatch):
     got = N.cosine_topk(df, "id", "v", 5, strip_rows=2)
     assert rows(got) == rows(N.cosine_topk(df, "id", "v", 5))
     assert dealt == [3, 3]
+
+
+def test_few_blocks_are_taken_in_double_precision(monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 64)
+    taken, block = [], N._block
+    monkeypatch.setattr(N, "_block", lambda left, right: taken.append(len(left) * len(right)) or block(left, right))
+    left, right = (m / np.linalg.norm(m, axis=1)[:, None] for m in (random_vectors(1024, 16, s).astype(float) for s in (3, 4)))
+    one, two = N.pair_topk(left, right, 2)
+    assert sum(taken) < len(left) * len(right) / 4
+    scores = np.rint(left @ right.T * N.SCALE)
+    for (row, at, score), want in ((one, scores), (two, scores.T)):
+        order = np.lexsort((np.broadcast_to(np.arange(1024), want.shape), -want), axis=1)[:, :2]
+        assert np.array_equal(at.reshape(-1, 2), order)
+        assert np.array_equal(score.reshape(-1, 2), np.take_along_axis(want, order, axis=1))
+
+
+@pytest.mark.parametrize("cells", [7, 64, 4096])
+def test_set_cells_of_a_mask(cells):
+    mask = np.random.default_rng(cells).random(cells) < 0.1
+    assert np.array_equal(N._few(mask), np.flatnonzero(mask))
+
+
+def test_pairs_of_strips_have_a_partition_each(spark):
+    df = frame(spark, random_vectors(200)).withColumnRenamed("v", "vector")
+    found = N._compare(N._dealt(df, 6), 6, 3, df.schema["id"].dataType)
+    assert found.rdd.getNumPartitions() == 21
+    assert all(found.rdd.mapPartitions(lambda rows: [any(True for _ in rows)]).collect())
