@@ -52,8 +52,8 @@ def cosine_topk(
 
     A row is not its own neighbour; rows without a direction (NULL, zero or not finite) neither
     have nor are neighbours. Similarity is rounded to 6 decimals. ``strip_rows`` sets the rows
-    of a strip, which is multiplied at a time; strips that fit ``STRIP_BYTES`` together are one
-    band, so that a row is not copied for every strip.
+    of a strip; strips that fit ``STRIP_BYTES`` together are one band, so that a row is not
+    copied for every strip, and whole strips are multiplied at a time.
     """
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(np.inf)))
@@ -256,10 +256,11 @@ def _products(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, columns, their products in single precision) block by block, columns in order.
 
-    A block has ``step`` rows and as many columns as keep its size. If the sides are the same,
-    columns begin with the rows.
+    A block has as many rows as make whole strips of ``step`` rows, and as many columns as keep
+    its size. If the sides are the same, columns begin with the rows.
     """
     step = min(step or BLOCK_ROWS, BLOCK_ROWS)
+    step *= BLOCK_ROWS // step
     width = BLOCK_ROWS * BLOCK_ROWS // step
     for i in range(0, len(left), step):
         rows = np.arange(i, min(i + step, len(left)))
