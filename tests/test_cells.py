@@ -130,3 +130,16 @@ def test_an_index_has_a_file_per_cell(spark, monkeypatch, tmp_path):
     index = build_index(frame, "id", "v", cells=20, path=str(tmp_path / "index"))
     assert len(list((tmp_path / "index").glob("cell=*/*.parquet"))) <= 20
     assert index.sizes.sum() == 3000
+
+
+def test_texts_are_dealt_out_as_far_as_the_model_reads(spark, monkeypatch, tmp_path):
+    from workload import vectors as V
+
+    dealt, spread = [], V.spread
+    monkeypatch.setattr(V, "spread", lambda df, n: dealt.append(df) or spread(df, n))
+    texts = [(i, "abc xyz "[: 1 + i % 8] * (1 + 40 * i)) for i in range(1, 120)] + [(50 * 7, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = rows(V.text_search(spark, str(tmp_path)), "query_id", "rank", "similarity")
+    assert [r[:2] for r in found] == [(f"new {i}", r) for i in (100, 50) for r in range(1, 6)]
+    assert all(r[2] == 1.0 for r in found if r[1] == 1)
+    assert dealt[0].selectExpr("max(length(text))").first()[0] == 1022

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keystar import constants as K
 from keystar.functions.vectors import norm
 from keystar.operators.cells import CellIndex, build_index, search, search_texts
 from keystar.operators.embedding import embed, masked_mean, project_2d
@@ -336,7 +337,9 @@ def vector_search_recall(spark: SparkSession, sf: str) -> DataFrame:
 def text_search(spark: SparkSession, sf: str) -> DataFrame:
     """Texts that are dropped in: embedded by the index's model, then searched in all cells."""
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    embedded = embed(spread(documents, spark.sparkContext.defaultParallelism), "text", stand_in_model)
+    # The model reads no further, so no more than that is dealt out.
+    seen = documents.select("doc_id", F.substring("text", 1, K.MAX_SEQUENCE).alias("text"))
+    embedded = embed(spread(seen, spark.sparkContext.defaultParallelism), "text", stand_in_model)
     index = build_index(stash(embedded.select("doc_id", "embedding"), "embedded"), "doc_id", "embedding")
     asked = documents.where("doc_id % 50 = 0").select(
         F.concat(F.lit("new "), F.col("doc_id").cast("string")).alias("query_id"), "text"
